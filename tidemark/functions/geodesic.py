@@ -12,9 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.geometry import (
     POINT,
+    RING,
     circle_offsets,
     first_vertex,
     is_areal,
@@ -455,7 +457,7 @@ def _closest(rows: np.ndarray, a: np.ndarray, b: np.ndarray, count: int):
 _PAIRS_AT_ONCE = 500_000
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _edge_distance_udf(edges_a: pa.Array, edges_b: pa.Array) -> pa.Array:
     (a, a_at), (b, b_at) = _edge_columns(edges_a), _edge_columns(edges_b)
     na, nb = np.diff(a_at), np.diff(b_at)
@@ -482,14 +484,14 @@ def _runs(group: np.ndarray):
     yield from zip(starts[:-1], starts[1:])
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _length_udf(edges: pa.Array) -> pa.Array:
     columns, offsets = _edge_columns(edges)
     length, _ = inverse(*columns)
     return pa.array(_sum_rows(length, offsets))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _area_udf(edges: pa.Array, ring_edges: pa.Array, ring_signs: pa.Array) -> pa.Array:
     columns, _ = _edge_columns(edges)
     area, span = edge_areas(*columns)
@@ -503,7 +505,7 @@ def _area_udf(edges: pa.Array, ring_edges: pa.Array, ring_signs: pa.Array) -> pa
     return pa.array(_sum_rows(signed, np.concatenate([[0], np.cumsum(rings_in_row)])))
 
 
-@F.arrow_udf("array<struct<x:double,y:double>>")
+@F.arrow_udf(RING)
 def _circle_udf(lon: pa.Array, lat: pa.Array, distance: pa.Array) -> pa.Array:
     offsets = np.array(circle_offsets())
     azimuth = np.arctan2(offsets[:, 0], offsets[:, 1])

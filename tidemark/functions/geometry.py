@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Geometry kinds and the default spatial reference.
 POINT, LINE, POLYGON = "POINT", "LINESTRING", "POLYGON"
@@ -19,10 +20,14 @@ MULTIPOINT, MULTILINE, MULTIPOLYGON = "MULTIPOINT", "MULTILINESTRING", "MULTIPOL
 KINDS = (POINT, LINE, POLYGON, MULTIPOINT, MULTILINE, MULTIPOLYGON)
 DEFAULT_SRID = 4326
 
-VERTEX_TYPE = "struct<x:double,y:double>"
-PARTS_TYPE = f"array<array<array<{VERTEX_TYPE}>>>"
-BBOX_TYPE = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
-GEOMETRY_TYPE = f"struct<kind:string,srid:int,parts:{PARTS_TYPE},bbox:{BBOX_TYPE}>"
+VERTEX = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+RING = T.ArrayType(VERTEX)
+PARTS = T.ArrayType(T.ArrayType(RING))
+BBOX = T.StructType([T.StructField(c, T.DoubleType()) for c in ("xmin", "ymin", "xmax", "ymax")])
+GEOMETRY = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("srid", T.IntegerType()),
+    T.StructField("parts", PARTS), T.StructField("bbox", BBOX),
+])
 
 # Arc vertices per quarter turn in buffers.
 QUADRANT_SEGMENTS = 8
@@ -597,10 +602,10 @@ def st_buffer(g: Column, distance) -> Column:
     simple = (F.size(g["parts"]) == 1) & (F.size(g["parts"][0]) == 1)
     unsupported = F.raise_error(F.lit(
         "buffer supports points, two-vertex lines and convex polygons without holes"
-    )).cast(f"array<{VERTEX_TYPE}>")
+    )).cast(RING)
     ring = (
         F.when(d < 0, F.raise_error(F.lit("buffer distance must not be negative"))
-               .cast(f"array<{VERTEX_TYPE}>"))
+               .cast(RING))
         .when(g["kind"] == POINT, circle)
         .when((g["kind"] == LINE) & (F.size(outer) == 2), _convex_outline(outer, d))
         .when((g["kind"] == POLYGON) & simple & let(ccw, _is_convex),

@@ -17,15 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.geometry import (
     DEFAULT_SRID,
-    GEOMETRY_TYPE,
+    GEOMETRY,
     KINDS,
     LINE,
     MULTILINE,
     MULTIPOINT,
     MULTIPOLYGON,
+    PARTS,
     POINT,
     POLYGON,
     make_geometry,
@@ -49,8 +51,8 @@ def _number_text(value: Column) -> Column:
     return F.when(whole, value.cast("long").cast("string")).otherwise(value.cast("string"))
 
 
-def _bad_text(what: str, value: Column, dtype: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not a supported {what}: "), value)).cast(dtype)
+def _bad_text(what: str, value: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"not a supported {what}: "), value)).cast(PARTS)
 
 
 def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
@@ -75,8 +77,7 @@ def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
         .when(kind == MULTIPOLYGON, F.transform(
             F.split(body, r"\)\s*\)\s*,\s*\(\s*\("),
             lambda p: F.transform(F.split(p, r"\)\s*,\s*\("), ring)))
-        .when(text.isNotNull(), _bad_text(
-            "WKT", text, "array<array<array<struct<x:double,y:double>>>>"))
+        .when(text.isNotNull(), _bad_text("WKT", text))
     )
     return make_geometry(kind, F.when(tag != "", tag.cast("int")).otherwise(F.lit(srid)), parts)
 
@@ -129,8 +130,7 @@ def st_from_geojson(text: Column, srid: int = DEFAULT_SRID) -> Column:
         .when(kind == POLYGON, F.array(rings(read(3))))
         .when(kind == MULTILINE, F.transform(read(3), lambda r: F.array(ring(r))))
         .when(kind == MULTIPOLYGON, F.transform(read(4), rings))
-        .when(text.isNotNull(), _bad_text(
-            "GeoJSON geometry", text, "array<array<array<struct<x:double,y:double>>>>"))
+        .when(text.isNotNull(), _bad_text("GeoJSON geometry", text))
     )
     return make_geometry(kind, F.lit(srid), parts)
 
@@ -242,7 +242,7 @@ def _read_wkb(raw: bytes) -> dict:
     return {"kind": names[code], "srid": srid, "xy": xy, "rings": rings, "parts": parts}
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _wkb_of(kind: pa.Array, srid: pa.Array, xy: pa.Array, rings: pa.Array,
             parts: pa.Array) -> pa.Array:
     columns = (c.to_pylist() for c in (kind, srid, xy, rings, parts))
@@ -255,7 +255,7 @@ def _nested(values: pa.Array, sizes: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
-@F.arrow_udf(GEOMETRY_TYPE)
+@F.arrow_udf(GEOMETRY)
 def _geometry_of(raw: pa.Array, default_srid: pa.Array) -> pa.Array:
     found = [None if b is None else _read_wkb(b) for b in raw.to_pylist()]
     given = [g for g in found if g is not None]

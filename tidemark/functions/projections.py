@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.geodesic import WGS84_A, WGS84_F
-from tidemark.functions.geometry import GEOMETRY_TYPE, let, map_vertices, vertex
+from tidemark.functions.geometry import GEOMETRY, let, map_vertices, vertex
 
 # The supported reference systems and the UTM scale and false origins.
 LONLAT, WEB_MERCATOR = 4326, 3857
@@ -146,7 +146,7 @@ def _reproject(g: Column, to_srid: int) -> Column:
         F.when(source == LONLAT, g)
         .when(source == WEB_MERCATOR, map_vertices(g, _from_mercator, F.lit(LONLAT)))
         .when(from_zone, map_vertices(g, from_utm(*_utm_of(source)), F.lit(LONLAT)))
-        .when(g.isNotNull(), bad.cast(GEOMETRY_TYPE))
+        .when(g.isNotNull(), bad.cast(GEOMETRY))
     )
     if to_srid == LONLAT:
         return lonlat

@@ -17,6 +17,7 @@ from tidemark.functions.geometry import (
     DEFAULT_SRID,
     POINT,
     POLYGON,
+    RING,
     dimension,
     make_geometry,
     set_srid,
@@ -214,7 +215,7 @@ def _utm_buffer(g: Column, metres: Column) -> Column:
     ring = F.transform(st_buffer(flat, metres)["parts"][0][0],
                        lambda v: from_utm(zone, south)(v["x"], v["y"]))
     bad = F.raise_error(F.lit("a metre buffer needs a geometry that fits one UTM zone"))
-    return F.when(usable, ring).otherwise(bad.cast("array<struct<x:double,y:double>>"))
+    return F.when(usable, ring).otherwise(bad.cast(RING))
 
 
 def buffer(df: DataFrame, geom: str = "geometry", *, distance: float, unit: str = "m",
