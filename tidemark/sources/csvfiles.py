@@ -32,11 +32,16 @@ def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimiter: str = ",",
-             header: bool = True, null_string: str = "", encoding: str = "UTF-8") -> DataFrame:
-    """Read CSV with a given schema (never inferred); a malformed row is an error."""
+             header: bool = True, null_string: str = "", encoding: str = "UTF-8",
+             multi_line: bool = True) -> DataFrame:
+    """Read CSV with a given schema (never inferred); a malformed row is an error.
+
+    Quoted line breaks make a file one task, so exports are written as many files.
+    ``multi_line=False`` lets Spark split large files that hold no quoted line breaks.
+    """
     return spark.read.schema(schema).options(
         **_options(delimiter, header, null_string, encoding), mode="FAILFAST",
-        emptyValue="", multiLine=False).csv(path)
+        emptyValue="", multiLine=multi_line).csv(path)
 
 
 def import_csv(tables: Tables, path: str, table: str, columns: Iterable[str] | None = None,

@@ -52,14 +52,19 @@ def maintain_aggregate(stream: DataFrame, table: ChunkedTable, time: str, width:
 
 def maintain_rows(stream: DataFrame, tables: Tables, target: str, keys: str | Iterable[str],
                   order_by: str | Iterable[str], checkpoint: str) -> StreamingQuery:
-    """Upsert a stream into a table; within a batch, the last row of a key wins.
+    """Keep the newest row of each key, by ``order_by``, in a table.
 
-    The checkpoint takes the place of a high-water mark.
+    A stored row only gives way to a newer one, so neither the order of arrival nor a
+    batch that runs twice changes the result.  The checkpoint takes the place of a
+    high-water mark.
     """
     keys, order_by = names(keys), names(order_by)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert(batch, target, keys, on_duplicate="last", order_by=order_by)
+        known = tables.read(target)
+        rivals = known.join(batch.select(*keys).distinct(), keys, "left_semi")
+        newest = batch.select(*known.columns).unionByName(rivals.select(*known.columns))
+        tables.upsert(newest, target, keys, on_duplicate="last", order_by=order_by)
 
     return stream.writeStream.foreachBatch(each).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
