@@ -15,13 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geometry import (
+    MULTIPOLYGON,
     POINT,
+    POLYGON,
     RING,
+    both,
+    choose,
     circle_offsets,
     first_vertex,
     is_areal,
     is_puntal,
     let,
+    of_kind,
     segments,
 )
 
@@ -92,21 +97,24 @@ def nearest_on_arc(s: Column, lon: Column, lat: Column) -> Column:
     return let(ends, with_normal)
 
 
+def _gap_to_arcs(v: Column, arcs: Column) -> Column:
+    """Shortest great-circle distance from a vertex to any of the arcs."""
+    return F.array_min(F.transform(arcs, lambda t: let(
+        nearest_on_arc(t, v["x"], v["y"]),
+        lambda q: haversine(v["x"], v["y"], q["x"], q["y"]))))
+
+
 def nearest_gap(a: Column, b: Column) -> Column:
     """Shortest great-circle distance between two geometries that do not meet.
 
     Candidates are each vertex of one against each edge of the other.
     """
-    def one_way(points, edges):
-        return F.array_min(F.flatten(F.transform(points, lambda v: F.transform(
-            edges, lambda t: let(nearest_on_arc(t, v["x"], v["y"]), lambda q: haversine(
-                v["x"], v["y"], q["x"], q["y"]))))))
-
-    def both_ways(g):
-        return F.least(one_way(F.flatten(F.flatten(a["parts"])), g["b"]),
-                       one_way(F.flatten(F.flatten(b["parts"])), g["a"]))
+    def one_way(g, arcs):
+        return F.array_min(F.transform(
+            F.flatten(F.flatten(g["parts"])), lambda v: _gap_to_arcs(v, arcs)))
 
-    return let(F.struct(segments(a).alias("a"), segments(b).alias("b")), both_ways)
+    return let(F.struct(segments(a).alias("a"), segments(b).alias("b")),
+               lambda g: F.least(one_way(a, g["b"]), one_way(b, g["a"])))
 
 
 def locate_on_sphere(segs: Column, lon: Column, lat: Column) -> Column:
@@ -150,9 +158,11 @@ def _arcs_cross(s: Column, t: Column) -> Column:
         _unit(t["x1"], t["y1"]).alias("c"), _unit(t["x2"], t["y2"]).alias("d")), with_normals)
 
 
-def _touching(a: Column, b: Column) -> Column:
+def _touching(a: Column, b: Column, ka: str | None, kb: str | None) -> Column:
     """Distance 0 on the sphere: a vertex lies inside the other area or arcs cross."""
     va, vb = first_vertex(a), first_vertex(b)
+    point_a, point_b = of_kind(a, ka, POINT), of_kind(b, kb, POINT)
+    area_a, area_b = of_kind(a, ka, POLYGON, MULTIPOLYGON), of_kind(b, kb, POLYGON, MULTIPOLYGON)
 
     def inside(points, rings):
         return F.exists(F.flatten(F.flatten(points)),
@@ -165,15 +175,14 @@ def _touching(a: Column, b: Column) -> Column:
             | (~is_puntal(a) & ~is_puntal(b) & crossing)
         )
 
-    return (
-        F.when((a["kind"] == POINT) & (b["kind"] == POINT),
-               (va["x"] == vb["x"]) & (va["y"] == vb["y"]))
-        .when((a["kind"] == POINT) & is_areal(b),
-              locate_on_sphere(segments(b), va["x"], va["y"]) == 1)
-        .when((b["kind"] == POINT) & is_areal(a),
-              locate_on_sphere(segments(a), vb["x"], vb["y"]) == 1)
-        .otherwise(let(F.struct(segments(a).alias("a"), segments(b).alias("b")), general))
-    )
+    return choose(
+        (both(point_a, point_b), lambda: (va["x"] == vb["x"]) & (va["y"] == vb["y"])),
+        (both(point_a, area_b), lambda: locate_on_sphere(segments(b), va["x"], va["y"]) == 1),
+        (both(point_b, area_a), lambda: locate_on_sphere(segments(a), vb["x"], vb["y"]) == 1),
+        (point_a, lambda: F.lit(False)),
+        (point_b, lambda: F.lit(False)),
+        (True, lambda: let(
+            F.struct(segments(a).alias("a"), segments(b).alias("b")), general)))
 
 
 # Fixed value: metres in the shortest degree of latitude on either model, less one percent.
@@ -222,14 +231,19 @@ def reach_boxes(g: Column, metres: float) -> Column:
     return let(geodesic_box(g), spread)
 
 
-def sphere_distance(a: Column, b: Column) -> Column:
+def sphere_distance(a: Column, b: Column, ka: str | None = None,
+                    kb: str | None = None) -> Column:
     va, vb = first_vertex(a), first_vertex(b)
-    return (
-        F.when((a["kind"] == POINT) & (b["kind"] == POINT),
-               haversine(va["x"], va["y"], vb["x"], vb["y"]))
-        .when(_touching(a, b), F.lit(0.0))
-        .otherwise(nearest_gap(a, b))
-    )
+    point_a, point_b = of_kind(a, ka, POINT), of_kind(b, kb, POINT)
+    pair = both(point_a, point_b)
+    if pair is True:
+        return haversine(va["x"], va["y"], vb["x"], vb["y"])
+    return choose(
+        (pair, lambda: haversine(va["x"], va["y"], vb["x"], vb["y"])),
+        (_touching(a, b, ka, kb), lambda: F.lit(0.0)),
+        (point_a, lambda: _gap_to_arcs(va, segments(b))),
+        (point_b, lambda: _gap_to_arcs(vb, segments(a))),
+        (True, lambda: nearest_gap(a, b)))
 
 
 # --- spheroid, numpy --------------------------------------------------------------
@@ -524,15 +538,20 @@ def _flat_edges(segs: Column) -> Column:
         segs, lambda s: F.array(s["x1"], s["y1"], s["x2"], s["y2"])))
 
 
-def spheroid_distance(a: Column, b: Column) -> Column:
+def spheroid_distance(a: Column, b: Column, ka: str | None = None,
+                      kb: str | None = None) -> Column:
     """Metres on the spheroid between the points that are closest on the sphere."""
     apart = _edge_distance_udf(_flat_edges(segments(a)), _flat_edges(segments(b)))
-    return F.when(_touching(a, b), F.lit(0.0)).otherwise(apart)
+    if both(of_kind(a, ka, POINT), of_kind(b, kb, POINT)) is True:
+        return apart
+    return F.when(_touching(a, b, ka, kb), F.lit(0.0)).otherwise(apart)
 
 
-def distance_m(a: Column, b: Column, model: str = "spheroid") -> Column:
+def distance_m(a: Column, b: Column, model: str = "spheroid", ka: str | None = None,
+               kb: str | None = None) -> Column:
     check_model(model)
-    return sphere_distance(a, b) if model == "sphere" else spheroid_distance(a, b)
+    kernel = sphere_distance if model == "sphere" else spheroid_distance
+    return kernel(a, b, ka, kb)
 
 
 def area_m2(g: Column) -> Column:

@@ -137,6 +137,32 @@ def is_areal(g: Column) -> Column:
     return g["kind"].isin(POLYGON, MULTIPOLYGON)
 
 
+# Kernels take the kind of a side when the caller knows it (a literal, a column of
+# points).  Branches that cannot apply are then left out of the expression.
+
+def of_kind(g: Column, known: str | None, *kinds: str) -> Column | bool:
+    return known in kinds if known is not None else g["kind"].isin(*kinds)
+
+
+def both(a: Column | bool, b: Column | bool) -> Column | bool:
+    if isinstance(a, bool) or isinstance(b, bool):
+        plain, other = (a, b) if isinstance(a, bool) else (b, a)
+        return other if plain else False
+    return a & b
+
+
+def choose(*cases) -> Column:
+    """CASE over ``(condition, value thunk)``; conditions may be plain booleans."""
+    out = None
+    for condition, value in cases:
+        if condition is False:
+            continue
+        if condition is True:
+            return value() if out is None else out.otherwise(value())
+        out = F.when(condition, value()) if out is None else out.when(condition, value())
+    return out
+
+
 def first_vertex(g: Column) -> Column:
     return g["parts"][0][0][0]
 
@@ -253,24 +279,27 @@ def _some_part_starts_in(a: Column, b: Column) -> Column:
         a["parts"], lambda p: locate(rings, p[0][0]["x"], p[0][0]["y"]) != 0))
 
 
-def st_intersects(a: Column, b: Column) -> Column:
+def st_intersects(a: Column, b: Column, ka: str | None = None, kb: str | None = None) -> Column:
     """The geometries share at least one point; borders count."""
-    crossing = let(segments(b), lambda rings: F.exists(
-        segments(a), lambda s: F.exists(rings, lambda t: _segments_meet(s, t))))
-    general = (
-        crossing
-        | (is_areal(b) & _some_part_starts_in(a, b))
-        | (is_areal(a) & _some_part_starts_in(b, a))
-    )
     va, vb = first_vertex(a), first_vertex(b)
-    exact = (
-        F.when((a["kind"] == POINT) & (b["kind"] == POINT),
-               (va["x"] == vb["x"]) & (va["y"] == vb["y"]))
-        .when((a["kind"] == POINT) & is_areal(b), locate(segments(b), va["x"], va["y"]) != 0)
-        .when((b["kind"] == POINT) & is_areal(a), locate(segments(a), vb["x"], vb["y"]) != 0)
-        .otherwise(general)
-    )
-    return bbox_meets(a, b) & exact
+    point_a, point_b = of_kind(a, ka, POINT), of_kind(b, kb, POINT)
+    area_a, area_b = of_kind(a, ka, POLYGON, MULTIPOLYGON), of_kind(b, kb, POLYGON, MULTIPOLYGON)
+
+    def general():
+        crossing = let(segments(b), lambda rings: F.exists(
+            segments(a), lambda s: F.exists(rings, lambda t: _segments_meet(s, t))))
+        out = crossing
+        for applies, start, area in ((area_b, a, b), (area_a, b, a)):
+            if applies is not False:
+                starts = _some_part_starts_in(start, area)
+                out = out | (starts if applies is True else applies & starts)
+        return out
+
+    return bbox_meets(a, b) & choose(
+        (both(point_a, point_b), lambda: (va["x"] == vb["x"]) & (va["y"] == vb["y"])),
+        (both(point_a, area_b), lambda: locate(segments(b), va["x"], va["y"]) != 0),
+        (both(point_b, area_a), lambda: locate(segments(a), vb["x"], vb["y"]) != 0),
+        (True, general))
 
 
 def _cut_positions(s: Column, cutters: Column) -> Column:
@@ -331,7 +360,7 @@ def _points(g: Column) -> Column:
     return _vertices(g["parts"])
 
 
-def st_contains(a: Column, b: Column) -> Column:
+def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = None) -> Column:
     """No point of ``b`` lies outside ``a`` and the interiors meet.
 
     So a point on the border of a polygon is not contained.  A line that contains a line
@@ -342,47 +371,57 @@ def st_contains(a: Column, b: Column) -> Column:
     def all_in_some_inside(places):
         return F.forall(places, lambda s: s != 0) & F.exists(places, lambda s: s == 1)
 
-    area_point = locate(segments(a), vb["x"], vb["y"]) == 1
-    area_points = let(segments(a), lambda rings: let(
-        F.transform(_points(b), lambda v: locate(rings, v["x"], v["y"])), all_in_some_inside))
-    area_line = let(segments(a), lambda rings: let(
-        _piece_places(segments(b), rings), all_in_some_inside))
-
-    def holds(both):
-        rings, inner_rings = both["a"], both["b"]
-
-        def part_inside(part):
-            return let(_inner_point(part), lambda q: locate(rings, q["x"], q["y"]) == 1)
-
-        return (
-            F.forall(_piece_places(inner_rings, rings), lambda s: s != 0)
-            & ~F.exists(_piece_places(rings, inner_rings), lambda s: s == 1)
-            & F.forall(b["parts"], part_inside)
-        )
-
-    area_area = let(F.struct(segments(a).alias("a"), segments(b).alias("b")), holds)
-    # a line's border is the set of its open ends
-    ends = F.flatten(F.transform(F.flatten(a["parts"]), lambda r: F.when(
-        r[0] != F.element_at(r, -1), F.array(r[0], F.element_at(r, -1))
-    ).otherwise(F.slice(r, 1, 0))))
-    on_line = let(segments(a), lambda path: F.forall(_points(b), lambda v: F.exists(
-        path, lambda s: _on_segment(s, v["x"], v["y"]))))
-    line_points = on_line & F.exists(_points(b), lambda v: ~F.array_contains(ends, v))
-    among = F.forall(_points(b), lambda v: F.exists(
-        _points(a), lambda u: (u["x"] == v["x"]) & (u["y"] == v["y"])))
-
-    exact = (
-        F.when(is_areal(a) & (b["kind"] == POINT), area_point)
-        .when(is_areal(a) & is_puntal(b), area_points)
-        .when(is_areal(a) & is_lineal(b), area_line)
-        .when(is_areal(a), area_area)
-        .when(is_lineal(a) & is_puntal(b), line_points)
-        .when(is_lineal(a) & is_lineal(b),
-              F.raise_error(F.lit("contains of two lines is not supported")).cast("boolean"))
-        .when(is_puntal(a) & is_puntal(b), among)
-        .otherwise(F.lit(False))
-    )
-    return _bbox_covers(a, b) & exact
+    def area_points():
+        return let(segments(a), lambda rings: let(
+            F.transform(_points(b), lambda v: locate(rings, v["x"], v["y"])), all_in_some_inside))
+
+    def area_line():
+        return let(segments(a), lambda rings: let(
+            _piece_places(segments(b), rings), all_in_some_inside))
+
+    def area_area():
+        def holds(pair):
+            rings, inner_rings = pair["a"], pair["b"]
+
+            def part_inside(part):
+                return let(_inner_point(part), lambda q: locate(rings, q["x"], q["y"]) == 1)
+
+            return (
+                F.forall(_piece_places(inner_rings, rings), lambda s: s != 0)
+                & ~F.exists(_piece_places(rings, inner_rings), lambda s: s == 1)
+                & F.forall(b["parts"], part_inside)
+            )
+
+        return let(F.struct(segments(a).alias("a"), segments(b).alias("b")), holds)
+
+    def line_points():
+        # a line's border is the set of its open ends
+        ends = F.flatten(F.transform(F.flatten(a["parts"]), lambda r: F.when(
+            r[0] != F.element_at(r, -1), F.array(r[0], F.element_at(r, -1))
+        ).otherwise(F.slice(r, 1, 0))))
+        on_line = let(segments(a), lambda path: F.forall(_points(b), lambda v: F.exists(
+            path, lambda s: _on_segment(s, v["x"], v["y"]))))
+        return on_line & F.exists(_points(b), lambda v: ~F.array_contains(ends, v))
+
+    def among():
+        return F.forall(_points(b), lambda v: F.exists(
+            _points(a), lambda u: (u["x"] == v["x"]) & (u["y"] == v["y"])))
+
+    area = of_kind(a, ka, POLYGON, MULTIPOLYGON)
+    line = of_kind(a, ka, LINE, MULTILINE)
+    points_a, points_b = of_kind(a, ka, POINT, MULTIPOINT), of_kind(b, kb, POINT, MULTIPOINT)
+    line_b = of_kind(b, kb, LINE, MULTILINE)
+    return _bbox_covers(a, b) & choose(
+        (both(area, of_kind(b, kb, POINT)),
+         lambda: locate(segments(a), vb["x"], vb["y"]) == 1),
+        (both(area, points_b), area_points),
+        (both(area, line_b), area_line),
+        (area, area_area),
+        (both(line, points_b), line_points),
+        (both(line, line_b), lambda: F.raise_error(
+            F.lit("contains of two lines is not supported")).cast("boolean")),
+        (both(points_a, points_b), among),
+        (True, lambda: F.lit(False)))
 
 
 def st_within(a: Column, b: Column) -> Column:
@@ -391,9 +430,10 @@ def st_within(a: Column, b: Column) -> Column:
 
 # --- measures ---------------------------------------------------------------------
 
-def st_distance(a: Column, b: Column) -> Column:
+def st_distance(a: Column, b: Column, ka: str | None = None, kb: str | None = None) -> Column:
     """Shortest planar distance; 0 when the geometries meet."""
     va, vb = first_vertex(a), first_vertex(b)
+    point_a, point_b = of_kind(a, ka, POINT), of_kind(b, kb, POINT)
 
     def apart(s, t):
         return F.least(
@@ -401,14 +441,24 @@ def st_distance(a: Column, b: Column) -> Column:
             _point_segment_sq(t, s["x1"], s["y1"]), _point_segment_sq(t, s["x2"], s["y2"]),
         )
 
-    nearest = let(segments(b), lambda others: F.array_min(F.transform(
-        segments(a), lambda s: F.array_min(F.transform(others, lambda t: apart(s, t))))))
-    dx, dy = va["x"] - vb["x"], va["y"] - vb["y"]
-    return (
-        F.when((a["kind"] == POINT) & (b["kind"] == POINT), F.sqrt(dx * dx + dy * dy))
-        .when(st_intersects(a, b), F.lit(0.0))
-        .otherwise(F.sqrt(nearest))
-    )
+    def straight():
+        dx, dy = va["x"] - vb["x"], va["y"] - vb["y"]
+        return F.sqrt(dx * dx + dy * dy)
+
+    def to_segments(v, g):
+        return F.sqrt(F.array_min(F.transform(
+            segments(g), lambda s: _point_segment_sq(s, v["x"], v["y"]))))
+
+    def nearest():
+        return F.sqrt(let(segments(b), lambda others: F.array_min(F.transform(
+            segments(a), lambda s: F.array_min(F.transform(others, lambda t: apart(s, t)))))))
+
+    return choose(
+        (both(point_a, point_b), straight),
+        (st_intersects(a, b, ka, kb), lambda: F.lit(0.0)),
+        (point_a, lambda: to_segments(va, b)),
+        (point_b, lambda: to_segments(vb, a)),
+        (True, nearest))
 
 
 def _sum(values: Column) -> Column:
@@ -450,6 +500,10 @@ def st_perimeter(g: Column) -> Column:
 
 def st_centroid(g: Column) -> Column:
     """Planar centroid as ``struct<x, y>``."""
+    return let(g, _centroid_of)
+
+
+def _centroid_of(g: Column) -> Column:
     ox, oy = first_vertex(g)["x"], first_vertex(g)["y"]
 
     def mean(items):
@@ -592,7 +646,11 @@ def st_buffer(g: Column, distance) -> Column:
 
     Other shapes raise: their buffer needs a polygon union.
     """
-    d = _double(distance)
+    both_in = F.struct(g.alias("g"), _double(distance).alias("d"))
+    return let(both_in, lambda given: _buffer_of(given["g"], given["d"]))
+
+
+def _buffer_of(g: Column, d: Column) -> Column:
     v = first_vertex(g)
     circle = F.array(*[F.struct((v["x"] + d * cx).alias("x"), (v["y"] + d * cy).alias("y"))
                        for cx, cy in circle_offsets()])

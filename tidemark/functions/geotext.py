@@ -30,6 +30,7 @@ from tidemark.functions.geometry import (
     PARTS,
     POINT,
     POLYGON,
+    let,
     make_geometry,
     vertex,
 )
@@ -60,6 +61,11 @@ def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
     tag = F.regexp_extract(text, r"(?i)^\s*SRID=(\d+);", 1)
     kind = F.upper(F.regexp_extract(text, r"(?i)^\s*(?:SRID=\d+;)?\s*([A-Z]+)\s*\(", 1))
     body = F.regexp_extract(text, r"(?is)^\s*(?:SRID=\d+;)?\s*[A-Z]+\s*\((.*)\)\s*$", 1)
+    taken = F.struct(text.alias("text"), tag.alias("tag"), kind.alias("kind"), body.alias("body"))
+    return let(taken, lambda t: _wkt_geometry(t["text"], t["tag"], t["kind"], t["body"], srid))
+
+
+def _wkt_geometry(text: Column, tag: Column, kind: Column, body: Column, srid: int) -> Column:
 
     def numbers(point):
         xy = F.split(F.trim(F.regexp_replace(point, r"[()]", " ")), r"\s+")
@@ -83,6 +89,10 @@ def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
 
 
 def st_as_wkt(g: Column) -> Column:
+    return let(g, _wkt_of)
+
+
+def _wkt_of(g: Column) -> Column:
     def point(v):
         return F.concat_ws(" ", _number_text(v["x"]), _number_text(v["y"]))
 
@@ -107,8 +117,13 @@ def st_as_wkt(g: Column) -> Column:
 # --- GeoJSON columns --------------------------------------------------------------
 
 def st_from_geojson(text: Column, srid: int = DEFAULT_SRID) -> Column:
-    kind = F.upper(F.get_json_object(text, "$.type"))
-    coords = F.get_json_object(text, "$.coordinates")
+    taken = F.struct(
+        text.alias("text"), F.upper(F.get_json_object(text, "$.type")).alias("kind"),
+        F.get_json_object(text, "$.coordinates").alias("coords"))
+    return let(taken, lambda t: _json_geometry(t["text"], t["kind"], t["coords"], srid))
+
+
+def _json_geometry(text: Column, kind: Column, coords: Column, srid: int) -> Column:
 
     def read(depth):
         return F.from_json(coords, "array<" * depth + "double" + ">" * depth)
@@ -136,6 +151,10 @@ def st_from_geojson(text: Column, srid: int = DEFAULT_SRID) -> Column:
 
 
 def st_as_geojson(g: Column) -> Column:
+    return let(g, _json_of)
+
+
+def _json_of(g: Column) -> Column:
     def point(v):
         return F.concat(
             F.lit("["), _number_text(v["x"]), F.lit(","), _number_text(v["y"]), F.lit("]"))

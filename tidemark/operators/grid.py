@@ -70,9 +70,9 @@ def look_up(df: DataFrame, box: Column, levels: Column) -> DataFrame:
 def cover_levels(df: DataFrame, box: Column, levels: Column) -> DataFrame:
     """One row per covered cell, on the own level and on every larger level in use."""
     placed = df.withColumn("_box", box).withColumn("_own", level_of(F.col("_box")))
-    larger = F.filter(levels, lambda v: v > F.col("_own"))
-    reached = F.array_union(F.array(F.col("_own")), F.coalesce(larger, F.array().cast("array<int>")))
-    return _cells_of_box(placed.withColumn("_level", F.explode(reached)))
+    reached = F.array_union(F.array(F.col("_own")), F.coalesce(levels, F.array(F.col("_own"))))
+    tall = placed.withColumn("_level", F.explode(reached))
+    return _cells_of_box(tall.filter(F.col("_level") >= F.col("_own")))
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -19,6 +19,7 @@ from tidemark.functions.geometry import (
     POLYGON,
     RING,
     dimension,
+    let,
     make_geometry,
     set_srid,
     st_area,
@@ -77,7 +78,7 @@ def contains(
     if given is None:
         out = contains_ref(df, ref[0], geom, ref[1])
     else:
-        out = df.filter(st_contains(F.col(geom), given.column))
+        out = df.filter(st_contains(F.col(geom), given.column, kb=given.kind))
     return _tail(out, [], columns, where, order_by, limit)
 
 
@@ -92,7 +93,7 @@ def intersects(
     if given is None:
         out = intersects_ref(df, ref[0], geom, ref[1], points)
     else:
-        out = df.filter(st_intersects(F.col(geom), given.column))
+        out = df.filter(st_intersects(F.col(geom), given.column, kb=given.kind))
     return _tail(out, [], columns, where, order_by, limit)
 
 
@@ -117,14 +118,14 @@ def _dwithin_shape(df, geom, given: Shape, distance, unit, model) -> DataFrame:
     g, fixed = F.col(geom), given.column
     if unit == "srid":
         box = reach(fixed, distance, unit)[0]
-        return df.filter(_box_test(g["bbox"], box) & (st_distance(g, fixed) <= distance))
+        return df.filter(_box_test(g["bbox"], box) & (st_distance(g, fixed, kb=given.kind) <= distance))
     own = geodesic.geodesic_box(g)
     near = F.exists(reach(fixed, distance, unit), lambda box: _box_test(own, box))
+    away = geodesic.sphere_distance(g, fixed, kb=given.kind)
     if model == "sphere":
-        return df.filter(near & (geodesic.sphere_distance(g, fixed) <= distance))
-    close = df.filter(
-        near & (geodesic.sphere_distance(g, fixed) <= distance * (1 + geodesic.SPHERE_SLACK)))
-    test = within_distance_test(unit, distance, model)
+        return df.filter(near & (away <= distance))
+    close = df.filter(near & (away <= distance * (1 + geodesic.SPHERE_SLACK)))
+    test = within_distance_test(unit, distance, model, kb=given.kind)
     return _settle(close, geom).filter(test(g, fixed))
 
 
@@ -143,14 +144,13 @@ def distance(
 ) -> DataFrame:
     """Every row with its ``distance`` to the input."""
     check_distance(0.0, unit, model)
-    fixed = shape(point, wkt, geojson, srid).column
-    g = F.col(geom)
+    given, g = shape(point, wkt, geojson, srid), F.col(geom)
     if unit == "srid":
-        out = df.withColumn("distance", st_distance(g, fixed))
-    elif model == "sphere":
-        out = df.withColumn("distance", geodesic.sphere_distance(g, fixed))
+        out = df.withColumn("distance", st_distance(g, given.column, kb=given.kind))
     else:
-        out = _settle(df, geom).withColumn("distance", geodesic.distance_m(g, fixed, model))
+        rows = df if model == "sphere" else _settle(df, geom)
+        out = rows.withColumn(
+            "distance", geodesic.distance_m(g, given.column, model, kb=given.kind))
     return _tail(out, ["distance"], columns, where, order_by, limit)
 
 
@@ -162,8 +162,8 @@ def nearest(
     """The ``k`` rows nearest on the sphere; every task keeps only its own best ``k``."""
     if isinstance(k, bool) or not isinstance(k, int) or k < 1:
         raise ValueError("k must be a positive integer")
-    fixed = shape(point, wkt, geojson, srid).column
-    away = geodesic.sphere_distance(F.col(geom), fixed)
+    given = shape(point, wkt, geojson, srid)
+    away = geodesic.sphere_distance(F.col(geom), given.column, kb=given.kind)
     out = structured_select(df, where=where)
     out = out.orderBy(away.asc_nulls_last(), *tie_break).limit(k)
     return out.select(*columns) if columns is not None else out
@@ -201,6 +201,10 @@ def centroid(df: DataFrame, geom: str = "geometry", *, columns=None, where=None,
 
 
 def _utm_buffer(g: Column, metres: Column) -> Column:
+    return let(g, lambda geometry: _utm_ring(geometry, metres))
+
+
+def _utm_ring(g: Column, metres: Column) -> Column:
     box = g["bbox"]
     middle_lat = (box["ymin"] + box["ymax"]) / 2
     zone, south = utm_zone((box["xmin"] + box["xmax"]) / 2), middle_lat < 0

@@ -212,7 +212,7 @@ def intersects_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
         cells = grid.cover(small, F.col("_ref")["bbox"])
         return _keep_where_exists(
             _checked_points(df, geom), geom, cells,
-            lambda g, r, box: _box_covers(box, g["bbox"]) & st_intersects(g, r))
+            lambda g, r, box: _box_covers(box, g["bbox"]) & st_intersects(g, r, POINT))
     pairs = meeting_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
                           "g", "g", st_intersects)
     return _keep_geometries(df, geom, pairs)
@@ -224,13 +224,12 @@ def _checked_points(df: DataFrame, geom: str) -> DataFrame:
         F.lit("points=True needs a column of points")).cast("boolean")).otherwise(False))
 
 
-def within_distance_test(unit: str, distance: float, model: str) -> Test:
+def within_distance_test(unit: str, distance: float, model: str, ka: str | None = None,
+                         kb: str | None = None) -> Test:
     """Exact test for ``distance(a, b) <= distance`` in SRID units or metres."""
     if unit == "srid":
-        return lambda a, b: st_distance(a, b) <= distance
-    if model == "sphere":
-        return lambda a, b: sphere_distance(a, b) <= distance
-    return lambda a, b: distance_m(a, b, "spheroid") <= distance
+        return lambda a, b: st_distance(a, b, ka, kb) <= distance
+    return lambda a, b: distance_m(a, b, model, ka, kb) <= distance
 
 
 def reach(g: Column, distance: float, unit: str) -> Column:
@@ -256,8 +255,9 @@ def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
     joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
     if unit == "m" and model == "spheroid":
         # the cheap sphere distance decides most pairs before the numpy kernel runs
-        joined = joined.filter(sphere_distance(ga, gb) <= distance * (1 + SPHERE_SLACK))
-    test = within_distance_test(unit, distance, model)
+        joined = joined.filter(
+            sphere_distance(ga, gb, POINT) <= distance * (1 + SPHERE_SLACK))
+    test = within_distance_test(unit, distance, model, POINT)
     return joined.filter(test(ga, gb)).select("a", "b")
 
 
@@ -270,7 +270,7 @@ def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geo
     if native and grid.fits_broadcast(small):
         near = small.withColumn("_reach", F.explode(reach(F.col("_ref"), distance, unit)))
         cells = grid.cover(near, F.col("_reach")).drop("_reach")
-        test = within_distance_test(unit, distance, model)
+        test = within_distance_test(unit, distance, model, POINT)
         return _keep_where_exists(
             _checked_points(df, geom), geom, cells,
             lambda g, r, box: _box_covers(box, g["bbox"]) & test(g, r))

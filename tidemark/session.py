@@ -59,4 +59,4 @@ def estimated_bytes(df: DataFrame) -> int:
     against a limit fails safe.
     """
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
