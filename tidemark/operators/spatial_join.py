@@ -162,7 +162,8 @@ def _keep_where_exists(df: DataFrame, geom: str, cells: DataFrame, test: Test) -
     The row is looked up by the lower left corner of its box, so the cells must cover
     every place where that corner can be.
     """
-    g = F.col(geom).outer()
+    # a name that the cells do not have, so that it can only mean the outer row
+    g = F.col("_probe").outer()
     found = F.lit(False)
     for level in _levels_now(cells):
         probe = (
@@ -172,7 +173,7 @@ def _keep_where_exists(df: DataFrame, geom: str, cells: DataFrame, test: Test) -
             & test(g, F.col("_ref"), F.col("_box"))
         )
         found = found | F.broadcast(cells).where(probe).exists()
-    return df.filter(found)
+    return df.withColumn("_probe", F.col(geom)).filter(found).drop("_probe")
 
 
 def _keep_geometries(df: DataFrame, geom: str, matched: DataFrame) -> DataFrame:

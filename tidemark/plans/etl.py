@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from tidemark.functions.timebucket import EPOCH, micros_of
 from tidemark.operators import rows
 from tidemark.operators.filters import newer_than
 from tidemark.plans.runlog import EtlError, RunLog, encode_mark, utc_now
-from tidemark.sources.tables import Tables, quoted
+from tidemark.sources.tables import Tables, Watch, quoted
 
 LOAD_MODES = ("append", "replace", "upsert")
 Step = Callable[[DataFrame], DataFrame]
@@ -133,18 +133,16 @@ class Etl:
         return df.limit(pipeline.extract_limit) if pipeline.extract_limit else df
 
     @staticmethod
-    def _watch(df: DataFrame, column: str | None) -> tuple[DataFrame, Observation]:
-        seen = Observation()
-        measures = [F.count(F.lit(1)).alias("n")]
+    def _watch(df: DataFrame, column: str | None) -> Watch:
+        measures = {"n": F.count(F.lit(1))}
         if column is not None:
             is_time = isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType))
-            value = micros_of(F.col(column)) if is_time else F.col(column)
-            measures.append(F.max(value).alias("mark"))
-        return df.observe(seen, *measures), seen
+            measures["mark"] = F.max(micros_of(F.col(column)) if is_time else F.col(column))
+        return Watch(df, **measures)
 
     @staticmethod
-    def _mark_of(seen: Observation, field: T.StructField | None) -> Any:
-        if field is None or (value := seen.get.get("mark")) is None:
+    def _mark_of(value: Any, field: T.StructField | None) -> Any:
+        if field is None or value is None:
             return None
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             moment = EPOCH + dt.timedelta(microseconds=value)
@@ -181,18 +179,17 @@ class Etl:
     def _plan(self, pipeline: Pipeline, mark: Any):
         raw = self.extract(pipeline, mark)
         column = pipeline.incremental_column
-        watched, seen_raw = self._watch(raw, column)
-        changed = rows.nan_to_null(transformed(watched, pipeline.steps))
-        seen_out = Observation()
-        ready = changed.observe(seen_out, F.count(F.lit(1)).alias("n"))
-        return ready, seen_raw, seen_out, raw.schema[column] if column else None
+        before = self._watch(raw, column)
+        after = Watch(rows.nan_to_null(transformed(before.df, pipeline.steps)))
+        return before, after, raw.schema[column] if column else None
 
     def _load(self, pipeline: Pipeline) -> dict:
         mark = self.log.last_mark(pipeline.name) if pipeline.incremental_column else None
         target, mode = pipeline.target, pipeline.load_mode
         if mode != "replace" and not self.tables.exists(target):
             raise EtlError(f"target table does not exist: {target}")
-        ready, seen_raw, seen_out, field = self._plan(pipeline, mark)
+        before, after, field = self._plan(pipeline, mark)
+        ready = after.df
         if mode == "append":
             aligned = rows.align(ready, self.tables.read(target).schema)
             aligned.write.insertInto(quoted(target))
@@ -207,21 +204,21 @@ class Etl:
                     self.tables.read(target), ready, list(pipeline.conflict_columns))
             path = self.tables.stage(result, target)
             # an empty batch leaves the target as it is, even for replace
-            if seen_out.get["n"]:
+            if after.n:
                 self.tables.point_at(target, path, result)
-        loaded = seen_out.get["n"] or 0
-        return {"extracted": seen_raw.get["n"] or 0, "transformed": loaded, "loaded": loaded,
-                "used": mark, "recorded": self._mark_of(seen_raw, field)}
+        raw, loaded = before.get(), after.n
+        return {"extracted": raw["n"] or 0, "transformed": loaded, "loaded": loaded,
+                "used": mark, "recorded": self._mark_of(raw.get("mark"), field)}
 
     def _dry_run(self, pipeline: Pipeline) -> RunResult:
         started = utc_now()
         mark = None
         if pipeline.incremental_column and self.tables.exists(self.log.table):
             mark = self.log.last_mark(pipeline.name)
-        ready, seen_raw, seen_out, _ = self._plan(pipeline, mark)
-        ready.write.format("noop").mode("overwrite").save()
+        before, after, _ = self._plan(pipeline, mark)
+        after.df.write.format("noop").mode("overwrite").save()
         return RunResult(
-            pipeline.name, "dry_run", None, seen_raw.get["n"] or 0, seen_out.get["n"] or 0, 0,
+            pipeline.name, "dry_run", None, before.n, after.n, 0,
             started, utc_now(), watermark_used=mark)
 
     def history(self, name: str, limit: int = 100) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names
-from tidemark.sources.tables import observed, quoted
+from tidemark.sources.tables import Watch, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
@@ -138,9 +138,9 @@ class ChunkedTable:
         """
         placed = self._place(df)
         parts = self._partition_columns(placed)
-        watched, seen = observed(placed)
-        watched.hint("rebalance", *[F.col(c) for c in parts]).write.insertInto(quoted(self.name))
-        return seen.get["n"]
+        watch = Watch(placed)
+        watch.df.hint("rebalance", *[F.col(c) for c in parts]).write.insertInto(quoted(self.name))
+        return watch.n
 
     # --- reading ------------------------------------------------------------------
 
@@ -221,12 +221,11 @@ class ChunkedTable:
         touched = table.join(placed.select(*parts).distinct(), parts, "left_semi")
         merged = rows.upsert(touched.select(*table.columns), placed, [*keys, *parts],
                              mark="_changed", **options)
-        seen = Observation()
-        watched = merged.observe(seen, F.sum(F.col("_changed").cast("long")).alias("n"))
-        watched.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]).write.option(
+        watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
+        watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]).write.option(
             "partitionOverwriteMode", "dynamic").insertInto(quoted(self.name), overwrite=True)
         self.spark.catalog.refreshTable(self.name)
-        return seen.get["n"] or 0
+        return watch.n
 
 
 def _sort_key(text: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.sources.tables import Tables, observed
+from tidemark.sources.tables import Tables, Watch
 
 
 def _options(delimiter: str, header: bool, null_string: str, encoding: str) -> dict:
@@ -24,11 +24,11 @@ def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None,
                encoding: str = "UTF-8") -> int:
     """Write a folder of CSV files in parallel; returns the row count."""
     out = df.select(*columns) if columns else df
-    watched, seen = observed(out)
+    watch = Watch(out)
     empty = {"emptyValue": '""'}
-    watched.write.mode("errorifexists").options(
+    watch.df.write.mode("errorifexists").options(
         **_options(delimiter, header, null_string, encoding), **empty).csv(path)
-    return seen.get["n"]
+    return watch.n
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimiter: str = ",",

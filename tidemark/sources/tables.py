@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,10 @@ def quoted(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
 
+def _shape(df: DataFrame) -> list[tuple]:
+    return [(f.name, f.dataType) for f in df.schema.fields]
+
+
 class Tables:
     """Tables whose files live under ``root``, a folder that the whole cluster can reach."""
 
@@ -69,28 +74,20 @@ class Tables:
 
     def publish(self, df: DataFrame, name: str, layout: Iterable[str] = ()) -> int:
         """Replace the table's rows (creating the table); returns the row count."""
-        watched, seen = observed(df)
-        if self.exists(name):
-            current = self.read(name).schema
-            if [(f.name, f.dataType) for f in current] != [
-                    (f.name, f.dataType) for f in df.schema]:
-                self._replace_schema(watched, name, layout)
-                return seen.get["n"]
-        self.point_at(name, self.stage(watched, name, layout), df)
-        return seen.get["n"]
-
-    def _replace_schema(self, df: DataFrame, name: str, layout: Iterable[str]) -> None:
-        path = self.stage(df, name, layout)
-        self.spark.sql(f"DROP TABLE {quoted(name)}")
+        watch = Watch(df)
+        path = self.stage(watch.df, name, layout)
+        if self.exists(name) and _shape(self.read(name)) != _shape(df):
+            self.spark.sql(f"DROP TABLE {quoted(name)}")
         self.point_at(name, path, df)
+        return watch.n
 
     def append(self, df: DataFrame, name: str) -> int:
         """Add rows, aligned to the table's columns; returns the row count."""
         aligned = rows.align(df, self.read(name).schema)
-        watched, seen = observed(aligned)
-        watched.write.insertInto(quoted(name))
+        watch = Watch(aligned)
+        watch.df.write.insertInto(quoted(name))
         self.spark.catalog.refreshTable(name)
-        return seen.get["n"]
+        return watch.n
 
     def write(
         self,
@@ -114,14 +111,14 @@ class Tables:
             return self.append(df, name)
         if if_exists == "fail" and self.exists(name):
             raise ValueError(f"table already exists: {name}")
-        watched, seen = observed(df)
-        path = self.stage(watched, name)
+        watch = Watch(df)
+        path = self.stage(watch.df, name)
         if primary_key is not None:
             self._check_key(self.spark.read.schema(df.schema).parquet(path), primary_key)
         if self.exists(name):
             self.spark.sql(f"DROP TABLE {quoted(name)}")
         self.point_at(name, path, df)
-        return seen.get["n"]
+        return watch.n
 
     @staticmethod
     def _check_key(df: DataFrame, key: str | Iterable[str]) -> None:
@@ -137,11 +134,10 @@ class Tables:
                update: Iterable[str] | None = None, **options) -> int:
         """Merge the batch into the table; returns the inserted and updated rows."""
         merged = rows.upsert(self.read(name), batch, keys, update, mark="_changed", **options)
-        seen = Observation()
-        watched = merged.observe(
-            seen, F.sum(F.col("_changed").cast("long")).alias("n")).drop("_changed")
-        self.point_at(name, self.stage(watched, name), watched)
-        return seen.get["n"] or 0
+        watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
+        rewritten = watch.df.drop("_changed")
+        self.point_at(name, self.stage(rewritten, name), rewritten)
+        return watch.n
 
     def delete(self, name: str, where: Mapping[str, Any] | Column | str) -> int:
         """Delete matching rows; returns how many."""
@@ -156,19 +152,36 @@ class Tables:
     def _rewrite(self, name: str, where, change) -> int:
         current = self.read(name)
         hit = rows._condition(current, where)
-        seen = Observation()
-        marked = current.withColumn("_hit", hit).observe(
-            seen, F.sum(F.col("_hit").cast("long")).alias("n"))
-        changed = change(marked, F.col("_hit")).drop("_hit")
+        watch = Watch(current.withColumn("_hit", hit), n=F.sum(F.col("_hit").cast("long")))
+        changed = change(watch.df, F.col("_hit")).drop("_hit")
         self.point_at(name, self.stage(changed, name), changed)
-        return seen.get["n"] or 0
+        return watch.n
 
     def truncate(self, name: str) -> None:
         empty = rows.truncate(self.read(name))
         self.point_at(name, self.stage(empty, name), empty)
 
 
-def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame and its row count, taken while the rows are written."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+class Watch:
+    """Measures of a frame, taken while its rows are written.
+
+    ``df`` is the frame to write.  When nothing reaches the observing step, adaptive
+    execution may drop it; the measures are then computed by a query of their own.
+    """
+
+    def __init__(self, df: DataFrame, **measures: Column):
+        self.plain = df
+        self.columns = [c.alias(n) for n, c in (measures or {"n": F.count(F.lit(1))}).items()]
+        self.seen = Observation()
+        self.df = df.observe(self.seen, *self.columns)
+
+    def get(self) -> dict[str, Any]:
+        try:
+            found = self.seen.get
+        except Py4JJavaError:
+            found = {}
+        return found or self.plain.agg(*self.columns).first().asDict()
+
+    @property
+    def n(self) -> int:
+        return self.get()["n"] or 0
