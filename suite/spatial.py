@@ -65,7 +65,7 @@ ON x > x0 AND x < x0 + 72.0 AND y > y0 AND y < y0 + 34.0""")
 def spatial_within_join(spark, sf_dir):
     """Sites strictly inside zones."""
     return spatial_join.within_join(sites(spark, sf_dir), zones(spark, sf_dir),
-                                    columns=["a.c_custkey", "b.n_nationkey"])
+                                    columns=["a.c_custkey", "b.n_nationkey"], points=True)
 
 
 @query(f"""
@@ -91,7 +91,7 @@ SELECT c_custkey FROM sites WHERE EXISTS (SELECT 1 FROM zones WHERE {SQL_IN_TRIA
 def contains_ref(spark, sf_dir):
     """Sites that some triangle contains."""
     return spatial.contains(sites(spark, sf_dir), ref=(triangles(spark, sf_dir), "geometry"),
-                            columns=["c_custkey"])
+                            points=True, columns=["c_custkey"])
 
 
 @query(f"""
@@ -180,7 +180,7 @@ def zone_stats(spark, sf_dir):
     stats = spatial_join.zone_stats(
         triangles(spark, sf_dir), sites(spark, sf_dir), "n_nationkey",
         {"n_sites": F.count(F.lit(1)), "balance": exact_sum(F.col("b.c_acctbal"))},
-        counts=["n_sites"])
+        counts=["n_sites"], points=True)
     return stats.select("n_nationkey", "n_name", "n_sites", "balance")
 
 

@@ -39,10 +39,15 @@ def cell_at(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level)).cast("long")
 
 
-def cover(df: DataFrame, box: Column) -> DataFrame:
-    """One row per cell that a geometry's box covers on its own level."""
-    placed = df.withColumn("_box", box).withColumn("_level", level_of(F.col("_box")))
-    return _cells_of_box(placed)
+def cover(df: DataFrame, box: Column, band: int = 1) -> DataFrame:
+    """One row per cell that a geometry's box covers on its own level.
+
+    With ``band``, levels are rounded up to a multiple of it: fewer levels, larger cells.
+    """
+    level = level_of(F.col("_box"))
+    if band > 1:
+        level = (F.ceil(level / band) * band).cast("int")
+    return _cells_of_box(df.withColumn("_box", box).withColumn("_level", level))
 
 
 def _cells_of_box(df: DataFrame) -> DataFrame:

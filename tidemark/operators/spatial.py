@@ -70,13 +70,13 @@ def _form(ref, srid: int, **forms) -> Shape | None:
 def contains(
     df: DataFrame, geom: str = "geometry", *, point=None, wkt: str | None = None,
     geojson: Mapping | None = None, ref: tuple[DataFrame, str] | None = None,
-    srid: int = DEFAULT_SRID, columns: Iterable[str] | None = None, where=None, order_by=None,
-    limit: int | None = None,
+    srid: int = DEFAULT_SRID, points: bool = False, columns: Iterable[str] | None = None,
+    where=None, order_by=None, limit: int | None = None,
 ) -> DataFrame:
     """Rows whose geometry contains the input; with ``ref``, rows that some ref contains."""
     given = _form(ref, srid, point=point, wkt=wkt, geojson=geojson)
     if given is None:
-        out = contains_ref(df, ref[0], geom, ref[1])
+        out = contains_ref(df, ref[0], geom, ref[1], points)
     else:
         out = df.filter(st_contains(F.col(geom), given.column, kb=given.kind))
     return _tail(out, [], columns, where, order_by, limit)

@@ -119,12 +119,17 @@ def within_join(
     right_geom: str = "geometry",
     columns: Iterable[str | Column] | None = None,
     where: Column | str | None = None,
+    points: bool = False,
 ) -> DataFrame:
     """Rows of ``left`` within rows of ``right``; all columns of both, or ``columns``.
 
     ``columns`` and ``where`` address the sides as ``a`` and ``b``, e.g. ``"a.id"``.
+    ``points=True`` promises that ``left`` holds points only (checked per row), which
+    makes for a much smaller test.
     """
-    pairs = covered_pairs(left, right, left_geom, right_geom, lambda a, b: st_contains(b, a))
+    left, kind = _points_or_any(left, left_geom, points)
+    pairs = covered_pairs(
+        left, right, left_geom, right_geom, lambda a, b: st_contains(b, a, kb=kind))
     if where is not None:
         pairs = pairs.filter(where if isinstance(where, Column) else F.expr(f"({where})"))
     return _select(pairs, columns)
@@ -151,29 +156,40 @@ def overlap_pairs(
 
 # --- semi-joins -------------------------------------------------------------------
 
+# Levels are merged four at a time for probing, so that geometries whose sizes differ by
+# less than 16 times need a single probe.
+PROBE_BAND = 4
+
+
 def _levels_now(cells: DataFrame) -> list[int]:
-    """Levels of a frame whose size was checked before; at most 61 numbers."""
+    """Levels of a frame whose size was checked before; at most 16 numbers."""
     return sorted(row["_level"] for row in cells.select("_level").distinct().collect())
 
 
-def _keep_where_exists(df: DataFrame, geom: str, cells: DataFrame, test: Test) -> DataFrame:
-    """Rows with a match among broadcast cells: one probe per level, no shuffle of ``df``.
+def _keep_where_exists(df: DataFrame, geom: str, ref: DataFrame, boxes: Column,
+                       test: Test) -> DataFrame:
+    """Rows with a match in a small ``ref``: a broadcast probe, no shuffle of ``df``.
 
-    The row is looked up by the lower left corner of its box, so the cells must cover
-    every place where that corner can be.
+    The row is looked up by the lower left corner of its box, so ``boxes`` must hold
+    every place where that corner can be.  Each further level probes the rows that have
+    not matched yet, so no row is kept twice.
     """
-    # a name that the cells do not have, so that it can only mean the outer row
-    g = F.col("_probe").outer()
-    found = F.lit(False)
-    for level in _levels_now(cells):
+    g = F.col(geom)
+    cells = grid.cover(ref, boxes, PROBE_BAND)
+    levels = _levels_now(cells)
+    found, rest = None, df
+    for level in levels:
+        here = F.broadcast(cells.filter(F.col("_level") == level).drop("_level"))
         probe = (
-            (F.col("_level") == level)
-            & (F.col("_cx") == grid.cell_at(g["bbox"]["xmin"], F.lit(level)))
+            (F.col("_cx") == grid.cell_at(g["bbox"]["xmin"], F.lit(level)))
             & (F.col("_cy") == grid.cell_at(g["bbox"]["ymin"], F.lit(level)))
-            & test(g, F.col("_ref"), F.col("_box"))
+            & _box_covers(F.col("_box"), g["bbox"]) & test(g, F.col("_ref"))
         )
-        found = found | F.broadcast(cells).where(probe).exists()
-    return df.withColumn("_probe", F.col(geom)).filter(found).drop("_probe")
+        hit = rest.join(here, probe, "left_semi")
+        found = hit if found is None else found.unionByName(hit)
+        if level != levels[-1]:
+            rest = rest.join(here, probe, "left_anti")
+    return df.limit(0) if found is None else found
 
 
 def _keep_geometries(df: DataFrame, geom: str, matched: DataFrame) -> DataFrame:
@@ -188,16 +204,18 @@ def _geometries(df: DataFrame, geom: str, name: str) -> DataFrame:
 
 
 def contains_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
-                 ref_geom: str = "geometry") -> DataFrame:
+                 ref_geom: str = "geometry", points: bool = False) -> DataFrame:
     """Rows of ``df`` that some geometry of ``ref`` contains."""
+    df, kind = _points_or_any(df, geom, points)
     small = ref.select(F.col(ref_geom).alias("_ref"))
+
+    def test(g, r):
+        return st_contains(r, g, kb=kind)
+
     if grid.fits_broadcast(small):
-        cells = grid.cover(small, F.col("_ref")["bbox"])
-        return _keep_where_exists(
-            df, geom, cells,
-            lambda g, r, box: _box_covers(box, g["bbox"]) & st_contains(r, g))
-    pairs = covered_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
-                          "g", "g", lambda a, b: st_contains(b, a))
+        return _keep_where_exists(df, geom, small, F.col("_ref")["bbox"], test)
+    pairs = covered_pairs(
+        _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
     return _keep_geometries(df, geom, pairs)
 
 
@@ -208,17 +226,23 @@ def intersects_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
     ``points=True`` promises that ``df`` holds points only (checked per row); a small
     ``ref`` is then probed without shuffling ``df``.
     """
+    df, kind = _points_or_any(df, geom, points)
     small = ref.select(F.col(ref_geom).alias("_ref"))
+
+    def test(g, r):
+        return st_intersects(g, r, kind)
+
     if points and grid.fits_broadcast(small):
-        cells = grid.cover(small, F.col("_ref")["bbox"])
-        return _keep_where_exists(
-            _checked_points(df, geom), geom, cells,
-            lambda g, r, box: _box_covers(box, g["bbox"]) & st_intersects(g, r, POINT))
-    pairs = meeting_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
-                          "g", "g", st_intersects)
+        return _keep_where_exists(df, geom, small, F.col("_ref")["bbox"], test)
+    pairs = meeting_pairs(
+        _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
     return _keep_geometries(df, geom, pairs)
 
 
+def _points_or_any(df: DataFrame, geom: str, points: bool) -> tuple[DataFrame, str | None]:
+    return (_checked_points(df, geom), POINT) if points else (df, None)
+
+
 def _checked_points(df: DataFrame, geom: str) -> DataFrame:
     g = F.col(geom)
     return df.filter(F.when(g["kind"] == POINT, True).when(g.isNotNull(), F.raise_error(
@@ -270,11 +294,9 @@ def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geo
     native = unit == "srid" or model == "sphere"
     if native and grid.fits_broadcast(small):
         near = small.withColumn("_reach", F.explode(reach(F.col("_ref"), distance, unit)))
-        cells = grid.cover(near, F.col("_reach")).drop("_reach")
         test = within_distance_test(unit, distance, model, POINT)
         return _keep_where_exists(
-            _checked_points(df, geom), geom, cells,
-            lambda g, r, box: _box_covers(box, g["bbox"]) & test(g, r))
+            _checked_points(df, geom), geom, near, F.col("_reach"), test)
     pairs = dwithin_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
                           distance, "g", "g", unit, model)
     return _keep_geometries(df, geom, pairs)
@@ -298,6 +320,7 @@ def zone_stats(
     zone_geom: str = "geometry",
     item_geom: str = "geometry",
     counts: Iterable[str] = (),
+    points: bool = False,
 ) -> DataFrame:
     """Aggregates of the items within each zone; zones without items are kept.
 
@@ -305,7 +328,9 @@ def zone_stats(
     empty zone.
     """
     key = names(key)
-    pairs = covered_pairs(items, zones, item_geom, zone_geom, lambda a, b: st_contains(b, a))
+    items, kind = _points_or_any(items, item_geom, points)
+    pairs = covered_pairs(
+        items, zones, item_geom, zone_geom, lambda a, b: st_contains(b, a, kb=kind))
     renamed = pairs.select(F.col("b").alias("z"), F.col("a").alias("b"))
     grouped = renamed.groupBy(*[F.col("z")[k].alias(k) for k in key]).agg(*named(aggregates))
     kept = zones.drop(zone_geom).join(grouped, key, "left")

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # capturing a call site for every column makes large expressions slow to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
