@@ -416,7 +416,7 @@ def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = No
          lambda: locate(segments(a), vb["x"], vb["y"]) == 1),
         (both(area, points_b), area_points),
         (both(area, line_b), area_line),
-        (area, area_area),
+        (both(area, of_kind(b, kb, POLYGON, MULTIPOLYGON)), area_area),
         (both(line, points_b), line_points),
         (both(line, line_b), lambda: F.raise_error(
             F.lit("contains of two lines is not supported")).cast("boolean")),

@@ -39,21 +39,38 @@ def cell_at(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level)).cast("long")
 
 
+SIDES = ("xmin", "ymin", "xmax", "ymax")
+
+
+def placed(df: DataFrame, box: Column) -> DataFrame:
+    """Add the box as four plain columns ``_xmin`` to ``_ymax``.
+
+    Plain columns keep fields of nested columns out of the steps that follow, where
+    Spark 4.1's nested column pruning can lose them.
+    """
+    return df.select("*", *[box[c].alias(f"_{c}") for c in SIDES])
+
+
+def box_of(prefix: str = "_") -> Column:
+    """The four plain columns as a box again."""
+    return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in SIDES])
+
+
 def cover(df: DataFrame, box: Column, band: int = 1) -> DataFrame:
     """One row per cell that a geometry's box covers on its own level.
 
     With ``band``, levels are rounded up to a multiple of it: fewer levels, larger cells.
     """
-    level = level_of(F.col("_box"))
+    level = level_of(box_of())
     if band > 1:
         level = (F.ceil(level / band) * band).cast("int")
-    return _cells_of_box(df.withColumn("_box", box).withColumn("_level", level))
+    return _cells_of_box(placed(df, box).withColumn("_level", level))
 
 
 def _cells_of_box(df: DataFrame) -> DataFrame:
-    box, level = F.col("_box"), F.col("_level")
-    across = F.sequence(cell_at(box["xmin"], level), cell_at(box["xmax"], level))
-    up = F.sequence(cell_at(box["ymin"], level), cell_at(box["ymax"], level))
+    level = F.col("_level")
+    across = F.sequence(cell_at(F.col("_xmin"), level), cell_at(F.col("_xmax"), level))
+    up = F.sequence(cell_at(F.col("_ymin"), level), cell_at(F.col("_ymax"), level))
     return df.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
 
 
@@ -64,19 +81,18 @@ def levels_in_use(df: DataFrame, box: Column) -> Column:
 
 def look_up(df: DataFrame, box: Column, levels: Column) -> DataFrame:
     """One row per level in use: the cell of the box's lower left corner."""
-    placed = df.withColumn("_box", box).withColumn("_level", F.explode(levels))
-    corner = F.col("_box")
-    return placed.withColumns({
-        "_cx": cell_at(corner["xmin"], F.col("_level")),
-        "_cy": cell_at(corner["ymin"], F.col("_level")),
+    tall = placed(df, box).withColumn("_level", F.explode(levels))
+    return tall.withColumns({
+        "_cx": cell_at(F.col("_xmin"), F.col("_level")),
+        "_cy": cell_at(F.col("_ymin"), F.col("_level")),
     })
 
 
 def cover_levels(df: DataFrame, box: Column, levels: Column) -> DataFrame:
     """One row per covered cell, on the own level and on every larger level in use."""
-    placed = df.withColumn("_box", box).withColumn("_own", level_of(F.col("_box")))
+    own = placed(df, box).withColumn("_own", level_of(box_of()))
     reached = F.array_union(F.array(F.col("_own")), F.coalesce(levels, F.array(F.col("_own"))))
-    tall = placed.withColumn("_level", F.explode(reached))
+    tall = own.withColumn("_level", F.explode(reached))
     return _cells_of_box(tall.filter(F.col("_level") >= F.col("_own")))
 
 

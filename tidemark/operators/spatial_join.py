@@ -59,8 +59,7 @@ def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: b
     else:
         left, right = grid.salt_hot_cells(left, right)
         keys.append("_salt")
-    left = left.withColumnRenamed("_box", "_box_a")
-    right = right.withColumnRenamed("_box", "_box_b")
+    right = right.withColumnsRenamed({f"_{c}": f"_b_{c}" for c in grid.SIDES})
     on = extra
     for k in keys:
         right = right.withColumnRenamed(k, f"{k}_b")
@@ -77,7 +76,7 @@ def covered_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     a, b, ga, gb = _sides(left, right, left_geom, right_geom)
     looked_up = grid.look_up(a, ga["bbox"], grid.levels_in_use(b, gb["bbox"]))
     covered = grid.cover(b, gb["bbox"])
-    boxes = _box_covers(F.col("_box_b"), F.col("_box_a"))
+    boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
     joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
     return joined.filter(test(ga, gb)).select("a", "b")
 
@@ -93,7 +92,7 @@ def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     cells_a = grid.cover_levels(a, ga["bbox"], grid.levels_in_use(b, gb["bbox"]))
     cells_b = grid.cover_levels(b, gb["bbox"], grid.levels_in_use(a, ga["bbox"]))
     cells_b = cells_b.withColumnRenamed("_own", "_own_b")
-    box_a, box_b, level = F.col("_box_a"), F.col("_box_b"), F.col("_level")
+    box_a, box_b, level = grid.box_of(), grid.box_of("_b_"), F.col("_level")
     once = (
         (level == F.greatest("_own", "_own_b"))
         & (grid.cell_at(F.greatest(box_a["xmin"], box_b["xmin"]), level) == F.col("_cx"))
@@ -166,6 +165,26 @@ def _levels_now(cells: DataFrame) -> list[int]:
     return sorted(row["_level"] for row in cells.select("_level").distinct().collect())
 
 
+def _flat(ref: DataFrame, boxes: Column) -> DataFrame:
+    """Reference geometry as plain columns, next to its boxes.
+
+    A semi-join condition on fields of nested columns does not survive nested column
+    pruning in Spark 4.1.
+    """
+    g = F.col("_ref")
+    return ref.select(
+        g["kind"].alias("_ref_kind"), g["srid"].alias("_ref_srid"),
+        g["parts"].alias("_ref_parts"),
+        *[g["bbox"][c].alias(f"_ref_{c}") for c in grid.SIDES],
+        *[boxes[c].alias(f"_reach_{c}") for c in grid.SIDES])
+
+
+def _flat_geometry() -> Column:
+    return F.struct(
+        F.col("_ref_kind").alias("kind"), F.col("_ref_srid").alias("srid"),
+        F.col("_ref_parts").alias("parts"), grid.box_of("_ref_").alias("bbox"))
+
+
 def _keep_where_exists(df: DataFrame, geom: str, ref: DataFrame, boxes: Column,
                        test: Test) -> DataFrame:
     """Rows with a match in a small ``ref``: a broadcast probe, no shuffle of ``df``.
@@ -175,7 +194,7 @@ def _keep_where_exists(df: DataFrame, geom: str, ref: DataFrame, boxes: Column,
     not matched yet, so no row is kept twice.
     """
     g = F.col(geom)
-    cells = grid.cover(ref, boxes, PROBE_BAND)
+    cells = grid.cover(_flat(ref, boxes), grid.box_of("_reach_"), PROBE_BAND)
     levels = _levels_now(cells)
     found, rest = None, df
     for level in levels:
@@ -183,7 +202,7 @@ def _keep_where_exists(df: DataFrame, geom: str, ref: DataFrame, boxes: Column,
         probe = (
             (F.col("_cx") == grid.cell_at(g["bbox"]["xmin"], F.lit(level)))
             & (F.col("_cy") == grid.cell_at(g["bbox"]["ymin"], F.lit(level)))
-            & _box_covers(F.col("_box"), g["bbox"]) & test(g, F.col("_ref"))
+            & _box_covers(grid.box_of(), g["bbox"]) & test(g, _flat_geometry())
         )
         hit = rest.join(here, probe, "left_semi")
         found = hit if found is None else found.unionByName(hit)
@@ -276,7 +295,7 @@ def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
     near = b.withColumn("_reach", F.explode(reach(gb, distance, unit)))
     looked_up = grid.look_up(a, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
     covered = grid.cover(near, F.col("_reach")).drop("_reach")
-    boxes = _box_covers(F.col("_box_b"), F.col("_box_a"))
+    boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
     joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
     if unit == "m" and model == "spheroid":
         # the cheap sphere distance decides most pairs before the numpy kernel runs
