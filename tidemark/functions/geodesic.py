@@ -408,7 +408,11 @@ def edge_areas(lon1, lat1, lon2, lat2):
             1 + (1 - WGS84_F) * np.sqrt(1 + k2 * np.sin(s)**2))
         area += weight * half * rate * _strip(sin_lat)
         span += weight * half * rate
-    return area, span
+    # an edge that ends at a pole turns there to the longitude it is given
+    pole = np.where(np.abs(lat1) > 90 - 1e-9, lat1, np.where(np.abs(lat2) > 90 - 1e-9, lat2, 0.0))
+    whole = np.radians((np.asarray(lon2) - lon1 + 180.0) % 360.0 - 180.0)
+    turned = np.where(pole != 0, whole - span, 0.0)
+    return area + turned * _strip(np.sign(pole) * 1.0), span + turned
 
 
 def _edge_columns(edges: pa.Array):

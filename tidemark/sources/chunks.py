@@ -161,13 +161,17 @@ class ChunkedTable:
         """The catalog's partition list, one row per partition, without opening data."""
         return self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)}")
 
-    def _chunk_starts(self, older_than, newer_than, now) -> list[dt.datetime]:
+    def _chunks(self, older_than, newer_than, now) -> list:
+        """``(chunk start, partition path)`` of the chunks within the bounds, oldest first.
+
+        The list comes from the catalog and has an entry per partition, not per row.
+        """
         ctype = self.spark.table(quoted(self.name)).schema[CHUNK].dataType
-        listed = self._partitions().select(F.url_decode(F.regexp_extract(
-            "partition", f"{CHUNK}=([^/]+)", 1)).cast(ctype).alias(CHUNK)).distinct()
+        listed = self._partitions().select("partition", F.url_decode(F.regexp_extract(
+            "partition", f"{CHUNK}=([^/]+)", 1)).cast(ctype).alias(CHUNK))
         keep = _bounds(self.width, age_bound(older_than, now), age_bound(newer_than, now), ctype)
-        # the list has one entry per chunk of the table, not per row
-        return [r[CHUNK] for r in listed.filter(keep).orderBy(CHUNK).collect()]
+        found = listed.filter(keep).orderBy(CHUNK, "partition").collect()
+        return [(r[CHUNK], r["partition"]) for r in found]
 
     def drop_chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None,
                     dry_run: bool = False) -> list[dt.datetime]:
@@ -178,13 +182,12 @@ class ChunkedTable:
         """
         if older_than is None and newer_than is None:
             raise ValueError("give older_than, newer_than or both")
-        starts = self._chunk_starts(older_than, newer_than, now)
-        if starts and not dry_run:
+        found = self._chunks(older_than, newer_than, now)
+        if found and not dry_run:
             kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType.simpleString()
-            specs = ", ".join(
-                f"PARTITION ({CHUNK} = {kind} '{s.isoformat(sep=' ')}')" for s in starts)
+            specs = ", ".join(_partition_spec(start, path, kind) for start, path in found)
             self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
-        return starts
+        return sorted({start for start, _ in found})
 
     def retain(self, drop_after: str, now: dt.datetime | None = None,
                dry_run: bool = False) -> list[dt.datetime]:
@@ -195,7 +198,7 @@ class ChunkedTable:
     def compact(self, segment_by: str | Iterable[str] = (), order_by: str | Iterable[str] = (),
                 older_than=None, now: dt.datetime | None = None) -> list[dt.datetime]:
         """Rewrite old chunks sorted and compressed; returns the chunks rewritten."""
-        starts = self._chunk_starts(older_than, None, now)
+        starts = sorted({start for start, _ in self._chunks(older_than, None, now)})
         if not starts:
             return starts
         table = self.spark.table(quoted(self.name))
@@ -228,6 +231,16 @@ class ChunkedTable:
         return watch.n
 
 
+def _partition_spec(start: dt.datetime, path: str, kind: str) -> str:
+    """Full partition spec of a catalog entry such as ``chunk_start=…/dim_bucket=3``."""
+    spec = f"{CHUNK} = {kind} '{start.isoformat(sep=' ')}'"
+    for part in path.split("/"):
+        column, _, value = part.partition("=")
+        if column == DIMENSION:
+            spec += f", {DIMENSION} = {int(value)}"
+    return f"PARTITION ({spec})"
+
+
 def _sort_key(text: str) -> Column:
     parts = text.split()
     down = len(parts) == 2 and parts[1].upper() == "DESC"

@@ -15,6 +15,7 @@ def _options(delimiter: str, header: bool, null_string: str, encoding: str) -> d
         raise ValueError("delimiter must be one character")
     return {"sep": delimiter, "header": header, "nullValue": null_string, "encoding": encoding,
             "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
             "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
 
@@ -39,8 +40,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimit
     Quoted line breaks make a file one task, so exports are written as many files.
     ``multi_line=False`` lets Spark split large files that hold no quoted line breaks.
     """
+    # with NULL written as nothing, only an unquoted empty field is NULL: a value that
+    # cannot occur keeps the quoted one from being taken for NULL as well
+    absent = null_string or "\u0001"
     return spark.read.schema(schema).options(
-        **_options(delimiter, header, null_string, encoding), mode="FAILFAST",
+        **_options(delimiter, header, absent, encoding), mode="FAILFAST",
         emptyValue="", multiLine=multi_line).csv(path)
 
 
