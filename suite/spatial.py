@@ -74,15 +74,9 @@ SELECT c_custkey, s_suppkey FROM sites s JOIN yards b
 ON s.x > b.x AND s.x < b.x1 AND s.y > b.y AND s.y < b.y1""")
 def spatial_within_join_shuffled(spark, sf_dir):
     """Sites in yards with both sides shuffled on cells, crowded cells salted."""
-    from tidemark.operators import grid
-
-    limit, hot = grid.BROADCAST_BYTES, grid.HOT_ROWS
-    grid.BROADCAST_BYTES, grid.HOT_ROWS = 0, 50
-    try:
-        return spatial_join.within_join(sites(spark, sf_dir), yards(spark, sf_dir),
-                                        columns=["a.c_custkey", "b.s_suppkey"])
-    finally:
-        grid.BROADCAST_BYTES, grid.HOT_ROWS = limit, hot
+    return spatial_join.within_join(
+        sites(spark, sf_dir), yards(spark, sf_dir), columns=["a.c_custkey", "b.s_suppkey"],
+        points=True, allow_broadcast=False, hot_rows=50)
 
 
 @query(f"""
@@ -162,7 +156,7 @@ FROM yards a JOIN yards b ON a.s_suppkey < b.s_suppkey
  AND a.x <= b.x1 AND a.x1 >= b.x AND a.y <= b.y1 AND a.y1 >= b.y""")
 def overlap_pairs(spark, sf_dir):
     """Yards that overlap, each pair once, with the shared area."""
-    pairs = spatial_join.overlap_pairs(yards(spark, sf_dir), "s_suppkey", columns=["a", "b"])
+    pairs = spatial_join.overlap_pairs(yards(spark, sf_dir), "s_suppkey")
     shared = st_intersection_area(F.col("a.geometry"), F.col("b.geometry"))
     return pairs.select(F.col("a.s_suppkey").alias("id_a"), F.col("b.s_suppkey").alias("id_b"),
                         (F.round(shared, 6) + 0.0).alias("overlap_area"))
@@ -361,7 +355,8 @@ def wkt_parse(spark, sf_dir):
     text = F.format_string("SRID=3857;POLYGON((%d %d, %d %d, %d %d, %d %d, %d %d))",
                            x, y, w, y, w, h, x, h, x, y)
     g = F.col("g")
-    return read(spark, sf_dir, "lineitem").withColumn("g", st_from_wkt(text)).select(
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("t"))
+    return spatial.settle(lines.withColumn("g", st_from_wkt(F.col("t"))), "g").select(
         "l_orderkey", "l_linenumber", g["kind"].alias("kind"), g["srid"].alias("srid"),
         F.size(g["parts"][0][0]).alias("n_vertices"), st_area(g).alias("area"))
 

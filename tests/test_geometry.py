@@ -248,7 +248,7 @@ def _random_polygon(rng):
 @pytest.mark.parametrize("small", [True, False])
 def test_grid_joins_equal_brute_force(spark, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(grid, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(grid, "fits_broadcast", lambda df: False)
         monkeypatch.setattr(grid, "HOT_ROWS", 3)
     rng = random.Random(11)
     areas = geo(spark, [(i, _random_polygon(rng)) for i in range(40)])
@@ -290,7 +290,7 @@ def test_metre_joins_cross_the_antimeridian_and_poles(spark, model):
         F.col("a.id").alias("i"), F.col("b.id").alias("j"), F.col("a.geometry").alias("ga"),
         F.col("b.geometry").alias("gb"))
     far = geodesic.distance_m(F.col("ga"), F.col("gb"), model)
-    settled = spatial._settle(spatial._settle(cross, "ga"), "gb")
+    settled = spatial.settle(spatial.settle(cross, "ga"), "gb")
     want = rows_of(settled.filter(far <= 900_000.0).select("i", "j"))
     got = spatial_join.dwithin_pairs(spots, marks, 900_000.0, model=model).select("a.id", "b.id")
     assert rows_of(got) == want and want

@@ -57,12 +57,11 @@ def _vertices(parts: Column) -> Column:
 def make_geometry(kind: Column, srid: Column, parts: Column) -> Column:
     """A geometry from its parts; the bounding box is computed."""
     def made(p):
-        xs = F.transform(_vertices(p), lambda v: v["x"])
-        ys = F.transform(_vertices(p), lambda v: v["y"])
-        box = F.struct(
-            F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-            F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"),
-        )
+        box = let(_vertices(p), lambda vs: let(F.struct(
+            F.transform(vs, lambda v: v["x"]).alias("x"),
+            F.transform(vs, lambda v: v["y"]).alias("y")), lambda c: F.struct(
+                F.array_min(c["x"]).alias("xmin"), F.array_min(c["y"]).alias("ymin"),
+                F.array_max(c["x"]).alias("xmax"), F.array_max(c["y"]).alias("ymax"))))
         whole = F.struct(
             kind.alias("kind"), srid.cast("int").alias("srid"), p.alias("parts"),
             box.alias("bbox"))

@@ -56,36 +56,53 @@ def _bad_text(what: str, value: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"not a supported {what}: "), value)).cast(PARTS)
 
 
-def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
-    """Geometry from WKT; an ``SRID=n;`` prefix wins over ``srid``."""
-    tag = F.regexp_extract(text, r"(?i)^\s*SRID=(\d+);", 1)
-    kind = F.upper(F.regexp_extract(text, r"(?i)^\s*(?:SRID=\d+;)?\s*([A-Z]+)\s*\(", 1))
-    body = F.regexp_extract(text, r"(?is)^\s*(?:SRID=\d+;)?\s*[A-Z]+\s*\((.*)\)\s*$", 1)
-    taken = F.struct(text.alias("text"), tag.alias("tag"), kind.alias("kind"), body.alias("body"))
-    return let(taken, lambda t: _wkt_geometry(t["text"], t["tag"], t["kind"], t["body"], srid))
-
-
-def _wkt_geometry(text: Column, tag: Column, kind: Column, body: Column, srid: int) -> Column:
+def _coordinates(text: Column, depth: int) -> Column:
+    """JSON coordinates nested ``depth`` deep, as vertices nested one less."""
+    def vertices(value, level):
+        if level == 1:
+            return vertex(value[0], value[1])
+        return F.transform(value, lambda inner: vertices(inner, level - 1))
 
-    def numbers(point):
-        xy = F.split(F.trim(F.regexp_replace(point, r"[()]", " ")), r"\s+")
-        return vertex(xy[0], xy[1])
+    return vertices(F.from_json(text, "array<" * depth + "double" + ">" * depth), depth)
 
-    def ring(t):
-        return F.transform(F.split(t, ","), numbers)
 
-    rings = F.transform(F.split(body, r"\)\s*,\s*\("), ring)
+def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
+    """Geometry from WKT; an ``SRID=n;`` prefix wins over ``srid``."""
+    head = r"(?i)^\s*(?:SRID=(\d+);)?\s*([A-Z]+)\s*(?=\()"
+    tag, kind = F.regexp_extract(text, head, 1), F.upper(F.regexp_extract(text, head, 2))
+    # coordinates as JSON: brackets for parentheses and around each vertex
+    body = F.regexp_replace(F.regexp_replace(text, head, ""), r"(?<![\d.])\.(?=\d)", "0.")
+    pairs = F.regexp_replace(
+        body, r"([-+.\dEe]+)\s+([-+.\dEe]+)(?:\s+[-+.\dEe]+)*", "[$1,$2]")
+    as_json = F.replace(F.replace(pairs, F.lit("("), F.lit("[")), F.lit(")"), F.lit("]"))
+    taken = F.struct(text.alias("text"), tag.alias("tag"), kind.alias("kind"),
+                     as_json.alias("json"))
+    return let(taken, lambda t: _wkt_geometry(t["text"], t["tag"], t["kind"], t["json"], srid))
+
+
+def _wkt_geometry(text: Column, tag: Column, kind: Column, coords: Column, srid: int) -> Column:
+    # a multipoint may or may not wrap its points in parentheses of their own
+    flat = F.regexp_replace(F.regexp_replace(coords, r"\[\s*\[\s*\[", "[["), r"\]\s*\](?=\s*,)", "]")
+    flat = F.regexp_replace(F.regexp_replace(flat, r",\s*\[\s*\[", ",["), r"\]\s*\]\s*\]\s*$", "]]")
     parts = (
-        F.when(kind.isin(POINT, LINE), F.array(F.array(ring(body))))
-        .when(kind == MULTIPOINT, F.transform(ring(body), lambda v: F.array(F.array(v))))
-        .when(kind == POLYGON, F.array(rings))
-        .when(kind == MULTILINE, F.transform(rings, lambda r: F.array(r)))
-        .when(kind == MULTIPOLYGON, F.transform(
-            F.split(body, r"\)\s*\)\s*,\s*\(\s*\("),
-            lambda p: F.transform(F.split(p, r"\)\s*,\s*\("), ring)))
-        .when(text.isNotNull(), _bad_text("WKT", text))
+        F.when(kind.isin(POINT, LINE), F.array(F.array(_coordinates(coords, 2))))
+        .when(kind == MULTIPOINT, F.transform(
+            _coordinates(flat, 2), lambda v: F.array(F.array(v))))
+        .when(kind == POLYGON, F.array(_coordinates(coords, 3)))
+        .when(kind == MULTILINE, F.transform(_coordinates(coords, 3), lambda r: F.array(r)))
+        .when(kind == MULTIPOLYGON, _coordinates(coords, 4))
     )
-    return make_geometry(kind, F.when(tag != "", tag.cast("int")).otherwise(F.lit(srid)), parts)
+    checked = let(parts, lambda p: F.when(
+        text.isNull() | (p.isNotNull() & ~_broken(p)), p
+    ).otherwise(_bad_text("WKT", text)))
+    return make_geometry(kind, F.when(tag != "", tag.cast("int")).otherwise(F.lit(srid)), checked)
+
+
+def _broken(parts: Column) -> Column:
+    """Some part, ring or vertex is missing."""
+    vertices = F.flatten(F.flatten(parts))
+    return vertices.isNull() | F.exists(
+        vertices, lambda v: v["x"].isNull() | v["y"].isNull())
 
 
 def st_as_wkt(g: Column) -> Column:
@@ -124,30 +141,19 @@ def st_from_geojson(text: Column, srid: int = DEFAULT_SRID) -> Column:
 
 
 def _json_geometry(text: Column, kind: Column, coords: Column, srid: int) -> Column:
-
-    def read(depth):
-        return F.from_json(coords, "array<" * depth + "double" + ">" * depth)
-
-    def to_vertex(xy):
-        return vertex(xy[0], xy[1])
-
-    def ring(r):
-        return F.transform(r, to_vertex)
-
-    def rings(p):
-        return F.transform(p, ring)
-
     parts = (
-        F.when(kind == POINT, F.array(F.array(F.array(to_vertex(read(1))))))
-        .when(kind == LINE, F.array(F.array(ring(read(2)))))
-        .when(kind == MULTIPOINT,
-              F.transform(read(2), lambda xy: F.array(F.array(to_vertex(xy)))))
-        .when(kind == POLYGON, F.array(rings(read(3))))
-        .when(kind == MULTILINE, F.transform(read(3), lambda r: F.array(ring(r))))
-        .when(kind == MULTIPOLYGON, F.transform(read(4), rings))
-        .when(text.isNotNull(), _bad_text("GeoJSON geometry", text))
+        F.when(kind == POINT, F.array(F.array(F.array(_coordinates(coords, 1)))))
+        .when(kind == LINE, F.array(F.array(_coordinates(coords, 2))))
+        .when(kind == MULTIPOINT, F.transform(
+            _coordinates(coords, 2), lambda v: F.array(F.array(v))))
+        .when(kind == POLYGON, F.array(_coordinates(coords, 3)))
+        .when(kind == MULTILINE, F.transform(_coordinates(coords, 3), lambda r: F.array(r)))
+        .when(kind == MULTIPOLYGON, _coordinates(coords, 4))
     )
-    return make_geometry(kind, F.lit(srid), parts)
+    checked = let(parts, lambda p: F.when(
+        text.isNull() | (p.isNotNull() & ~_broken(p)), p
+    ).otherwise(_bad_text("GeoJSON geometry", text)))
+    return make_geometry(kind, F.lit(srid), checked)
 
 
 def st_as_geojson(g: Column) -> Column:

@@ -17,9 +17,6 @@ from tidemark.session import estimated_bytes
 
 # Smallest level; points and tiny geometries live here (about 1e-6 units).
 MIN_LEVEL, MAX_LEVEL = -20, 40
-# A side may be broadcast when its estimated size, cells included, is below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
-CELLS_PER_GEOMETRY = 4
 # A cell with more looked-up rows than this is split over several tasks.
 HOT_ROWS = 2_000_000
 # At most this many cells are treated as hot, which bounds the broadcast of their list.
@@ -74,49 +71,64 @@ def _cells_of_box(df: DataFrame) -> DataFrame:
     return df.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
 
 
-def levels_in_use(df: DataFrame, box: Column) -> Column:
-    """Array of the levels that occur, as a scalar subquery (at most 61 numbers)."""
-    return df.select(F.collect_set(level_of(box)).alias("levels")).scalar()
+def levels_in_use(df: DataFrame, box: Column) -> list[int]:
+    """The levels that occur: at most 61 numbers, found by one pass over the boxes."""
+    found = df.select(level_of(box).alias("level")).where("level is not null").distinct()
+    return sorted(row["level"] for row in found.collect())
 
 
-def look_up(df: DataFrame, box: Column, levels: Column) -> DataFrame:
+def _array_of(levels: list[int]) -> Column:
+    return F.array(*[F.lit(v) for v in levels]).cast("array<int>")
+
+
+def look_up(df: DataFrame, box: Column, levels: list[int]) -> DataFrame:
     """One row per level in use: the cell of the box's lower left corner."""
-    tall = placed(df, box).withColumn("_level", F.explode(levels))
+    tall = placed(df, box).withColumn("_level", F.explode(_array_of(levels)))
     return tall.withColumns({
         "_cx": cell_at(F.col("_xmin"), F.col("_level")),
         "_cy": cell_at(F.col("_ymin"), F.col("_level")),
     })
 
 
-def cover_levels(df: DataFrame, box: Column, levels: Column) -> DataFrame:
+def cover_levels(df: DataFrame, box: Column, levels: list[int]) -> DataFrame:
     """One row per covered cell, on the own level and on every larger level in use."""
     own = placed(df, box).withColumn("_own", level_of(box_of()))
-    reached = F.array_union(F.array(F.col("_own")), F.coalesce(levels, F.array(F.col("_own"))))
+    reached = F.array_union(F.array(F.col("_own")), _array_of(levels))
     tall = own.withColumn("_level", F.explode(reached))
     return _cells_of_box(tall.filter(F.col("_level") >= F.col("_own")))
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return estimated_bytes(df) * CELLS_PER_GEOMETRY <= limit
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a side is small enough to broadcast its cells.
+
+    The limit is Spark's own for automatic broadcasts; a geometry has at most four cells.
+    """
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return estimated_bytes(df) <= int(str(conf.autoBroadcastJoinThreshold()))
+
+
+def hot_cells(looked_up: DataFrame, hot_rows: int) -> list[tuple[int, int, int, int]]:
+    """The most crowded cells with the number of salts each needs (at most HOT_CELLS)."""
+    counts = looked_up.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
+    worst = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(HOT_CELLS)
+    salts = F.ceil(F.col("n") / hot_rows).cast("int").alias("salts")
+    return [tuple(r) for r in worst.select(*CELL, salts).collect()]
 
 
 def salt_hot_cells(looked_up: DataFrame, covered: DataFrame, hot_rows: int = HOT_ROWS):
-    """Split crowded cells: their rows get a salt, the covering rows one copy per salt."""
-    counts = looked_up.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (
-        counts.filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n")).limit(HOT_CELLS)
-        .withColumn("_salts", F.ceil(F.col("_n") / hot_rows).cast("int")).drop("_n")
-    )
+    """Split crowded cells: their rows get a salt, the covering rows one copy per salt.
+
+    Both frames come back with a ``_salt`` column, which is 0 nearly everywhere.
+    """
+    hot = hot_cells(looked_up, hot_rows)
+    if not hot:
+        return looked_up.withColumn("_salt", F.lit(0)), covered.withColumn("_salt", F.lit(0))
+    listed = F.broadcast(looked_up.sparkSession.createDataFrame(
+        hot, "_level int, _cx bigint, _cy bigint, _salts int"))
     plain = [c for c in looked_up.columns if not c.startswith("_")]
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = (
-        looked_up.join(F.broadcast(hot), CELL, "left")
-        .withColumn("_salt", F.pmod(spread(plain), salts).cast("int")).drop("_salts")
-    )
-    right = (
-        covered.join(F.broadcast(hot), CELL, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    )
+    left = looked_up.join(listed, CELL, "left").withColumn("_salt", F.when(
+        salts > 1, F.pmod(spread(plain), salts).cast("int")).otherwise(F.lit(0))).drop("_salts")
+    right = covered.join(listed, CELL, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return left, right
-

@@ -51,36 +51,41 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str | Iterable[st
     return counted.join(side, on, "left_anti")
 
 
-def column_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: Iterable[str] | None = None,
+                   exact_distinct: bool = True) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, smallest and largest as text.
 
-    Plain counts and extremes come from one pass.  Exact distinct counts are taken per
-    column from one exploded pass of (column, value) pairs, deduplicated before they are
-    counted, so no column has to fit on one task.
+    Without ``exact_distinct`` everything comes from one pass that shuffles a row per
+    task, and distinct values are estimated.  Exact counts come from (column, value) pairs
+    that are deduplicated before they are counted, so no column has to fit on one task and
+    a value that fills most rows is shuffled once per task.
     """
     columns = names(columns) or df.columns
     simple = [f for f in df.schema.fields if f.name in columns and not isinstance(
         f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
+
+    def of(field: T.StructField, no: int):
+        column = F.col(f"`{field.name}`")
+        return F.struct(
+            F.lit(no).alias("no"), F.lit(field.name).alias("column_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            (F.count(F.lit(1)) - F.count(column)).alias("n_null"),
+            F.min(column).cast("string").alias("min_value"),
+            F.max(column).cast("string").alias("max_value"),
+            *([] if exact_distinct else [F.approx_count_distinct(column).alias("n_distinct")]))
+
+    plain = df.agg(F.array(*[of(f, i) for i, f in enumerate(simple)]).alias("p")).select(
+        F.inline("p"))
+    order = ["column_name", "n_rows", "n_null", "n_distinct", "min_value", "max_value"]
+    if not exact_distinct:
+        return plain.select(*order)
     pairs = F.array(*[
         F.struct(F.lit(i).alias("no"), F.col(f"`{f.name}`").cast("string").alias("text"))
         for i, f in enumerate(simple)])
-    per_value = df.select(F.explode(pairs).alias("p")).groupBy("p.no", "p.text").agg(
-        F.count(F.lit(1)).alias("n"))
-    counts = per_value.groupBy("no").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("text").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.count("text").alias("n_distinct"))
-    extremes = df.agg(F.array(*[
-        F.struct(F.lit(i).alias("no"), F.lit(f.name).alias("column_name"),
-                 F.min(f"`{f.name}`").cast("string").alias("min_value"),
-                 F.max(f"`{f.name}`").cast("string").alias("max_value"))
-        for i, f in enumerate(simple)]).alias("e")).select(F.inline("e"))
+    distinct = df.select(F.explode(pairs).alias("p")).select("p.no", "p.text").where(
+        "text is not null").distinct().groupBy("no").agg(F.count(F.lit(1)).alias("n_distinct"))
     # one row per column on both sides
-    return extremes.join(counts, "no", "left").select(
-        "column_name",
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-        F.coalesce("n_null", F.lit(0)).alias("n_null"),
-        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min_value", "max_value")
+    return plain.join(distinct, "no", "left").fillna(0, ["n_distinct"]).select(*order)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

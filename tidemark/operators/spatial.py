@@ -42,11 +42,12 @@ from tidemark.operators.spatial_join import (
     within_distance_test,
 )
 
-def _settle(df: DataFrame, geom: str) -> DataFrame:
-    """Compute the geometry column in its own step.
+def settle(df: DataFrame, geom: str) -> DataFrame:
+    """Compute the geometry column in a step of its own.
 
-    Catalyst does not move a Python function's input out of nested lambdas, so the
-    column must reach the Arrow kernels as a plain attribute.
+    A generator keeps Catalyst from copying the column's expression into every use, so
+    it is computed once per row.  The Arrow kernels need it too: Catalyst does not move a
+    Python function's input out of nested lambdas.
     """
     others = [F.col(f"`{c}`") for c in df.columns if c != geom]
     settled = df.select(*others, F.explode(F.array(F.col(geom))).alias(geom))
@@ -126,7 +127,7 @@ def _dwithin_shape(df, geom, given: Shape, distance, unit, model) -> DataFrame:
         return df.filter(near & (away <= distance))
     close = df.filter(near & (away <= distance * (1 + geodesic.SPHERE_SLACK)))
     test = within_distance_test(unit, distance, model, kb=given.kind)
-    return _settle(close, geom).filter(test(g, fixed))
+    return settle(close, geom).filter(test(g, fixed))
 
 
 def _box_test(a: Column, b: Column) -> Column:
@@ -148,7 +149,7 @@ def distance(
     if unit == "srid":
         out = df.withColumn("distance", st_distance(g, given.column, kb=given.kind))
     else:
-        rows = df if model == "sphere" else _settle(df, geom)
+        rows = df if model == "sphere" else settle(df, geom)
         out = rows.withColumn(
             "distance", geodesic.distance_m(g, given.column, model, kb=given.kind))
     return _tail(out, ["distance"], columns, where, order_by, limit)
@@ -173,7 +174,7 @@ def _measure(df, geom, name, unit, planar: Callable, metric: Callable, tail) ->
     check_distance(0.0, unit, "spheroid")
     g = F.col(geom)
     out = df.withColumn(name, planar(g)) if unit == "srid" else (
-        _settle(df, geom).withColumn(name, metric(g)))
+        settle(df, geom).withColumn(name, metric(g)))
     return _tail(out, [name], *tail)
 
 
@@ -235,7 +236,7 @@ def buffer(df: DataFrame, geom: str = "geometry", *, distance: float, unit: str
         out = df.withColumn("buffer", st_buffer(g, distance))
     else:
         circle = geodesic.geodesic_circle(g, F.lit(float(distance)))
-        settled = _settle(df, geom).withColumn("_circle", circle)
+        settled = settle(df, geom).withColumn("_circle", circle)
         ring = F.when(g["kind"] == POINT, F.col("_circle")).when(
             g.isNotNull(), _utm_buffer(g, F.lit(float(distance))))
         out = settled.withColumn(

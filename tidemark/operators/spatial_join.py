@@ -45,19 +45,13 @@ def _box_meets(a: Column, b: Column) -> Column:
     )
 
 
-def _sides(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str):
-    """Both frames with every column packed away, so that names cannot clash."""
-    a = left.select(F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("a"))
-    b = right.select(F.struct(*[F.col(f"`{c}`") for c in right.columns]).alias("b"))
-    return a, b, F.col("a")[left_geom], F.col("b")[right_geom]
-
-
-def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: bool) -> DataFrame:
+def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: bool,
+               hot_rows: int | None = None) -> DataFrame:
     left, right, keys = looked_up, covered, list(grid.CELL)
     if small:
         right = F.broadcast(right)
     else:
-        left, right = grid.salt_hot_cells(left, right)
+        left, right = grid.salt_hot_cells(left, right, hot_rows or grid.HOT_ROWS)
         keys.append("_salt")
     right = right.withColumnsRenamed({f"_{c}": f"_b_{c}" for c in grid.SIDES})
     on = extra
@@ -68,17 +62,22 @@ def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: b
 
 
 def covered_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str,
-                  test: Test) -> DataFrame:
-    """Pairs (a, b) where b's box covers a's box and ``test(a, b)`` holds.
+                  test: Test, allow_broadcast: bool = True, hot_rows: int | None = None,
+                  sides: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """Pairs where the right box covers the left box and ``test(left, right)`` holds.
 
-    ``a`` is looked up by one corner, so every pair is met exactly once.
+    The columns are addressed by the names in ``sides``, e.g. ``"a.id"``.  The left side
+    is looked up by one corner, so every pair is met exactly once.
     """
-    a, b, ga, gb = _sides(left, right, left_geom, right_geom)
-    looked_up = grid.look_up(a, ga["bbox"], grid.levels_in_use(b, gb["bbox"]))
-    covered = grid.cover(b, gb["bbox"])
+    a, b = sides
+    ga, gb = F.col(f"{a}.{left_geom}"), F.col(f"{b}.{right_geom}")
+    left, right = left.alias(a), right.alias(b)
+    looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(right, gb["bbox"]))
+    covered = grid.cover(right, gb["bbox"])
     boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
-    joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
-    return joined.filter(test(ga, gb)).select("a", "b")
+    small = allow_broadcast and grid.fits_broadcast(right)
+    joined = _cell_join(looked_up, covered, boxes, small, hot_rows)
+    return joined.filter(test(ga, gb)).select(f"{a}.*", f"{b}.*")
 
 
 def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str,
@@ -88,9 +87,10 @@ def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     Two boxes can share several cells; the pair is kept only in the cell that holds the
     lower left corner of their overlap, which needs no duplicate removal.
     """
-    a, b, ga, gb = _sides(left, right, left_geom, right_geom)
-    cells_a = grid.cover_levels(a, ga["bbox"], grid.levels_in_use(b, gb["bbox"]))
-    cells_b = grid.cover_levels(b, gb["bbox"], grid.levels_in_use(a, ga["bbox"]))
+    ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
+    left, right = left.alias("a"), right.alias("b")
+    cells_a = grid.cover_levels(left, ga["bbox"], grid.levels_in_use(right, gb["bbox"]))
+    cells_b = grid.cover_levels(right, gb["bbox"], grid.levels_in_use(left, ga["bbox"]))
     cells_b = cells_b.withColumnRenamed("_own", "_own_b")
     box_a, box_b, level = grid.box_of(), grid.box_of("_b_"), F.col("_level")
     once = (
@@ -102,7 +102,7 @@ def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     if extra is not None:
         condition = condition & extra
     joined = _cell_join(cells_a, cells_b, condition, grid.fits_broadcast(right))
-    return joined.filter(test(ga, gb)).select("a", "b")
+    return joined.filter(test(ga, gb)).select("a.*", "b.*")
 
 
 def _select(pairs: DataFrame, columns: Iterable[str | Column] | None) -> DataFrame:
@@ -119,16 +119,20 @@ def within_join(
     columns: Iterable[str | Column] | None = None,
     where: Column | str | None = None,
     points: bool = False,
+    allow_broadcast: bool = True,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``left`` within rows of ``right``; all columns of both, or ``columns``.
 
     ``columns`` and ``where`` address the sides as ``a`` and ``b``, e.g. ``"a.id"``.
     ``points=True`` promises that ``left`` holds points only (checked per row), which
-    makes for a much smaller test.
+    makes for a much smaller test.  ``hot_rows`` is the crowding above which a cell is
+    split when both sides are shuffled.
     """
     left, kind = _points_or_any(left, left_geom, points)
     pairs = covered_pairs(
-        left, right, left_geom, right_geom, lambda a, b: st_contains(b, a, kb=kind))
+        left, right, left_geom, right_geom, lambda a, b: st_contains(b, a, kb=kind),
+        allow_broadcast, hot_rows)
     if where is not None:
         pairs = pairs.filter(where if isinstance(where, Column) else F.expr(f"({where})"))
     return _select(pairs, columns)
@@ -149,7 +153,7 @@ def overlap_pairs(
     df: DataFrame, key: str, geom: str = "geometry", columns: Iterable[str | Column] | None = None
 ) -> DataFrame:
     """Pairs of rows of one table that intersect, each once (smaller key first)."""
-    ordered = F.col("a")[key] < F.col("b")[key]
+    ordered = F.col(f"a.{key}") < F.col(f"b.{key}")
     return _select(meeting_pairs(df, df, geom, geom, st_intersects, ordered), columns)
 
 
@@ -291,9 +295,10 @@ def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
                   unit: str = "m", model: str = "spheroid") -> DataFrame:
     """Pairs (a, b) of points of ``left`` and geometries of ``right`` within a distance."""
     check_distance(distance, unit, model)
-    a, b, ga, gb = _sides(_checked_points(left, left_geom), right, left_geom, right_geom)
-    near = b.withColumn("_reach", F.explode(reach(gb, distance, unit)))
-    looked_up = grid.look_up(a, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
+    ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
+    left, right = _checked_points(left, left_geom).alias("a"), right.alias("b")
+    near = right.select("*", F.explode(reach(gb, distance, unit)).alias("_reach"))
+    looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
     covered = grid.cover(near, F.col("_reach")).drop("_reach")
     boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
     joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
@@ -302,7 +307,7 @@ def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
         joined = joined.filter(
             sphere_distance(ga, gb, POINT) <= distance * (1 + SPHERE_SLACK))
     test = within_distance_test(unit, distance, model, POINT)
-    return joined.filter(test(ga, gb)).select("a", "b")
+    return joined.filter(test(ga, gb)).select("a.*", "b.*")
 
 
 def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geometry",
@@ -349,8 +354,8 @@ def zone_stats(
     key = names(key)
     items, kind = _points_or_any(items, item_geom, points)
     pairs = covered_pairs(
-        items, zones, item_geom, zone_geom, lambda a, b: st_contains(b, a, kb=kind))
-    renamed = pairs.select(F.col("b").alias("z"), F.col("a").alias("b"))
-    grouped = renamed.groupBy(*[F.col("z")[k].alias(k) for k in key]).agg(*named(aggregates))
+        items, zones, item_geom, zone_geom, lambda a, b: st_contains(b, a, kb=kind),
+        sides=("b", "z"))
+    grouped = pairs.groupBy(*[F.col(f"z.{k}") for k in key]).agg(*named(aggregates))
     kept = zones.drop(zone_geom).join(grouped, key, "left")
     return kept.fillna(0, subset=names(counts)) if names(counts) else kept

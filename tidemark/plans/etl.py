@@ -193,7 +193,6 @@ class Etl:
         if mode == "append":
             aligned = rows.align(ready, self.tables.read(target).schema)
             aligned.write.insertInto(quoted(target))
-            self.spark.catalog.refreshTable(target)
         else:
             if mode == "replace":
                 result = ready

@@ -7,10 +7,10 @@ import json
 import time
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import Tables, quoted
 
 LOG_TABLE = "pipeline_runs"
 # The log's columns.
@@ -49,6 +49,11 @@ def decode_mark(text: str | None) -> Any:
     raise EtlError(f"unknown high-water mark type: {doc['type']}")
 
 
+def _literal(value: Any) -> Column:
+    # timestamps as text with their offset, so that no local time zone gets in between
+    return F.lit(value.isoformat() if isinstance(value, dt.datetime) else value)
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -66,10 +71,10 @@ class RunLog:
             self.tables.publish(empty, self.table)
 
     def _write(self, row: dict) -> None:
-        names = [part.split()[0] for part in LOG_SCHEMA.split(", ")]
-        event = self.tables.spark.createDataFrame(
-            [tuple(row.get(n) for n in names)], LOG_SCHEMA).coalesce(1)
-        self.tables.append(event, self.table)
+        fields = [part.split() for part in LOG_SCHEMA.split(", ")]
+        event = self.tables.spark.range(0, 1, 1, 1).select(*[
+            _literal(row.get(name)).cast(kind).alias(name) for name, kind in fields])
+        event.write.insertInto(quoted(self.table))
 
     def start(self, pipeline: str) -> dict:
         run = {"run_id": time.time_ns(), "pipeline_name": pipeline, "started_at": utc_now(),

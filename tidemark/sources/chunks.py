@@ -22,7 +22,7 @@ from tidemark.functions.timebucket import (
     time_literal,
 )
 from tidemark.operators import rows, timeseries
-from tidemark.operators._columns import names
+from tidemark.operators._columns import names, spread
 from tidemark.sources.tables import Watch, quoted
 
 CHUNK = "chunk_start"
@@ -251,11 +251,12 @@ def compacted(df: DataFrame, segment_by: list[str], order_by: list[str]) -> Data
     """Rows grouped by chunk and segment, each segment sorted.
 
     Range partitioning on chunk, segment and order cuts a hot chunk or segment into
-    several sorted files.
+    several sorted files; a last hash key cuts even rows that are equal in all of them.
     """
     keys = [F.col(CHUNK), *[F.col(c).asc_nulls_last() for c in segment_by],
             *[_sort_key(o) for o in order_by]]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = df.withColumn("_spread", spread(df.columns))
+    return placed.repartitionByRange(*keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
 
 
 def show_chunks(df: DataFrame, time: str, width: str | Interval, older_than=None,

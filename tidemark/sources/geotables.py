@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.geometry import DEFAULT_SRID, set_srid
 from tidemark.functions.geotext import st_as_wkb, st_from_wkb
 from tidemark.operators._columns import spread
-from tidemark.operators.spatial import _settle
+from tidemark.operators.spatial import settle
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 # Bits per axis of the clustering key.
@@ -73,7 +73,7 @@ def write_geometry(df: DataFrame, path: str, geom: str = "geometry", srid: int |
     if layout:
         out = clustered(out, geom, extent)
     box = F.col(geom)["bbox"]
-    settled = _settle(out, geom)
+    settled = settle(out, geom)
     encoded = settled.select(
         *[F.col(f"`{c}`") for c in df.columns if c != geom],
         *[box[b].alias(f"{geom}_{b}") for b in BOX],

@@ -86,7 +86,6 @@ class Tables:
         aligned = rows.align(df, self.read(name).schema)
         watch = Watch(aligned)
         watch.df.write.insertInto(quoted(name))
-        self.spark.catalog.refreshTable(name)
         return watch.n
 
     def write(
