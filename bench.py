@@ -27,10 +27,10 @@ RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 INSERT_ROWS = 100_000
 
 
-def insert_rows(spark):
+def insert_rows(spark, count=INSERT_ROWS):
     """The insertion benchmark's own row shape."""
     key = F.col("id")
-    return spark.range(INSERT_ROWS).select(
+    return spark.range(count).select(
         key.cast("int").alias("id"), (key * 0.1).alias("val"),
         F.concat(F.lit("row_"), key).alias("label"))
 
@@ -60,6 +60,10 @@ def writes(spark):
     return {
         "insert_append": (lambda: empty_like(insert_rows(spark)),
                           lambda name: tables.append(insert_rows(spark), name), INSERT_ROWS),
+        "insert_append_20x": (
+            lambda: empty_like(insert_rows(spark)),
+            lambda name: tables.append(insert_rows(spark, 20 * INSERT_ROWS), name),
+            20 * INSERT_ROWS),
         "insert_write": (lambda: fixtures.fresh_name("bench"),
                          lambda name: tables.write(insert_rows(spark), name), INSERT_ROWS),
         "insert_etl_replace": (lambda: None, lambda _: etl.run(replacing), INSERT_ROWS),
@@ -111,7 +115,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total_warm_seconds", "value": round(sum(queries.values()), 4), "unit": "sec",
         "queries": queries, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
-        "cpus": CPUS, "runs": RUNS, "details": details}))
+        "cpus": CPUS, "machine_cpus": os.cpu_count(), "runs": RUNS, "details": details}))
 
 
 if __name__ == "__main__":

@@ -146,3 +146,24 @@ def test_clean_steps(spark):
 def test_column_profile_of_empty_table(spark):
     out = quality.column_profile(spark.createDataFrame([], "a int, b string"))
     assert rows_of(out) == [("a", 0, 0, 0, None, None), ("b", 0, 0, 0, None, None)]
+
+
+def test_profile_estimates_in_one_pass(spark):
+    out = quality.column_profile(spark.range(100).selectExpr("id % 4 AS k"), exact_distinct=False)
+    assert rows_of(out) == [("k", 100, 0, 4, "0", "3")]
+
+
+def test_rows_with_maps_upsert_and_insert(spark):
+    schema = "id int, m map<string,int>"
+    old = spark.createDataFrame([(1, {"a": 1}), (None, {"n": 0})], schema)
+    batch = spark.createDataFrame([(1, {"b": 2}), (None, {"x": 1}), (None, {"x": 2})], schema)
+    out = rows.upsert(old, batch, "id")
+    assert sorted((r.id or 0, sorted(r.m.items())) for r in out.collect()) == [
+        (0, [("n", 0)]), (0, [("x", 1)]), (0, [("x", 2)]), (1, [("b", 2)])]
+    assert rows.insert_ignore(old, batch, "id").count() == 2
+
+
+def test_replace_with_other_columns(spark, tables, name):
+    tables.write(spark.createDataFrame([(1,)], "id int"), name)
+    tables.write(spark.createDataFrame([("x", 2.0)], "a string, b double"), name, "replace")
+    assert rows_of(tables.read(name)) == [("x", 2.0)]

@@ -71,7 +71,9 @@ def st_from_wkt(text: Column, srid: int = DEFAULT_SRID) -> Column:
     head = r"(?i)^\s*(?:SRID=(\d+);)?\s*([A-Z]+)\s*(?=\()"
     tag, kind = F.regexp_extract(text, head, 1), F.upper(F.regexp_extract(text, head, 2))
     # coordinates as JSON: brackets for parentheses and around each vertex
-    body = F.regexp_replace(F.regexp_replace(text, head, ""), r"(?<![\d.])\.(?=\d)", "0.")
+    bare = F.regexp_replace(text, head, "")
+    body = F.when(bare.rlike(r"[^\d]\.\d"), F.regexp_replace(
+        bare, r"(?<![\d.])\.(?=\d)", "0.")).otherwise(bare)
     pairs = F.regexp_replace(
         body, r"([-+.\dEe]+)\s+([-+.\dEe]+)(?:\s+[-+.\dEe]+)*", "[$1,$2]")
     as_json = F.replace(F.replace(pairs, F.lit("("), F.lit("[")), F.lit(")"), F.lit("]"))

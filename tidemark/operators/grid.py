@@ -128,7 +128,7 @@ def salt_hot_cells(looked_up: DataFrame, covered: DataFrame, hot_rows: int = HOT
     plain = [c for c in looked_up.columns if not c.startswith("_")]
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     left = looked_up.join(listed, CELL, "left").withColumn("_salt", F.when(
-        salts > 1, F.pmod(spread(plain), salts).cast("int")).otherwise(F.lit(0))).drop("_salts")
+        salts > 1, F.pmod(spread(looked_up, plain), salts).cast("int")).otherwise(F.lit(0))).drop("_salts")
     right = covered.join(listed, CELL, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return left, right

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators._columns import as_column, names, require_columns, spread
+from tidemark.operators._columns import as_column, hashable, names, require_columns, spread
 from tidemark.operators.filters import equals_all
 
 
@@ -43,9 +43,9 @@ def _has_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def _apart(keys: list[str], columns: list[str]) -> Column:
+def _apart(keys: list[str], df: DataFrame) -> Column:
     """0 for rows with a full key; rows without one match nothing and are spread out."""
-    return F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(spread(columns))
+    return F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(spread(df))
 
 
 def _one_per_key(batch: DataFrame, keys: list[str], on_duplicate: str,
@@ -66,8 +66,8 @@ def _one_per_key(batch: DataFrame, keys: list[str], on_duplicate: str,
         row = F.first(payload)
     else:
         raise ValueError("on_duplicate must be 'error' or 'last'")
-    marked = batch.withColumn("_apart", _apart(keys, batch.columns)).withColumn(
-        "_row_hash", F.when(F.col("_apart") != 0, F.hash(*batch.columns)))
+    marked = batch.withColumn("_apart", _apart(keys, batch)).withColumn(
+        "_row_hash", F.when(F.col("_apart") != 0, F.hash(*hashable(batch))))
     picked = marked.groupBy(*keys, "_apart", "_row_hash").agg(
         row.alias("_row"), F.count(F.lit(1)).alias("_n"))
     times = F.when(~_has_key(keys), F.col("_n")).otherwise(F.lit(1).cast("long"))
@@ -112,7 +112,7 @@ def upsert(
     single = _one_per_key(batch, keys, on_duplicate, names(order_by))
     old = target.select(
         *[F.col(f"`{c}`").alias(f"o_{c}") for c in target.columns],
-        _apart(keys, target.columns).alias("_apart_o"), F.lit(True).alias("_old"))
+        _apart(keys, target).alias("_apart_o"), F.lit(True).alias("_old"))
     new = single.select(*[F.col(f"`{c}`").alias(f"n_{c}") for c in batch.columns],
                         F.col("_apart").alias("_apart_n"), F.lit(True).alias("_new"))
     on = reduce(lambda a, b: a & b, [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys])
@@ -152,8 +152,13 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: str | Iterable[str]
     aligned = align(batch, target.schema)
     keyed = aligned.filter(_has_key(keys))
     rest = [c for c in aligned.columns if c not in keys]
-    single = keyed.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
-        *keys, *[F.col("_row")[c].alias(c) for c in rest]) if rest else keyed.distinct()
+    if rest:
+        # ordered by a comparable form, so that the choice is repeatable
+        pick = F.min_by(F.struct(*rest), F.struct(*hashable(aligned, rest)))
+        single = keyed.groupBy(*keys).agg(pick.alias("_row")).select(
+            *keys, *[F.col("_row")[c].alias(c) for c in rest])
+    else:
+        single = keyed.distinct()
     fresh = single.select(*aligned.columns).join(
         target.filter(_has_key(keys)).select(*keys), keys, "left_anti")
     return fresh.select(*aligned.columns).unionByName(aligned.filter(~_has_key(keys)))

@@ -255,7 +255,7 @@ def compacted(df: DataFrame, segment_by: list[str], order_by: list[str]) -> Data
     """
     keys = [F.col(CHUNK), *[F.col(c).asc_nulls_last() for c in segment_by],
             *[_sort_key(o) for o in order_by]]
-    placed = df.withColumn("_spread", spread(df.columns))
+    placed = df.withColumn("_spread", spread(df))
     return placed.repartitionByRange(*keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
 
 

@@ -52,7 +52,7 @@ def clustered(df: DataFrame, geom: str = "geometry",
     """
     keyed = df.withColumn("_z", z_key(F.col(geom)["bbox"], extent))
     plain = [f.name for f in df.schema.fields if f.name != geom]
-    keyed = keyed.withColumn("_spread", spread(plain))
+    keyed = keyed.withColumn("_spread", spread(df, plain))
     cut = ["_z", "_spread"]
     ranged = keyed.repartitionByRange(partitions, *cut) if partitions else (
         keyed.repartitionByRange(*cut))

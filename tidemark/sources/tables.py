@@ -62,7 +62,12 @@ class Tables:
         return path
 
     def point_at(self, name: str, path: str, like: DataFrame) -> None:
-        """Make the staged folder the table's contents."""
+        """Make the staged folder the table's contents.
+
+        A table whose columns change is created anew; otherwise its location moves.
+        """
+        if self.exists(name) and _shape(self.read(name)) != _shape(like):
+            self.spark.sql(f"DROP TABLE {quoted(name)}")
         if self.exists(name):
             self.spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(name)
@@ -75,10 +80,7 @@ class Tables:
     def publish(self, df: DataFrame, name: str, layout: Iterable[str] = ()) -> int:
         """Replace the table's rows (creating the table); returns the row count."""
         watch = Watch(df)
-        path = self.stage(watch.df, name, layout)
-        if self.exists(name) and _shape(self.read(name)) != _shape(df):
-            self.spark.sql(f"DROP TABLE {quoted(name)}")
-        self.point_at(name, path, df)
+        self.point_at(name, self.stage(watch.df, name, layout), df)
         return watch.n
 
     def append(self, df: DataFrame, name: str) -> int:
@@ -114,8 +116,6 @@ class Tables:
         path = self.stage(watch.df, name)
         if primary_key is not None:
             self._check_key(self.spark.read.schema(df.schema).parquet(path), primary_key)
-        if self.exists(name):
-            self.spark.sql(f"DROP TABLE {quoted(name)}")
         self.point_at(name, path, df)
         return watch.n
 
