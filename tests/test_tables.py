@@ -128,6 +128,13 @@ def test_chunk_listing_and_dropping(chunked):
         chunked.show_chunks(older_than=5)
 
 
+def test_dropped_rows_do_not_come_back(spark, chunked):
+    chunked.drop_chunks(older_than=T0 + dt.timedelta(days=2))
+    late = spark.createDataFrame([(T0 + dt.timedelta(hours=1), 77.0)], "ts timestamp, val double")
+    chunked.append(late)
+    assert [r.val for r in chunked.read().orderBy("ts").collect()] == [77, 2, 3, 4, 5, 6, 7, 8, 9]
+
+
 def test_range_read_opens_only_its_chunks(chunked):
     part = chunked.read(T0 + dt.timedelta(days=3, hours=1), T0 + dt.timedelta(days=5))
     assert [r.val for r in part.collect()] == [4.0]

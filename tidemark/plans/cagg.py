@@ -19,7 +19,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators.timeseries import time_bucket_agg, time_range
 from tidemark.sources.chunks import CHUNK, ChunkedTable
-from tidemark.sources.tables import quoted
+from tidemark.sources.tables import Watch, quoted
 
 
 @dataclass(frozen=True)
@@ -82,11 +82,14 @@ class Materialization:
         outside = near.filter(~self._in_window(near, "bucket", first, stop)).drop(CHUNK)
         placed = fresh.unionByName(outside).select(
             *outside.columns, time_bucket(F.col("bucket"), self.of.chunk_interval).alias(CHUNK))
-        before = self._starts(near)
-        placed.hint("rebalance", F.col(CHUNK)).write.option(
+        before = self._stored_chunks(first, stop)
+        watch = Watch(placed, chunks=F.collect_set(CHUNK))
+        watch.df.hint("rebalance", F.col(CHUNK)).write.option(
             "partitionOverwriteMode", "dynamic").insertInto(quoted(self.of.name), overwrite=True)
+        # dynamic overwrite leaves a partition that got no rows as it was
+        written = set(watch.get()["chunks"] or ())
+        self.table.drop([chunk for chunk in before if chunk[0] not in written])
         self.spark.catalog.refreshTable(self.of.name)
-        self._drop_emptied(before, first, stop)
 
     def _inside(self, start, end):
         """The window shrunk to whole buckets."""
@@ -117,27 +120,13 @@ class Materialization:
         low = start_of(index_of(first, width), width) if first is not None else None
         return table.filter(self._in_window(table, CHUNK, low, stop))
 
-    def _starts(self, near: DataFrame) -> list[dt.datetime]:
-        # one value per partition of the window
-        return [r[CHUNK] for r in near.select(CHUNK).distinct().collect()]
-
-    def _drop_emptied(self, before: list[dt.datetime], first, stop) -> None:
-        """Dynamic overwrite keeps a partition that got no rows; drop those it left stale."""
-        if not before:
-            return
-        table = self.spark.table(quoted(self.of.name))
-        near = self._chunks_of(table, first, stop)
-        stale = near.filter(self._in_window(near, "bucket", first, stop)).select(
-            CHUNK, "bucket", *self.of.by)
-        live = self.of.aggregate(
-            time_range(self.of.source(self.spark), self.of.time, first, stop)
-        ).select("bucket").distinct()
-        gone = stale.join(live, "bucket", "left_anti").select(CHUNK).distinct().collect()
-        kind = table.schema[CHUNK].dataType.simpleString()
-        for row in gone:
-            self.spark.sql(
-                f"ALTER TABLE {quoted(self.of.name)} DROP IF EXISTS "
-                f"PARTITION ({CHUNK} = {kind} '{row[CHUNK].isoformat(sep=' ')}')")
+    def _stored_chunks(self, first, stop) -> list:
+        """Partitions that the window touches, from the catalog."""
+        width = self.of.chunk_interval
+        low = start_of(index_of(first, width), width) if first is not None else None
+        return [chunk for chunk in self.table.chunks()
+                if (low is None or naive_utc(chunk[0]) >= low)
+                and (stop is None or naive_utc(chunk[0]) < stop)]
 
     def refresh_policy(self, start_offset: str | None, end_offset: str | None,
                        now: dt.datetime | None = None) -> tuple:

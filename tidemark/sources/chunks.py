@@ -27,6 +27,8 @@ from tidemark.sources.tables import Watch, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
+# Partitions named in one statement.
+SPECS_PER_STATEMENT = 500
 
 
 def age_bound(value: str | dt.datetime | dt.date | None, now: dt.datetime | None) -> dt.datetime | None:
@@ -161,7 +163,7 @@ class ChunkedTable:
         """The catalog's partition list, one row per partition, without opening data."""
         return self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)}")
 
-    def _chunks(self, older_than, newer_than, now) -> list:
+    def chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None) -> list:
         """``(chunk start, partition path)`` of the chunks within the bounds, oldest first.
 
         The list comes from the catalog and has an entry per partition, not per row.
@@ -175,20 +177,39 @@ class ChunkedTable:
 
     def drop_chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None,
                     dry_run: bool = False) -> list[dt.datetime]:
-        """Drop whole chunks; returns their starts, oldest first.
-
-        Files of dropped partitions of an external table are left to the storage's
-        own cleaning; the table no longer reads them.
-        """
+        """Drop whole chunks, irreversibly; returns their starts, oldest first."""
         if older_than is None and newer_than is None:
             raise ValueError("give older_than, newer_than or both")
-        found = self._chunks(older_than, newer_than, now)
-        if found and not dry_run:
-            kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType.simpleString()
-            specs = ", ".join(_partition_spec(start, path, kind) for start, path in found)
-            self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
+        found = self.chunks(older_than, newer_than, now)
+        if not dry_run:
+            self.drop(found)
         return sorted({start for start, _ in found})
 
+    def drop(self, chunks: list) -> None:
+        """Drop partitions as listed by :meth:`chunks`, and their files.
+
+        The table has a location of its own, so the catalog leaves the files alone; left in
+        place, they would come back with the next row of the same chunk.
+        """
+        if not chunks:
+            return
+        kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType.simpleString()
+        location = self._location()
+        for at in range(0, len(chunks), SPECS_PER_STATEMENT):
+            some = chunks[at:at + SPECS_PER_STATEMENT]
+            specs = ", ".join(_partition_spec(start, path, kind) for start, path in some)
+            self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        conf = self.spark._jsc.hadoopConfiguration()
+        for _, path in chunks:
+            folder = hadoop.Path(f"{location}/{path}")
+            folder.getFileSystem(conf).delete(folder, True)
+        self.spark.catalog.refreshTable(self.name)
+
+    def _location(self) -> str:
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(self.name)}")
+        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
     def retain(self, drop_after: str, now: dt.datetime | None = None,
                dry_run: bool = False) -> list[dt.datetime]:
         """Drop chunks older than ``drop_after``; meant to be scheduled."""
@@ -198,7 +219,7 @@ class ChunkedTable:
     def compact(self, segment_by: str | Iterable[str] = (), order_by: str | Iterable[str] = (),
                 older_than=None, now: dt.datetime | None = None) -> list[dt.datetime]:
         """Rewrite old chunks sorted and compressed; returns the chunks rewritten."""
-        starts = sorted({start for start, _ in self._chunks(older_than, None, now)})
+        starts = sorted({start for start, _ in self.chunks(older_than, None, now)})
         if not starts:
             return starts
         table = self.spark.table(quoted(self.name))

@@ -44,7 +44,10 @@ def maintain_aggregate(stream: DataFrame, table: ChunkedTable, time: str, width:
     buckets = windowed(stream, time, width, aggregates, by, lateness)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        # the upsert reads the batch more than once; do not aggregate it again
+        batch.persist()
         table.upsert(batch, ["bucket", *by])
+        batch.unpersist()
 
     return buckets.writeStream.outputMode("update").foreachBatch(each).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -61,10 +64,12 @@ def maintain_rows(stream: DataFrame, tables: Tables, target: str, keys: str | It
     keys, order_by = names(keys), names(order_by)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         known = tables.read(target)
         rivals = known.join(batch.select(*keys).distinct(), keys, "left_semi")
         newest = batch.select(*known.columns).unionByName(rivals.select(*known.columns))
         tables.upsert(newest, target, keys, on_duplicate="last", order_by=order_by)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(each).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
