@@ -57,6 +57,15 @@ def test_changes_report_their_rows(spark, tables, name):
     assert tables.read(name).count() == 0
 
 
+def test_old_versions_can_be_removed(spark, tables, name):
+    tables.write(_frame(spark, [(1, "a")]), name)
+    tables.update(name, {"val": "b"}, {"id": 1})
+    tables.update(name, {"val": "c"}, {"id": 1})
+    assert tables.remove_old_versions(name) == 2
+    assert tables.remove_old_versions(name) == 0
+    assert rows_of(tables.read(name)) == [(1, "c")]
+
+
 def test_failed_upsert_leaves_the_table(spark, tables, name):
     tables.write(_frame(spark, [(1, "old")]), name)
     with pytest.raises(Exception, match="touch a row twice"):

@@ -23,7 +23,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names, spread
-from tidemark.sources.tables import Watch, quoted
+from tidemark.sources.tables import Watch, location_of, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
@@ -194,7 +194,7 @@ class ChunkedTable:
         if not chunks:
             return
         kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType.simpleString()
-        location = self._location()
+        location = location_of(self.spark, self.name)
         for at in range(0, len(chunks), SPECS_PER_STATEMENT):
             some = chunks[at:at + SPECS_PER_STATEMENT]
             specs = ", ".join(_partition_spec(start, path, kind) for start, path in some)
@@ -206,10 +206,6 @@ class ChunkedTable:
             folder.getFileSystem(conf).delete(folder, True)
         self.spark.catalog.refreshTable(self.name)
 
-    def _location(self) -> str:
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(self.name)}")
-        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
-
     def retain(self, drop_after: str, now: dt.datetime | None = None,
                dry_run: bool = False) -> list[dt.datetime]:
         """Drop chunks older than ``drop_after``; meant to be scheduled."""

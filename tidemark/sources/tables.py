@@ -77,6 +77,20 @@ class Tables:
         self.spark.sql(
             f"CREATE TABLE {quoted(name)} ({columns}) USING parquet LOCATION '{path}'")
 
+    def remove_old_versions(self, name: str) -> int:
+        """Delete folders that the table pointed at before; returns how many.
+
+        For a time when nobody reads an older version any more.
+        """
+        current = location_of(self.spark, name).rsplit("/", 1)[-1]
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        home = hadoop.Path(f"{self.root}/{name}")
+        files = home.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = [s.getPath() for s in files.listStatus(home) if s.getPath().getName() != current]
+        for folder in old:
+            files.delete(folder, True)
+        return len(old)
+
     def publish(self, df: DataFrame, name: str, layout: Iterable[str] = ()) -> int:
         """Replace the table's rows (creating the table); returns the row count."""
         watch = Watch(df)
@@ -161,6 +175,11 @@ class Tables:
         self.point_at(name, self.stage(empty, name), empty)
 
 
+def location_of(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}")
+    return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
 class Watch:
     """Measures of a frame, taken while its rows are written.
 
