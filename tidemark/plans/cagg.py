@@ -19,7 +19,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators.timeseries import time_bucket_agg, time_range
 from tidemark.sources.chunks import CHUNK, ChunkedTable
-from tidemark.sources.tables import Watch, quoted
+from tidemark.sources.tables import Watch, overwrite_partitions, quoted
 
 
 @dataclass(frozen=True)
@@ -84,12 +84,10 @@ class Materialization:
             *outside.columns, time_bucket(F.col("bucket"), self.of.chunk_interval).alias(CHUNK))
         before = self._stored_chunks(first, stop)
         watch = Watch(placed, chunks=F.collect_set(CHUNK))
-        watch.df.hint("rebalance", F.col(CHUNK)).write.option(
-            "partitionOverwriteMode", "dynamic").insertInto(quoted(self.of.name), overwrite=True)
+        overwrite_partitions(watch.df.hint("rebalance", F.col(CHUNK)), self.of.name)
         # dynamic overwrite leaves a partition that got no rows as it was
         written = set(watch.get()["chunks"] or ())
         self.table.drop([chunk for chunk in before if chunk[0] not in written])
-        self.spark.catalog.refreshTable(self.of.name)
 
     def _inside(self, start, end):
         """The window shrunk to whole buckets."""

@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # capturing a call site for every column makes large expressions slow to build
@@ -35,7 +34,6 @@ def build_session(app_name: str = "tidemark", **overrides: str) -> SparkSession:
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings the operators rely on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return spark
 
 

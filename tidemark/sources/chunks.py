@@ -23,7 +23,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names, spread
-from tidemark.sources.tables import Watch, location_of, quoted
+from tidemark.sources.tables import Watch, location_of, overwrite_partitions, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
@@ -115,7 +115,8 @@ class ChunkedTable:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
         self.spark.sql(
             f"CREATE TABLE {quoted(self.name)} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(self._partition_columns(placed))}) LOCATION '{path}'")
+            f"PARTITIONED BY ({', '.join(self._partition_columns(placed))}) LOCATION '{path}' "
+            "TBLPROPERTIES ('parquet.compression' = 'zstd')")
         if migrate_data:
             self.append(like)
         return self
@@ -214,7 +215,11 @@ class ChunkedTable:
 
     def compact(self, segment_by: str | Iterable[str] = (), order_by: str | Iterable[str] = (),
                 older_than=None, now: dt.datetime | None = None) -> list[dt.datetime]:
-        """Rewrite old chunks sorted and compressed; returns the chunks rewritten."""
+        """Rewrite old chunks sorted; returns the chunks rewritten.
+
+        Sorting is what compresses: equal segments and near values end up side by side.
+        The codec is the table's own.
+        """
         starts = sorted({start for start, _ in self.chunks(older_than, None, now)})
         if not starts:
             return starts
@@ -223,10 +228,7 @@ class ChunkedTable:
         old = table.filter(F.col(CHUNK).isin([time_literal(s, ctype) for s in starts]))
         columns = table.columns
         sorted_rows = compacted(old, names(segment_by), names(order_by) or [f"{self.time} DESC"])
-        (sorted_rows.select(*columns).write.option("compression", "zstd")
-         .option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(
-            quoted(self.name), overwrite=True))
-        self.spark.catalog.refreshTable(self.name)
+        overwrite_partitions(sorted_rows.select(*columns), self.name)
         return starts
 
     def upsert(self, batch: DataFrame, keys: str | Iterable[str], **options) -> int:
@@ -242,9 +244,8 @@ class ChunkedTable:
         merged = rows.upsert(touched.select(*table.columns), placed, [*keys, *parts],
                              mark="_changed", **options)
         watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
-        watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]).write.option(
-            "partitionOverwriteMode", "dynamic").insertInto(quoted(self.name), overwrite=True)
-        self.spark.catalog.refreshTable(self.name)
+        overwrite_partitions(
+            watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]), self.name)
         return watch.n
 
 

@@ -175,6 +175,22 @@ class Tables:
         self.point_at(name, self.stage(empty, name), empty)
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace exactly the partitions that occur in ``df``.
+
+    ``insertInto`` takes the overwrite mode from the session only, and in the other mode
+    it would empty the whole table, so the mode is set for the write itself.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(quoted(name), overwrite=True)
+    finally:
+        conf.set(key, before)
+    df.sparkSession.catalog.refreshTable(name)
+
+
 def location_of(spark: SparkSession, name: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}")
     return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
