@@ -199,10 +199,13 @@ def test_compaction_sorts_old_chunks(spark, name, tmp_path):
     table = ChunkedTable(spark, name, "ts")
     path = str(tmp_path / "compact")
     table.create(df.repartition(8), path, migrate_data=True)
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
     done = table.compact("k", "ts DESC", "2 days", T0 + dt.timedelta(days=4))
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
     assert len(done) == 2 and table.read().count() == 96
     files = [r.f for r in spark.table(name).filter(F.col("ts") < T0 + dt.timedelta(days=1))
              .select(F.input_file_name().alias("f")).distinct().collect()]
+    assert files[0].endswith(".zstd.parquet")
     stored = spark.read.parquet(unquote(files[0])).collect()
     assert stored == sorted(stored, key=lambda r: (r.k, -r.ts.timestamp()))
 

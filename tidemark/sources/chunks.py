@@ -116,7 +116,7 @@ class ChunkedTable:
         self.spark.sql(
             f"CREATE TABLE {quoted(self.name)} ({columns}) USING parquet "
             f"PARTITIONED BY ({', '.join(self._partition_columns(placed))}) LOCATION '{path}' "
-            "TBLPROPERTIES ('parquet.compression' = 'zstd')")
+            "OPTIONS ('compression' = 'zstd')")
         if migrate_data:
             self.append(like)
         return self
@@ -218,7 +218,7 @@ class ChunkedTable:
         """Rewrite old chunks sorted; returns the chunks rewritten.
 
         Sorting is what compresses: equal segments and near values end up side by side.
-        The codec is the table's own.
+        The codec is the table's own (zstd).
         """
         starts = sorted({start for start, _ in self.chunks(older_than, None, now)})
         if not starts:
