@@ -212,9 +212,10 @@ def mixed(docs: DataFrame, weight_cycle=(5, 2, 1), most: float = 3, shards: int
     """
     slim = written(_slim(docs, seed, doc_id, text, source), "mix")
     plan = _per_source(slim, weight_cycle, most, shards, block_bits, seed)
-    keyed = docs.withColumn("_hash", _permuted(seed, F.col(doc_id).cast("string"), F.col(text)))
-    placed = _placed(keyed, source, plan, shards, block_bits).withColumn("_place", F.explode("places"))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_place.shard").alias("_shard"),
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(source).alias("_of"),
+                        _permuted(seed, F.col(doc_id).cast("string"), F.col(text)).alias("_hash"))
+    placed = _placed(keyed, "_of", plan, shards, block_bits).withColumn("_place", F.explode("places"))
+    return placed.select("_row.*", F.col("_place.shard").alias("_shard"),
                          F.xxhash64(F.lit(seed + 1), "_hash", F.col("_place.pass")).alias("_rank"))
 
 

@@ -35,7 +35,7 @@ from tidemark.llm.scratch import written
 
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
-MAP_WORDS = 8   # 64 bit words of a set's bitmap
+MAP_WORDS = 32   # 64 bit words of a set's bitmap
 PER_GROUP = 8   # frequent shingles of a prefix that a group holds, about
 
 
