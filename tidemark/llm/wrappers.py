@@ -334,9 +334,10 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     """
     found = wrappers(pages, url, html).withColumnRenamed("host", "_host")
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
-    joined = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html).alias("_html"),
+    held = [f"_{i}" for i in range(len(kept))]
+    joined = pages.select(*[F.col(f"`{c}`").alias(h) for c, h in zip(kept, held)], F.col(html).alias("_html"),
                           host_of(F.col(url)).alias("_host")).join(found, "_host") \
-        .select(*[F.col(f"`{c}`") for c in kept], "_html", "wrapper")
+        .select(*held, "_html", "wrapper")
 
     def run(batches):
         known, flags_of = {}, {}
