@@ -43,13 +43,15 @@ def _has_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def _apart(keys: list[str], df: DataFrame) -> Column:
+def _apart(keys: list[str], df: DataFrame, match_nulls: bool) -> Column:
     """0 for rows with a full key; rows without one match nothing and are spread out."""
+    if match_nulls:
+        return F.lit(0).cast("long")
     return F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(spread(df))
 
 
 def _one_per_key(batch: DataFrame, keys: list[str], on_duplicate: str,
-                 order_by: list[str]) -> DataFrame:
+                 order_by: list[str], match_nulls: bool) -> DataFrame:
     """One batch row per key, and all rows without a full key.
 
     The aggregate shuffles the batch by key, which the join that follows needs anyway.
@@ -61,18 +63,20 @@ def _one_per_key(batch: DataFrame, keys: list[str], on_duplicate: str,
     if on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
-        row = F.max_by(payload, F.struct(*order_by))
+        # the other columns break ties, so that the choice is repeatable
+        row = F.max_by(payload, F.struct(*order_by, *hashable(batch, rest)))
     elif on_duplicate == "error":
         row = F.first(payload)
     else:
         raise ValueError("on_duplicate must be 'error' or 'last'")
-    marked = batch.withColumn("_apart", _apart(keys, batch)).withColumn(
+    marked = batch.withColumn("_apart", _apart(keys, batch, match_nulls)).withColumn(
         "_row_hash", F.when(F.col("_apart") != 0, F.hash(*hashable(batch))))
     picked = marked.groupBy(*keys, "_apart", "_row_hash").agg(
         row.alias("_row"), F.count(F.lit(1)).alias("_n"))
-    times = F.when(~_has_key(keys), F.col("_n")).otherwise(F.lit(1).cast("long"))
+    matches = F.lit(True) if match_nulls else _has_key(keys)
+    times = F.when(~matches, F.col("_n")).otherwise(F.lit(1).cast("long"))
     if on_duplicate == "error":
-        times = F.when(_has_key(keys) & (F.col("_n") > 1), F.raise_error(F.lit(
+        times = F.when(matches & (F.col("_n") > 1), F.raise_error(F.lit(
             "upsert cannot touch a row twice: duplicate key in the batch")).cast("long")
         ).otherwise(times)
     copies = picked.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
@@ -101,21 +105,25 @@ def upsert(
     on_duplicate: str = "error",
     order_by: str | Iterable[str] = (),
     mark: str | None = None,
+    match_nulls: bool = False,
 ) -> DataFrame:
     """The target after inserting the batch, updating rows whose key exists.
 
     ``update`` defaults to every non-key column of the batch.  Other columns keep their
-    value on update and are NULL on insert.  A NULL key never matches.  ``mark`` names a
-    column that tells changed rows from untouched ones.
+    value on update and are NULL on insert.  A NULL key never matches, unless ``match_nulls``
+    makes NULL a value like any other, as in a group key.  ``mark`` names a column that tells
+    changed rows from untouched ones.
     """
     keys, update = _check_upsert(target, batch, keys, update)
-    single = _one_per_key(batch, keys, on_duplicate, names(order_by))
+    single = _one_per_key(batch, keys, on_duplicate, names(order_by), match_nulls)
     old = target.select(
         *[F.col(f"`{c}`").alias(f"o_{c}") for c in target.columns],
-        _apart(keys, target).alias("_apart_o"), F.lit(True).alias("_old"))
+        _apart(keys, target, match_nulls).alias("_apart_o"), F.lit(True).alias("_old"))
     new = single.select(*[F.col(f"`{c}`").alias(f"n_{c}") for c in batch.columns],
                         F.col("_apart").alias("_apart_n"), F.lit(True).alias("_new"))
-    on = reduce(lambda a, b: a & b, [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [
+        F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}")) if match_nulls else F.col(f"o_{k}") == F.col(f"n_{k}")
+        for k in keys])
     both = old.join(new, on & (F.col("_apart_o") == F.col("_apart_n")), "full")
 
     fresh, inserted = F.col("_new").isNotNull(), F.col("_old").isNull()

@@ -19,7 +19,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators.timeseries import time_bucket_agg, time_range
 from tidemark.sources.chunks import CHUNK, ChunkedTable
-from tidemark.sources.tables import Watch, overwrite_partitions, quoted
+from tidemark.sources.tables import quoted
 
 
 @dataclass(frozen=True)
@@ -83,11 +83,7 @@ class Materialization:
         placed = fresh.unionByName(outside).select(
             *outside.columns, time_bucket(F.col("bucket"), self.of.chunk_interval).alias(CHUNK))
         before = self._stored_chunks(first, stop)
-        watch = Watch(placed, chunks=F.collect_set(CHUNK))
-        overwrite_partitions(watch.df.hint("rebalance", F.col(CHUNK)), self.of.name)
-        # dynamic overwrite leaves a partition that got no rows as it was
-        written = set(watch.get()["chunks"] or ())
-        self.table.drop([chunk for chunk in before if chunk[0] not in written])
+        self.table.replace(placed.hint("rebalance", F.col(CHUNK)), [path for _, path in before])
 
     def _inside(self, start, end):
         """The window shrunk to whole buckets."""
@@ -138,8 +134,13 @@ class Materialization:
         return window
 
     def horizon(self) -> dt.datetime | None:
-        """End of the last stored bucket (one row is read)."""
-        last = self.stored().agg(F.max("bucket").alias("b")).first()["b"]
+        """End of the last stored bucket; only the newest partition is read."""
+        listed = self.table.chunks()
+        if not listed:
+            return None
+        newest = self.spark.table(quoted(self.of.name))
+        newest = newest.filter(F.col(CHUNK) == time_literal(listed[-1][0], newest.schema[CHUNK].dataType))
+        last = newest.agg(F.max("bucket").alias("b")).first()["b"]
         if last is None:
             return None
         return start_of(index_of(last, self.of.width) + 1, self.of.width)

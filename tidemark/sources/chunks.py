@@ -8,7 +8,9 @@ other chunks.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +25,18 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names, spread
-from tidemark.sources.tables import Watch, location_of, overwrite_partitions, quoted
+from tidemark.sources.tables import Watch, files_at, location_of, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
 # Partitions named in one statement.
 SPECS_PER_STATEMENT = 500
+# Folder of rewritten partitions, below the table's own.
+VERSIONS = "_versions"
+# Empty file in the folder of a compacted partition; its name ends with the number of files.
+COMPACTED = "_compacted-"
+# What Spark writes for a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def age_bound(value: str | dt.datetime | dt.date | None, now: dt.datetime | None) -> dt.datetime | None:
@@ -167,15 +175,38 @@ class ChunkedTable:
     def chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None) -> list:
         """``(chunk start, partition path)`` of the chunks within the bounds, oldest first.
 
-        The list comes from the catalog and has an entry per partition, not per row.
+        The list comes from the catalog and has an entry per partition, not per row; only the
+        partitions within the bounds reach the driver.
         """
-        ctype = self.spark.table(quoted(self.name)).schema[CHUNK].dataType
+        ctype = self._chunk_type()
         listed = self._partitions().select("partition", F.url_decode(F.regexp_extract(
             "partition", f"{CHUNK}=([^/]+)", 1)).cast(ctype).alias(CHUNK))
         keep = _bounds(self.width, age_bound(older_than, now), age_bound(newer_than, now), ctype)
         found = listed.filter(keep).orderBy(CHUNK, "partition").collect()
         return [(r[CHUNK], r["partition"]) for r in found]
 
+    def _chunk_type(self) -> T.DataType:
+        return self.spark.table(quoted(self.name)).schema[CHUNK].dataType
+
+    def _spec(self, path: str) -> str:
+        """Full partition spec of a catalog entry such as ``chunk_start=…/dim_bucket=3``."""
+        kind, out = self._chunk_type().simpleString(), []
+        for part in path.split("/"):
+            column, _, text = part.partition("=")
+            value = unquote(text)
+            if value == NULL_PARTITION:
+                out.append(f"{column} = NULL")
+            elif column == CHUNK:
+                out.append(f"{column} = {kind} '{value}'")
+            else:
+                out.append(f"{column} = {int(value)}")
+        return f"PARTITION ({', '.join(out)})"
+
+    def _folder(self, path: str) -> str:
+        """Where the catalog has a partition's files."""
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(self.name)} {self._spec(path)}")
+        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
     def drop_chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None,
                     dry_run: bool = False) -> list[dt.datetime]:
         """Drop whole chunks, irreversibly; returns their starts, oldest first."""
@@ -194,19 +225,67 @@ class ChunkedTable:
         """
         if not chunks:
             return
-        kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType.simpleString()
+        self._forget([path for _, path in chunks])
+        self.spark.catalog.refreshTable(self.name)
+
+    def _forget(self, paths: list[str]) -> None:
         location = location_of(self.spark, self.name)
-        for at in range(0, len(chunks), SPECS_PER_STATEMENT):
-            some = chunks[at:at + SPECS_PER_STATEMENT]
-            specs = ", ".join(_partition_spec(start, path, kind) for start, path in some)
+        folders = [self._folder(path) for path in paths]
+        for at in range(0, len(paths), SPECS_PER_STATEMENT):
+            specs = ", ".join(self._spec(p) for p in paths[at:at + SPECS_PER_STATEMENT])
             self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        conf = self.spark._jsc.hadoopConfiguration()
-        for _, path in chunks:
-            folder = hadoop.Path(f"{location}/{path}")
-            folder.getFileSystem(conf).delete(folder, True)
+        # the default folder too: an insert would find what an interrupted rewrite left there
+        for folder in {*folders, *(f"{location}/{path}" for path in paths)}:
+            files, at = files_at(self.spark, folder)
+            files.delete(at, True)
+
+    def replace(self, df: DataFrame, paths: Iterable[str], mark_compacted: bool = False) -> None:
+        """Put the rows of ``df`` in the place of the listed partitions.
+
+        ``df`` has all columns, the partition columns last, and may read those partitions.  The rows
+        go to a fresh folder first.  Then the catalog is pointed at the new partitions, one
+        statement each, and listed partitions without rows are dropped; the old files go last.
+        A job that is lost while writing changes nothing, one lost later leaves every partition
+        either old or new, and can be repeated.
+        """
+        parts = self._partition_columns(df)
+        location = location_of(self.spark, self.name)
+        fresh = f"{location}/{VERSIONS}/{uuid.uuid4().hex}"
+        files, root = files_at(self.spark, fresh)
+        try:
+            df.write.partitionBy(*parts).option("compression", "zstd").parquet(fresh)
+        except Exception:
+            files.delete(root, True)
+            raise
+        written, level = {}, [(root, "")]
+        for _ in parts:
+            level = [(s.getPath(), f"{prefix}{s.getPath().getName()}/") for at, prefix in level
+                     for s in files.listStatus(at) if s.isDirectory()]
+        written = {prefix.rstrip("/"): at for at, prefix in level} if files.exists(root) else {}
+        if mark_compacted:
+            for at in written.values():
+                count = sum(_is_data(s) for s in files.listStatus(at))
+                files.create(_child(self.spark, at, f"{COMPACTED}{count}"), True).close()
+        known = set(paths)
+        old = [self._folder(path) for path in known]
+        for path in written:
+            statement = "SET LOCATION" if path in known else "LOCATION"
+            verb = "" if path in known else "ADD IF NOT EXISTS "
+            self.spark.sql(f"ALTER TABLE {quoted(self.name)} {verb}{self._spec(path)} "
+                           f"{statement} '{fresh}/{path.replace(chr(39), '')}'")
+        self._forget([path for path in known if path not in written])
+        for folder in old:
+            where, at = files_at(self.spark, folder)
+            where.delete(at, True)
         self.spark.catalog.refreshTable(self.name)
 
+    def is_compacted(self, path: str) -> bool:
+        """Whether a partition is as the last compaction left it."""
+        files, at = files_at(self.spark, self._folder(path))
+        listed = [s for s in files.listStatus(at)] if files.exists(at) else []
+        marks = [s.getPath().getName() for s in listed if s.getPath().getName().startswith(COMPACTED)]
+        return marks == [f"{COMPACTED}{sum(_is_data(s) for s in listed)}"]
+
     def retain(self, drop_after: str, now: dt.datetime | None = None,
                dry_run: bool = False) -> list[dt.datetime]:
         """Drop chunks older than ``drop_after``; meant to be scheduled."""
@@ -218,45 +297,55 @@ class ChunkedTable:
         """Rewrite old chunks sorted; returns the chunks rewritten.
 
         Sorting is what compresses: equal segments and near values end up side by side.
-        The codec is the table's own (zstd).
+        The codec is the table's own (zstd).  A chunk that is as the last compaction left it is
+        skipped; an insert, an upsert or new files make it eligible again.
         """
-        starts = sorted({start for start, _ in self.chunks(older_than, None, now)})
-        if not starts:
-            return starts
-        table = self.spark.table(quoted(self.name))
-        ctype = table.schema[CHUNK].dataType
-        old = table.filter(F.col(CHUNK).isin([time_literal(s, ctype) for s in starts]))
-        columns = table.columns
-        sorted_rows = compacted(old, names(segment_by), names(order_by) or [f"{self.time} DESC"])
-        overwrite_partitions(sorted_rows.select(*columns), self.name)
-        return starts
+        held = self.chunks(older_than, None, now)
+        due = sorted({start for start, path in held if not self.is_compacted(path)})
+        kind = self._chunk_type()
+        for at in range(0, len(due), SPECS_PER_STATEMENT):
+            some = set(due[at:at + SPECS_PER_STATEMENT])
+            table = self.spark.table(quoted(self.name))
+            old = table.filter(F.col(CHUNK).isin([time_literal(s, kind) for s in some]))
+            sorted_rows = compacted(old, names(segment_by), names(order_by) or [f"{self.time} DESC"])
+            self.replace(sorted_rows.select(*table.columns), [p for s, p in held if s in some],
+                         mark_compacted=True)
+        return due
 
     def upsert(self, batch: DataFrame, keys: str | Iterable[str], **options) -> int:
-        """Merge a batch whose key includes the time; only the touched chunks are rewritten."""
+        """Merge a batch whose key includes the time; only the touched chunks are rewritten.
+
+        The time alone says which chunk a key is in, so the rows of a chunk are found whatever
+        their dimension was, and a row whose dimension changes moves.  A chunk starts list of the
+        batch is read first; an empty batch writes nothing.
+        """
         keys = names(keys)
         if self.time not in keys:
             raise ValueError("the key of a chunked table must include its time column")
         placed = self._place(batch)
-        parts = self._partition_columns(placed)
+        parts, kind = self._partition_columns(placed), self._chunk_type()
+        starts = {r[0] for r in placed.select(F.col(CHUNK).cast(kind)).distinct().collect()}
+        if not starts:
+            return 0
         table = self.spark.table(quoted(self.name))
-        # pruned at run time to the chunks that occur in the batch
-        touched = table.join(placed.select(*parts).distinct(), parts, "left_semi")
-        merged = rows.upsert(touched.select(*table.columns), placed, [*keys, *parts],
-                             mark="_changed", **options)
+        # literal bounds prune the scan, whatever the size of the batch
+        ranged = table.filter(F.col(CHUNK).between(time_literal(min(starts), kind), time_literal(max(starts), kind)))
+        touched = ranged.filter(F.col(CHUNK).isin([time_literal(s, kind) for s in starts])) \
+            if len(starts) <= SPECS_PER_STATEMENT else ranged
+        paths = [path for start, path in self.chunks(None, min(starts)) if start <= max(starts)
+                 and (start in starts or len(starts) > SPECS_PER_STATEMENT)]
+        merged = rows.upsert(touched.select(*table.columns), placed, keys, mark="_changed", **options)
         watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
-        overwrite_partitions(
-            watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]), self.name)
+        self.replace(watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]), paths)
         return watch.n
 
 
-def _partition_spec(start: dt.datetime, path: str, kind: str) -> str:
-    """Full partition spec of a catalog entry such as ``chunk_start=…/dim_bucket=3``."""
-    spec = f"{CHUNK} = {kind} '{start.isoformat(sep=' ')}'"
-    for part in path.split("/"):
-        column, _, value = part.partition("=")
-        if column == DIMENSION:
-            spec += f", {DIMENSION} = {int(value)}"
-    return f"PARTITION ({spec})"
+def _is_data(status) -> bool:
+    return not status.getPath().getName().startswith(("_", "."))
+
+
+def _child(spark: SparkSession, at, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(at, name)
 
 
 def _sort_key(text: str) -> Column:

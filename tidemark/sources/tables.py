@@ -58,20 +58,39 @@ class Tables:
         layout = names(layout)
         if layout:
             df = df.sortWithinPartitions(*layout)
-        df.write.mode("errorifexists").parquet(path)
+        try:
+            df.write.mode("errorifexists").parquet(path)
+        except Exception:
+            self.discard(path)
+            raise
         return path
 
+    def discard(self, path: str) -> None:
+        """Delete a staged folder that is not published."""
+        files, at = files_at(self.spark, path)
+        files.delete(at, True)
+
     def point_at(self, name: str, path: str, like: DataFrame) -> None:
         """Make the staged folder the table's contents.
 
-        A table whose columns change is created anew; otherwise its location moves.
+        A table whose columns change is created beside the old one and takes its name; otherwise
+        the location moves.
         """
-        if self.exists(name) and _shape(self.read(name)) != _shape(like):
+        exists = self.exists(name)
+        if exists and _shape(self.read(name)) != _shape(like):
+            # the new table exists before the old one goes, and a failure leaves one of them
+            beside = f"{name}_{uuid.uuid4().hex}"
+            self._create(beside, path, like)
             self.spark.sql(f"DROP TABLE {quoted(name)}")
-        if self.exists(name):
+            self.spark.sql(f"ALTER TABLE {quoted(beside)} RENAME TO {quoted(name)}")
+            return
+        if exists:
             self.spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(name)
             return
+        self._create(name, path, like)
+
+    def _create(self, name: str, path: str, like: DataFrame) -> None:
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
         self.spark.sql(
@@ -129,7 +148,11 @@ class Tables:
         watch = Watch(df)
         path = self.stage(watch.df, name)
         if primary_key is not None:
-            self._check_key(self.spark.read.schema(df.schema).parquet(path), primary_key)
+            try:
+                self._check_key(self.spark.read.schema(df.schema).parquet(path), primary_key)
+            except KeyViolation:
+                self.discard(path)
+                raise
         self.point_at(name, path, df)
         return watch.n
 
@@ -145,7 +168,12 @@ class Tables:
 
     def upsert(self, batch: DataFrame, name: str, keys: str | Iterable[str],
                update: Iterable[str] | None = None, **options) -> int:
-        """Merge the batch into the table; returns the inserted and updated rows."""
+        """Merge the batch into the table; returns the inserted and updated rows.
+
+        An empty batch writes nothing.
+        """
+        if batch.isEmpty():
+            return 0
         merged = rows.upsert(self.read(name), batch, keys, update, mark="_changed", **options)
         watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
         rewritten = watch.df.drop("_changed")
@@ -175,27 +203,17 @@ class Tables:
         self.point_at(name, self.stage(empty, name), empty)
 
 
-def overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replace exactly the partitions that occur in ``df``.
-
-    ``insertInto`` takes the overwrite mode from the session only, and in the other mode
-    it would empty the whole table, so the mode is set for the write itself.
-    """
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        df.write.insertInto(quoted(name), overwrite=True)
-    finally:
-        conf.set(key, before)
-    df.sparkSession.catalog.refreshTable(name)
-
-
 def location_of(spark: SparkSession, name: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}")
     return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
 
 
+def files_at(spark: SparkSession, folder: str):
+    """The file system of a folder, and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 class Watch:
     """Measures of a frame, taken while its rows are written.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,8 @@ def maintain_aggregate(stream: DataFrame, table: ChunkedTable, time: str, width:
     """Keep a bucket table up to date from a stream.
 
     Every batch carries the whole new value of each changed bucket and replaces it, so a
-    batch that runs twice changes nothing.  Only the touched chunks are rewritten.
+    batch that runs twice changes nothing.  NULL is a group like any other.  Only the touched
+    chunks are rewritten.
     """
     by = names(by)
     buckets = windowed(stream, time, width, aggregates, by, lateness)
@@ -46,8 +48,10 @@ def maintain_aggregate(stream: DataFrame, table: ChunkedTable, time: str, width:
     def each(batch: DataFrame, batch_id: int) -> None:
         # the upsert reads the batch more than once; do not aggregate it again
         batch.persist()
-        table.upsert(batch, ["bucket", *by])
-        batch.unpersist()
+        try:
+            table.upsert(batch, ["bucket", *by], match_nulls=True)
+        finally:
+            batch.unpersist()
 
     return buckets.writeStream.outputMode("update").foreachBatch(each).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -58,18 +62,22 @@ def maintain_rows(stream: DataFrame, tables: Tables, target: str, keys: str | It
     """Keep the newest row of each key, by ``order_by``, in a table.
 
     A stored row only gives way to a newer one, so neither the order of arrival nor a
-    batch that runs twice changes the result.  The checkpoint takes the place of a
-    high-water mark.
+    batch that runs twice changes the result.  NULL is a key like any other.  The checkpoint
+    takes the place of a high-water mark.
     """
     keys, order_by = names(keys), names(order_by)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        known = tables.read(target)
-        rivals = known.join(batch.select(*keys).distinct(), keys, "left_semi")
-        newest = batch.select(*known.columns).unionByName(rivals.select(*known.columns))
-        tables.upsert(newest, target, keys, on_duplicate="last", order_by=order_by)
-        batch.unpersist()
+        try:
+            known = tables.read(target)
+            mine = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+            rivals = known.join(mine, same, "left_semi")
+            newest = batch.select(*known.columns).unionByName(rivals.select(*known.columns))
+            tables.upsert(newest, target, keys, on_duplicate="last", order_by=order_by, match_nulls=True)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(each).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
