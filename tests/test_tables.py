@@ -193,6 +193,78 @@ def test_chunked_upsert_touches_its_chunks_only(spark, name, tmp_path):
         table.upsert(batch, ["k"])
 
 
+def test_chunked_upsert_with_null_and_changed_dimension(spark, name, tmp_path):
+    schema = "ts timestamp, k int, part int, v string"
+    old = [(T0, i, None if i % 2 else i, "old") for i in range(6)] + [(T0 + dt.timedelta(days=1), 9, None, "old")]
+    table = ChunkedTable(spark, name, "ts", "1 day", ("part", {"chunk_interval": 2}))
+    table.create(spark.createDataFrame(old, schema), str(tmp_path / "dim"), migrate_data=True)
+    batch = [(T0, 1, None, "new"), (T0, 2, 5, "moved"), (T0, 4, None, "moved"), (T0, 7, None, "add")]
+    assert table.upsert(spark.createDataFrame(batch, schema), ["ts", "k"]) == 4
+    got = {r.k: (r.part, r.v) for r in table.read().collect()}
+    assert got == {0: (0, "old"), 1: (None, "new"), 2: (5, "moved"), 3: (None, "old"), 4: (None, "moved"),
+                   5: (None, "old"), 7: (None, "add"), 9: (None, "old")}
+    assert table.read().count() == 8
+    assert table.upsert(spark.createDataFrame([], schema), ["ts", "k"]) == 0
+    table.append(spark.createDataFrame([(T0, 20, None, "more")], schema))
+    assert table.read().count() == 9
+    table.drop_chunks(older_than=T0 + dt.timedelta(days=1))
+    assert [r.k for r in table.read().collect()] == [9]
+    table.append(spark.createDataFrame([(T0, 20, None, "more")], schema))
+    assert sorted(r.k for r in table.read().collect()) == [9, 20]
+
+
+def test_failed_rewrite_leaves_the_chunks(spark, name, tmp_path):
+    schema = "ts timestamp, k int, v string"
+    table = ChunkedTable(spark, name, "ts")
+    table.create(spark.createDataFrame([(T0, 1, "old")], schema), str(tmp_path / "f"), migrate_data=True)
+    broken = spark.createDataFrame([(T0, 1, "x")], schema).withColumn(
+        "v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        table.upsert(broken, ["ts", "k"])
+    assert [tuple(r) for r in table.read().collect()] == [(T0, 1, "old")]
+
+
+def test_upsert_scans_touched_chunks_whatever_may_be_broadcast(spark, name, tmp_path):
+    schema = "ts timestamp, k int, v string"
+    df = spark.createDataFrame([(T0 + dt.timedelta(days=d), d, "old") for d in range(8)], schema)
+    table = ChunkedTable(spark, name, "ts")
+    table.create(df, str(tmp_path / "scan"), migrate_data=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written = []
+    original = ChunkedTable.replace
+
+    def watched(self, rows, paths, **options):
+        written.extend(paths)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        bounds = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "chunk_start" in bounds and "2024-01-01 00:00:00" in bounds and "dynamic" not in bounds
+        return original(self, rows, paths, **options)
+
+    ChunkedTable.replace = watched
+    try:
+        table.upsert(spark.createDataFrame([(T0, 0, "new")], schema), ["ts", "k"])
+    finally:
+        ChunkedTable.replace = original
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(written) == 1
+    assert table.read().filter("v = 'new'").count() == 1 and table.read().count() == 8
+    assert len(table.chunks()) == 8
+
+
+def test_compaction_remembers_and_notices_changes(spark, name, tmp_path):
+    schema = "ts timestamp, k int, v string"
+    df = spark.createDataFrame([(T0 + dt.timedelta(days=d), d, "old") for d in range(5)], schema)
+    table = ChunkedTable(spark, name, "ts")
+    table.create(df, str(tmp_path / "c"), migrate_data=True)
+    assert len(table.compact("k")) == 5 and table.compact("k") == []
+    table.append(spark.createDataFrame([(T0 + dt.timedelta(days=3), 8, "add")], schema))
+    assert table.compact("k") == [T0 + dt.timedelta(days=3)]
+    table.upsert(spark.createDataFrame([(T0, 0, "new")], schema), ["ts", "k"])
+    assert table.compact("k") == [T0] and table.compact("k") == []
+    assert table.read().count() == 6
+
+
 def test_compaction_sorts_old_chunks(spark, name, tmp_path):
     df = spark.createDataFrame(
         [(T0 + dt.timedelta(hours=h), h % 3) for h in range(96)], "ts timestamp, k int")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.timebucket import EPOCH
 from tidemark.sources.tables import Tables, quoted
 
 LOG_TABLE = "pipeline_runs"
@@ -17,38 +17,25 @@ LOG_TABLE = "pipeline_runs"
 LOG_SCHEMA = (
     "run_id bigint, pipeline_name string, started_at timestamp, finished_at timestamp, "
     "status string, rows_extracted bigint, rows_transformed bigint, rows_loaded bigint, "
-    "error_message string, error_traceback string, watermark string, event_no int"
+    "error_message string, error_traceback string, watermark_time timestamp, "
+    "watermark_number bigint, watermark_text string, event_no int"
 )
+# A high-water mark has one of these columns.
+MARKS = {dt.datetime: "watermark_time", int: "watermark_number", str: "watermark_text"}
 
 
 class EtlError(RuntimeError):
     """A pipeline run failed."""
 
 
-def encode_mark(value: Any) -> str | None:
-    """A high-water mark as typed JSON; only datetimes, whole numbers and text qualify."""
-    if value is None:
-        return None
-    if isinstance(value, dt.datetime):
-        return json.dumps({"type": "datetime", "value": value.isoformat()})
-    if isinstance(value, int) and not isinstance(value, bool):
-        return json.dumps({"type": "int", "value": value})
-    if isinstance(value, str):
-        return json.dumps({"type": "str", "value": value})
+def mark_column(value: Any) -> str:
+    """The log column that holds a mark of this type."""
+    for kind, column in MARKS.items():
+        if isinstance(value, kind) and not isinstance(value, bool):
+            return column
     raise EtlError(f"a high-water mark cannot be a {type(value).__name__}")
 
 
-def decode_mark(text: str | None) -> Any:
-    if text is None:
-        return None
-    doc = json.loads(text)
-    if doc["type"] == "datetime":
-        return dt.datetime.fromisoformat(doc["value"])
-    if doc["type"] in ("int", "str"):
-        return doc["value"]
-    raise EtlError(f"unknown high-water mark type: {doc['type']}")
-
-
 def _literal(value: Any) -> Column:
     # timestamps as text with their offset, so that no local time zone gets in between
     return F.lit(value.isoformat() if isinstance(value, dt.datetime) else value)
@@ -104,9 +91,18 @@ class RunLog:
         return self.history(pipeline, 1)
 
     def last_mark(self, pipeline: str) -> Any:
-        """High-water mark of the newest successful run that recorded one."""
+        """High-water mark of the newest successful run that recorded one.
+
+        A time comes back as an instant in UTC.
+        """
+        columns = list(MARKS.values())
         newest = self.runs().filter(
             (F.col("pipeline_name") == pipeline) & (F.col("status") == "success")
-            & F.col("watermark").isNotNull()
-        ).agg(F.max_by("watermark", "run_id").alias("w")).first()
-        return decode_mark(newest["w"])
+            & F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull()
+        ).agg(F.max_by(F.struct(
+            F.unix_micros("watermark_time").alias("watermark_time"), *columns[1:]), "run_id").alias("w")).first()["w"]
+        if newest is None:
+            return None
+        if newest["watermark_time"] is not None:
+            return EPOCH.replace(tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=newest["watermark_time"])
+        return newest["watermark_number"] if newest["watermark_number"] is not None else newest["watermark_text"]

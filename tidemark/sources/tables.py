@@ -217,8 +217,9 @@ def files_at(spark: SparkSession, folder: str):
 class Watch:
     """Measures of a frame, taken while its rows are written.
 
-    ``df`` is the frame to write.  When nothing reaches the observing step, adaptive
-    execution may drop it; the measures are then computed by a query of their own.
+    ``df`` is the frame to write, and the observing step has to stay the last one before the
+    write: below a shuffle it would count again what Spark reads twice.  When nothing reaches it,
+    adaptive execution may drop it; the measures are then computed by a query of their own.
     """
 
     def __init__(self, df: DataFrame, **measures: Column):
