@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from suite.fixtures import SQL_EXACT_SUM, exact_sum, fresh_name, read, workspace
@@ -83,13 +84,36 @@ def retention(spark, sf_dir):
     return table.read().select("event_id", "ts")
 
 
-@query()
+@query("""
+SELECT chunk_start, user_id, n, 1 AS n_buckets, true AS in_range FROM (
+  SELECT time_bucket(INTERVAL '1 week', ts) AS chunk_start, user_id, count(*) AS n FROM events GROUP BY 1, 2) q""")
 def hash_dimension(spark, sf_dir):
-    """Rows per chunk and hash of the user."""
+    """Rows per chunk and user; a user's rows share one of four hash buckets."""
     table = _chunked(spark, sf_dir, "1 week",
                      dimension_of=("user_id", {"number_partitions": 4}))
-    return spark.table(table.name).groupBy("chunk_start", "dim_bucket").agg(
-        F.count(F.lit(1)).alias("n"))
+    per_user = Window.partitionBy("user_id")
+    return spark.table(table.name).groupBy("chunk_start", "user_id", "dim_bucket").agg(
+        F.count(F.lit(1)).alias("n")).select(
+        "chunk_start", "user_id", "n",
+        F.size(F.collect_set("dim_bucket").over(per_user)).alias("n_buckets"),
+        F.col("dim_bucket").between(0, 3).alias("in_range"))
+
+
+@query("""
+SELECT event_id, ts, CASE WHEN event_id % 5 = 0 THEN user_id + 60 WHEN event_id % 3 <> 0 THEN user_id END AS user_id,
+       CASE WHEN event_id % 5 = 0 THEN 'moved' ELSE event_type END AS event_type
+FROM events""")
+def chunk_upsert_dimension(spark, sf_dir):
+    """Rows with and without a dimension; a fifth of them move to another range of it."""
+    tables = workspace(spark, "chunked")
+    events = read(spark, sf_dir, "events").select(
+        "event_id", "ts", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id"), "event_type")
+    table = ChunkedTable(spark, fresh_name("events"), "ts", "1 week", ("user_id", {"chunk_interval": 25}))
+    table.create(events, f"{tables.root}/events", migrate_data=True)
+    moved = read(spark, sf_dir, "events").filter("event_id % 5 = 0").select(
+        "event_id", "ts", (F.col("user_id") + 60).alias("user_id"), F.lit("moved").alias("event_type"))
+    table.upsert(moved, ["event_id", "ts"])
+    return table.read()
 
 
 @query("""
@@ -286,3 +310,28 @@ def extract_limit(spark, sf_dir):
     etl, target, source = _etl(spark, sf_dir)
     etl.run(Pipeline("limited", source, target, "replace", extract_limit=5000))
     return filters.count_where(etl.tables.read(target))
+
+
+@query("SELECT * FROM orders")
+def etl_limited_catch_up(spark, sf_dir):
+    """Limited runs until nothing is new; the source is in no order of the mark."""
+    etl, target, source = _etl(spark, sf_dir)
+    etl.tables.write(rows.truncate(_orders(spark, sf_dir)), target)
+    limit = etl.tables.spark.table(source).count() // 3
+    load = Pipeline("catch up", source, target, "upsert", ("o_orderkey",),
+                    incremental_column="o_orderdate", extract_limit=limit)
+    while etl.run(load).rows_loaded:
+        pass
+    return etl.tables.read(target)
+
+
+@query("""
+SELECT 'success' AS status, count(*) AS rows_extracted,
+       count(*) FILTER (WHERE o_orderstatus <> 'F') AS rows_transformed,
+       count(*) FILTER (WHERE o_orderstatus <> 'F') AS rows_loaded FROM orders""")
+def run_counts_of_sorted_load(spark, sf_dir):
+    """A step that sorts reads its input twice; the log has the true counts."""
+    etl, target, source = _etl(spark, sf_dir)
+    etl.run(Pipeline("sorted", source, target, "replace",
+                     transform=lambda df: df.orderBy("o_totalprice").filter("o_orderstatus <> 'F'")))
+    return etl.history("sorted").select("status", "rows_extracted", "rows_transformed", "rows_loaded")

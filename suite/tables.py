@@ -307,14 +307,13 @@ def bulk_append(spark, sf_dir):
 
 
 @query("""
-SELECT doc_id, lang, source, n_chars, CASE WHEN n_chars % 2 = 0 THEN text END AS text
+SELECT doc_id, lang, CASE WHEN n_chars % 2 = 0 THEN source END AS source, n_chars, text
 FROM documents""")
 def csv_roundtrip(spark, sf_dir):
     """Export and import whole documents, with NULLs, quotes and line breaks."""
     tables, name = workspace(spark, "csv"), fresh_name("documents")
     docs = read(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source", "n_chars",
-        F.when(F.col("n_chars") % 2 == 0, F.col("text")).alias("text"))
+        "doc_id", "lang", F.when(F.col("n_chars") % 2 == 0, F.col("source")).alias("source"), "n_chars", "text")
     tables.write(rows.truncate(docs), name)
     path = f"{tables.root}/export"
     csvfiles.export_csv(docs, path, delimiter=";", null_string="\\N")
@@ -323,9 +322,10 @@ def csv_roundtrip(spark, sf_dir):
 
 
 @query("""
-SELECT 'nation' AS t, n_nationkey AS k, n_name AS name FROM nation
-UNION ALL SELECT 'customer', c_custkey, c_name FROM customer
-UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier""")
+SELECT 'nation' AS t, n_nationkey AS k, n_name AS name, n_regionkey AS parent,
+  CAST(NULL AS DOUBLE) AS balance, CAST(NULL AS VARCHAR) AS segment FROM nation
+UNION ALL SELECT 'customer', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
 def snapshot_restore(spark, sf_dir):
     """Save four tables, leave one out, restore the rest under new names."""
     tables = workspace(spark, "snapshot")
@@ -339,8 +339,13 @@ def snapshot_restore(spark, sf_dir):
     parts = []
     for stem, short in (("nation", "n_nation"), ("customer", "c_cust"), ("supplier", "s_supp")):
         df = tables.read(f"restored_{names[stem]}")
-        parts.append(df.select(F.lit(stem).alias("t"), F.col(f"{short}key").cast("long").alias("k"),
-                               F.col(f"{short[0]}_name").alias("name")))
+        parent = {"nation": "n_regionkey"}.get(stem, f"{short[0]}_nationkey")
+        balance, segment = f"{short[0]}_acctbal", f"{short[0]}_mktsegment"
+        parts.append(df.select(
+            F.lit(stem).alias("t"), F.col(f"{short}key").cast("long").alias("k"), F.col(f"{short[0]}_name").alias("name"),
+            F.col(parent).cast("long").alias("parent"),
+            (F.col(balance) if balance in df.columns else F.lit(None).cast("double")).alias("balance"),
+            (F.col(segment) if segment in df.columns else F.lit(None).cast("string")).alias("segment")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -392,7 +397,7 @@ def _sql_profile(table: str, columns: list[str]) -> str:
         f"CAST(max({c}) AS VARCHAR) AS max_value FROM {table}" for c in columns)
 
 
-PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(_sql_profile("orders", PROFILED))
