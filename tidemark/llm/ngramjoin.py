@@ -36,6 +36,7 @@ from tidemark.llm.scratch import written
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
 MAP_WORDS = 32   # 64 bit words of a set's bitmap
+COARSE = 8       # and of the folded one that travels with every key
 PER_GROUP = 8   # frequent shingles of a prefix that a group holds, about
 
 
@@ -188,10 +189,21 @@ def _whole_sets(given: DataFrame, n: int) -> DataFrame:
     return given.mapInArrow(run, f"id {kind}, shingles array<long>")
 
 
-def _alike(percent: int):
-    """Filters on ``x`` and ``y`` (size, bitmap) that no linked pair fails."""
+def _folded():
+    """The parity bitmap of fewer places: words that fall together are added modulo 2."""
+    def word(i):
+        out = F.col("bitmap")[i]
+        for j in range(i + COARSE, MAP_WORDS, COARSE):
+            out = out.bitwiseXOR(F.col("bitmap")[j])
+        return out
+
+    return F.array(*[word(i) for i in range(COARSE)])
+
+
+def _alike(percent: int, bitmap: str = "bitmap", words: int = MAP_WORDS):
+    """Filters on ``x`` and ``y`` (size and a bitmap) that no linked pair fails."""
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    differ = sum((F.bit_count(F.col("x.bitmap")[i].bitwiseXOR(F.col("y.bitmap")[i])) for i in range(MAP_WORDS)),
+    differ = sum((F.bit_count(F.col(f"x.{bitmap}")[i].bitwiseXOR(F.col(f"y.{bitmap}")[i])) for i in range(words)),
                  F.lit(0))
     return (100 * small >= percent * large) & (
         differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
@@ -232,20 +244,24 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     # to the smallest and the largest class of each key
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
         shared.select(F.col("id").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct()
-    near = pivots.join(held.alias("x"), F.col("a") == F.col("x.id")).join(
-        held.alias("y"), F.col("b") == F.col("y.id")).filter(_alike(percent)).select("a", "b").distinct()
+
+    def alike(pairs):
+        return pairs.join(held.alias("x"), F.col("a") == F.col("x.id")).join(
+            held.alias("y"), F.col("b") == F.col("y.id")).filter(_alike(percent)).select("a", "b").distinct()
+
+    near = alike(pivots)
     links = written(_verified(near, given, n, percent), "pivot-links")
     parts = connected(links)
     # what shares a key and is not in one component yet
     known = held.join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .withColumn("label", F.coalesce("label", "id"))
+        .select("id", "size", F.coalesce("label", "id").alias("label"), _folded().alias("coarse"))
     open_ = shared.select("key", "id").join(known, "id")
     split = open_.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
     open_ = written(open_.join(split.select("key"), "key", "left_semi"), "open")
     rest = open_.alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (
-        F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _alike(percent)) \
+        F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _alike(percent, "coarse", COARSE)) \
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    more = _verified(rest, given, n, percent)
+    more = _verified(alike(rest), given, n, percent)
     found = connected(links.union(more)).select(F.col("node").alias("rep"), "label")
     ids = classes.join(found, "rep", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id"))
