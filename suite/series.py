@@ -151,9 +151,9 @@ SELECT event_id, event_type, ts, n,
 def moving_avg(spark, sf_dir):
     """Average of the last two hours per event type, at each event."""
     events = read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    rolled = ts.moving_window(
+    rolled = ts.moving_measures(
         events, "ts", "2 hours",
-        {"n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)"))},
+        {"n": ("count", F.lit(1)), "total": ("sum", F.col("value").cast("decimal(18,2)"))},
         "event_type")
     return rolled.select("event_id", "event_type", "ts", "n",
                          (F.col("total").cast("double") / F.col("n")).alias("moving_avg"))

@@ -249,7 +249,8 @@ def _random_polygon(rng):
 def test_grid_joins_equal_brute_force(spark, monkeypatch, small):
     if not small:
         monkeypatch.setattr(grid, "fits_broadcast", lambda df: False)
-        monkeypatch.setattr(grid, "HOT_ROWS", 3)
+        split = grid.salt_hot_cells
+        monkeypatch.setattr(grid, "salt_hot_cells", lambda left, right, hot_rows: split(left, right, 3))
     rng = random.Random(11)
     areas = geo(spark, [(i, _random_polygon(rng)) for i in range(40)])
     spots = geo(spark, [(i, f"POINT({rng.uniform(-60, 60)!r} {rng.uniform(-60, 60)!r})")
@@ -315,3 +316,15 @@ def test_geometry_files_skip_by_box(spark, tmp_path, points):
     bare = points.withColumn("geometry", G.set_srid(F.col("geometry"), 0))
     with pytest.raises(Exception, match="no SRID"):
         geotables.write_geometry(bare, str(tmp_path / "bare"))
+
+
+def test_reference_systems_do_not_mix(spark):
+    degrees, metres = G.st_point(F.lit(1.0), F.lit(2.0)), G.st_point(F.lit(1.0), F.lit(2.0), 3857)
+    area = G.st_rectangle(F.lit(0.0), F.lit(0.0), F.lit(5.0), F.lit(5.0), 3857)
+    one = spark.range(1)
+    for wrong in (G.st_intersects(degrees, area), G.st_contains(area, degrees), G.st_distance(degrees, metres),
+                  geodesic.distance_m(metres, metres, "sphere"), geodesic.distance_m(metres, metres),
+                  geodesic.area_m2(area), geodesic.perimeter_m(area)):
+        with pytest.raises(Exception, match="SRID"):
+            one.select(wrong.alias("v")).collect()
+    assert one.select(G.st_distance(metres, metres).alias("v")).first()["v"] == 0.0

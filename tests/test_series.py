@@ -84,7 +84,6 @@ def test_sliced_series_equals_plain(spark, monkeypatch, options, by):
                                   **options))
 
     plain = run()
-    monkeypatch.setattr(ts, "SLICE_ABOVE", 1)
     monkeypatch.setattr(ts, "SLICE_BUCKETS", 16)
     monkeypatch.setattr(ts, "BLOCK", 5)
     assert run() == plain
@@ -133,6 +132,41 @@ def test_moving_window_equals_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("rows_per_part", [2, 5, 10_000])
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_moving_measures_equal_brute_force(spark, rows_per_part, by):
+    """Whatever the number of parts of a frame; ties and frame borders included."""
+    rng = random.Random(8)
+    data = [(i, rng.choice(["a", None]), T0 + dt.timedelta(milliseconds=500 * rng.randrange(400)),
+             rng.choice([None, *range(9)])) for i in range(250)]
+    df = spark.createDataFrame([*data, (900, "a", None, 1), (901, "a", None, 2)],
+                               "id int, k string, ts timestamp_ntz, v int")
+    got = {r.id: (r.n, r.s, r.low, r.high) for r in ts.moving_measures(
+        df, "ts", "10 seconds", {"n": ("count", F.lit(1)), "s": ("sum", "v"), "low": ("min", "v"),
+                                 "high": ("max", "v")}, by, rows_per_part).collect()}
+    frame = dt.timedelta(seconds=10)
+    for i, k, t, _ in data:
+        near = [v2 for _, k2, t2, v2 in data if (not by or k2 == k) and t - frame <= t2 <= t]
+        there = [v for v in near if v is not None]
+        assert got[i] == (len(near), sum(there) if there else None, min(there, default=None), max(there, default=None))
+    assert got[900] == got[901] == (2, 3, 1, 2) and len(got) == 252
+
+
+def test_moving_measures_spread_a_hot_key(spark):
+    """More rows in the same time make more, shorter parts."""
+    df = spark.range(4000).select((F.lit(T0).cast("timestamp") + F.make_interval(secs=F.col("id") / 1000)).alias("ts"))
+    plan = ts.moving_measures(df, "ts", "1 second", {"n": ("count", F.lit(1))}, rows_per_part=100)
+    assert plan.filter("n > 1001").count() == 0 and plan.filter("n = 1001").count() == 3000
+    assert "/ 100000)" in plan._jdf.queryExecution().optimizedPlan().toString().replace("100000.0", "100000")
+
+
+def test_last_per_key_is_repeatable_without_tie_break(spark):
+    rows = [(1, T0, "x"), (1, T0, "y")]
+    for data in (rows, rows[::-1]):
+        df = spark.createDataFrame(data, "k int, ts timestamp_ntz, v string").coalesce(1)
+        assert ts.last_per_key(df, "k", "ts").first()["v"] == "y"
+
+
 def test_last_per_key_counts_null_time_as_newest(spark):
     df = spark.createDataFrame(
         [(1, T0, "old"), (1, None, "undated"), (2, T0, "a"), (2, _at(1), "b")],

@@ -79,11 +79,11 @@ def test_csv_keeps_nulls_quotes_and_line_breaks(spark, tables, name, tmp_path):
     path = str(tmp_path / "csv")
     assert csvfiles.export_csv(df, path, null_string="NULL") == 4
     tables.write(df.limit(0), name)
-    assert csvfiles.import_csv(tables, path, name, null_string="NULL") == 4
+    assert csvfiles.import_csv(tables, path, name, null_string="NULL", multi_line=True) == 4
     assert rows_of(tables.read(name)) == sorted(data, key=lambda r: (False, str(r[0])))
     csvfiles.export_csv(df, path + "_plain")
     tables.truncate(name)
-    csvfiles.import_csv(tables, path + "_plain", name)
+    csvfiles.import_csv(tables, path + "_plain", name, multi_line=True)
     assert rows_of(tables.read(name)) == sorted(data, key=lambda r: (False, str(r[0])))
     with pytest.raises(ValueError):
         csvfiles.import_csv(tables, path, name, columns=["nope"])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geometry import (
+    DEFAULT_SRID,
     MULTIPOLYGON,
     POINT,
     POLYGON,
@@ -189,6 +190,20 @@ def _touching(a: Column, b: Column, ka: str | None, kb: str | None) -> Column:
 DEGREE_METRES = 110574.0 / 1.01
 
 
+def geographic(g: Column) -> Column:
+    """True; metres are an error for anything but longitude and latitude (or NULL)."""
+    return F.when(g["srid"] != DEFAULT_SRID, F.raise_error(F.concat(
+        F.lit("metres need SRID 4326, not "), g["srid"])).cast("boolean")).otherwise(F.lit(True))
+
+
+def _metres(value: Column, *geometries: Column) -> Column:
+    """The value, after checking the reference systems."""
+    checked = geographic(geometries[0])
+    for g in geometries[1:]:
+        checked = checked & geographic(g)
+    return F.when(checked, value)
+
+
 def geodesic_box(g: Column) -> Column:
     """Bounding box that also encloses the poleward bulge of great-circle edges."""
     box = g["bbox"]
@@ -237,13 +252,13 @@ def sphere_distance(a: Column, b: Column, ka: str | None = None,
     point_a, point_b = of_kind(a, ka, POINT), of_kind(b, kb, POINT)
     pair = both(point_a, point_b)
     if pair is True:
-        return haversine(va["x"], va["y"], vb["x"], vb["y"])
-    return choose(
+        return _metres(haversine(va["x"], va["y"], vb["x"], vb["y"]), a, b)
+    return _metres(choose(
         (pair, lambda: haversine(va["x"], va["y"], vb["x"], vb["y"])),
         (_touching(a, b, ka, kb), lambda: F.lit(0.0)),
         (point_a, lambda: _gap_to_arcs(va, segments(b))),
         (point_b, lambda: _gap_to_arcs(vb, segments(a))),
-        (True, lambda: nearest_gap(a, b)))
+        (True, lambda: nearest_gap(a, b))), a, b)
 
 
 # --- spheroid, numpy --------------------------------------------------------------
@@ -547,8 +562,8 @@ def spheroid_distance(a: Column, b: Column, ka: str | None = None,
     """Metres on the spheroid between the points that are closest on the sphere."""
     apart = _edge_distance_udf(_flat_edges(segments(a)), _flat_edges(segments(b)))
     if both(of_kind(a, ka, POINT), of_kind(b, kb, POINT)) is True:
-        return apart
-    return F.when(_touching(a, b, ka, kb), F.lit(0.0)).otherwise(apart)
+        return _metres(apart, a, b)
+    return _metres(F.when(_touching(a, b, ka, kb), F.lit(0.0)).otherwise(apart), a, b)
 
 
 def distance_m(a: Column, b: Column, model: str = "spheroid", ka: str | None = None,
@@ -568,18 +583,18 @@ def area_m2(g: Column) -> Column:
         F.when(is_areal(g), F.transform(rings, lambda r: F.size(r) - 1)),
         F.when(is_areal(g), signs),
     )
-    return F.when(g.isNotNull(), size)
+    return F.when(g.isNotNull() & geographic(g), size)
 
 
 def perimeter_m(g: Column) -> Column:
     edges = F.when(is_areal(g), _flat_edges(segments(g)))
-    return F.when(g.isNotNull(), _length_udf(edges))
+    return F.when(g.isNotNull() & geographic(g), _length_udf(edges))
 
 
 def geodesic_circle(g: Column, distance: Column) -> Column:
     v = first_vertex(g)
-    return _circle_udf(
-        F.when(g["kind"] == POINT, v["x"]), F.when(g["kind"] == POINT, v["y"]), distance)
+    return _metres(_circle_udf(
+        F.when(g["kind"] == POINT, v["x"]), F.when(g["kind"] == POINT, v["y"]), distance), g)
 
 
 def check_model(model: str) -> None:

@@ -259,6 +259,12 @@ def _segments_meet(a: Column, b: Column) -> Column:
 
 # --- predicates -------------------------------------------------------------------
 
+def same_srid(a: Column, b: Column) -> Column:
+    """True; two geometries of different reference systems are an error."""
+    return F.when(a["srid"] != b["srid"], F.raise_error(F.concat(
+        F.lit("mixed SRIDs: "), a["srid"], F.lit(" and "), b["srid"])).cast("boolean")).otherwise(F.lit(True))
+
+
 def bbox_meets(a: Column, b: Column) -> Column:
     return (
         (a["bbox"]["xmin"] <= b["bbox"]["xmax"]) & (a["bbox"]["xmax"] >= b["bbox"]["xmin"])
@@ -294,7 +300,7 @@ def st_intersects(a: Column, b: Column, ka: str | None = None, kb: str | None =
                 out = out | (starts if applies is True else applies & starts)
         return out
 
-    return bbox_meets(a, b) & choose(
+    return same_srid(a, b) & bbox_meets(a, b) & choose(
         (both(point_a, point_b), lambda: (va["x"] == vb["x"]) & (va["y"] == vb["y"])),
         (both(point_a, area_b), lambda: locate(segments(b), va["x"], va["y"]) != 0),
         (both(point_b, area_a), lambda: locate(segments(a), vb["x"], vb["y"]) != 0),
@@ -410,7 +416,7 @@ def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = No
     line = of_kind(a, ka, LINE, MULTILINE)
     points_a, points_b = of_kind(a, ka, POINT, MULTIPOINT), of_kind(b, kb, POINT, MULTIPOINT)
     line_b = of_kind(b, kb, LINE, MULTILINE)
-    return _bbox_covers(a, b) & choose(
+    return same_srid(a, b) & _bbox_covers(a, b) & choose(
         (both(area, of_kind(b, kb, POINT)),
          lambda: locate(segments(a), vb["x"], vb["y"]) == 1),
         (both(area, points_b), area_points),
@@ -452,12 +458,12 @@ def st_distance(a: Column, b: Column, ka: str | None = None, kb: str | None = No
         return F.sqrt(let(segments(b), lambda others: F.array_min(F.transform(
             segments(a), lambda s: F.array_min(F.transform(others, lambda t: apart(s, t)))))))
 
-    return choose(
+    return F.when(same_srid(a, b), choose(
         (both(point_a, point_b), straight),
         (st_intersects(a, b, ka, kb), lambda: F.lit(0.0)),
         (point_a, lambda: to_segments(va, b)),
         (point_b, lambda: to_segments(vb, a)),
-        (True, nearest))
+        (True, nearest)))
 
 
 def _sum(values: Column) -> Column:

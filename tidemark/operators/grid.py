@@ -16,12 +16,7 @@ from tidemark.operators._columns import spread
 from tidemark.session import estimated_bytes
 
 # Smallest level; points and tiny geometries live here (about 1e-6 units).
-MIN_LEVEL, MAX_LEVEL = -20, 40
-# A cell with more looked-up rows than this is split over several tasks.
-HOT_ROWS = 2_000_000
-# At most this many cells are treated as hot, which bounds the broadcast of their list.
-# The rest hold less than 1/10000 of the rows each and are left to AQE's skew join.
-HOT_CELLS = 10_000
+MIN_LEVEL = -20
 
 CELL = ["_level", "_cx", "_cy"]
 
@@ -29,7 +24,7 @@ CELL = ["_level", "_cx", "_cy"]
 def level_of(box: Column) -> Column:
     extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
     level = F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(MIN_LEVEL))
-    return F.greatest(F.least(level, F.lit(MAX_LEVEL)), F.lit(MIN_LEVEL)).cast("int")
+    return F.greatest(level, F.lit(MIN_LEVEL)).cast("int")
 
 
 def cell_at(value: Column, level: Column) -> Column:
@@ -72,7 +67,7 @@ def _cells_of_box(df: DataFrame) -> DataFrame:
 
 
 def levels_in_use(df: DataFrame, box: Column) -> list[int]:
-    """The levels that occur: at most 61 numbers, found by one pass over the boxes."""
+    """The levels that occur: a few numbers, one per power of two, found by one pass over the boxes."""
     found = df.select(level_of(box).alias("level")).where("level is not null").distinct()
     return sorted(row["level"] for row in found.collect())
 
@@ -98,37 +93,44 @@ def cover_levels(df: DataFrame, box: Column, levels: list[int]) -> DataFrame:
     return _cells_of_box(tall.filter(F.col("_level") >= F.col("_own")))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether a side is small enough to broadcast its cells.
-
-    The limit is Spark's own for automatic broadcasts; a geometry has at most four cells.
-    """
+def broadcast_limit(df: DataFrame) -> int:
+    """Spark's own limit for automatic broadcasts, in bytes."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return estimated_bytes(df) <= int(str(conf.autoBroadcastJoinThreshold()))
+    return int(str(conf.autoBroadcastJoinThreshold()))
 
 
-def hot_cells(looked_up: DataFrame, hot_rows: int) -> list[tuple[int, int, int, int]]:
-    """The most crowded cells with the number of salts each needs (at most HOT_CELLS)."""
-    counts = looked_up.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
-    worst = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(HOT_CELLS)
-    salts = F.ceil(F.col("n") / hot_rows).cast("int").alias("salts")
-    return [tuple(r) for r in worst.select(*CELL, salts).collect()]
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a side looks small enough for a join without a shuffle, by Catalyst's estimate."""
+    return estimated_bytes(df) <= broadcast_limit(df)
 
 
-def salt_hot_cells(looked_up: DataFrame, covered: DataFrame, hot_rows: int = HOT_ROWS):
-    """Split crowded cells: their rows get a salt, the covering rows one copy per salt.
+def salt_hot_cells(left: DataFrame, right: DataFrame, hot_rows: int | None = None):
+    """Split cells that are crowded on either side.
 
-    Both frames come back with a ``_salt`` column, which is 0 nearly everywhere.
+    A crowded side's rows get a salt, the other side's rows one copy per salt; a cell crowded on both
+    sides becomes a grid of salts.  Both frames come back with ``_salt_l`` and ``_salt_r``, 0 nearly
+    everywhere.  The crowded cells are joined, not collected, so there may be any number of them.
+    Without ``hot_rows`` a cell is crowded if it has more rows than a shuffle partition has on average.
     """
-    hot = hot_cells(looked_up, hot_rows)
-    if not hot:
-        return looked_up.withColumn("_salt", F.lit(0)), covered.withColumn("_salt", F.lit(0))
-    listed = F.broadcast(looked_up.sparkSession.createDataFrame(
-        hot, "_level int, _cx bigint, _cy bigint, _salts int"))
-    plain = [c for c in looked_up.columns if not c.startswith("_")]
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = looked_up.join(listed, CELL, "left").withColumn("_salt", F.when(
-        salts > 1, F.pmod(spread(looked_up, plain), salts).cast("int")).otherwise(F.lit(0))).drop("_salts")
-    right = covered.join(listed, CELL, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    return left, right
+    def counted(df, name):
+        counts = df.groupBy(*CELL).agg(F.count(F.lit(1)).alias(name))
+        if hot_rows is not None:
+            return counts.withColumn("_limit", F.lit(hot_rows))
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        total = counts.agg(F.ceil(F.sum(name) / width).alias("_limit"))  # one row
+        return counts.join(F.broadcast(total))
+
+    def salts(df, name, alias):
+        crowded = F.col(name) > F.col("_limit")
+        return counted(df, name).filter(crowded).select(*CELL, F.ceil(F.col(name) / F.col("_limit")).cast("int").alias(alias))
+
+    listed = salts(left, "_n", "_sl").join(salts(right, "_n", "_sr"), CELL, "full")
+
+    def salted(df, own, own_salt, other, other_salt):
+        plain = [c for c in df.columns if not c.startswith("_")]
+        out = df.join(listed, CELL, "left").withColumns({
+            "_sl": F.coalesce("_sl", F.lit(1)), "_sr": F.coalesce("_sr", F.lit(1))})
+        return out.withColumn(own_salt, F.pmod(spread(df, plain), F.col(own)).cast("int")).withColumn(
+            other_salt, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_sl", "_sr")
+
+    return salted(left, "_sl", "_salt_l", "_sr", "_salt_r"), salted(right, "_sr", "_salt_r", "_sl", "_salt_l")

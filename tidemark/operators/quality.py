@@ -52,7 +52,7 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str | Iterable[st
 
 
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None,
-                   exact_distinct: bool = True) -> DataFrame:
+                   exact_distinct: bool = False) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, smallest and largest as text.
 
     Without ``exact_distinct`` everything comes from one pass that shuffles a row per

@@ -47,12 +47,11 @@ def _box_meets(a: Column, b: Column) -> Column:
 
 def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: bool,
                hot_rows: int | None = None) -> DataFrame:
+    # an equality join: with a small side Spark broadcasts by its run-time size
     left, right, keys = looked_up, covered, list(grid.CELL)
-    if small:
-        right = F.broadcast(right)
-    else:
-        left, right = grid.salt_hot_cells(left, right, hot_rows or grid.HOT_ROWS)
-        keys.append("_salt")
+    if not small:
+        left, right = grid.salt_hot_cells(left, right, hot_rows)
+        keys += ["_salt_l", "_salt_r"]
     right = right.withColumnsRenamed({f"_{c}": f"_b_{c}" for c in grid.SIDES})
     on = extra
     for k in keys:
@@ -164,55 +163,41 @@ def overlap_pairs(
 PROBE_BAND = 4
 
 
-def _levels_now(cells: DataFrame) -> list[int]:
-    """Levels of a frame whose size was checked before; at most 16 numbers."""
-    return sorted(row["_level"] for row in cells.select("_level").distinct().collect())
+def _probe_cells(ref: DataFrame, boxes: Column) -> tuple[DataFrame, list[int]] | None:
+    """Cells of the reference with what lies in each, and their levels; None if too large to broadcast.
 
-
-def _flat(ref: DataFrame, boxes: Column) -> DataFrame:
-    """Reference geometry as plain columns, next to its boxes.
-
-    A semi-join condition on fields of nested columns does not survive nested column
-    pruning in Spark 4.1.
+    The size is counted on the cells themselves, vertices included.
     """
-    g = F.col("_ref")
-    return ref.select(
-        g["kind"].alias("_ref_kind"), g["srid"].alias("_ref_srid"),
-        g["parts"].alias("_ref_parts"),
-        *[g["bbox"][c].alias(f"_ref_{c}") for c in grid.SIDES],
-        *[boxes[c].alias(f"_reach_{c}") for c in grid.SIDES])
-
-
-def _flat_geometry() -> Column:
-    return F.struct(
-        F.col("_ref_kind").alias("kind"), F.col("_ref_srid").alias("srid"),
-        F.col("_ref_parts").alias("parts"), grid.box_of("_ref_").alias("bbox"))
-
-
-def _keep_where_exists(df: DataFrame, geom: str, ref: DataFrame, boxes: Column,
-                       test: Test) -> DataFrame:
-    """Rows with a match in a small ``ref``: a broadcast probe, no shuffle of ``df``.
-
-    The row is looked up by the lower left corner of its box, so ``boxes`` must hold
-    every place where that corner can be.  Each further level probes the rows that have
-    not matched yet, so no row is kept twice.
+    cells = grid.cover(ref.select(F.col("_ref"), boxes.alias("_reach")), F.col("_reach"), PROBE_BAND)
+    vertices = F.aggregate(F.flatten(F.col("_ref")["parts"]), F.lit(0), lambda n, ring: n + F.size(ring))
+    found = cells.groupBy("_level").agg(F.sum(F.lit(200) + 16 * vertices).alias("bytes")).collect()
+    if sum(r["bytes"] or 0 for r in found) > grid.broadcast_limit(ref):
+        return None
+    held = cells.groupBy("_level", "_cx", "_cy").agg(F.collect_list(
+        F.struct(F.col("_ref").alias("g"), grid.box_of().alias("reach"))).alias("_in_cell"))
+    return held, sorted(r["_level"] for r in found)
+
+
+def _keep_where_exists(df: DataFrame, geom: str, probe: tuple[DataFrame, list[int]], test: Test) -> DataFrame:
+    """Rows with a match in a small reference: one scan of ``df`` and no shuffle.
+
+    The row is looked up by the lower left corner of its box, so the boxes of the reference must hold
+    every place where that corner can be.  A cell is one row of the broadcast side, so a row of ``df``
+    stays one row on every level, and is kept if any level has a match.
     """
-    g = F.col(geom)
-    cells = grid.cover(_flat(ref, boxes), grid.box_of("_reach_"), PROBE_BAND)
-    levels = _levels_now(cells)
-    found, rest = None, df
-    for level in levels:
-        here = F.broadcast(cells.filter(F.col("_level") == level).drop("_level"))
-        probe = (
-            (F.col("_cx") == grid.cell_at(g["bbox"]["xmin"], F.lit(level)))
-            & (F.col("_cy") == grid.cell_at(g["bbox"]["ymin"], F.lit(level)))
-            & _box_covers(grid.box_of(), g["bbox"]) & test(g, _flat_geometry())
-        )
-        hit = rest.join(here, probe, "left_semi")
-        found = hit if found is None else found.unionByName(hit)
-        if level != levels[-1]:
-            rest = rest.join(here, probe, "left_anti")
-    return df.limit(0) if found is None else found
+    held, levels = probe
+    if not levels:
+        return df.limit(0)
+    out, hit, g = df, F.lit(False), F.col(geom)
+    for n, level in enumerate(levels):
+        here = held.filter(F.col("_level") == level).select(
+            F.col("_cx").alias(f"_cx{n}"), F.col("_cy").alias(f"_cy{n}"), F.col("_in_cell").alias(f"_in{n}"))
+        out = out.join(F.broadcast(here), (
+            F.col(f"_cx{n}") == grid.cell_at(g["bbox"]["xmin"], F.lit(level)))
+            & (F.col(f"_cy{n}") == grid.cell_at(g["bbox"]["ymin"], F.lit(level))), "left")
+        hit = hit | F.coalesce(F.exists(
+            F.col(f"_in{n}"), lambda r: _box_covers(r["reach"], g["bbox"]) & test(g, r["g"])), F.lit(False))
+    return out.filter(hit).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _keep_geometries(df: DataFrame, geom: str, matched: DataFrame) -> DataFrame:
@@ -235,8 +220,9 @@ def contains_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
     def test(g, r):
         return st_contains(r, g, kb=kind)
 
-    if grid.fits_broadcast(small):
-        return _keep_where_exists(df, geom, small, F.col("_ref")["bbox"], test)
+    probe = _probe_cells(small, F.col("_ref")["bbox"]) if grid.fits_broadcast(small) else None
+    if probe:
+        return _keep_where_exists(df, geom, probe, test)
     pairs = covered_pairs(
         _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
     return _keep_geometries(df, geom, pairs)
@@ -255,8 +241,9 @@ def intersects_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
     def test(g, r):
         return st_intersects(g, r, kind)
 
-    if points and grid.fits_broadcast(small):
-        return _keep_where_exists(df, geom, small, F.col("_ref")["bbox"], test)
+    probe = _probe_cells(small, F.col("_ref")["bbox"]) if points and grid.fits_broadcast(small) else None
+    if probe:
+        return _keep_where_exists(df, geom, probe, test)
     pairs = meeting_pairs(
         _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
     return _keep_geometries(df, geom, pairs)
@@ -316,11 +303,11 @@ def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geo
     check_distance(distance, unit, model)
     small = ref.select(F.col(ref_geom).alias("_ref"))
     native = unit == "srid" or model == "sphere"
-    if native and grid.fits_broadcast(small):
-        near = small.withColumn("_reach", F.explode(reach(F.col("_ref"), distance, unit)))
+    near = small.withColumn("_near", F.explode(reach(F.col("_ref"), distance, unit)))
+    probe = _probe_cells(near, F.col("_near")) if native and grid.fits_broadcast(small) else None
+    if probe:
         test = within_distance_test(unit, distance, model, POINT)
-        return _keep_where_exists(
-            _checked_points(df, geom), geom, near, F.col("_reach"), test)
+        return _keep_where_exists(_checked_points(df, geom), geom, probe, test)
     pairs = dwithin_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
                           distance, "g", "g", unit, model)
     return _keep_geometries(df, geom, pairs)

@@ -19,17 +19,16 @@ from tidemark.functions.timebucket import (
     start_of,
     time_literal,
 )
-from tidemark.operators._columns import as_column, named, names, require_columns
+from tidemark.operators._columns import as_column, hashable, named, names, require_columns
 from tidemark.operators.filters import raw_predicate
 
-# Above this many buckets per key, neighbours are looked up slice by slice, so that no
-# task has to hold the whole bucket series of one key.
-SLICE_ABOVE = 1_000_000
+# Neighbours are looked up in slices of this many buckets, so that no task has to hold the
+# whole bucket series of one key.
 SLICE_BUCKETS = 65_536
 # Rows of a spine are produced in blocks of this many, never as one long array.
 BLOCK = 4_096
-# A moving window is cut into slices this many times longer than its frame.
-FRAMES_PER_SLICE = 32
+# Rows of a part of a moving frame, about.
+ROWS_PER_PART = 1_000_000
 
 
 def time_range(
@@ -89,22 +88,12 @@ def time_bucket_agg(
     return out.orderBy("bucket", *by) if ordered else out
 
 
-def _neighbours(buckets: DataFrame, by: list[str], carry: list[str], values: list[str],
-                sliced: bool) -> DataFrame:
+def _neighbours(buckets: DataFrame, by: list[str], carry: list[str], values: list[str]) -> DataFrame:
     """Add ``_next`` (struct of the next bucket), ``_first`` and carried values.
 
     ``carry`` columns are replaced by their last non-NULL value up to the row.
     """
     following = F.struct("_index", *values)
-    if not sliced:
-        series = Window.partitionBy(*by).orderBy("_index")
-        so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = buckets.withColumns({
-            "_next": F.lead(following).over(series),
-            "_first": F.lag("_index").over(series).isNull(),
-        })
-        return out.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in carry})
-
     cut = buckets.withColumn("_slice", F.floor(F.col("_index") / SLICE_BUCKETS))
     series = Window.partitionBy(*by, "_slice").orderBy("_index")
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -191,16 +180,11 @@ def gapfill(
         )
         buckets = buckets.unionByName(marker)
     carry = locf if treat_null_as_missing else []
-    sliced = stop - first > SLICE_ABOVE
     values = list(aggregates)
-    if by:
-        filled = _neighbours(buckets, by, carry, values, sliced)
-    else:
+    if not by:
         # the marker sorts first and stands for the bucket before the range
-        filled = _neighbours(
-            buckets.withColumn("_index", F.coalesce("_index", F.lit(first - 1).cast("long"))),
-            by, carry, values, sliced,
-        )
+        buckets = buckets.withColumn("_index", F.coalesce("_index", F.lit(first - 1).cast("long")))
+    filled = _neighbours(buckets, by, carry, values)
 
     index, following = F.col("_index"), F.col("_next")
     low = F.when(F.col("_first"), F.lit(first).cast("long")).otherwise(index)
@@ -248,12 +232,13 @@ def last_per_key(
 ) -> DataFrame:
     """The newest row of every key (a NULL time counts as newest).
 
-    An aggregate rather than a window: each task first reduces its own rows to one per
+    Of several, ``tie_break`` decides, then the other columns, so the choice is repeatable.  An aggregate rather than a window: each task first reduces its own rows to one per
     key, so a hot key costs one row per task in the shuffle.
     """
     keys, tie_break = names(keys), names(tie_break)
     payload = [c for c in (columns or df.columns) if c not in keys]
-    rank = F.struct(F.col(time).isNull(), F.col(time), *[F.col(c) for c in tie_break])
+    rank = F.struct(F.col(time).isNull(), F.col(time), *[F.col(c) for c in tie_break],
+                    *hashable(df, [c for c in df.columns if c not in keys]))
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), rank).alias("_row"))
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
 
@@ -267,30 +252,96 @@ def moving_window(
 ) -> DataFrame:
     """Aggregates over the rows of the last ``frame`` up to each row's time (inclusive).
 
-    A key's series is cut into time slices, each preceded by a copy of the last ``frame``
-    of the slice before it.  Slices are independent, so one hot key spreads over many
-    tasks, at the price of copying about 1/32 of the rows.
+    Any aggregate will do, so the rows themselves have to meet: a key's series is cut into slices of
+    one frame, each preceded by a copy of the slice before it.  For counts, sums and extremes of a
+    dense series :func:`moving_measures` needs far less.
     """
     w = interval(frame)
     if w.is_calendar:
         raise ValueError("a moving window needs a fixed-length frame")
     by = names(by)
     require_columns(df, [time, *by])
-    span = w.micros * FRAMES_PER_SLICE
-    moment = micros_of(F.col(time))
-    home = F.floor(F.col("_us") / F.lit(span).cast("long"))
-    into_slice = F.pmod(F.col("_us"), F.lit(span).cast("long"))
-    copies = F.when(
-        into_slice >= F.lit(span - w.micros).cast("long"),
-        F.array(F.struct(home.alias("slice"), F.lit(True).alias("own")),
-                F.struct((home + 1).alias("slice"), F.lit(False).alias("own"))),
-    ).otherwise(F.array(F.struct(home.alias("slice"), F.lit(True).alias("own"))))
-    placed = df.withColumn("_us", moment).withColumn("_copy", F.explode(copies))
-    placed = placed.select(*df.columns, "_us", F.col("_copy.slice").alias("_slice"),
-                           F.col("_copy.own").alias("_own"))
+    placed = _in_two_parts(df, time, w.micros, 1)
     window = (
-        Window.partitionBy(*by, "_slice").orderBy("_us").rangeBetween(-w.micros, Window.currentRow)
+        Window.partitionBy(*by, "_part").orderBy("_us").rangeBetween(-w.micros, Window.currentRow)
     )
     return placed.withColumns(
         {name: as_column(expr).over(window) for name, expr in aggregates.items()}
     ).filter("_own").select(*df.columns, *aggregates)
+
+
+def _in_two_parts(df: DataFrame, time: str, length: int, parts: int) -> DataFrame:
+    """Each row in its own part of ``length`` microseconds, and in the one that is ``parts`` later."""
+    home = F.floor(F.col("_us") / F.lit(length).cast("long"))
+    copies = F.array(F.struct(home.alias("part"), F.lit(True).alias("own")),
+                     F.struct((home + parts).alias("part"), F.lit(False).alias("own")))
+    placed = df.withColumn("_us", micros_of(F.col(time))).withColumn("_copy", F.explode(copies))
+    placed = placed.filter("_copy.own OR _copy.part IS NOT NULL")  # rows without a time once
+    return placed.select(*df.columns, "_us", F.col("_copy.part").alias("_part"), F.col("_copy.own").alias("_own"))
+
+
+# How a measure is taken of rows, and how two of them combine.
+MEASURES = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def moving_measures(
+    df: DataFrame,
+    time: str,
+    frame: str | Interval,
+    measures: Mapping[str, tuple[str, Column | str]],
+    by: str | Iterable[str] = (),
+    rows_per_part: int = ROWS_PER_PART,
+) -> DataFrame:
+    """Counts, sums and extremes over the last ``frame`` up to each row's time (inclusive).
+
+    ``measures`` maps a name to ``(count | sum | min | max, column)``.  A frame is cut into equal
+    parts, so short that the densest holds about ``rows_per_part`` rows.  Parts that lie whole inside
+    a row's frame count by their aggregates; only the rows of the two parts at its ends meet.  So the
+    work spreads with the rows, also for one key, and every row is copied once.  Rows
+    without a time are a frame of their own.
+    """
+    w = interval(frame)
+    if w.is_calendar:
+        raise ValueError("a moving window needs a fixed-length frame")
+    by = names(by)
+    require_columns(df, [time, *by])
+    unknown = {kind for kind, _ in measures.values()} - set(MEASURES)
+    if unknown or not measures:
+        raise ValueError(f"a measure is one of {', '.join(MEASURES)}")
+    columns = {name: as_column(c) for name, (_, c) in measures.items()}
+    kinds = {name: MEASURES[kind] for name, (kind, _) in measures.items()}
+    densest = df.groupBy(*by, F.floor(micros_of(F.col(time)) / F.lit(w.micros))).count().agg(
+        F.max("count")).first()[0] or 1
+    parts = max(1, -(-densest // rows_per_part))
+    while w.micros % parts:  # parts of a whole number of microseconds
+        parts += 1
+    length = w.micros // parts
+
+    placed = _in_two_parts(df.withColumns({f"_m_{n}": c for n, c in columns.items()}), time, length, parts)
+    ends = Window.partitionBy(*by, "_part").orderBy("_us").rangeBetween(-w.micros, Window.currentRow)
+    near = placed.withColumns({f"_e_{n}": take(F.col(f"_m_{n}")).over(ends) for n, (take, _) in kinds.items()}) \
+        .filter("_own")
+    if parts == 1:
+        return near.select(*[F.col(f"`{c}`") for c in df.columns],
+                           *[F.col(f"_e_{n}").alias(n) for n in measures])
+    whole = placed.filter("_own AND _part IS NOT NULL").groupBy(*by, "_part").agg(
+        *[take(F.col(f"_m_{n}")).alias(f"_m_{n}") for n, (take, _) in kinds.items()])
+    # the parts between the two ends, for every part that has rows
+    between = Window.partitionBy(*by).orderBy("_part").rangeBetween(1 - parts, -1)
+    inner = whole.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_by__part"), *[
+        combine(F.col(f"_m_{n}")).over(between).alias(f"_w_{n}") for n, (_, combine) in kinds.items()])
+    on = F.lit(True)
+    for c in [*by, "_part"]:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+
+    def combined(name):
+        kind, end, mid = measures[name][0], F.col(f"_e_{name}"), F.col(f"_w_{name}")
+        if kind == "min":
+            return F.least(end, mid)
+        if kind == "max":
+            return F.greatest(end, mid)
+        # a sum over no values is NULL
+        return F.coalesce(end + mid, end, mid)
+
+    return near.join(inner, on, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], *[combined(n).alias(n) for n in measures])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +35,15 @@ def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None,
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimiter: str = ",",
              header: bool = True, null_string: str = "", encoding: str = "UTF-8",
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False) -> DataFrame:
     """Read CSV with a given schema (never inferred); a malformed row is an error.
 
-    Quoted line breaks make a file one task, so exports are written as many files.
-    ``multi_line=False`` lets Spark split large files that hold no quoted line breaks.
+    Spark splits large files.  ``multi_line=True`` reads quoted line breaks, which makes a file one
+    task; exports are written as many files.
     """
-    # with NULL written as nothing, only an unquoted empty field is NULL: a value that
-    # cannot occur keeps the quoted one from being taken for NULL as well
-    absent = null_string or "\u0001"
+    # with NULL written as nothing, only an unquoted empty field is NULL: a text that no
+    # file holds keeps the quoted one from being taken for NULL as well
+    absent = null_string or uuid.uuid4().hex
     return spark.read.schema(schema).options(
         **_options(delimiter, header, absent, encoding), mode="FAILFAST",
         emptyValue="", multiLine=multi_line).csv(path)

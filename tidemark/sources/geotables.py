@@ -42,15 +42,22 @@ def z_key(box: Column, extent: tuple[float, float, float, float]) -> Column:
     return _spread_bits(across).bitwiseOR(F.shiftleft(_spread_bits(up), 1))
 
 
+def extent_of(df: DataFrame, geom: str = "geometry") -> tuple[float, float, float, float]:
+    """The box around all boxes: one row of one aggregate."""
+    box = F.col(geom)["bbox"]
+    r = df.agg(F.min(box["xmin"]), F.min(box["ymin"]), F.max(box["xmax"]), F.max(box["ymax"])).first()
+    return tuple(r) if r[0] is not None else (0.0, 0.0, 1.0, 1.0)
+
+
 def clustered(df: DataFrame, geom: str = "geometry",
-              extent: tuple[float, float, float, float] = (-180.0, -90.0, 180.0, 90.0),
+              extent: tuple[float, float, float, float] | None = None,
               partitions: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by place.
+    """Rows range-partitioned and sorted by place, within their own extent if none is given.
 
     The second range key is a hash, so a place that holds most of the rows is still cut
     into several partitions.
     """
-    keyed = df.withColumn("_z", z_key(F.col(geom)["bbox"], extent))
+    keyed = df.withColumn("_z", z_key(F.col(geom)["bbox"], extent or extent_of(df, geom)))
     plain = [f.name for f in df.schema.fields if f.name != geom]
     keyed = keyed.withColumn("_spread", spread(df, plain))
     cut = ["_z", "_spread"]
@@ -60,7 +67,7 @@ def clustered(df: DataFrame, geom: str = "geometry",
 
 
 def write_geometry(df: DataFrame, path: str, geom: str = "geometry", srid: int | None = None,
-                   layout: bool = True, extent=(-180.0, -90.0, 180.0, 90.0)) -> None:
+                   layout: bool = True, extent=None) -> None:
     """Write a geometry table.  ``srid`` overrides; without one, SRID 0 is an error."""
     out = df
     if srid is not None:
