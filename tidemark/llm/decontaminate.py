@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
+from tidemark.llm.scratch import small_batches
 
 GRAM = 5
 SALTS = 8
@@ -127,7 +128,7 @@ def _scan(batches, id_type, window, lengths, bitmap, items):
 
 
 def _candidates(df, id_col, text_col, window, lengths, bitmap, items):
-    given = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    given = small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = given.schema["id"].dataType.simpleString()
     held = df.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
+from tidemark.llm.scratch import small_batches
 
 DIMS = 4096
 ROWS_AT_ONCE = 64
@@ -101,7 +102,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
     hash of the key).  ``reject`` is the distance beyond which a text is rejected, in standard deviations
     of a cluster's own distances.
     """
-    rows = train.filter(F.col(lang).isNotNull() & has_letter(F.col(text))).select(
+    rows = small_batches(train).filter(F.col(lang).isNotNull() & has_letter(F.col(text))).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
         F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string")), 11).alias("draw"))
 
@@ -150,7 +151,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", none: str = "und"
     learned nothing get ``none`` and score 0.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
-    given = docs.withColumn("_letter", has_letter(F.col(text)))
+    given = small_batches(docs).withColumn("_letter", has_letter(F.col(text)))
     names = [f.name for f in given.schema.fields]
     at = names.index(text)
     held = docs.sparkSession.sparkContext.broadcast(model)

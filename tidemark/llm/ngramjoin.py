@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
 from tidemark.llm.components import connected
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import small_batches, written
 
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
@@ -229,7 +229,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     text or one without words has none and is its own component.  Rows of one id are judged by their
     texts.  A row without an id has the component of its equals, if one of them has an id, else null.
     """
-    given = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    given = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     signed = written(signatures(given, n, percent, frequencies(given, n)), "signatures")
     classes = written(signed.filter("size > 0").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     reps = signed.filter("size(keys) > 0").join(

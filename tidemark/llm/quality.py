@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import small_batches, written
+from tidemark.llm.vocab import PieceEncoder
 
 WINDOW = 8
 SYMBOLS = np.zeros(256, np.int64)
@@ -101,12 +102,10 @@ def measured(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
     Columns of these names are replaced.  A null text has no words.
     """
-    docs = docs.drop(*_COUNTS, *MEASURES)
+    docs = small_batches(docs).drop(*_COUNTS, *MEASURES)
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batches):
-        from tidemark.llm.vocab import PieceEncoder
-
         encoder = None
         for batch in batches:
             encoder = encoder or PieceEncoder(vocabulary)

@@ -12,3 +12,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of text that go to Python in one Arrow batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let texts go to Python in small batches, unless the session has a size of its own.
+
+    Spark's 10 000 rows of a few kilobytes each are buffered on both sides of every task.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(BATCH_ROWS))
+    return df

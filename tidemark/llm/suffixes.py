@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import small_batches, written
 from tidemark.session import scratch_dir
 
 #: A perfect difference set: the differences of its members give every number modulo V.
@@ -211,7 +211,7 @@ def repeated_bytes(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         raise ValueError(f"length must be at least {2 * V}")
     spark, size = docs.sparkSession, length - V + 1
     folder = scratch_dir(spark, "suffixes")
-    given = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    given = small_batches(docs).select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = given.schema["id"].dataType.simpleString()
     blocks = written(given.mapInArrow(lambda batches: _store(batches, folder), "block string, n_bytes long"),
                      "blocks")

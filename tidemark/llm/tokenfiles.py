@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import small_batches, written
+from tidemark.llm.vocab import BpeEncoder
 from tidemark.session import scratch_dir
 
 END_ID = 1
@@ -142,10 +143,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, doc
     Files follow the order of ids, null first; rows of one id follow a hash of their text.  A null
     or empty text is its end id alone.  ``folder`` must be reachable from all executors.
     """
-    from tidemark.llm.vocab import BpeEncoder
-
     folder = folder or _uri(scratch_dir(docs.sparkSession, "tokens"))
-    given = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    given = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     order = [F.col("id"), F.xxhash64("text")]
     given = given.repartitionByRange(*order).sortWithinPartitions(*order)
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import small_batches
+
 SALTS = 16
 LONGEST_GROUP = 12
 
@@ -283,7 +285,7 @@ def host_of(url):
 
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """One row per host: ``host, wrapper`` (JSON list of ``[item, optional, characters]``)."""
-    given = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+    given = small_batches(pages).select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
 
     def streams(batches):
         seen = {}
