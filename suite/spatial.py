@@ -332,6 +332,31 @@ def geo_buffer_metres(spark, sf_dir):
     return out.select("c_custkey", st_as_wkt(F.col("buffer")).alias("buffer"))
 
 
+# The conic plane 2154.
+SQL_CONIC = """
+k AS (SELECT sqrt((1 / 298.257222101) * (2 - 1 / 298.257222101)) AS e),
+m AS (SELECT e, cos(radians(44.0)) / sqrt(1 - (e * sin(radians(44.0))) ** 2) AS m1,
+             cos(radians(49.0)) / sqrt(1 - (e * sin(radians(49.0))) ** 2) AS m2,
+             atanh(sin(radians(44.0))) - e * atanh(e * sin(radians(44.0))) AS q1,
+             atanh(sin(radians(49.0))) - e * atanh(e * sin(radians(49.0))) AS q2,
+             atanh(sin(radians(46.5))) - e * atanh(e * sin(radians(46.5))) AS q0 FROM k),
+c AS (SELECT e, q0, ln(m1 / m2) / (q2 - q1) AS n, m1, q1 FROM m),
+p AS (SELECT e, n, 6378137.0 * m1 * exp(n * q1) / n AS r, 6378137.0 * m1 * exp(n * q1) / n * exp(-n * q0) AS r0 FROM c),
+t AS (SELECT c_custkey, n, r0, x, r * exp(-n * (atanh(sin(radians(y))) - e * atanh(e * sin(radians(y))))) AS d
+      FROM sites, p)"""
+
+
+@query(f"""
+WITH {SQL_SITES}, {SQL_CONIC}
+SELECT c_custkey, round(700000.0 + d * sin(a), 1) + 0.0 AS x, round(6600000.0 + r0 - d * cos(a), 1) + 0.0 AS y
+FROM (SELECT *, n * radians((x - 3.0 + 180 + 360) % 360 - 180) AS a FROM t) q""")
+def geo_transform_2154(spark, sf_dir):
+    """A conformal conic plane."""
+    out = spatial.transform(sites(spark, sf_dir), 2154, columns=["c_custkey"])
+    v = first_vertex(F.col("geometry_transformed"))
+    return out.select("c_custkey", (F.round(v["x"], 1) + 0.0).alias("x"), (F.round(v["y"], 1) + 0.0).alias("y"))
+
+
 @query(f"""
 WITH {SQL_SITES}
 SELECT c_custkey, round(6378137.0 * radians(x), 2) + 0.0 AS x,

@@ -221,9 +221,28 @@ def test_transform(spark):
     x, y = value(spark, G.first_vertex(P.st_transform(P.st_transform(there, 3857), 4326)))
     assert (x, y) == pytest.approx((2.2945, 48.8582), abs=1e-9)
     with pytest.raises(ValueError):
-        P.st_transform(lit("POINT(0 0)"), 2154)
+        P.st_transform(lit("POINT(0 0)"), 27700)
     with pytest.raises(Exception, match="unsupported source SRID"):
-        value(spark, P.st_transform(X.st_from_wkt(F.lit("SRID=2154;POINT(0 0)")), 3857))
+        value(spark, P.st_transform(X.st_from_wkt(F.lit("SRID=27700;POINT(0 0)")), 3857))
+
+
+@pytest.mark.parametrize("srid,lonlat,plane", [
+    (2154, (2.2945, 48.8582), (648237.3, 6862271.7)), (2154, (3.0, 46.5), (700000.0, 6600000.0)),
+    (3035, (5.0, 50.0), (3962799.45, 2999718.85)), (3035, (10.0, 52.0), (4321000.0, 3210000.0)),
+    (3031, (50.0, -75.0), (1255380.79, 1053389.56))])
+def test_planes_at_known_points(spark, srid, lonlat, plane):
+    there = P.st_transform(G.st_point(F.lit(lonlat[0]), F.lit(lonlat[1])), srid)
+    assert value(spark, G.first_vertex(there)) == pytest.approx(plane, abs=2.0 if srid == 2154 else 0.01)
+
+
+@pytest.mark.parametrize("srid", [2154, 3035, 3031, 3413])
+def test_planes_come_back(spark, srid):
+    side = -1 if srid == 3031 else 1
+    df = spark.range(60).select((F.col("id") * 0.7 - 12).alias("x"), (side * (F.col("id") * 0.55 + 41)).alias("y"))
+    there = P.st_transform(G.st_point(F.col("x"), F.col("y")), srid)
+    back = G.first_vertex(P.st_transform(there, 4326))
+    far = df.select(F.greatest(F.abs(back["x"] - F.col("x")), F.abs(back["y"] - F.col("y"))).alias("d"))
+    assert far.agg(F.max("d")).first()[0] < 2e-9
 
 
 # --- queries and joins ------------------------------------------------------------

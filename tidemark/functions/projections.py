@@ -1,4 +1,4 @@
-"""Reprojection between longitude/latitude, web Mercator and UTM zones."""
+"""Reprojection between longitude/latitude, web Mercator, UTM zones and national or polar planes."""
 
 from __future__ import annotations
 
@@ -119,6 +119,141 @@ def from_utm(zone: Column, south: Column) -> Move:
     return move
 
 
+# --- conic, polar and equal-area planes ---------------------------------------------
+
+GRS80_F = 1 / 298.257222101
+
+
+def _isometric(lat: Column, e: float) -> Column:
+    sine = F.sin(F.radians(lat))
+    return F.atanh(sine) - F.lit(e) * F.atanh(F.lit(e) * sine)
+
+
+def _isometric_number(lat: float, e: float) -> float:
+    sine = math.sin(math.radians(lat))
+    return math.atanh(sine) - e * math.atanh(e * sine)
+
+
+def _latitude(isometric: Column, e: float) -> Column:
+    """Geodetic latitude in degrees, by fixed-point steps."""
+    phi = F.asin(F.tanh(isometric))
+    for _ in range(6):
+        phi = F.asin(F.tanh(isometric + F.lit(e) * F.atanh(F.lit(e) * F.sin(phi))))
+    return F.degrees(phi)
+
+
+def _parallel(lat: float, e: float) -> float:
+    """Radius of a parallel over the equator's."""
+    return math.cos(math.radians(lat)) / math.sqrt(1 - (e * math.sin(math.radians(lat))) ** 2)
+
+
+def _turn(lon: Column, meridian: float) -> Column:
+    return F.radians(F.pmod(lon - meridian + 180, F.lit(360.0)) - 180)
+
+
+def _conic(flattening, south, north, lat0, lon0, x0, y0) -> tuple[Move, Move]:
+    """Lambert's conformal conic with two parallels."""
+    e = math.sqrt(flattening * (2 - flattening))
+    low, high = _isometric_number(south, e), _isometric_number(north, e)
+    n = math.log(_parallel(south, e) / _parallel(north, e)) / (high - low)
+    size = WGS84_A * _parallel(south, e) * math.exp(n * low) / n
+    middle = size * math.exp(-n * _isometric_number(lat0, e))
+
+    def to(lon, lat):
+        def on_plane(t):
+            return vertex(F.lit(x0) + t["r"] * F.sin(t["a"]), F.lit(y0 + middle) - t["r"] * F.cos(t["a"]))
+
+        return let(F.struct((F.lit(size) * F.exp(-n * _isometric(lat, e))).alias("r"),
+                            (n * _turn(lon, lon0)).alias("a")), on_plane)
+
+    def back(x, y):
+        east, up = x - x0, F.lit(y0 + middle) - y
+        return let(F.struct((-F.log(F.sqrt(east * east + up * up) / size) / n).alias("q"),
+                            F.atan2(east, up).alias("a")),
+                   lambda t: vertex(F.degrees(t["a"] / n) + lon0, _latitude(t["q"], e)))
+
+    return to, back
+
+
+def _polar(flattening, true_lat, lon0) -> tuple[Move, Move]:
+    """Polar stereographic, true to scale on one parallel of its hemisphere."""
+    e = math.sqrt(flattening * (2 - flattening))
+    side = 1 if true_lat > 0 else -1
+    size = WGS84_A * _parallel(true_lat, e) * math.exp(side * _isometric_number(true_lat, e))
+
+    def to(lon, lat):
+        return let(F.struct((F.lit(size) * F.exp(-side * _isometric(lat, e))).alias("r"),
+                            _turn(lon, lon0).alias("a")),
+                   lambda t: vertex(t["r"] * F.sin(t["a"]), -side * t["r"] * F.cos(t["a"])))
+
+    def back(x, y):
+        return let(F.struct((-side * F.log(F.sqrt(x * x + y * y) / size)).alias("q"),
+                            F.atan2(x, -side * y).alias("a")),
+                   lambda t: vertex(F.pmod(F.degrees(t["a"]) + lon0 + 180, F.lit(360.0)) - 180,
+                                    _latitude(t["q"], e)))
+
+    return to, back
+
+
+def _equal_area(flattening, lat0, lon0, x0, y0) -> tuple[Move, Move]:
+    """Lambert's azimuthal equal-area projection."""
+    e2 = flattening * (2 - flattening)
+    e = math.sqrt(e2)
+
+    def share(sine, atanh):
+        return (1 - e2) * (sine / (1 - e2 * sine * sine) + atanh / e)
+
+    whole = share(1.0, math.atanh(e))
+    sine0 = math.sin(math.radians(lat0))
+    beta0 = math.asin(share(sine0, math.atanh(e * sine0)) / whole)
+    radius = WGS84_A * math.sqrt(whole / 2)
+    stretch = WGS84_A * _parallel(lat0, e) / (radius * math.cos(beta0))
+    s0, c0 = math.sin(beta0), math.cos(beta0)
+    series = (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040, 23 * e2**2 / 360 + 251 * e2**3 / 3780,
+              761 * e2**3 / 45360)
+
+    def to(lon, lat):
+        sine = F.sin(F.radians(lat))
+        beta = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), share(sine, F.atanh(F.lit(e) * sine)) / whole)))
+
+        def on_plane(t):
+            sb, cb, ca = F.sin(t["b"]), F.cos(t["b"]), F.cos(t["a"])
+            scale = F.lit(radius) * F.sqrt(2 / (1 + s0 * sb + c0 * cb * ca))
+            return vertex(F.lit(x0) + scale * stretch * cb * F.sin(t["a"]),
+                          F.lit(y0) + scale / stretch * (c0 * sb - s0 * cb * ca))
+
+        return let(F.struct(beta.alias("b"), _turn(lon, lon0).alias("a")), on_plane)
+
+    def back(x, y):
+        east, up = (x - x0) / stretch, (y - y0) * stretch
+
+        def on_sphere(t):
+            far = F.sqrt(t["x"] * t["x"] + t["y"] * t["y"])
+            return let(F.struct(t["x"].alias("x"), t["y"].alias("y"), far.alias("r"),
+                                (2 * F.asin(far / (2 * radius))).alias("c")), on_ellipsoid)
+
+        def on_ellipsoid(t):
+            sc, cc = F.sin(t["c"]), F.cos(t["c"])
+            beta = F.asin(cc * s0 + F.when(t["r"] > 0, t["y"] * sc * c0 / t["r"]).otherwise(F.lit(0.0)))
+            lam = F.atan2(t["x"] * sc, t["r"] * c0 * cc - t["y"] * s0 * sc)
+            return let(F.struct(beta.alias("b"), lam.alias("a")), lambda u: vertex(
+                F.degrees(u["a"]) + lon0,
+                F.degrees(u["b"] + sum((F.sin((2 * k + 2) * u["b"]) * f for k, f in enumerate(series)), F.lit(0.0)))))
+
+        return let(F.struct(east.alias("x"), up.alias("y")), on_sphere)
+
+    return to, back
+
+
+# Parameters of the planes, as the reference systems define them.
+PLANES = {
+    2154: _conic(GRS80_F, 44.0, 49.0, 46.5, 3.0, 700000.0, 6600000.0),
+    3035: _equal_area(GRS80_F, 52.0, 10.0, 4321000.0, 3210000.0),
+    3031: _polar(WGS84_F, -71.0, 0.0),
+    3413: _polar(WGS84_F, 70.0, -45.0),
+}
+
+
 def _is_utm(srid: int) -> bool:
     return 1 <= srid - UTM_NORTH <= 60 or 1 <= srid - UTM_SOUTH <= 60
 
@@ -128,11 +263,11 @@ def _utm_of(srid: Column) -> tuple[Column, Column]:
 
 
 def st_transform(g: Column, to_srid: int) -> Column:
-    """Reproject to longitude/latitude (4326), web Mercator (3857) or a WGS 84 UTM zone.
+    """Reproject to longitude/latitude (4326), web Mercator (3857), a WGS 84 UTM zone or one of ``PLANES``.
 
     Other reference systems raise.
     """
-    if to_srid not in (LONLAT, WEB_MERCATOR) and not _is_utm(to_srid):
+    if to_srid not in (LONLAT, WEB_MERCATOR, *PLANES) and not _is_utm(to_srid):
         raise ValueError(f"unsupported target SRID {to_srid}")
     return let(g, lambda geometry: _reproject(geometry, to_srid))
 
@@ -146,10 +281,15 @@ def _reproject(g: Column, to_srid: int) -> Column:
         F.when(source == LONLAT, g)
         .when(source == WEB_MERCATOR, map_vertices(g, _from_mercator, F.lit(LONLAT)))
         .when(from_zone, map_vertices(g, from_utm(*_utm_of(source)), F.lit(LONLAT)))
-        .when(g.isNotNull(), bad.cast(GEOMETRY))
     )
+    for srid, (_, back) in PLANES.items():
+        lonlat = lonlat.when(source == srid, map_vertices(g, back, F.lit(LONLAT)))
+    lonlat = lonlat.when(g.isNotNull(), bad.cast(GEOMETRY))
     if to_srid == LONLAT:
         return lonlat
     target = F.lit(to_srid)
-    move = _to_mercator if to_srid == WEB_MERCATOR else to_utm(*_utm_of(target))
+    if to_srid in PLANES:
+        move = PLANES[to_srid][0]
+    else:
+        move = _to_mercator if to_srid == WEB_MERCATOR else to_utm(*_utm_of(target))
     return F.when(source == to_srid, g).otherwise(map_vertices(lonlat, move, target))
