@@ -23,6 +23,7 @@ from suite.fixtures import (
     zones,
 )
 from suite.registry import query
+from tidemark.functions.geodesic import distance_m
 from tidemark.functions.geometry import (
     first_vertex,
     set_srid,
@@ -30,6 +31,7 @@ from tidemark.functions.geometry import (
     st_envelope,
     st_intersection_area,
     st_perimeter,
+    st_point,
 )
 from tidemark.functions.geotext import (
     st_as_geojson,
@@ -38,11 +40,41 @@ from tidemark.functions.geotext import (
     st_from_wkt,
 )
 from tidemark.operators import filters, spatial, spatial_join
+from tidemark.operators.spatial import settle
 from tidemark.sources import geotables
 
 RADIUS = 6371008.771415059
 
 
+def _spheroid(pairs: str) -> str:
+    """CTEs that end in ``geodesic(id, metres)`` for ``pairs(id, x1, y1, x2, y2)``: Vincenty's iteration."""
+    return f"""
+ell AS (SELECT 6378137.0 AS a, 1 / 298.257223563 AS f, 6378137.0 * (1 - 1 / 298.257223563) AS b),
+pairs AS ({pairs}),
+red AS (SELECT id, f, radians((x2 - x1 + 540) % 360 - 180) AS l,
+          atan((1 - f) * tan(radians(y1))) AS u1, atan((1 - f) * tan(radians(y2))) AS u2 FROM pairs, ell),
+vin AS (SELECT id, f, l, sin(u1) AS su1, cos(u1) AS cu1, sin(u2) AS su2, cos(u2) AS cu2, l AS lam, 0 AS k FROM red
+  UNION ALL
+  SELECT id, f, l, su1, cu1, su2, cu2,
+    l + (1 - cc) * f * sa * (sg + cc * ss * (c2m + cc * cs * (-1 + 2 * c2m * c2m))), k + 1
+  FROM (SELECT *, f / 16 * c2a * (4 + f * (4 - 3 * c2a)) AS cc FROM (
+    SELECT *, atan2(ss, cs) AS sg, CASE WHEN c2a = 0 THEN 0 ELSE cs - 2 * su1 * su2 / c2a END AS c2m FROM (
+      SELECT *, 1 - sa * sa AS c2a FROM (
+        SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cu1 * cu2 * sin(lam) / ss END AS sa FROM (
+          SELECT *, sqrt((cu2 * sin(lam)) ** 2 + (cu1 * su2 - su1 * cu2 * cos(lam)) ** 2) AS ss,
+            su1 * su2 + cu1 * cu2 * cos(lam) AS cs FROM vin WHERE k < 40))))) q),
+geodesic AS (SELECT id, b * ca * (sg - cb * ss * (c2m + cb / 4 * (cs * (-1 + 2 * c2m * c2m)
+    - cb / 6 * c2m * (-3 + 4 * ss * ss) * (-3 + 4 * c2m * c2m)))) AS metres
+  FROM (SELECT *, 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS ca,
+      w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS cb FROM (
+    SELECT *, atan2(ss, cs) AS sg, c2a * (a * a - b * b) / (b * b) AS w,
+      CASE WHEN c2a = 0 THEN 0 ELSE cs - 2 * su1 * su2 / c2a END AS c2m FROM (
+      SELECT *, 1 - sa * sa AS c2a FROM (
+        SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cu1 * cu2 * sin(lam) / ss END AS sa FROM (
+          SELECT vin.*, a, b, sqrt((cu2 * sin(lam)) ** 2 + (cu1 * su2 - su1 * cu2 * cos(lam)) ** 2) AS ss,
+            su1 * su2 + cu1 * cu2 * cos(lam) AS cs FROM vin, ell WHERE k = 40))))) q)"""
+
+
 def _sphere(x1: str, y1: str, x2: str, y2: str) -> str:
     return (f"2 * {RADIUS} * asin(least(1.0, sqrt("
             f"sin((radians({y2}) - radians({y1})) / 2) ** 2 + cos(radians({y1})) * "
@@ -139,7 +171,11 @@ def dwithin_pairs(spark, sf_dir):
     ).select("a.c_custkey", "b.s_suppkey")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {SQL_SITES}, {SQL_DEPOTS}, {_spheroid(f"""
+  SELECT c_custkey AS id, s.x AS x1, s.y AS y1, d.x AS x2, d.y AS y2 FROM sites s, depots d
+  WHERE {_sphere('s.x', 's.y', 'd.x', 'd.y')} <= 310000""")}
+SELECT DISTINCT id AS c_custkey FROM geodesic WHERE metres <= 300000""")
 def dwithin_ref_spheroid(spark, sf_dir):
     """Sites within 300 km of some depot on the spheroid."""
     return spatial.dwithin(sites(spark, sf_dir), ref=(depots(spark, sf_dir), "geometry"),
@@ -233,7 +269,11 @@ def geo_dwithin_sphere(spark, sf_dir):
                            model="sphere", columns=["c_custkey"])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {SQL_SITES}, {_spheroid(f"""
+  SELECT c_custkey AS id, x AS x1, y AS y1, 179.5 AS x2, 12.0 AS y2 FROM sites
+  WHERE {_sphere('x', 'y', '179.5', '12.0')} <= 2600000""")}
+SELECT id AS c_custkey FROM geodesic WHERE metres <= 2500000""")
 def geo_dwithin_spheroid(spark, sf_dir):
     return spatial.dwithin(sites(spark, sf_dir), point=(179.5, 12.0), distance=2500000.0,
                            columns=["c_custkey"])
@@ -258,9 +298,13 @@ def geo_distance_sphere(spark, sf_dir):
     return out.withColumn("distance", F.round("distance", 2))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {SQL_SITES}, {_spheroid("SELECT c_custkey AS id, x AS x1, y AS y1, 10.0 AS x2, 12.0 AS y2 FROM sites")}
+SELECT id AS c_custkey, round(metres) + 0.0 AS distance FROM geodesic""")
 def geo_distance_spheroid(spark, sf_dir):
-    return spatial.distance(sites(spark, sf_dir), point=(10.0, 12.0), columns=["c_custkey"])
+    """Whole metres."""
+    out = spatial.distance(sites(spark, sf_dir), point=(10.0, 12.0), columns=["c_custkey"])
+    return out.withColumn("distance", F.round("distance") + 0.0)
 
 
 @query(f"""
@@ -308,9 +352,15 @@ def geo_area_spheroid(spark, sf_dir):
     return spatial.area(wedges(spark, sf_dir), columns=["c_custkey"])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {SQL_SITES}, wedge AS (SELECT *, c_custkey % 7 + 1 AS w, c_custkey % 5 + 1 AS h FROM sites), {_spheroid("""
+  SELECT c_custkey AS id, x AS x1, y AS y1, x + w AS x2, y AS y2 FROM wedge
+  UNION ALL SELECT c_custkey, x + w, y, x, y + h FROM wedge UNION ALL SELECT c_custkey, x, y + h, x, y FROM wedge""")}
+SELECT id AS c_custkey, round(sum(metres)) + 0.0 AS perimeter FROM geodesic GROUP BY id""")
 def geo_perimeter_spheroid(spark, sf_dir):
-    return spatial.perimeter(wedges(spark, sf_dir), columns=["c_custkey"])
+    """Whole metres."""
+    out = spatial.perimeter(wedges(spark, sf_dir), columns=["c_custkey"])
+    return out.withColumn("perimeter", F.round("perimeter") + 0.0)
 
 
 @query("""
@@ -325,11 +375,16 @@ def geo_buffer_area(spark, sf_dir):
         "c_custkey", F.round(st_area(st_buffer(F.col("geometry"), radius)), 6).alias("area"))
 
 
-@query()
+@query("SELECT c_custkey, 5000.0 AS nearest, 5000.0 AS farthest FROM customer")
 def geo_buffer_metres(spark, sf_dir):
-    """A 5 km buffer around every site."""
-    out = spatial.buffer(sites(spark, sf_dir), distance=5000.0, columns=["c_custkey"])
-    return out.select("c_custkey", st_as_wkt(F.col("buffer")).alias("buffer"))
+    """A 5 km buffer around every site: how far its vertices lie from the site, in whole metres."""
+    out = spatial.buffer(sites(spark, sf_dir), distance=5000.0, columns=["c_custkey", "geometry"])
+    ring = out.select("c_custkey", "geometry", F.explode(F.flatten(F.flatten(F.col("buffer")["parts"]))).alias("v"))
+    # a step of its own, as the kernel takes plain columns
+    placed = settle(ring.select("c_custkey", "geometry", st_point(F.col("v.x"), F.col("v.y")).alias("vertex")), "vertex")
+    away = placed.withColumn("away", distance_m(F.col("geometry"), F.col("vertex"), "spheroid", "POINT", "POINT"))
+    return away.groupBy("c_custkey").agg((F.round(F.min("away")) + 0.0).alias("nearest"),
+                                         (F.round(F.max("away")) + 0.0).alias("farthest"))
 
 
 # The conic plane 2154.
