@@ -147,7 +147,7 @@ SELECT c_custkey FROM sites s WHERE EXISTS (SELECT 1 FROM depots d
 def dwithin_ref(spark, sf_dir):
     """Sites within 3.25 degrees (planar) of some depot."""
     return spatial.dwithin(sites(spark, sf_dir), ref=(depots(spark, sf_dir), "geometry"),
-                           distance=3.25, unit="srid", columns=["c_custkey"])
+                           distance=3.25, unit="srid", points=True, columns=["c_custkey"])
 
 
 @query(f"""
@@ -157,7 +157,7 @@ SELECT c_custkey FROM sites s WHERE EXISTS (SELECT 1 FROM depots d
 def dwithin_ref_sphere(spark, sf_dir):
     """Sites within 300 km of some depot, across the antimeridian too."""
     return spatial.dwithin(sites(spark, sf_dir), ref=(depots(spark, sf_dir), "geometry"),
-                           distance=300000.5, model="sphere", columns=["c_custkey"])
+                           distance=300000.5, points=True, model="sphere", columns=["c_custkey"])
 
 
 @query(f"""
@@ -179,7 +179,29 @@ SELECT DISTINCT id AS c_custkey FROM geodesic WHERE metres <= 300000""")
 def dwithin_ref_spheroid(spark, sf_dir):
     """Sites within 300 km of some depot on the spheroid."""
     return spatial.dwithin(sites(spark, sf_dir), ref=(depots(spark, sf_dir), "geometry"),
-                           distance=300000.0, columns=["c_custkey"])
+                           distance=300000.0, points=True, columns=["c_custkey"])
+
+
+@query(f"""
+WITH {SQL_SITES}, {SQL_PLOTS}, {SQL_DEPOTS}, {SQL_YARDS}
+SELECT c_custkey FROM plots p WHERE EXISTS (SELECT 1 FROM yards q
+  WHERE greatest(p.x - q.x1, q.x - p.x1, 0) ** 2 + greatest(p.y - q.y1, q.y - p.y1, 0) ** 2 <= 1.25 ** 2)""")
+def dwithin_ref_areas(spark, sf_dir):
+    """Plots within 1.25 degrees (planar) of some yard: areas on both sides."""
+    return spatial.dwithin(plots(spark, sf_dir), ref=(yards(spark, sf_dir), "geometry"),
+                           distance=1.25, unit="srid", columns=["c_custkey"])
+
+
+@query(f"""
+WITH {SQL_PATHS},
+near AS (SELECT *, greatest(0, least(1, ((10.0 - xa) * (xb - xa) + (12.0 - ya) * (yb - ya))
+           / ((xb - xa) ** 2 + (yb - ya) ** 2))) AS t FROM paths)
+SELECT o_orderkey FROM near
+WHERE (xa + t * (xb - xa) - 10.0) ** 2 + (ya + t * (yb - ya) - 12.0) ** 2 <= 20.25 ** 2""")
+def geo_dwithin_lines(spark, sf_dir):
+    """Paths that pass within 20.25 degrees (planar) of a point."""
+    return spatial.dwithin(paths(spark, sf_dir), point=(10.0, 12.0), distance=20.25, unit="srid",
+                           columns=["o_orderkey"])
 
 
 @query(f"""

@@ -102,14 +102,14 @@ def dwithin(
     df: DataFrame, geom: str = "geometry", *, distance: float, point=None,
     wkt: str | None = None, geojson: Mapping | None = None,
     ref: tuple[DataFrame, str] | None = None, srid: int = DEFAULT_SRID, unit: str = "m",
-    model: str = "spheroid", columns: Iterable[str] | None = None, where=None, order_by=None,
-    limit: int | None = None,
+    model: str = "spheroid", points: bool = False, columns: Iterable[str] | None = None,
+    where=None, order_by=None, limit: int | None = None,
 ) -> DataFrame:
-    """Rows within ``distance`` (inclusive), in metres or SRID units."""
+    """Rows within ``distance`` (inclusive), in metres or SRID units; ``points`` promises points with ``ref``."""
     check_distance(distance, unit, model)
     given = _form(ref, srid, point=point, wkt=wkt, geojson=geojson)
     if given is None:
-        out = dwithin_ref(df, ref[0], distance, geom, ref[1], unit, model)
+        out = dwithin_ref(df, ref[0], distance, geom, ref[1], unit, model, points)
     else:
         out = _dwithin_shape(df, geom, given, distance, unit, model)
     return _tail(out, [], columns, where, order_by, limit)

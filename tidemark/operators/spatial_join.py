@@ -16,6 +16,7 @@ from tidemark.functions.geodesic import (
     SPHERE_SLACK,
     check_model,
     distance_m,
+    geodesic_box,
     reach_boxes,
     sphere_distance,
 )
@@ -87,9 +88,16 @@ def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     lower left corner of their overlap, which needs no duplicate removal.
     """
     ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
-    left, right = left.alias("a"), right.alias("b")
-    cells_a = grid.cover_levels(left, ga["bbox"], grid.levels_in_use(right, gb["bbox"]))
-    cells_b = grid.cover_levels(right, gb["bbox"], grid.levels_in_use(left, ga["bbox"]))
+    joined = _boxes_meet(left.alias("a"), right.alias("b"), ga["bbox"], gb["bbox"],
+                         grid.fits_broadcast(right), extra)
+    return joined.filter(test(ga, gb)).select("a.*", "b.*")
+
+
+def _boxes_meet(left: DataFrame, right: DataFrame, box_left: Column, box_right: Column, small: bool,
+                extra: Column | None = None) -> DataFrame:
+    """Rows of ``left`` and ``right`` whose boxes meet, each pair once."""
+    cells_a = grid.cover_levels(left, box_left, grid.levels_in_use(right, box_right))
+    cells_b = grid.cover_levels(right, box_right, grid.levels_in_use(left, box_left))
     cells_b = cells_b.withColumnRenamed("_own", "_own_b")
     box_a, box_b, level = grid.box_of(), grid.box_of("_b_"), F.col("_level")
     once = (
@@ -100,8 +108,7 @@ def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom:
     condition = once & _box_meets(box_a, box_b)
     if extra is not None:
         condition = condition & extra
-    joined = _cell_join(cells_a, cells_b, condition, grid.fits_broadcast(right))
-    return joined.filter(test(ga, gb)).select("a.*", "b.*")
+    return _cell_join(cells_a, cells_b, condition, small)
 
 
 def _select(pairs: DataFrame, columns: Iterable[str | Column] | None) -> DataFrame:
@@ -279,37 +286,53 @@ def reach(g: Column, distance: float, unit: str) -> Column:
 
 def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
                   left_geom: str = "geometry", right_geom: str = "geometry",
-                  unit: str = "m", model: str = "spheroid") -> DataFrame:
-    """Pairs (a, b) of points of ``left`` and geometries of ``right`` within a distance."""
+                  unit: str = "m", model: str = "spheroid", points: bool = False) -> DataFrame:
+    """Pairs (a, b) of geometries of ``left`` and ``right`` within a distance.
+
+    ``points=True`` promises that ``left`` holds points only (checked per row), which are looked up by
+    one cell per level; other geometries are joined by the cells of their boxes.
+    """
     check_distance(distance, unit, model)
     ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
-    left, right = _checked_points(left, left_geom).alias("a"), right.alias("b")
-    near = right.select("*", F.explode(reach(gb, distance, unit)).alias("_reach"))
-    looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
-    covered = grid.cover(near, F.col("_reach")).drop("_reach")
-    boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
-    joined = _cell_join(looked_up, covered, boxes, grid.fits_broadcast(right))
+    left, kind = _points_or_any(left, left_geom, points)
+    left, right = left.alias("a"), right.alias("b")
+    small = grid.fits_broadcast(right)
+    if points:
+        near = right.select("*", F.explode(reach(gb, distance, unit)).alias("_reach"))
+        looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
+        covered = grid.cover(near, F.col("_reach")).drop("_reach")
+        boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
+        joined = _cell_join(looked_up, covered, boxes, small)
+    else:
+        own = geodesic_box(ga) if unit == "m" else ga["bbox"]
+        near = right.withColumn("_boxes", reach(gb, distance, unit)).select(
+            "*", F.posexplode("_boxes").alias("_nth", "_reach"))
+        joined = _boxes_meet(left, near, own, F.col("_reach"), small)
+        # of two boxes (across the antimeridian) the first that is met counts
+        joined = joined.filter((F.col("_nth") == 0) | ~_box_meets(own, F.col("_boxes")[0]))
     if unit == "m" and model == "spheroid":
         # the cheap sphere distance decides most pairs before the numpy kernel runs
         joined = joined.filter(
-            sphere_distance(ga, gb, POINT) <= distance * (1 + SPHERE_SLACK))
-    test = within_distance_test(unit, distance, model, POINT)
-    return joined.filter(test(ga, gb)).select("a.*", "b.*")
+            sphere_distance(ga, gb, kind) <= distance * (1 + SPHERE_SLACK))
+    test = within_distance_test(unit, distance, model, kind)
+    out = joined.filter(test(ga, gb)).select("a.*", "b.*")
+    return out.drop("_boxes", "_nth", "_reach")
 
 
 def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geometry",
-                ref_geom: str = "geometry", unit: str = "m", model: str = "spheroid") -> DataFrame:
-    """Rows of ``df`` (points) within a distance of some geometry of ``ref``."""
+                ref_geom: str = "geometry", unit: str = "m", model: str = "spheroid",
+                points: bool = False) -> DataFrame:
+    """Rows of ``df`` within a distance of some geometry of ``ref``; ``points`` as in ``dwithin_pairs``."""
     check_distance(distance, unit, model)
     small = ref.select(F.col(ref_geom).alias("_ref"))
-    native = unit == "srid" or model == "sphere"
+    native = points and (unit == "srid" or model == "sphere")
     near = small.withColumn("_near", F.explode(reach(F.col("_ref"), distance, unit)))
     probe = _probe_cells(near, F.col("_near")) if native and grid.fits_broadcast(small) else None
     if probe:
         test = within_distance_test(unit, distance, model, POINT)
         return _keep_where_exists(_checked_points(df, geom), geom, probe, test)
     pairs = dwithin_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
-                          distance, "g", "g", unit, model)
+                          distance, "g", "g", unit, model, points)
     return _keep_geometries(df, geom, pairs)
 
 
