@@ -12,6 +12,7 @@ from suite.fixtures import (
     SQL_YARDS,
     SQL_ZONES,
     depots,
+    fresh_name,
     paths,
     plots,
     read,
@@ -541,3 +542,26 @@ def geo_envelope(spark, sf_dir):
     """Bounding rectangle of every path."""
     return paths(spark, sf_dir).select(
         "o_orderkey", F.round(st_area(st_envelope(F.col("geometry"))), 6).alias("area"))
+
+
+@query(f"""
+WITH {SQL_SITES}
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 1.5 ELSE x END AS x,
+  CASE WHEN c_custkey % 10 = 0 THEN 2.5 ELSE y END AS y FROM sites WHERE c_custkey % 7 <> 0""")
+def geo_write_modes(spark, sf_dir):
+    """A geometry table: written, appended to, upserted by key, deleted from."""
+    tables, name = workspace(spark, "geotable"), fresh_name("sites")
+    every = sites(spark, sf_dir).select("c_custkey", "c_name", "geometry")
+    geotables.write_geometry_table(tables, every.limit(0), name)
+    geotables.write_geometry_table(tables, every.filter("c_custkey % 2 = 0"), name, "replace", "c_custkey")
+    geotables.write_geometry_table(tables, every.filter("c_custkey % 2 = 1"), name, "append")
+    moved = every.filter("c_custkey % 10 = 0").withColumn("geometry", st_point(F.lit(1.5), F.lit(2.5)))
+    tables.upsert(geotables.geometry_frame(moved, layout=False), name, "c_custkey")
+    tables.delete(name, "c_custkey % 7 = 0")
+    try:
+        geotables.write_geometry_table(tables, every, name)
+    except ValueError:
+        v = first_vertex(F.col("geometry"))
+        return geotables.read_geometry_table(spark, query=f"SELECT * FROM {name}").select(
+            "c_custkey", "c_name", v["x"].alias("x"), v["y"].alias("y"))
+    raise AssertionError("an existing table is not written over")

@@ -15,9 +15,7 @@ _UNIT_MICROS = {
     "week": 604_800_000_000,
 }
 _UNIT_MONTHS = {"month": 1, "year": 12}
-_PATTERN = re.compile(
-    r"^(\d+)\s+(second|minute|hour|day|week|month|year)s?$", re.IGNORECASE
-)
+_PATTERN = re.compile(rf"^(\d+)\s+({'|'.join([*_UNIT_MICROS, *_UNIT_MONTHS])})s?$", re.IGNORECASE)
 
 
 @dataclass(frozen=True)

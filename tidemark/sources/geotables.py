@@ -6,13 +6,17 @@ cannot hit; clustering by a Z-order key keeps near geometries in the same row gr
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.geometry import DEFAULT_SRID, set_srid
 from tidemark.functions.geotext import st_as_wkb, st_from_wkb
 from tidemark.operators._columns import spread
+from tidemark.operators.query import table_or_sql
 from tidemark.operators.spatial import settle
+from tidemark.sources.tables import Tables
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 # Bits per axis of the clustering key.
@@ -66,9 +70,12 @@ def clustered(df: DataFrame, geom: str = "geometry",
     return ranged.sortWithinPartitions("_z").drop("_z", "_spread")
 
 
-def write_geometry(df: DataFrame, path: str, geom: str = "geometry", srid: int | None = None,
-                   layout: bool = True, extent=None) -> None:
-    """Write a geometry table.  ``srid`` overrides; without one, SRID 0 is an error."""
+def geometry_frame(df: DataFrame, geom: str = "geometry", srid: int | None = None,
+                   layout: bool = True, extent=None) -> DataFrame:
+    """The frame as it is stored: EWKB, box columns and SRID, clustered unless ``layout`` is off.
+
+    ``srid`` overrides; without one, SRID 0 is an error.
+    """
     out = df
     if srid is not None:
         out = out.withColumn(geom, set_srid(F.col(geom), srid))
@@ -81,22 +88,30 @@ def write_geometry(df: DataFrame, path: str, geom: str = "geometry", srid: int |
         out = clustered(out, geom, extent)
     box = F.col(geom)["bbox"]
     settled = settle(out, geom)
-    encoded = settled.select(
+    return settled.select(
         *[F.col(f"`{c}`") for c in df.columns if c != geom],
         *[box[b].alias(f"{geom}_{b}") for b in BOX],
         F.col(geom)["srid"].alias(f"{geom}_srid"), st_as_wkb(F.col(geom)).alias(geom))
-    encoded.write.mode("errorifexists").parquet(path)
 
 
-def read_geometry(spark: SparkSession, path: str, geom: str = "geometry",
-                  within: tuple[float, float, float, float] | None = None,
-                  srid: int = DEFAULT_SRID) -> DataFrame:
-    """Read a geometry table; ``within`` keeps rows whose box meets the given box.
+def write_geometry(df: DataFrame, path: str, geom: str = "geometry", srid: int | None = None,
+                   layout: bool = True, extent=None) -> None:
+    """Write geometry files to a new folder."""
+    geometry_frame(df, geom, srid, layout, extent).write.mode("errorifexists").parquet(path)
 
-    The box test runs on plain columns and reaches the parquet scan; only the rows that
-    pass are decoded.
+
+def write_geometry_table(tables: Tables, df: DataFrame, name: str, if_exists: str = "fail",
+                         primary_key: str | Iterable[str] | None = None, geom: str = "geometry",
+                         srid: int | None = None, layout: bool = True) -> int:
+    """Write a geometry table of the catalog: fail if it exists, replace it, or append to it.
+
+    ``primary_key`` is checked unless appending.  The table is an ordinary one, so it takes
+    upserts (of :func:`geometry_frame`), deletes and updates like any other.
     """
-    raw = spark.read.parquet(path)
+    return tables.write(geometry_frame(df, geom, srid, layout), name, if_exists, primary_key=primary_key)
+
+
+def _decoded(raw: DataFrame, geom: str, within, srid: int) -> DataFrame:
     if within is not None:
         xmin, ymin, xmax, ymax = within
         raw = raw.filter(
@@ -104,3 +119,21 @@ def read_geometry(spark: SparkSession, path: str, geom: str = "geometry",
             & (F.col(f"{geom}_ymin") <= ymax) & (F.col(f"{geom}_ymax") >= ymin))
     helpers = [f"{geom}_{b}" for b in BOX] + [f"{geom}_srid"]
     return raw.withColumn(geom, st_from_wkb(F.col(geom), srid)).drop(*helpers)
+
+
+def read_geometry(spark: SparkSession, path: str, geom: str = "geometry",
+                  within: tuple[float, float, float, float] | None = None,
+                  srid: int = DEFAULT_SRID) -> DataFrame:
+    """Read geometry files; ``within`` keeps rows whose box meets the given box.
+
+    The box test runs on plain columns and reaches the parquet scan; only the rows that
+    pass are decoded.
+    """
+    return _decoded(spark.read.parquet(path), geom, within, srid)
+
+
+def read_geometry_table(spark: SparkSession, table: str | None = None, query: str | None = None,
+                        geom: str = "geometry", within: tuple[float, float, float, float] | None = None,
+                        srid: int = DEFAULT_SRID) -> DataFrame:
+    """Read a geometry table, or a query over one that keeps its columns, as :func:`read_geometry`."""
+    return _decoded(table_or_sql(spark, table, query), geom, within, srid)

@@ -193,6 +193,9 @@ class Tables:
     def _rewrite(self, name: str, where, change) -> int:
         current = self.read(name)
         hit = rows._condition(current, where)
+        # a condition that matches nothing, often decided by file statistics, rewrites nothing
+        if current.filter(hit).isEmpty():
+            return 0
         watch = Watch(current.withColumn("_hit", hit), n=F.sum(F.col("_hit").cast("long")))
         changed = change(watch.df, F.col("_hit")).drop("_hit")
         self.point_at(name, self.stage(changed, name), changed)
