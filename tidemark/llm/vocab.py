@@ -9,6 +9,7 @@ time and changes nothing.
 
 from __future__ import annotations
 
+import os
 from itertools import chain, repeat
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 
 from tidemark.llm import textkit
 
-KNOWN_PARTS = 300_000
+KNOWN_PARTS = 150_000
 PLAIN_LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
 _ASCII_LETTER = textkit.byte_class((0x61, 0x7A))
 _STOP = textkit.byte_class((0x2C, 0x2C), (0x2E, 0x2E))
@@ -25,10 +26,12 @@ _SPACE = textkit.byte_class((0x20, 0x20), (0x0A, 0x0A))
 
 
 class PartTable:
-    """Ids of parts seen so far, one run after the other."""
+    """Ids of parts seen so far, one run after the other.
 
-    def __init__(self, encode_parts):
-        self.encode_parts = encode_parts
+    It does not hold its encoder, so both are freed as soon as a task ends.
+    """
+
+    def __init__(self):
         self.clear()
 
     def clear(self):
@@ -42,8 +45,7 @@ class PartTable:
             return array
         return np.concatenate([array, np.zeros(max(len(array), n - len(array)), array.dtype)])
 
-    def add(self, parts: pa.Array, texts: list[str]) -> None:
-        ids, sizes = self.encode_parts(parts, texts)
+    def add(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, end = len(self.place), self.used + len(ids)
         self.ids = self._room(self.ids, end)
         self.starts, self.sizes = (self._room(x, n + len(texts)) for x in (self.starts, self.sizes))
@@ -53,7 +55,7 @@ class PartTable:
         self.place.update(zip(texts, range(n, n + len(texts))))
         self.used = end
 
-    def lookup(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def lookup(self, parts: pa.Array, encode_parts) -> tuple[np.ndarray, np.ndarray]:
         """Start and number of the ids of each of the distinct parts, within ``ids``."""
         if len(self.place) > KNOWN_PARTS:
             self.clear()
@@ -62,11 +64,12 @@ class PartTable:
         new = np.flatnonzero(at < 0)
         if len(new):
             at[new] = len(self.place) + np.arange(len(new))
-            self.add(parts.take(pa.array(new)), [texts[i] for i in new.tolist()])
+            unseen = [texts[i] for i in new.tolist()]
+            self.add(unseen, *encode_parts(parts.take(pa.array(new)), unseen))
         return self.starts[at], self.sizes[at].astype(np.int64)
 
 
-def gathered(table: PartTable, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gathered(table: PartTable, encode_parts, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(ids, sizes)``: the ids of all rows one after the other, and how many each row has."""
     rows = len(bounds) - 1
     data = np.where(buf == 0x0A, np.uint8(0x20), buf)
@@ -75,7 +78,7 @@ def gathered(table: PartTable, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.
     parts = split.flatten().dictionary_encode()
     if not len(parts):
         return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
-    starts, sizes = table.lookup(parts.dictionary)
+    starts, sizes = table.lookup(parts.dictionary, encode_parts)
     code = parts.indices.to_numpy()
     starts, sizes = starts[code], sizes[code]
     ends = np.cumsum(sizes)
@@ -89,6 +92,8 @@ class BpeEncoder:
     """The tokenizers library's BPE with word ends, lower case, white space dropped."""
 
     def __init__(self, path: str):
+        # tasks run side by side already; the library's own threads would only hold more memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -98,7 +103,7 @@ class BpeEncoder:
         for token, i in vocabulary.items():
             self.ends_word[i] = token.endswith("</w>")
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.table = PartTable(self._encode_parts)
+        self.table = PartTable()
 
     def _each(self, parts):
         return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -141,7 +146,7 @@ class BpeEncoder:
         at = at[_ASCII_LETTER[low[at - 1]] & ~last[at]]
         after = np.append(low, np.uint8(0x20))[at + 1]
         at = at[_SPACE[after] | last[at + 1]]
-        return gathered(self.table, np.insert(low, at, 0x20), bounds + np.searchsorted(at, bounds))
+        return gathered(self.table, self._encode_parts, np.insert(low, at, 0x20), bounds + np.searchsorted(at, bounds))
 
 
 class PieceEncoder:
@@ -153,7 +158,7 @@ class PieceEncoder:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = self.model.get_piece_size()
         self.fallback = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.table = PartTable(self._encode_parts)
+        self.table = PartTable()
 
     def _encode_parts(self, parts: pa.Array, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.model.encode(texts, num_threads=1)
@@ -161,4 +166,4 @@ class PieceEncoder:
         return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return gathered(self.table, buf, bounds)
+        return gathered(self.table, self._encode_parts, buf, bounds)
