@@ -168,7 +168,7 @@ ON {_sphere('s.x', 's.y', 'd.x', 'd.y')} <= 300000.5""")
 def dwithin_pairs(spark, sf_dir):
     """All site and depot pairs within 300 km."""
     return spatial_join.dwithin_pairs(
-        sites(spark, sf_dir), depots(spark, sf_dir), 300000.5, model="sphere"
+        sites(spark, sf_dir), depots(spark, sf_dir), 300000.5, model="sphere", points=True
     ).select("a.c_custkey", "b.s_suppkey")
 
 
