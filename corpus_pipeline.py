@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of linked ones."""
-    return ngramjoin.one_per_component(docs)
+    """The smallest document of each group linked by a Jaccard of 0.8 of their 5-word shingles."""
+    return ngramjoin.one_per_component(docs, n=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from tidemark.llm import mixing, quality  # noqa: E402
 
 from . import test_decontaminate, test_mixing, test_ngramjoin, test_tokenfiles  # noqa: E402, F401
-from .conftest import SF_DIR, table_of  # noqa: E402
+from .conftest import SCHEMA, SF_DIR, prose, table_of  # noqa: E402
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -67,3 +69,33 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing):
         assert stage(spark, nothing, SF_DIR).count() == 0, name
         assert stage(spark, odd, SF_DIR).count() <= 4 * odd.count(), name
     assert ids(STAGE["n-gram Jaccard join"](spark, odd.filter("doc_id IS NOT NULL"), SF_DIR)) == [1, 2, 3, 4, 6, 8, 10, 11]
+
+
+def test_near_duplicates_by_five_words_and_four_fifths(spark):
+    """Scattered edits and added passages, on either side of the limit."""
+    rng = random.Random(21)
+    docs = []
+    for _ in range(12):
+        words = prose(rng, 400, 5000).split()
+        docs.append(" ".join(words))
+        for edits in (4, 7, 8, 9, 10, 14):
+            copy = list(words)
+            for i in rng.sample(range(400), edits):
+                copy[i] = f"n{rng.randrange(9999)}"
+            docs.append(" ".join(copy))
+        docs += [" ".join(words + prose(rng, extra, 5000).split()) for extra in (30, 60, 80, 120)]
+    rng.shuffle(docs)
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(docs)], SCHEMA)
+
+    def smallest(n, percent):
+        sets = [test_ngramjoin.shingles(t, n) for t in docs]
+        root = list(range(len(docs)))
+        for i in range(len(docs)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= percent * len(sets[i] | sets[j]):
+                    a, b = sorted((root[i], root[j]))
+                    root = [a if r == b else r for r in root]
+        return sorted(set(root))
+
+    assert ids(STAGE["n-gram Jaccard join"](spark, df, SF_DIR)) == smallest(5, 80) != smallest(3, 90)
