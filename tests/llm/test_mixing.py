@@ -76,3 +76,25 @@ def test_odd_rows(odd, nothing):
     clash = odd.withColumnsRenamed({"n_chars": "target"}).withColumn("size", F.lit("x"))
     assert mixing.planned(clash).count() == odd.count()
     assert mixing.mixed(clash).columns == [*clash.columns, "_shard", "_rank"]
+
+
+def test_gaps_of_long_documents_are_closed(spark):
+    """Documents at the cut may hold a fifth of their source's words."""
+    rng = random.Random(15)
+    rows = []
+    for s in range(12):
+        long = [6000] * 4 if s % 3 else [60_000, 30_000, 15_000]
+        sizes = long + [rng.randrange(20, 120) for _ in range(sum(long) // 170)]
+        rows += [(1000 * s + i, prose(rng, n), "en", f"s{s:02}", 0) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.planned(docs, weight_cycle=(3, 4, 5, 2, 6)).select(
+        "doc_id", "source", "size", "target", "copies", "places").collect()
+    for source in {r["source"] for r in plan}:
+        of = [r for r in plan if r["source"] == source]
+        gap = of[0]["target"] - sum(r["size"] * r["copies"] for r in of)
+        least = min(r["copies"] for r in of)
+        assert 0 <= gap < max(1, min((r["size"] for r in of if r["copies"] == least), default=1)), source
+        assert max(r["copies"] for r in of) <= least + 1
+    taken = {r["doc_id"]: r["copies"] for r in plan if r["copies"]}
+    mix = mixing.mixed(docs, weight_cycle=(3, 4, 5, 2, 6))
+    assert {r["doc_id"]: r["count"] for r in mix.groupBy("doc_id").count().collect()} == taken

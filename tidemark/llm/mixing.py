@@ -25,6 +25,8 @@ from tidemark.llm.scratch import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: The hash has 60 bits, refined 12 at a time.
 BITS, STEP = 60, 12
+#: Rows of all sources that reach the driver at once when gaps are closed.
+COLLECTED = 100_000
 
 
 def targets(sizes: dict, weights: dict, total: float, most: float) -> dict:
@@ -63,7 +65,7 @@ def _permuted(seed: int, *columns: Column) -> Column:
 
 
 def _cuts(slim: DataFrame, rest: dict[object, float]) -> dict[object, int]:
-    """Per source the hash below which documents hold nearest to ``rest`` words, by refinement.
+    """Per source the hash below which documents hold ``rest`` words, or less by the next one, by refinement.
 
     Each step bins the one open bin of every source; sources are few, so the open bins travel as a
     literal table.
@@ -99,41 +101,94 @@ def _cuts(slim: DataFrame, rest: dict[object, float]) -> dict[object, int]:
                 continue
             low += row["bin"] << shift
             if shift == 0:
-                over = row["before"] + row["words"] - row["wanted"] < row["wanted"] - row["before"]
-                cuts[source] = low + int(over)
+                cuts[source] = low + int(row["before"] + row["words"] == row["wanted"])
                 del open_[source]
             else:
                 open_[source] = (low, gone + row["before"])
     return cuts
 
 
-def _fills(slim: DataFrame, cuts: dict, rest: dict, rounds: int = 4) -> dict[object, list[int]]:
-    """Hashes of documents past the cut that close most of the gap: each time the largest that fits."""
-    spark, kind = slim.sparkSession, slim.schema["source"].dataType.simpleString()
-    fills = {s: [] for s in cuts}
-
-    def table():
-        return F.broadcast(spark.createDataFrame([(s, cuts[s], float(rest[s])) for s in cuts],
-                                                 f"source {kind}, cut long, rest double").alias("k"))
+def _fills(slim: DataFrame, cuts: dict, rest: dict) -> dict[object, list[tuple]]:
+    """Ranges past the cut that close the gap: ``(low, high, most)``, documents of at most ``most`` words.
 
-    taken = slim.alias("d").join(table(), F.col("d.source").eqNullSafe(F.col("k.source"))) \
+    In the order of the hash every document that still fits is taken, until none is left that does.
+    A range ends where a document of at most ``most`` words is larger than the gap by then; the next one
+    takes documents of at most that gap.  A histogram finds where the gap would be closed; of the
+    documents from there on a bounded number reaches the driver.
+    """
+    spark, kind = slim.sparkSession, slim.schema["source"].dataType.simpleString()
+    fills, end = {s: [] for s in cuts}, 1 << BITS
+    table = F.broadcast(spark.createDataFrame([(s, cuts[s]) for s in cuts], f"source {kind}, cut long").alias("k"))
+    taken = slim.alias("d").join(table, F.col("d.source").eqNullSafe(F.col("k.source"))) \
         .groupBy("d.source").agg(F.sum(F.when(F.col("hash") < F.col("cut"), F.col("size")).otherwise(0)).alias("n"))
-    gaps = {r["source"]: rest[r["source"]] - r["n"] for r in taken.collect()}
-    for _ in range(rounds):
-        wanted = [(s, cuts[s], float(g), fills[s]) for s, g in gaps.items() if g >= 1]
-        if not wanted:
-            break
-        gap = F.broadcast(spark.createDataFrame(
-            wanted, f"source {kind}, cut long, gap double, held array<long>").alias("g"))
-        best = slim.alias("d").join(gap, F.col("d.source").eqNullSafe(F.col("g.source"))).filter(
-            (F.col("hash") >= F.col("cut")) & (F.col("size") > 0) & ~F.array_contains("held", F.col("hash"))) \
-            .groupBy("d.source", "hash", "gap").agg(F.sum("size").alias("size")).filter(F.col("size") <= F.col("gap")) \
-            .groupBy("d.source").agg(F.max(F.struct("size", "hash")).alias("best")).collect()
-        if not best:
-            break
-        for r in best:
-            fills[r["source"]].append(r["best"]["hash"])
-            gaps[r["source"]] -= r["best"]["size"]
+    # source: first hash of the open window, its end, words that are missing
+    open_ = {r["source"]: (cuts[r["source"]] + 1, end, rest[r["source"]] - r["n"]) for r in taken.collect()}
+
+    def fitting(windows):
+        """Documents of the windows ``(source, low, high, shift, gap)`` that the gaps hold."""
+        w = F.broadcast(spark.createDataFrame(
+            windows, f"source {kind}, low long, high long, shift int, gap double").alias("w"))
+        return slim.alias("d").join(w, F.col("d.source").eqNullSafe(F.col("w.source"))).filter(
+            (F.col("hash") >= F.col("low")) & (F.col("hash") < F.col("high"))
+            & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+
+    while open_ := {s: w for s, w in open_.items() if w[2] >= 1 and w[0] < end}:
+        most = max(50, COLLECTED // len(open_))
+        shifts = {s: max(0, (high - low - 1).bit_length() - STEP) for s, (low, high, _) in open_.items()}
+        counted = fitting([(s, low, high, shifts[s], float(gap)) for s, (low, high, gap) in open_.items()]) \
+            .groupBy("d.source", "gap", F.expr("shiftright(hash - low, shift)").alias("bin")) \
+            .agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+        # the window holds at most 2**STEP rows of a source
+        each = Window.partitionBy("source")
+        crossing = F.col("sum_words") > F.col("gap")
+        seen = counted.withColumn("sum_words", F.sum("words").over(each.orderBy("bin"))) \
+            .withColumn("sum_docs", F.sum("docs").over(each.orderBy("bin"))) \
+            .withColumn("first", F.min(F.when(crossing, F.col("bin"))).over(each)) \
+            .withColumn("past", F.min(F.when(crossing, F.col("sum_docs") - F.col("docs"))).over(each)) \
+            .groupBy("source").agg(
+                F.max("first").alias("first"), F.sum("words").alias("words"),
+                F.sum(F.when(F.col("bin") < F.col("first"), F.col("words"))).alias("before"),
+                F.max(F.when(F.col("sum_docs") - F.col("past") <= most, F.col("bin"))).alias("upto")).collect()
+        seen, near = {r["source"]: r for r in seen}, {}
+        for s, (low, high, gap) in list(open_.items()):
+            r = seen.get(s)
+            if r is None:  # nothing in the window fits
+                open_[s] = (high, end, gap)
+                continue
+            if r["first"] is None:  # all of it fits together
+                fills[s].append((low, high, float(gap)))
+                open_[s] = (high, end, gap - r["words"])
+                continue
+            at = low + (r["first"] << shifts[s])
+            if r["before"]:
+                fills[s].append((low, at, float(gap)))
+                gap -= r["before"]
+            if r["upto"] is not None and r["upto"] >= r["first"] or shifts[s] == 0:
+                near[s] = (at, min(high, low + (max(r["upto"] or 0, r["first"]) + 1 << shifts[s])), gap)
+            else:
+                open_[s] = (at, min(high, at + (1 << shifts[s])), gap)
+        if not near:
+            continue
+        rows = fitting([(s, low, high, 0, float(gap)) for s, (low, high, gap) in near.items()]) \
+            .groupBy(F.col("d.source").alias("source"), "hash").agg(
+                F.sum("size").alias("size"), F.max("size").alias("each")).collect()
+        by_source = {s: [] for s in near}
+        for r in rows:
+            by_source[r["source"]].append(r)
+        for s, (low, high, gap) in near.items():
+            most_words, took = gap, 0
+            for r in sorted(by_source[s], key=lambda r: r["hash"]):
+                if r["each"] > most_words:
+                    continue
+                if r["size"] <= gap:
+                    gap, took = gap - r["size"], took + 1
+                    continue
+                if took:
+                    fills[s].append((low, r["hash"], float(most_words)))
+                low, most_words, took = r["hash"] + 1, gap, 0
+            if took:
+                fills[s].append((low, high, float(most_words)))
+            open_[s] = (high, end, gap)
     return fills
 
 
@@ -159,20 +214,27 @@ def _per_source(slim: DataFrame, weight_cycle, most, shards, block_bits, seed) -
     split = splitting_tree(quotas, shards, np.random.default_rng(seed)).cumsum(axis=1) if order else []
     rows = [(s, sizes[s], goal[s], whole[s], cuts[s], fills[s], split[i].tolist()) for i, s in enumerate(order)]
     plan = slim.sparkSession.createDataFrame(
-        rows, f"_source {kind}, source_size long, target double, _whole int, _cut long, _fills array<long>, "
+        rows, f"_source {kind}, source_size long, target double, _whole int, _cut long, "
+              "_fills array<struct<low:long,high:long,most:double>>, "
               "_upto array<long>")
     return _small(plan, len(rows))
 
 
-def _placed(keyed: DataFrame, source: str, plan: DataFrame, shards: int, block_bits: int) -> DataFrame:
-    """Add ``source_size, target, copies, places`` to rows that have ``_hash``."""
+def _placed(keyed: DataFrame, source: str, size: Column, plan: DataFrame, shards: int, block_bits: int) -> DataFrame:
+    """Add ``source_size, target, copies, places`` to rows that have ``_hash``; ``size`` is read past the cut only."""
     block = F.shiftright("_hash", BITS - block_bits)
-    last = (F.col("_hash") < F.col("_cut")) | F.array_contains("_fills", F.col("_hash"))
+    below = F.col("_hash") < F.col("_cut")
+    inside = F.filter("_fills", lambda f: (F.col("_hash") >= f["low"]) & (F.col("_hash") < f["high"]))
+    last = below | F.when(~below & (F.size(inside) > 0), (size > 0) & (size <= inside[0]["most"])).otherwise(False)
+    # what fills a gap lies past the blocks of the quota, so it draws one of them
+    drawn = F.pmod(F.xxhash64("_hash"), F.greatest(F.element_at("_upto", -1), F.lit(1)))
+    rank = lambda k: F.when((k <= F.col("_whole")) | below, F.shiftleft(
+        (k - 1).cast("long"), block_bits) + block).otherwise(drawn)
     # a block of a pass has a rank among all blocks of its source; shards take consecutive ranks
     places = F.transform(F.sequence(F.lit(1), F.col("copies")), lambda k: F.struct(
         k.alias("pass"),
         F.coalesce(F.nullif(F.array_position(F.transform(
-            "_upto", lambda u: u > F.shiftleft((k - 1).cast("long"), block_bits) + block), True), F.lit(0)) - 1,
+            "_upto", lambda u: u > rank(k)), True), F.lit(0)) - 1,
             F.lit(shards - 1)).cast("int").alias("shard")))
     return keyed.join(plan, keyed[source].eqNullSafe(plan["_source"])) \
         .withColumn("copies", F.col("_whole") + last.cast("int")) \
@@ -181,10 +243,14 @@ def _placed(keyed: DataFrame, source: str, plan: DataFrame, shards: int, block_b
         .drop("_source", "_whole", "_cut", "_fills", "_upto")
 
 
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def _slim(docs, seed, doc_id, text, source):
     return docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        _words(F.col(text)).alias("size"),
         _permuted(seed, F.col(doc_id).cast("string"), F.col(text)).alias("hash"))
 
 
@@ -196,12 +262,14 @@ def planned(docs: DataFrame, weight_cycle=(5, 2, 1), most: float = 3, shards: in
     cycle's numbers in turn and share all words; a source stops at ``most`` times its size.  The
     size is the number of words; a null or empty text has none, and is taken in whole passes and
     below the cut like any other.  Equal rows get equal places.  Runs with the same seed agree.  Only
-    whole documents are taken, so a source can miss its target by less than its smallest documents
-    (see ``_fills``).  An empty table gives an empty plan.
+    whole documents are taken, in the order of the hash each that still fits, so a source stays below
+    its target by less than the smallest document past the cut that the last pass leaves out.  An empty
+    table gives an empty plan.
     """
     slim = written(_slim(docs, seed, doc_id, text, source), "mix")
     plan = _per_source(slim, weight_cycle, most, shards, block_bits, seed)
-    return _placed(slim.withColumnRenamed("hash", "_hash"), "source", plan, shards, block_bits).drop("_hash")
+    return _placed(slim.withColumnRenamed("hash", "_hash"), "source", F.col("size"), plan, shards, block_bits) \
+        .drop("_hash")
 
 
 def mixed(docs: DataFrame, weight_cycle=(5, 2, 1), most: float = 3, shards: int = 16, block_bits: int = 8,
@@ -214,7 +282,7 @@ def mixed(docs: DataFrame, weight_cycle=(5, 2, 1), most: float = 3, shards: int
     plan = _per_source(slim, weight_cycle, most, shards, block_bits, seed)
     keyed = docs.select(F.struct("*").alias("_row"), F.col(source).alias("_of"),
                         _permuted(seed, F.col(doc_id).cast("string"), F.col(text)).alias("_hash"))
-    placed = _placed(keyed, "_of", plan, shards, block_bits).withColumn("_place", F.explode("places"))
+    placed = _placed(keyed, "_of", _words(F.col(f"_row.`{text}`")), plan, shards, block_bits).withColumn("_place", F.explode("places"))
     return placed.select("_row.*", F.col("_place.shard").alias("_shard"),
                          F.xxhash64(F.lit(seed + 1), "_hash", F.col("_place.pass")).alias("_rank"))
 
