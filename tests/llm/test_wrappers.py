@@ -59,6 +59,30 @@ def test_host_without_article_element(spark):
     assert texts(spark.createDataFrame(rows, SCHEMA)) == want
 
 
+def test_many_structures_of_one_host(spark):
+    """Every block of an article is kept, however many other structures its host has."""
+    rng = random.Random(23)
+    rows, want = [], {}
+    word = lambda: f"w{rng.randrange(9999)}"
+    for i in range(240):
+        blocks, lines = ["<h1>#</h1>"], []
+        for _ in range(rng.randrange(3, 14)):
+            blocks.append(rng.choice([
+                "<p>#</p>", "<p>#</p><p>#</p>", "<h2>#</h2>", "<h3>#</h3>", "<blockquote><p>#</p></blockquote>",
+                "<ul><li>#</li><li>#</li></ul>", "<ol><li>#</li></ol>", "<figure><img src=x><figcaption>#</figcaption></figure>",
+                "<aside class=related>!</aside>", "<div class=ad-box><p>!</p></div>", "<div class=box><p>#</p></div>",
+                "<table><tr><td>#</td><td>#</td></tr></table>", "<section><h2>#</h2><p>#</p></section>", "<pre>#</pre>"]))
+        body = "".join(blocks)
+        while "#" in body:
+            lines.append(word())
+            body = body.replace("#", lines[-1], 1)
+        body = body.replace("!", "advert")
+        extra = rng.choice(["", "<div class=related><p>more</p></div>", "<section id=comments><p>first</p></section>"])
+        rows.append((i, "http://h.example/", page(f"<article>{body}</article>", i, extra)))
+        want[i] = "\n".join(lines)
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == want
+
+
 def test_wrapper_has_optional_and_repeated_groups(spark):
     rows = [(i, "http://h.example/", page("<article>" + "<p>x</p>" * (i + 2) + ("<table><tr><td>1</table>" if i else "")
                                           + "</article>", 3)) for i in range(3)]

@@ -10,16 +10,20 @@ all pages gives a few rows.
 A walk over the wrapper labels its slots: those inside an article or main element are content, unless
 they lie in navigation, headers and footers of the page, side bars, notices, adverts, forms or
 comments.  Without such an element the deepest one that holds most of the ordinary text is the
-container.  Each page's stream is then aligned with its host's wrapper and takes over the labels.
+container.  Each page's stream is then found in its host's wrapper as a subsequence, every item of it,
+and takes over the labels of places in the same open elements; an item that has no such place has its
+label from the page's own open elements.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import html as entities
 import json
 import re
 import zlib
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -208,7 +212,21 @@ def _flat(item):
             yield from _flat(x)
 
 
-def labelled(wrapper: list[list]) -> list[list[bool]]:
+@dataclass
+class Labels:
+    """Of a wrapper: per item its symbols' labels and open elements, places of each key, and what tells content."""
+    content: list[list[bool]]
+    paths: list[tuple]
+    places: dict[str, list[int]]
+    article: bool
+    home: str | None
+
+    def own(self, dropped: bool, article: bool, path: tuple) -> bool:
+        """The label by open elements alone."""
+        return not dropped and (article if self.article else self.home is None or self.home in path)
+
+
+def labelled(wrapper: list[list]) -> Labels:
     """For each item of the wrapper, for each of its symbols: is it content."""
     items = [json.loads(w[0]) if w[0][0] == "[" else w[0] for w in wrapper]
     symbols = [s for item in items for s in _flat(item)]
@@ -218,7 +236,8 @@ def labelled(wrapper: list[list]) -> list[list[bool]]:
         slots = max(1, flat.count("#"))
         chars += [w[2] / slots if s == "#" else 0 for s in flat]
     state = list(_walk(symbols))
-    if any(article for (_, article), _ in state):
+    marked, home = any(article for (_, article), _ in state), None
+    if marked:
         content = [article and not dropped for (dropped, article), _ in state]
     else:
         # the deepest element with most of the text that is neither dropped nor a link
@@ -231,12 +250,16 @@ def labelled(wrapper: list[list]) -> list[list[bool]]:
         home = max((p for p, n in mass.items() if n >= 0.7 * total and _tag(symbols[p]) not in ("p", "b", "i")),
                    default=None)
         content = [not dropped and (home is None or home in path) for (dropped, _), path in state]
-    out, i = [], 0
+    out, paths, i = [], [], 0
     for item in items:
         n = len(list(_flat(item)))
         out.append(content[i:i + n])
+        paths.append(tuple(symbols[p] for p in state[i][1]))
         i += n
-    return out
+    places = {}
+    for i, w in enumerate(wrapper):
+        places.setdefault(w[0], []).append(i)
+    return Labels(out, paths, places, marked, None if home is None else symbols[home])
 
 
 def _page_stream(page: str):
@@ -246,15 +269,41 @@ def _page_stream(page: str):
     return page_tokens, symbols, at, items, places
 
 
-def content_flags(wrapper, labels, items, places, symbols) -> list[bool]:
-    """Per symbol of a page: is it content, by the wrapper's labels of what it is aligned with."""
-    keys = [_key(x) for x in items]
-    match = difflib.SequenceMatcher(None, [w[0] for w in wrapper], keys, autojunk=False)
-    flags = [False] * len(symbols)
-    for i, k, n in match.get_matching_blocks():
-        for d in range(n):
-            own = labels[i + d]
-            for q, p in enumerate(places[k + d]):
+def embedded(labels: Labels, keys: list[str], paths: list[tuple]) -> list[int | None]:
+    """For each item of a page its place in the wrapper, in order, or None.
+
+    The wrapper holds the streams of all its pages, so each item lies between its earliest and its
+    latest place.  Any choice up to the latest one leaves room for the rest, so the first place there
+    with the same open elements is taken, else the first one.
+    """
+    latest, after = [None] * len(keys), None
+    for k in range(len(keys) - 1, -1, -1):
+        at = labels.places.get(keys[k], [])
+        j = len(at) if after is None else bisect.bisect_left(at, after)
+        if not j:
+            continue
+        latest[k] = after = at[j - 1]
+    out, last = [None] * len(keys), -1
+    for k, key in enumerate(keys):
+        if latest[k] is None:
+            continue
+        at = labels.places[key]
+        i = bisect.bisect_right(at, last)
+        choice = [at[j] for j in range(i, bisect.bisect_right(at, latest[k]))]
+        last = out[k] = next((p for p in choice if labels.paths[p] == paths[k]), choice[0])
+    return out
+
+
+def content_flags(labels: Labels, items, places, symbols) -> list[bool]:
+    """Per symbol of a page: is it content, by the wrapper's label of its place, or by its own open elements."""
+    state = list(_walk(symbols))
+    paths = [tuple(symbols[p] for p in path) for _, path in state]
+    flags = [labels.own(*marks, path) for (marks, _), path in zip(state, paths)]
+    found = embedded(labels, [_key(x) for x in items], [paths[held[0]] for held in places])
+    for i, held in zip(found, places):
+        if i is not None and labels.paths[i] == paths[held[0]]:
+            own = labels.content[i]
+            for q, p in enumerate(held):
                 flags[p] = own[q % len(own)]
     return flags
 
@@ -351,14 +400,14 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
                         known.clear()
                         flags_of.clear()
                     parsed = json.loads(wrapper)
-                    known[wrapper] = (len(known), parsed, labelled(parsed))
-                number, parsed, labels = known[wrapper]
+                    known[wrapper] = (len(known), labelled(parsed))
+                number, labels = known[wrapper]
                 page_tokens, symbols, at, items, places = _page_stream(page or "")
                 key = (number, tuple(symbols))
                 if key not in flags_of:
                     if len(flags_of) > 2000:
                         flags_of.clear()
-                    flags_of[key] = content_flags(parsed, labels, items, places, symbols)
+                    flags_of[key] = content_flags(labels, items, places, symbols)
                 texts.append(text_of(page_tokens, at, flags_of[key]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(kept)], pa.array(texts, pa.string()),
