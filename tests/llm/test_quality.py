@@ -78,6 +78,20 @@ def test_verdict(spark):
     assert not any(got[1000 + i] for i in range(5)) and not got[2000] and not got[2001]
 
 
+def test_junk_in_thin_cells_is_rejected(spark):
+    """Alone at its length, in a rare language, or under a label of its own; ordinary text there stays."""
+    rng = random.Random(19)
+    common = "the of and to in a is that for it was with as on be at by this had not are but from or have an they".split()
+    junk = lambda n: " ".join("".join(chr(rng.randrange(0x12000, 0x12300)) for _ in range(4)) for _ in range(n))
+    plain = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [(i, plain(rng.randrange(60, 120)), "en", "a", 0) for i in range(300)]
+    rows += [(1000, junk(20_000), "en", "a", 0), (1001, junk(80), "xx", "a", 0), (1002, junk(3000), None, "a", 0)]
+    rows += [(2000, plain(90), "yy", "a", 0), (2001, plain(100), None, "a", 0)]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(spark.createDataFrame(rows, SCHEMA), PATH).collect()}
+    assert not any(got[i] for i in (1000, 1001, 1002))
+    assert got[2000] and got[2001] and all(got[i] for i in range(300))
+
+
 def test_clean_documents_stay(spark, sf_docs):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     got = quality.quality(sf_docs, PATH).join(labels.filter("quality = 1"), "doc_id").filter("NOT base_failed")

@@ -3,8 +3,9 @@
 A public vocabulary with byte fallback is measured on every whole text: characters per token, share of
 byte-fallback tokens, and the entropy of the tokens relative to the most that so many tokens can
 have.  For each language and length class the middle and the spread of these measures over all
-documents that pass the base rules give a band; a document outside its band is rejected.  The bands
-are wide, several spreads on either side, so ordinary documents stay.
+documents that pass the base rules give a band; a document outside its band is rejected.  Where such
+a cell has few documents, the band of the language over all lengths holds, or else that of the whole
+corpus.  The bands are wide, several spreads on either side, so ordinary documents stay.
 """
 
 from __future__ import annotations
@@ -134,27 +135,31 @@ def _length_class():
 
 def bands(measures: DataFrame, lang: str = "lang", reach: float = 5.0, entropy_reach: float = 4.0,
           least_docs: int = 30) -> DataFrame:
-    """Per language (null is one) and length class: the limits of the measures.
+    """The limits of the measures, ``_band``, per ``_level``: 0 a language (null is one) and length class,
+    1 a language, 3 the whole corpus.
 
     Every document that passes the base rules counts.  The limits lie ``reach`` spreads (from the
     quartiles) from the median, and at least some share of the median.  ``least_docs`` documents
-    make a band; with fewer nothing is known of the language at that length and nothing is rejected.
+    make a band of a cell or a language; the corpus has one however small it is.  Shares of tokens of
+    short texts spread more, so over all lengths the spreads widen for texts of fewer words than the median.
     """
     spread = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).alias(c) for c in MEASURES]
-    q = measures.filter(~base_failed()).groupBy(F.col(lang).alias("_lang"), _length_class().alias("_class")) \
-        .agg(F.count("*").alias("_docs"), *spread).filter(F.col("_docs") >= least_docs)
+    q = measures.filter(~base_failed()) \
+        .select(F.col(lang).alias("_lang"), _length_class().alias("_class"), "n_words", *MEASURES) \
+        .rollup("_lang", "_class").agg(F.grouping_id().cast("int").alias("_level"), F.count("*").alias("_docs"),
+                                       F.percentile_approx("n_words", 0.5, 10000).alias("_words"), *spread) \
+        .filter((F.col("_docs") >= least_docs) | (F.col("_level") == 3))
 
-    def off(c, spreads, share):
-        sigma = (F.col(c)[2] - F.col(c)[0]) / 1.349
-        return F.greatest(spreads * sigma, share * F.col(c)[1])
+    def sigma(c):
+        return (F.col(c)[2] - F.col(c)[0]) / 1.349
 
     chars, bytes_, entropy = MEASURES
-    return q.select(
-        "_lang", "_class",
-        (F.col(chars)[1] - off(chars, reach, 0.02)).alias("_least_chars"),
-        (F.col(chars)[1] + off(chars, 4 * reach, 0.5)).alias("_most_chars"),
-        (F.col(bytes_)[1] + F.greatest(off(bytes_, reach, 1.0), F.lit(0.1))).alias("_most_bytes"),
-        (F.col(entropy)[1] - off(entropy, entropy_reach, 0.02)).alias("_least_entropy"))
+    return q.select("_level", "_lang", "_class", F.struct(
+        F.when(F.col("_level") > 0, F.col("_words")).alias("words"),
+        F.col(chars)[1].alias("chars"), (reach * sigma(chars)).alias("chars_off"),
+        F.col(bytes_)[1].alias("bytes"), (reach * sigma(bytes_)).alias("bytes_off"),
+        (F.col(entropy)[1] - F.greatest(entropy_reach * sigma(entropy), 0.02 * F.col(entropy)[1])).alias("least_entropy"),
+    ).alias("_band"))
 
 
 def judged(measures: DataFrame, lang: str = "lang", **options) -> DataFrame:
@@ -162,15 +167,27 @@ def judged(measures: DataFrame, lang: str = "lang", **options) -> DataFrame:
 
     A measure that is null (a single token) does not reject.
     """
-    limits = bands(measures, lang, **options)
-    inside = (F.col("chars_per_token").between(F.col("_least_chars"), F.col("_most_chars"))
-              & (F.col("byte_share") <= F.col("_most_bytes")) & (F.col("token_entropy") >= F.col("_least_entropy")))
-    # one row for each language and doubling of length
-    return measures.join(F.broadcast(limits), measures[lang].eqNullSafe(limits["_lang"])
-                         & (_length_class() == limits["_class"]), "left") \
+    # one row for each language and doubling of length, one for each language, and one
+    limits = written(bands(measures, lang, **options), "bands")
+    cells = limits.filter("_level = 0").select("_lang", "_class", F.col("_band").alias("_cell_band"))
+    langs = limits.filter("_level = 1").select(F.col("_lang").alias("_lang_of"), F.col("_band").alias("_lang_band"))
+    whole = limits.filter("_level = 3").select(F.col("_band").alias("_whole_band"))
+    added = [*cells.columns, *langs.columns, *whole.columns, "_band"]
+    band = {c: F.col(f"_band.{c}") for c in ("words", "chars", "chars_off", "bytes", "bytes_off", "least_entropy")}
+    wide = F.coalesce(F.greatest(F.lit(1.0), F.sqrt(band["words"] / F.greatest("n_words", F.lit(1)))), F.lit(1.0))
+    inside = (F.col("chars_per_token").between(
+        band["chars"] - F.greatest(band["chars_off"] * wide, 0.02 * band["chars"]),
+        band["chars"] + F.greatest(4 * band["chars_off"] * wide, 0.5 * band["chars"]))
+        & (F.col("byte_share") <= band["bytes"] + F.greatest(band["bytes_off"] * wide, band["bytes"], F.lit(0.1)))
+        & (F.col("token_entropy") >= band["least_entropy"]))
+    return measures.join(F.broadcast(cells), measures[lang].eqNullSafe(cells["_lang"])
+                         & (_length_class() == cells["_class"]), "left") \
+        .join(F.broadcast(langs), measures[lang].eqNullSafe(langs["_lang_of"]), "left") \
+        .join(F.broadcast(whole), F.lit(True), "left") \
+        .withColumn("_band", F.coalesce("_cell_band", "_lang_band", "_whole_band")) \
         .withColumn("base_failed", base_failed()) \
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))) \
-        .drop(*limits.columns)
+        .drop(*added)
 
 
 def quality(docs: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang", keep_text: bool = True,
