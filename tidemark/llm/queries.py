@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontaminate, langid, lines, mixing, ngramjoin, quality, secretscan, suffixes, tokenfiles,
-                          wrappers)
+from tidemark.llm import (alignment, decontaminate, langid, lines, mixing, ngramjoin, quality, secretscan, suffixes,
+                          tokenfiles, wrappers)
 from tidemark.session import prepare
 
 QUERIES = {}
@@ -185,3 +185,10 @@ FROM d LEFT JOIN s USING (doc_id) LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.no
 def op10_ngram_join(spark, sf_dir):
     """Documents linked by a Jaccard of 0.9 of their 3-word shingles, as components."""
     return ngramjoin.jaccard_components(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op13_alignment(spark, sf_dir):
+    """Alignment of each document's tokens in two public vocabularies."""
+    return alignment.align(_read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.json"),
+                           vocabulary("piece_bpe_32k.model"))
