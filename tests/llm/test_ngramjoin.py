@@ -20,8 +20,8 @@ def shingles(text, n=3):
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def brute(docs, percent=90):
-    sets = [shingles(t) for _, t in docs]
+def brute(docs, percent=90, n=3):
+    sets = [shingles(t, n) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(i):

@@ -40,7 +40,7 @@ def test_every_stage_against_brute_force(spark, tmp_path):
 
     before, after = steps[1]
     docs = table_of(before.select("doc_id", "text"))
-    assert ids(after) == sorted(d for d, _, c in test_ngramjoin.brute(docs) if c == d)
+    assert ids(after) == sorted(d for d, _, c in test_ngramjoin.brute(docs, 80, 5) if c == d)
 
     before, after = steps[2]
     docs = table_of(before.select("doc_id", "text"))

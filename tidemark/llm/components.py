@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import Scratch
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -18,10 +18,12 @@ def connected(edges: DataFrame) -> DataFrame:
     Alternates large and small stars until nothing changes: every node points to the smallest of its
     neighbourhood, which takes about log(nodes) rounds.  A hub's smallest neighbour is an aggregate
     with partial sums per task; what is joined back are its edges, which Spark can split.  Every round
-    is written to the shared folder; only a count and a hash reach the driver.  Null nodes are ignored.
+    is written to the shared folder, and dropped there once the next one is; only a count and a hash
+    reach the driver.  Null nodes are ignored.
     """
-    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                  .distinct(), "links")
+    held, step = Scratch(edges.sparkSession), 0
+    now = held.written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                       .distinct(), "links-0")
     mark = None
     while True:
         # large star: both directions, the larger neighbours of u point to the smallest
@@ -33,7 +35,9 @@ def connected(edges: DataFrame) -> DataFrame:
         least = _least_neighbour(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        now = written(small, "links")
+        now = held.written(small, f"links-{step + 1}")
+        held.drop(f"links-{step}")
+        step += 1
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(seen) == mark:
             break

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (alignment, decontaminate, langid, lines, mixing, ngramjoin, quality, secretscan, suffixes,
-                          tokenfiles, wrappers)
+from tidemark.llm import (alignment, decontaminate, langid, lines, minhash, mixing, ngramjoin, quality, secretscan,
+                          spelling, suffixes, tokenfiles, wrappers)
 from tidemark.session import prepare
 
 QUERIES = {}
@@ -187,6 +187,61 @@ def op10_ngram_join(spark, sf_dir):
     return ngramjoin.jaccard_components(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+CRC_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+@query(rf"""
+WITH RECURSIVE bits(i, step, c) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL SELECT i, step + 1, {CRC_BIT} FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+r AS (SELECT CAST(doc_id AS VARCHAR) AS id, unnest(regexp_extract_all(
+        translate(text, '{UPPER}', '{LOWER}'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+u AS (SELECT id, run, count(*) AS times FROM r GROUP BY id, run),
+h AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(
+          range(0, octet_length(encode(id || ':' || run))),
+          lambda k: CAST('0x' || substr(hex(encode(id || ':' || run)), 2 * k + 1, 2) AS BIGINT))),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM u, crc),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+        ELSE run END AS word, times FROM h),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+v AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+      FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+e AS (SELECT DISTINCT v.word AS a, words.word AS b FROM v JOIN words ON words.word = v.rest),
+near AS (SELECT a, b FROM e UNION SELECT b, a FROM e
+         UNION SELECT x.word, y.word FROM v x JOIN v y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY m.n DESC, encode(b)) AS form, max(m.n) AS form_n
+         FROM near JOIN words m ON m.word = b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+        CASE WHEN form_n >= 2 * n THEN form_n END AS form_n FROM words LEFT JOIN best ON a = word),
+up(word, root, form) AS (SELECT word, word, form FROM f
+  UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.form)
+SELECT f.word, f.form, root, n, n_near, form_n FROM f JOIN up ON up.word = f.word AND up.form IS NULL""")
+def op11_spelling(spark, sf_dir):
+    """Words of all documents, those one edit apart, and the form that each is a variant of."""
+    return spelling.variants(_read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+def _at_85(sql: str) -> str:
+    """The shingle SQL for 85 hundredths of the union instead of 90."""
+    for ninety, lower in (("10 * (n - shared + i - 1) <= n", "100 * (n - shared + i - 1) <= 15 * n"),
+                          ("10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n", "100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n"),
+                          (">= 90 *", ">= 85 *")):
+        assert sql.count(ninety) == 1
+        sql = sql.replace(ninety, lower)
+    return sql
+
+
+@query("WITH RECURSIVE" + _at_85(SQL_SHINGLES) + """
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id,
+  coalesce(m.root, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.node = c.rep""")
+def op12_minhash(spark, sf_dir):
+    """Documents linked by a Jaccard of 0.85 of their 3-word shingles, as components."""
+    found = minhash.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query()
 def op13_alignment(spark, sf_dir):
     """Alignment of each document's tokens in two public vocabularies."""

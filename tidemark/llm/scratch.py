@@ -2,16 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries inside drop their shuffle files as they end, instead of when the driver collects its garbage.
+
+    For queries that run once: what they write is read from the shared folder afterwards.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def _write(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write the frame to a table in the shared folder and read it again: cuts lineage, survives executors."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, purpose)[0]
+
+
+class Scratch:
+    """Intermediate tables by name, each deleted as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """As :func:`written`; an earlier table of the name stays until it is dropped."""
+        out, path = _write(df, name)
+        self.paths.setdefault(name, []).append(path)
+        return out
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for folder in self.paths.pop(name, ()):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Rows of text that go to Python in one Arrow batch.
