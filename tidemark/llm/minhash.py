@@ -16,7 +16,9 @@ Equal sets are one class first, so copies are never compared.  A third of all do
 copies of each other and share keys, so not all pairs of a key are made: first every class of a key
 is compared with the key's smallest and largest class; pairs within D are confirmed on the whole sets
 and linked to components.  Then classes of a key that are still in different components meet, in a
-join that emits only pairs within D.  A link inside a component could not change it.
+join that emits only pairs within D whose sets' parity bitmaps differ in no more places than linked
+sets can (an exact filter: hundreds of variants just below the threshold may share their keys).
+A link inside a component could not change it.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import textkit
 from tidemark.llm.components import connected
 from tidemark.llm.scratch import Scratch, small_batches
-from tidemark.llm.shingles import slice_sets, verified
+from tidemark.llm.shingles import alike, bitmap, slice_sets, verified
 
 CHUNK = 4         # values of a chunk
 MISS = 1e-9       # of pairs right at the threshold
@@ -89,7 +91,7 @@ def minima(value: np.ndarray, edges: np.ndarray, values: int) -> np.ndarray:
 
 
 def signatures(given: DataFrame, n: int, values: int) -> DataFrame:
-    """Per row of ``id, text``: ``id, size, digest, signature``."""
+    """Per row of ``id, text``: ``id, size, digest, signature, bitmap``."""
     kind = given.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -101,16 +103,18 @@ def signatures(given: DataFrame, n: int, values: int) -> DataFrame:
                 edges = np.searchsorted(row, np.arange(rows + 1))
                 full = np.flatnonzero(np.diff(edges))
                 low = iter(minima(value, np.append(edges[full], len(value)), values)) if len(full) else iter(())
-                digest, signature = [], []
+                digest, signature, bitmaps = [], [], []
                 for i, j in zip(edges[:-1], edges[1:]):
                     digest.append(xxhash.xxh3_128_digest(value[i:j]))
                     signature.append(next(low).tobytes() if j > i else None)
+                    bitmaps.append(bitmap(value[i:j]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, rows), pa.array(np.diff(edges), pa.int64()),
-                     pa.array(digest, pa.binary()), pa.array(signature, pa.binary())],
-                    names=["id", "size", "digest", "signature"])
+                     pa.array(digest, pa.binary()), pa.array(signature, pa.binary()),
+                     pa.array(bitmaps, pa.list_(pa.int64()))],
+                    names=["id", "size", "digest", "signature", "bitmap"])
 
-    return given.mapInArrow(run, f"id {kind}, size long, digest binary, signature binary")
+    return given.mapInArrow(run, f"id {kind}, size long, digest binary, signature binary, bitmap array<long>")
 
 
 def keys(classes: DataFrame, values: int, distance: int) -> DataFrame:
@@ -139,12 +143,11 @@ def keys(classes: DataFrame, values: int, distance: int) -> DataFrame:
 
 
 def _near(values: int, distance: int, percent: int):
-    """``x`` and ``y`` (size, signature) within the distance, and of sizes that can be linked."""
-    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    """``x`` and ``y`` (size, signature, bitmap) within the distance, and of sets that can be linked."""
     differ = F.lit(0)
     for i in range(values):
         differ = differ + (F.substring("x.signature", 2 * i + 1, 2) != F.substring("y.signature", 2 * i + 1, 2)).cast("int")
-    return (100 * small >= percent * large) & (differ <= distance)
+    return alike(percent) & (differ <= distance)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -163,7 +166,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     given = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     signed = held.written(signatures(given, n, values), "signatures")
     classes = held.written(signed.filter("size > 0").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("size").alias("size"), F.first("signature").alias("signature")), "classes")
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("size", "signature", "bitmap")]), "classes")
+    rows = held.written(signed.select("id", "size", "digest"), "rows")
+    held.drop("signatures")
     # a set that is too small has no linked set but itself
     open_ = classes.filter(f"id IS NOT NULL AND {percent} * (size + 1) <= 100 * size")
     entries = held.written(keys(open_, values, distance), "keys")
@@ -172,27 +177,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     held.drop("keys")
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
         shared.select(F.col("id").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct()
-    marks = open_.select("id", "size", "signature")
+    marks = open_.join(shared.select("id").distinct(), "id", "left_semi")
+    marks = held.written(marks.select("id", "size", "signature", "bitmap"), "marks")
     near = pivots.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(
         marks.alias("y"), F.col("b") == F.col("y.id")).filter(_near(values, distance, percent)).select("a", "b")
     links = verified(near, given, n, percent, "links", held)
     parts = connected(links)
     # what shares a key and is not in one component yet
     known = marks.join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", "size", "signature", F.coalesce("label", "id").alias("label"))
-    rest = shared.select("key", "id").join(known, "id")
-    split = rest.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    rest = held.written(rest.join(split.select("key"), "key", "left_semi"), "rest")
+        .select("id", "size", "signature", "bitmap", F.coalesce("label", "id").alias("label"))
+    labels = shared.select("key", "id").join(known.select("id", "label"), "id")
+    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
+    rest = held.written(shared.select("key", "id").join(split.select("key"), "key", "left_semi"), "open")
     held.drop("shared")
+    rest = held.written(rest.join(known, "id"), "rest")
+    held.drop("open")
     more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
                                 & (F.col("x.label") != F.col("y.label")) & _near(values, distance, percent)) \
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     more = verified(more, given, n, percent, "more", held)
-    held.drop("rest")
+    held.drop("rest", "marks")
     found = connected(links.union(more)).select(F.col("node").alias("id"), "label")
     ids = held.written(classes.select("digest", "id").join(found, "id", "left").select(
         "digest", F.coalesce("label", "id").alias("component_id")), "components")
     held.drop("classes", "links", "more")
-    return signed.select("id", "size", "digest").join(ids, "digest", "left").select(
+    return rows.join(ids, "digest", "left").select(
         F.col("id").alias(doc_id), F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

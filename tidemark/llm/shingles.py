@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import textkit
 from tidemark.llm.scratch import Scratch
 
+MAP_WORDS = 32   # 64 bit words of a set's bitmap
+COARSE = 8       # and of the folded one
+
 
 def slice_sets(buf: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hash)`` of the distinct shingles of a slice, sorted by row."""
@@ -32,6 +35,33 @@ def slice_sets(buf: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     return row[new], value[new]
 
 
+def bitmap(value: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each place."""
+    place = (textkit.mix(value ^ textkit.ODD) % np.uint64(64 * MAP_WORDS)).astype(np.int64)
+    odd = np.bincount(place, minlength=64 * MAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def folded():
+    """The parity bitmap of fewer places: words that fall together are added modulo 2."""
+    def word(i):
+        out = F.col("bitmap")[i]
+        for j in range(i + COARSE, MAP_WORDS, COARSE):
+            out = out.bitwiseXOR(F.col("bitmap")[j])
+        return out
+
+    return F.array(*[word(i) for i in range(COARSE)])
+
+
+def alike(percent: int, column: str = "bitmap", words: int | None = None):
+    """Filters on ``x`` and ``y`` (size and that bitmap) that no linked pair fails."""
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    differ = sum((F.bit_count(F.col(f"x.{column}")[i].bitwiseXOR(F.col(f"y.{column}")[i])) for i in range(words or MAP_WORDS)),
+                 F.lit(0))
+    return (100 * small >= percent * large) & (
+        differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
+
+
 def whole_sets(given: DataFrame, n: int) -> DataFrame:
     """Per row of ``id, text`` its ``id, shingles``."""
     kind = given.schema["id"].dataType.simpleString()
