@@ -31,34 +31,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
 from tidemark.llm.components import connected
-from tidemark.llm.scratch import small_batches, written
+from tidemark.llm.scratch import Scratch, small_batches
+from tidemark.llm.shingles import COARSE, alike, bitmap, folded, slice_sets, verified
 
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
-MAP_WORDS = 32   # 64 bit words of a set's bitmap
-COARSE = 8       # and of the folded one that travels with every key
-PER_GROUP = 8   # frequent shingles of a prefix that a group holds, about
-
-
-def _sets(buf: np.ndarray, bounds: np.ndarray, n: int):
-    """``(row, hash)`` of the distinct shingles of a slice, sorted by row."""
-    buf = textkit.LOWER[buf]
-    starts, ends, first = textkit.words(buf, bounds, textkit.SPACED)
-    hashes, sizes = textkit.word_hashes(buf, starts, ends), np.diff(first)
-    g = textkit.grams(hashes, n)
-    row, ok = textkit.gram_rows(first, n, len(g))
-    rows, values = [row[ok]], [g[ok]]
-    for fewer in range(1, n):  # the whole sequence is the only shingle
-        short = np.flatnonzero(sizes == fewer)
-        if len(short):
-            rows.append(short)
-            values.append(textkit.grams(hashes, fewer)[first[:-1][short]])
-    row, value = np.concatenate(rows), np.concatenate(values)
-    order = np.lexsort((value, row)) if len(bounds) > 2 else np.argsort(value)
-    row, value = row[order], value[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
-    return row[new], value[new]
+PER_GROUP = 8    # frequent shingles of a prefix that a group holds, about
 
 
 def _counter(value: np.ndarray) -> np.ndarray:
@@ -73,7 +51,7 @@ def frequencies(given: DataFrame, n: int) -> np.ndarray:
         total, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
         for batch in batches:
             for _, _, buf, bounds in textkit.slices(batch.column(0)):
-                held.append(_counter(_sets(buf, bounds, n)[1]))
+                held.append(_counter(slice_sets(buf, bounds, n)[1]))
                 size += len(held[-1])
                 if size > len(total):
                     total += np.bincount(np.concatenate(held), minlength=len(total))
@@ -139,13 +117,6 @@ def _keys(value: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def _bitmap(value: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles at each place."""
-    place = (textkit.mix(value ^ textkit.ODD) % np.uint64(64 * MAP_WORDS)).astype(np.int64)
-    odd = np.bincount(place, minlength=64 * MAP_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
-
-
 def signatures(given: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """Per row ``id, size, digest, bitmap, keys``."""
     kind = given.schema["id"].dataType.simpleString()
@@ -156,70 +127,22 @@ def signatures(given: DataFrame, n: int, percent: int, frequent: np.ndarray) ->
 
         for batch in batches:
             for at, rows, buf, bounds in textkit.slices(batch.column(1)):
-                row, value = _sets(buf, bounds, n)
+                row, value = slice_sets(buf, bounds, n)
                 often = held.value[_counter(value)]
                 edges = np.searchsorted(row, np.arange(rows + 1))
-                digest, bitmap, keys = [], [], []
+                digest, bitmaps, keys = [], [], []
                 for i, j in zip(edges[:-1], edges[1:]):
                     digest.append(xxhash.xxh3_128_digest(value[i:j]))
-                    bitmap.append(_bitmap(value[i:j]))
+                    bitmaps.append(bitmap(value[i:j]))
                     keys.append(_keys(value[i:j], often[i:j], percent).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, rows), pa.array(np.diff(edges), pa.int64()),
-                     pa.array(digest, pa.binary()), pa.array(bitmap, pa.list_(pa.int64())),
+                     pa.array(digest, pa.binary()), pa.array(bitmaps, pa.list_(pa.int64())),
                      pa.array(keys, pa.list_(pa.int64()))], names=["id", "size", "digest", "bitmap", "keys"])
 
     return given.mapInArrow(run, f"id {kind}, size long, digest binary, bitmap array<long>, keys array<long>")
 
 
-def _whole_sets(given: DataFrame, n: int) -> DataFrame:
-    """Per row ``id, shingles``."""
-    kind = given.schema["id"].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            for at, rows, buf, bounds in textkit.slices(batch.column(1)):
-                row, value = _sets(buf, bounds, n)
-                edges = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, rows),
-                     pa.ListArray.from_arrays(pa.array(edges), pa.array(value.view(np.int64)))],
-                    names=["id", "shingles"])
-
-    return given.mapInArrow(run, f"id {kind}, shingles array<long>")
-
-
-def _folded():
-    """The parity bitmap of fewer places: words that fall together are added modulo 2."""
-    def word(i):
-        out = F.col("bitmap")[i]
-        for j in range(i + COARSE, MAP_WORDS, COARSE):
-            out = out.bitwiseXOR(F.col("bitmap")[j])
-        return out
-
-    return F.array(*[word(i) for i in range(COARSE)])
-
-
-def _alike(percent: int, bitmap: str = "bitmap", words: int = MAP_WORDS):
-    """Filters on ``x`` and ``y`` (size and a bitmap) that no linked pair fails."""
-    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    differ = sum((F.bit_count(F.col(f"x.{bitmap}")[i].bitwiseXOR(F.col(f"y.{bitmap}")[i])) for i in range(words)),
-                 F.lit(0))
-    return (100 * small >= percent * large) & (
-        differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
-
-
-def _verified(pairs: DataFrame, given: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are linked."""
-    pairs = written(pairs, "candidates")
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(_whole_sets(given.join(needed, "id", "left_semi"), n), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id",
                        text: str = "text") -> DataFrame:
     """One row per document row: the id, ``n_shingles`` and ``component_id``.
@@ -229,47 +152,63 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     text or one without words has none and is its own component.  Rows of one id are judged by their
     texts.  A row without an id has the component of its equals, if one of them has an id, else null.
     """
+    held = Scratch(docs.sparkSession)
     given = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    signed = written(signatures(given, n, percent, frequencies(given, n)), "signatures")
-    classes = written(signed.filter("size > 0").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    reps = signed.filter("size(keys) > 0").join(
-        classes.filter("rep IS NOT NULL").select(F.col("rep").alias("id"), "digest"), ["id", "digest"]) \
-        .dropDuplicates(["id", "digest"])
+    signed = held.written(signatures(given, n, percent, frequencies(given, n)), "signatures")
+    rows = held.written(signed.select("id", "size", "digest"), "rows")
+    classes = held.written(rows.filter("size > 0").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
+    # copies go before keys are dealt out
+    reps = held.written(signed.filter("size(keys) > 0").join(
+        classes.filter("rep IS NOT NULL").select(F.col("rep").alias("id"), "digest"), ["id", "digest"])
+        .dropDuplicates(["id", "digest"]).select("id", "size", "bitmap", "keys"), "reps")
+    held.drop("signatures")
     entries = reps.select("id", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
-    shared = written(entries.join(shared, "key"), "shared")
-    features = signed.join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi") \
-        .select("id", "size", "bitmap").dropDuplicates(["id", "size", "bitmap"])
-    held = written(features.join(shared.select("id").distinct(), "id", "left_semi"), "features")
+    shared = held.written(entries.join(shared, "key"), "shared")
+    marks = held.written(reps.join(shared.select("id").distinct(), "id", "left_semi").select(
+        "id", "size", "bitmap", folded().alias("coarse")), "marks")
+    held.drop("reps")
     # to the smallest and the largest class of each key
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
         shared.select(F.col("id").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct()
-
-    def alike(pairs):
-        return pairs.join(held.alias("x"), F.col("a") == F.col("x.id")).join(
-            held.alias("y"), F.col("b") == F.col("y.id")).filter(_alike(percent)).select("a", "b").distinct()
-
-    near = alike(pivots)
-    links = written(_verified(near, given, n, percent), "pivot-links")
+    links = verified(_filtered(held.written(pivots, "pivots"), marks, percent, held), given, n, percent, "links", held)
+    held.drop("pivots", "near")
     parts = connected(links)
     # what shares a key and is not in one component yet
-    known = held.join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", "size", F.coalesce("label", "id").alias("label"), _folded().alias("coarse"))
-    open_ = shared.select("key", "id").join(known, "id")
-    split = open_.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    open_ = written(open_.join(split.select("key"), "key", "left_semi"), "open")
+    known = marks.join(parts.withColumnRenamed("node", "id"), "id", "left") \
+        .select("id", "size", F.coalesce("label", "id").alias("label"), "coarse")
+    labels = shared.select("key", "id").join(known.select("id", "label"), "id")
+    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
+    open_ = held.written(shared.select("key", "id").join(split.select("key"), "key", "left_semi"), "open")
+    held.drop("shared")
+    open_ = held.written(open_.join(known, "id"), "rest")
     rest = open_.alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (
-        F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _alike(percent, "coarse", COARSE)) \
+        F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & alike(percent, "coarse", COARSE)) \
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    more = _verified(alike(rest), given, n, percent)
+    rest = held.written(rest, "pivots")
+    held.drop("open", "rest")
+    more = verified(_filtered(rest, marks, percent, held), given, n, percent, "more", held)
+    held.drop("pivots", "near", "marks")
     found = connected(links.union(more)).select(F.col("node").alias("rep"), "label")
-    ids = classes.join(found, "rep", "left").select(
-        "digest", F.coalesce("label", "rep").alias("component_id"))
-    return signed.select("id", "size", "digest").join(ids, "digest", "left").select(
+    ids = held.written(classes.join(found, "rep", "left").select(
+        "digest", F.coalesce("label", "rep").alias("component_id")), "components")
+    held.drop("classes", "links", "more")
+    return rows.join(ids, "digest", "left").select(
         F.col("id").alias(doc_id), F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, held: Scratch) -> DataFrame:
+    """Pairs that sizes and bitmaps do not rule out: the folded bitmaps first, whole ones of what they leave."""
+    for name, words in (("coarse", COARSE), ("bitmap", None)):
+        of = marks.select("id", "size", name)
+        pairs = pairs.join(of.alias("x"), F.col("a") == F.col("x.id")).join(
+            of.alias("y"), F.col("b") == F.col("y.id")).filter(alike(percent, name, words)).select("a", "b")
+        if name == "coarse":
+            pairs = held.written(pairs, "near")
+    return pairs
+
+
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents that are the smallest of their component, with all their columns; rows without id stay."""
     parts = jaccard_components(docs, doc_id=doc_id, **options)
