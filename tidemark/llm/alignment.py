@@ -20,8 +20,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import sys
-import types
 from collections import defaultdict
 from itertools import chain, repeat
 
@@ -32,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
 from tidemark.llm.scratch import small_batches, written
+from tidemark.llm.vocab import per_process
 
 KNOWN_PARTS = 400_000
 SLICE_BYTES = 4 << 20
@@ -44,15 +43,6 @@ _TAIL = textkit.byte_class((0x80, 0xBF))
 _TWO_BYTES = textkit.byte_class((0xC3, 0xDF))   # leads of two-byte characters beyond the controls and U+00A0
 
 
-def per_process(key, make):
-    """What ``make()`` gives, made once per Python worker; only the last one is held."""
-    held = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker"))
-    if getattr(held, "key", None) != key:
-        held.key, held.value = None, None
-        held.value, held.key = make(), key
-    return held.value
-
-
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The positions of all runs, one run after the other."""
     ends = np.cumsum(sizes)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
 from tidemark.llm.scratch import small_batches, written
-from tidemark.llm.vocab import BpeEncoder
+from tidemark.llm.vocab import BpeEncoder, per_process
 from tidemark.session import scratch_dir
 
 END_ID = 1
@@ -156,7 +156,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, doc
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = BpeEncoder(tokenizer)
+                encoder = per_process(("bpe", tokenizer), lambda: BpeEncoder(tokenizer))
                 writer = Writer(folder, f"part-{part:06d}", batch.column(0).type, length,
                                 np.uint16 if encoder.size <= 1 << 16 else np.uint32)
             for at, rows, buf, bounds in textkit.slices(batch.column(1)):

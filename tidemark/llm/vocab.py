@@ -10,6 +10,8 @@ time and changes nothing.
 from __future__ import annotations
 
 import os
+import sys
+import types
 from itertools import chain, repeat
 
 import numpy as np
@@ -18,18 +20,24 @@ import pyarrow.compute as pc
 
 from tidemark.llm import textkit
 
-KNOWN_PARTS = 150_000
+KNOWN_PARTS = 500_000
 PLAIN_LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
 _ASCII_LETTER = textkit.byte_class((0x61, 0x7A))
 _STOP = textkit.byte_class((0x2C, 0x2C), (0x2E, 0x2E))
 _SPACE = textkit.byte_class((0x20, 0x20), (0x0A, 0x0A))
 
 
-class PartTable:
-    """Ids of parts seen so far, one run after the other.
+def per_process(key, make):
+    """What ``make()`` gives, made once per Python worker; only the last one is held."""
+    held = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker"))
+    if getattr(held, "key", None) != key:
+        held.key, held.value = None, None
+        held.value, held.key = make(), key
+    return held.value
+
 
-    It does not hold its encoder, so both are freed as soon as a task ends.
-    """
+class PartTable:
+    """Ids of parts seen so far, one run after the other."""
 
     def __init__(self):
         self.clear()
