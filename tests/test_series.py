@@ -160,6 +160,19 @@ def test_moving_measures_spread_a_hot_key(spark):
     assert "/ 100000)" in plan._jdf.queryExecution().optimizedPlan().toString().replace("100000.0", "100000")
 
 
+def test_moving_measures_of_a_dense_frame_take_linear_time(spark):
+    """One series, 50 000 rows in every frame: a running aggregate per row, not the frame again."""
+    df = spark.range(200_000).select("id", (F.lit(T0).cast("timestamp") + F.make_interval(secs=F.col("id") / 1000)).alias("ts"))
+    for rows_per_part in (1_000_000, 7_000):
+        got = ts.moving_measures(df, "ts", "50 seconds", {"n": ("count", F.lit(1)), "s": ("sum", "id"),
+                                                          "low": ("min", "id"), "high": ("max", "id")},
+                                 rows_per_part=rows_per_part)
+        first = F.greatest(F.col("id") - 50_000, F.lit(0))
+        wrong = got.filter((F.col("low") != first) | (F.col("high") != F.col("id")) | (F.col("n") != F.col("id") - first + 1)
+                           | (F.col("s") != (F.col("id") + first) * F.col("n") / 2))
+        assert got.count() == 200_000 and wrong.count() == 0
+
+
 def test_last_per_key_is_repeatable_without_tie_break(spark):
     rows = [(1, T0, "x"), (1, T0, "y")]
     for data in (rows, rows[::-1]):

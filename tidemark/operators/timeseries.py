@@ -28,7 +28,7 @@ SLICE_BUCKETS = 65_536
 # Rows of a spine are produced in blocks of this many, never as one long array.
 BLOCK = 4_096
 # Rows of a part of a moving frame, about.
-ROWS_PER_PART = 1_000_000
+ROWS_PER_PART = 100_000
 
 
 def time_range(
@@ -296,9 +296,11 @@ def moving_measures(
 
     ``measures`` maps a name to ``(count | sum | min | max, column)``.  A frame is cut into equal
     parts, so short that the densest holds about ``rows_per_part`` rows.  Parts that lie whole inside
-    a row's frame count by their aggregates; only the rows of the two parts at its ends meet.  So the
-    work spreads with the rows, also for one key, and every row is copied once.  Rows
-    without a time are a frame of their own.
+    a row's frame count by their aggregates; only the rows of the two parts at its ends meet: from the
+    start of the later part up to the row, and from the row's time less the frame to the end of the
+    earlier part.  Both are running aggregates, from either side, so a row costs the same however many
+    rows its frame holds, and no value is ever taken away from a sum.  The work spreads with the rows,
+    also for one key, and every row is copied once.  Rows without a time are a frame of their own.
     """
     w = interval(frame)
     if w.is_calendar:
@@ -318,9 +320,24 @@ def moving_measures(
     length = w.micros // parts
 
     placed = _in_two_parts(df.withColumns({f"_m_{n}": c for n, c in columns.items()}), time, length, parts)
-    ends = Window.partitionBy(*by, "_part").orderBy("_us").rangeBetween(-w.micros, Window.currentRow)
-    near = placed.withColumns({f"_e_{n}": take(F.col(f"_m_{n}")).over(ends) for n, (take, _) in kinds.items()}) \
-        .filter("_own")
+    # the earlier part moved on by the frame: what is not before a row then lies inside its frame
+    placed = placed.withColumn("_at", F.when(F.col("_own"), F.col("_us")).otherwise(F.col("_us") + w.micros))
+    running = Window.partitionBy(*by, "_part").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    up, down = running.orderBy(F.col("_at").asc()), running.orderBy(F.col("_at").desc())
+
+    def joined(name, one, other):
+        kind = measures[name][0]
+        if kind == "min":
+            return F.least(one, other)
+        if kind == "max":
+            return F.greatest(one, other)
+        # a sum over no values is NULL
+        return F.coalesce(one + other, one, other)
+
+    near = placed.withColumns({
+        f"_{side}_{n}": take(F.when(mine, F.col(f"_m_{n}"))).over(window) for n, (take, _) in kinds.items()
+        for side, window, mine in (("up", up, F.col("_own")), ("down", down, ~F.col("_own")))}).filter("_own")
+    near = near.withColumns({f"_e_{n}": joined(n, F.col(f"_up_{n}"), F.col(f"_down_{n}")) for n in measures})
     if parts == 1:
         return near.select(*[F.col(f"`{c}`") for c in df.columns],
                            *[F.col(f"_e_{n}").alias(n) for n in measures])
@@ -334,14 +351,5 @@ def moving_measures(
     for c in [*by, "_part"]:
         on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
 
-    def combined(name):
-        kind, end, mid = measures[name][0], F.col(f"_e_{name}"), F.col(f"_w_{name}")
-        if kind == "min":
-            return F.least(end, mid)
-        if kind == "max":
-            return F.greatest(end, mid)
-        # a sum over no values is NULL
-        return F.coalesce(end + mid, end, mid)
-
     return near.join(inner, on, "left").select(
-        *[F.col(f"`{c}`") for c in df.columns], *[combined(n).alias(n) for n in measures])
+        *[F.col(f"`{c}`") for c in df.columns], *[joined(n, F.col(f"_e_{n}"), F.col(f"_w_{n}")).alias(n) for n in measures])

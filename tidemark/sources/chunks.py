@@ -331,9 +331,8 @@ class ChunkedTable:
         # literal bounds prune the scan, whatever the size of the batch
         ranged = table.filter(F.col(CHUNK).between(time_literal(min(starts), kind), time_literal(max(starts), kind)))
         touched = ranged.filter(F.col(CHUNK).isin([time_literal(s, kind) for s in starts])) \
-            if len(starts) <= SPECS_PER_STATEMENT else ranged
-        paths = [path for start, path in self.chunks(None, min(starts)) if start <= max(starts)
-                 and (start in starts or len(starts) > SPECS_PER_STATEMENT)]
+            if len(starts) <= SPECS_PER_STATEMENT else ranged.join(placed.select(CHUNK).distinct(), CHUNK, "left_semi")
+        paths = [path for start, path in self.chunks(None, min(starts)) if start in starts]
         merged = rows.upsert(touched.select(*table.columns), placed, keys, mark="_changed", **options)
         watch = Watch(merged, n=F.sum(F.col("_changed").cast("long")))
         self.replace(watch.df.drop("_changed").hint("rebalance", *[F.col(c) for c in parts]), paths)
