@@ -29,8 +29,27 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP, before)
 
 
+_recording: list[Scratch] = []
+
+
+@contextmanager
+def recorded(spark: SparkSession) -> Iterator[Scratch]:
+    """Collects what operators leave in the shared folder for the frames they return.
+
+    Drop it when these frames have been written; they cannot be read afterwards.
+    """
+    left = Scratch(spark)
+    _recording.append(left)
+    try:
+        yield left
+    finally:
+        _recording.remove(left)
+
+
 def _write(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    for left in _recording:
+        left.paths.setdefault(purpose, []).append(path)
     with shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
@@ -54,6 +73,7 @@ class Scratch:
         return out
 
     def drop(self, *names: str) -> None:
+        """Delete the tables of these names; names that are not there, and tables already gone, are passed over."""
         for name in names:
             for folder in self.paths.pop(name, ()):
                 path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
