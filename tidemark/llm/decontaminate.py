@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import small_batches
+from tidemark.llm.scratch import free, small_batches
 
 GRAM = 5
 SALTS = 8
@@ -216,7 +216,14 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       **options) -> DataFrame:
-    """The documents without a window of any item, with all their columns."""
-    bad = contamination(docs, items, doc_id=doc_id, text=text, **options).filter("contaminated") \
-        .select(F.col(doc_id).alias("_bad")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["_bad"]), "left_anti")
+    """The documents without a window of any item, with all their columns, which may have any names.
+
+    Rows are judged by id and text, so rows without an id, or that share one, are judged each by itself.
+    """
+    key = free("_key", docs)
+    whole = F.col(text).cast("string")
+    marked = docs.withColumn(key, F.struct(F.col(doc_id).alias("id"), F.xxhash64(whole).alias("a"),
+                                           F.xxhash64(F.lit(1), whole).alias("b")))
+    bad = contamination(marked.select(key, text), items, doc_id=key, text=text, **options).filter("contaminated") \
+        .select(key).distinct()
+    return marked.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

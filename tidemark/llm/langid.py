@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import small_batches
+from tidemark.llm.scratch import free, small_batches
 
 DIMS = 4096
 ROWS_AT_ONCE = 64
@@ -151,7 +151,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", none: str = "und"
     learned nothing get ``none`` and score 0.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
-    given = small_batches(docs).withColumn("_letter", has_letter(F.col(text)))
+    given = small_batches(docs).withColumn(free("_letter", docs), has_letter(F.col(text)))
     names = [f.name for f in given.schema.fields]
     at = names.index(text)
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import free
+
 BLANK = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,7 +30,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
     A key of ``least_chars`` code points that ``least_docs`` documents hold loses all lines but those in the
     largest id that holds it.  Rows of one id are one document when counting; rows of equal id and
     text are treated alike.  Null ids count as one document, the smallest.  A null or empty text is one
-    empty line.  Columns named ``n_lines`` or ``n_dropped`` are replaced.
+    empty line.  Columns named ``n_lines`` or ``n_dropped`` are replaced; others may have any name.
     """
     docs = docs.drop("n_lines", "n_dropped")
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -43,13 +45,14 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
         F.count("*").alias("docs"), F.max("doc").alias("keeper")).filter(F.col("docs") >= least_docs)
     gone = places.join(counted.select("key", "keeper"), "key").filter(~F.col("doc").eqNullSafe(F.col("keeper"))) \
         .groupBy("doc", "version").agg(F.collect_set("place").alias("gone"))
-    out = docs.withColumns({"_doc": F.struct(F.col(doc_id).alias("id")), "_version": F.xxhash64(whole)}) \
-        .join(gone.withColumnsRenamed({"doc": "_doc", "version": "_version"}), ["_doc", "_version"], "left")
+    doc, version, places_gone = (free(name, docs) for name in ("_doc", "_version", "gone"))
+    out = docs.withColumns({doc: F.struct(F.col(doc_id).alias("id")), version: F.xxhash64(whole)}) \
+        .join(gone.withColumnsRenamed({"doc": doc, "version": version, "gone": places_gone}), [doc, version], "left")
     lines = F.split(whole, "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), whole).otherwise(
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places_gone))
+    kept = F.when(F.col(places_gone).isNull(), whole).otherwise(
         F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(lines, i)), "\n"))
     return out.select(
         *[(kept if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns],
         F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(F.size(places_gone), F.lit(0)).cast("long").alias("n_dropped"))

@@ -276,8 +276,10 @@ def mixed(docs: DataFrame, weight_cycle=(5, 2, 1), most: float = 3, shards: int
           seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: every taken copy with all columns of ``docs``, then ``_shard, _rank``.
 
-    ``_rank`` orders the copies of a shard at random; see ``planned`` for the rules.
+    ``_rank`` orders the copies of a shard at random; see ``planned`` for the rules.  Columns of these two
+    names are replaced; others may have any name.
     """
+    docs = docs.drop("_shard", "_rank")
     slim = written(_slim(docs, seed, doc_id, text, source), "mix")
     plan = _per_source(slim, weight_cycle, most, shards, block_bits, seed)
     keyed = docs.select(F.struct("*").alias("_row"), F.col(source).alias("_of"),

@@ -28,10 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm import textkit
 from tidemark.llm.components import connected
-from tidemark.llm.scratch import Scratch, small_batches
+from tidemark.llm.scratch import Scratch, free, small_batches
 from tidemark.llm.shingles import COARSE, alike, bitmap, folded, slice_sets, verified
 
 SKETCH_BITS = 21
@@ -209,8 +210,25 @@ def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, held: Scratch) -
     return pairs
 
 
-def one_per_component(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents that are the smallest of their component, with all their columns; rows without id stay."""
-    parts = jaccard_components(docs, doc_id=doc_id, **options)
-    gone = parts.filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that are the smallest of their component, with all their columns.
+
+    Rows without an id take part too: they rank behind all ids, by a hash of their text.  Of rows of one
+    id and text, or of one text without an id, one stays.  Rows that share an id but not a text go
+    together, if one of them does.  Columns may have any names.
+    """
+    key, version = free("_key", docs), free("_version", docs)
+    hashed = F.xxhash64(F.col(text))
+    if isinstance(docs.schema[doc_id].dataType, IntegralType):
+        last = hashed.bitwiseAND(F.lit((1 << 60) - 1)) + F.lit(7 << 60)  # beyond any real id
+        named = F.coalesce(F.col(doc_id).cast("long"), last)
+    else:
+        named = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit(chr(0x10FFFF)), hashed.cast("string")))
+    marked = docs.withColumn(key, named)
+    parts = jaccard_components(marked.select(key, text), doc_id=key, text=text, **options)
+    gone = parts.filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    kept = marked.join(gone, key, "left_anti")
+    # ids are unique as a rule; only else are whole rows compared
+    if parts.groupBy(key).count().filter("count > 1").limit(1).count():
+        kept = kept.withColumn(version, hashed).dropDuplicates([key, version])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.scratch import small_batches, written
+from tidemark.llm.scratch import free, small_batches, written
 from tidemark.llm.vocab import PieceEncoder
 
 WINDOW = 8
@@ -165,29 +165,34 @@ def bands(measures: DataFrame, lang: str = "lang", reach: float = 5.0, entropy_r
 def judged(measures: DataFrame, lang: str = "lang", **options) -> DataFrame:
     """Add ``base_failed`` and ``kept``; ``measures`` is read twice, so it should be written first.
 
-    A measure that is null (a single token) does not reject.
+    A measure that is null (a single token) does not reject.  Columns named ``base_failed`` or ``kept`` are
+    replaced; others may have any name.
     """
+    measures = measures.drop("base_failed", "kept")
     # one row for each language and doubling of length, one for each language, and one
     limits = written(bands(measures, lang, **options), "bands")
-    cells = limits.filter("_level = 0").select("_lang", "_class", F.col("_band").alias("_cell_band"))
-    langs = limits.filter("_level = 1").select(F.col("_lang").alias("_lang_of"), F.col("_band").alias("_lang_band"))
-    whole = limits.filter("_level = 3").select(F.col("_band").alias("_whole_band"))
-    added = [*cells.columns, *langs.columns, *whole.columns, "_band"]
-    band = {c: F.col(f"_band.{c}") for c in ("words", "chars", "chars_off", "bytes", "bytes_off", "least_entropy")}
+    own = {c: free(c, measures) for c in ("_lang", "_class", "_cell_band", "_lang_of", "_lang_band", "_whole_band", "_band")}
+    cells = limits.filter("_level = 0").select(F.col("_lang").alias(own["_lang"]), F.col("_class").alias(own["_class"]),
+                                               F.col("_band").alias(own["_cell_band"]))
+    langs = limits.filter("_level = 1").select(F.col("_lang").alias(own["_lang_of"]),
+                                               F.col("_band").alias(own["_lang_band"]))
+    whole = limits.filter("_level = 3").select(F.col("_band").alias(own["_whole_band"]))
+    band = {c: F.col(own["_band"])[c] for c in ("words", "chars", "chars_off", "bytes", "bytes_off", "least_entropy")}
     wide = F.coalesce(F.greatest(F.lit(1.0), F.sqrt(band["words"] / F.greatest("n_words", F.lit(1)))), F.lit(1.0))
     inside = (F.col("chars_per_token").between(
         band["chars"] - F.greatest(band["chars_off"] * wide, 0.02 * band["chars"]),
         band["chars"] + F.greatest(4 * band["chars_off"] * wide, 0.5 * band["chars"]))
         & (F.col("byte_share") <= band["bytes"] + F.greatest(band["bytes_off"] * wide, band["bytes"], F.lit(0.1)))
         & (F.col("token_entropy") >= band["least_entropy"]))
-    return measures.join(F.broadcast(cells), measures[lang].eqNullSafe(cells["_lang"])
-                         & (_length_class() == cells["_class"]), "left") \
-        .join(F.broadcast(langs), measures[lang].eqNullSafe(langs["_lang_of"]), "left") \
+    # Spark broadcasts the bands while they are small; with as many labels as a corpus of dirty ones has, it shuffles
+    return measures.join(cells, measures[lang].eqNullSafe(cells[own["_lang"]])
+                         & (_length_class() == cells[own["_class"]]), "left") \
+        .join(langs, measures[lang].eqNullSafe(langs[own["_lang_of"]]), "left") \
         .join(F.broadcast(whole), F.lit(True), "left") \
-        .withColumn("_band", F.coalesce("_cell_band", "_lang_band", "_whole_band")) \
+        .withColumn(own["_band"], F.coalesce(own["_cell_band"], own["_lang_band"], own["_whole_band"])) \
         .withColumn("base_failed", base_failed()) \
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))) \
-        .drop(*added)
+        .drop(*own.values())
 
 
 def quality(docs: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang", keep_text: bool = True,

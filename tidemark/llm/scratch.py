@@ -80,6 +80,14 @@ class Scratch:
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(name: str, df: DataFrame) -> str:
+    """The name for an internal column, or a longer one if the frame has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: Rows of text that go to Python in one Arrow batch.
 BATCH_ROWS = 1000
 
