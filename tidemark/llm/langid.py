@@ -154,10 +154,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", none: str = "und"
     given = small_batches(docs).withColumn(free("_letter", docs), has_letter(F.col(text)))
     names = [f.name for f in given.schema.fields]
     at = names.index(text)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain values: executors need no installed package
 
     def run(batches):
-        m = held.value
+        m = Model(**held.value)
         for batch in batches:
             letters = batch.column(len(names) - 1).to_numpy(zero_copy_only=False)
             best = np.zeros(batch.num_rows, np.int64)
