@@ -97,6 +97,16 @@ def wedges(spark, sf_dir) -> DataFrame:
         "geometry", st_polygon([(x, y), (x + w, y), (x, y + h), (x, y)]))
 
 
+def corners(spark, sf_dir) -> DataFrame:
+    """Customers as L-shapes at the site: arms of ``arm`` behind a square of ``thick``."""
+    key = F.col("c_custkey")
+    x, y = site_xy(key)
+    arm, thick = (key % 7 + 2).cast("double"), (key % 3 + 1).cast("double")
+    outer = arm + thick
+    return read(spark, sf_dir, "customer").withColumn("geometry", st_polygon([
+        (x, y), (x + outer, y), (x + outer, y + thick), (x + thick, y + thick), (x + thick, y + outer), (x, y + outer), (x, y)]))
+
+
 def yards(spark, sf_dir) -> DataFrame:
     """Suppliers as boxes, lower left corner at the depot."""
     key = F.col("s_suppkey")

@@ -11,6 +11,7 @@ from suite.fixtures import (
     SQL_SITES,
     SQL_YARDS,
     SQL_ZONES,
+    corners,
     depots,
     fresh_name,
     paths,
@@ -24,15 +25,19 @@ from suite.fixtures import (
     zones,
 )
 from suite.registry import query
+from tidemark.functions.buffers import shape_buffer
 from tidemark.functions.geodesic import distance_m
 from tidemark.functions.geometry import (
     first_vertex,
+    make_geometry,
     set_srid,
     st_area,
+    st_contains,
     st_envelope,
     st_intersection_area,
     st_perimeter,
     st_point,
+    vertex,
 )
 from tidemark.functions.geotext import (
     st_as_geojson,
@@ -398,6 +403,38 @@ def geo_buffer_area(spark, sf_dir):
         "c_custkey", F.round(st_area(st_buffer(F.col("geometry"), radius)), 6).alias("area"))
 
 
+@query("""
+WITH corner AS (SELECT c_custkey, CAST(c_custkey % 7 + 2 AS DOUBLE) AS arm, CAST(c_custkey % 3 + 1 AS DOUBLE) AS thick,
+                       CAST(c_custkey % 4 + 1 AS DOUBLE) * 0.5 AS d FROM customer)
+SELECT c_custkey, round(thick * (2 * arm + thick) + 4 * (arm + thick) * d
+                        + 5 / 4 * 16 * sin(2 * pi() / 32) * d ** 2 - d ** 2, 6) AS area FROM corner""")
+def geo_buffer_concave(spark, sf_dir):
+    """Area of a planar buffer around L-shapes, with a radius per row."""
+    radius = (F.col("c_custkey") % 4 + 1).cast("double") * 0.5
+    placed = settle(corners(spark, sf_dir).select("c_custkey", "geometry"), "geometry")
+    wide = settle(placed.select("c_custkey", shape_buffer(F.col("geometry"), radius).alias("wide")), "wide")
+    return wide.select("c_custkey", F.round(st_area(F.col("wide")), 6).alias("area"))
+
+
+@query("""
+WITH pair AS (SELECT o_orderkey, o_orderkey % 3 AS gap, o_orderkey % 5 AS low, o_orderkey % 5 + 1 + o_orderkey % 4 AS high
+              FROM orders)
+SELECT o_orderkey FROM pair WHERE high <= 2 OR (low >= 2 + gap AND high <= 5 + gap) OR (gap = 0 AND high <= 5)""")
+def geo_contains_lines(spark, sf_dir):
+    """Orders as two collinear lines, with or without a gap, that hold a third one."""
+    key = F.col("o_orderkey")
+    x, y = ((key * 37) % 360).cast("double"), ((key * 53) % 170).cast("double")
+
+    def at(t):
+        return vertex(x + t * 2, y + t)
+
+    both_lines = make_geometry(F.lit("MULTILINESTRING"), F.lit(4326), F.array(
+        F.array(F.array(at(F.lit(0)), at(F.lit(2)))), F.array(F.array(at(2 + key % 3), at(5 + key % 3)))))
+    third = make_geometry(F.lit("LINESTRING"), F.lit(4326), F.array(F.array(
+        F.array(at(key % 5 + 1 + key % 4), at(key % 5)))))
+    return read(spark, sf_dir, "orders").filter(st_contains(both_lines, third)).select("o_orderkey")
+
+
 @query("SELECT c_custkey, 5000.0 AS nearest, 5000.0 AS farthest FROM customer")
 def geo_buffer_metres(spark, sf_dir):
     """A 5 km buffer around every site: how far its vertices lie from the site, in whole metres."""

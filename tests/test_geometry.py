@@ -121,10 +121,50 @@ def test_predicates(spark, kernel, cases):
     assert [cases[r.i] for r in out if r.got != r.want] == []
 
 
-def test_line_in_line_is_refused(spark):
-    with pytest.raises(Exception, match="two lines"):
-        value(spark, G.st_contains(X.st_from_wkt(F.lit("LINESTRING(0 0,1 1)")),
-                                   X.st_from_wkt(F.lit("LINESTRING(0 0,1 1)"))))
+LINES_IN_LINES = [
+    ("LINESTRING(0 0,1 1)", "LINESTRING(0 0,1 1)", True), ("LINESTRING(0 0,4 4)", "LINESTRING(3 3,1 1)", True),
+    ("LINESTRING(0 0,4 4)", "LINESTRING(3 3,5 5)", False), ("LINESTRING(0 0,4 0,4 4)", "LINESTRING(2 0,4 0,4 1)", True),
+    ("LINESTRING(0 0,4 0,4 4)", "LINESTRING(2 0,4 2)", False),
+    ("MULTILINESTRING((0 0,2 0),(2 0,5 0))", "LINESTRING(1 0,4 0)", True),
+    ("MULTILINESTRING((0 0,2 0),(3 0,5 0))", "LINESTRING(1 0,4 0)", False),
+    ("LINESTRING(0 0,2 0,1 0,5 0)", "MULTILINESTRING((0 0,1 0),(4 0,5 0))", True),
+    ("LINESTRING(0 0,0 4)", "LINESTRING(0 1,0 1)", False), ("LINESTRING(0 0,4 0)", "LINESTRING(1 1,3 1)", False),
+]
+
+
+def test_lines_in_lines_by_brute_force(spark):
+    """Random lattice paths: a path is held if all its half steps are among the other's."""
+    rng = random.Random(17)
+
+    def walk(n):
+        x, y = rng.randrange(3), rng.randrange(3)
+        out = [(x, y)]
+        while len(out) < n:
+            dx, dy = rng.choice(((1, 0), (0, 1), (-1, 0), (0, -1), (2, 0), (0, 2)))
+            x, y = x + dx, y + dy
+            out.append((x, y))
+        return out
+
+    def steps(path):
+        out = set()
+        for (x1, y1), (x2, y2) in zip(path, path[1:]):
+            n = max(abs(x2 - x1), abs(y2 - y1))
+            dots = [(x1 + (x2 - x1) * k // n, y1 + (y2 - y1) * k // n) for k in range(n + 1)]
+            out |= {frozenset(s) for s in zip(dots, dots[1:])}
+        return out
+
+    def wkt(path):
+        return f"LINESTRING({','.join(f'{x} {y}' for x, y in path)})"
+
+    cases = list(LINES_IN_LINES)
+    for _ in range(300):
+        a, b = walk(rng.randrange(6, 30)), walk(rng.randrange(2, 4))
+        cases.append((wkt(a), wkt(b), steps(b) <= steps(a)))
+    assert {w for *_, w in cases[len(LINES_IN_LINES):]} == {True, False}
+    df = spark.createDataFrame([(i, a, b, w) for i, (a, b, w) in enumerate(cases)], "i int, a string, b string, want boolean")
+    df = df.select("i", "want", X.st_from_wkt(F.col("a")).alias("a"), X.st_from_wkt(F.col("b")).alias("b"))
+    out = df.select("i", "want", G.st_contains(F.col("a"), F.col("b")).alias("got")).collect()
+    assert [cases[r.i] for r in out if r.got != r.want] == []
 
 
 # --- measures ---------------------------------------------------------------------

@@ -365,6 +365,27 @@ def _points(g: Column) -> Column:
     return _vertices(g["parts"])
 
 
+def _covered(s: Column, path: Column) -> Column:
+    """Whether the edges of ``path`` that lie on the line through ``s`` cover it without a gap.
+
+    Their extents are compared along the axis on which ``s`` is longer, so given vertices are never moved.
+    """
+    steep = F.abs(s["y2"] - s["y1"]) > F.abs(s["x2"] - s["x1"])
+
+    def extent(t):
+        first, second = F.when(steep, t["y1"]).otherwise(t["x1"]), F.when(steep, t["y2"]).otherwise(t["x2"])
+        return F.struct(F.least(first, second).alias("low"), F.greatest(first, second).alias("high"))
+
+    def on_carrier(t):
+        ends = (s["x1"], s["y1"], s["x2"], s["y2"])
+        return (_orient(*ends, t["x1"], t["y1"]) == 0) & (_orient(*ends, t["x2"], t["y2"]) == 0)
+
+    pieces = F.array_sort(F.transform(F.filter(path, on_carrier), extent))
+    return let(extent(s), lambda whole: F.aggregate(
+        pieces, whole["low"], lambda reach, p: F.when(p["low"] <= reach, F.greatest(reach, p["high"])).otherwise(reach)
+    ) >= whole["high"])
+
+
 def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = None) -> Column:
     """No point of ``b`` lies outside ``a`` and the interiors meet.
 
@@ -408,6 +429,11 @@ def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = No
             path, lambda s: _on_segment(s, v["x"], v["y"]))))
         return on_line & F.exists(_points(b), lambda v: ~F.array_contains(ends, v))
 
+    def line_line():
+        edges = F.filter(segments(b), lambda s: (s["x1"] != s["x2"]) | (s["y1"] != s["y2"]))
+        return let(F.struct(segments(a).alias("path"), edges.alias("edges")), lambda pair: (
+            (F.size(pair["edges"]) > 0) & F.forall(pair["edges"], lambda s: _covered(s, pair["path"]))))
+
     def among():
         return F.forall(_points(b), lambda v: F.exists(
             _points(a), lambda u: (u["x"] == v["x"]) & (u["y"] == v["y"])))
@@ -423,8 +449,7 @@ def st_contains(a: Column, b: Column, ka: str | None = None, kb: str | None = No
         (both(area, line_b), area_line),
         (both(area, of_kind(b, kb, POLYGON, MULTIPOLYGON)), area_area),
         (both(line, points_b), line_points),
-        (both(line, line_b), lambda: F.raise_error(
-            F.lit("contains of two lines is not supported")).cast("boolean")),
+        (both(line, line_b), line_line),
         (both(points_a, points_b), among),
         (True, lambda: F.lit(False)))
 
@@ -649,7 +674,7 @@ def _is_convex(ring: Column) -> Column:
 def st_buffer(g: Column, distance) -> Column:
     """Planar buffer of a point, a two-vertex line or a convex polygon without holes.
 
-    Other shapes raise: their buffer needs a polygon union.
+    Other shapes raise: their buffer needs a polygon union, as ``buffers.shape_buffer`` makes it.
     """
     both_in = F.struct(g.alias("g"), _double(distance).alias("d"))
     return let(both_in, lambda given: _buffer_of(given["g"], given["d"]))

@@ -13,17 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import geodesic
+from tidemark.functions.buffers import shape_buffer
 from tidemark.functions.geometry import (
     DEFAULT_SRID,
+    GEOMETRY,
     POINT,
     POLYGON,
-    RING,
     dimension,
-    let,
     make_geometry,
+    map_vertices,
     set_srid,
     st_area,
-    st_buffer,
     st_centroid,
     st_contains,
     st_distance,
@@ -201,48 +201,48 @@ def centroid(df: DataFrame, geom: str = "geometry", *, columns=None, where=None,
     return _tail(out, ["centroid_x", "centroid_y"], columns, where, order_by, limit)
 
 
-def _utm_buffer(g: Column, metres: Column) -> Column:
-    return let(g, lambda geometry: _utm_ring(geometry, metres))
+def _zone_of(g: Column) -> tuple[Column, Column]:
+    """The UTM zone in the middle of a geometry, and whether it lies south."""
+    box = g["bbox"]
+    return utm_zone((box["xmin"] + box["xmax"]) / 2), (box["ymin"] + box["ymax"]) / 2 < 0
 
 
-def _utm_ring(g: Column, metres: Column) -> Column:
+def _in_zone(g: Column) -> Column:
+    """The geometry in metres of its UTM zone; one that does not fit the zone raises."""
     box = g["bbox"]
-    middle_lat = (box["ymin"] + box["ymax"]) / 2
-    zone, south = utm_zone((box["xmin"] + box["xmax"]) / 2), middle_lat < 0
-    usable = (box["xmax"] - box["xmin"] <= 6) & (box["ymin"] >= -80) & (box["ymax"] <= 84)
-
-    def around(move):
-        parts = F.transform(g["parts"], lambda p: F.transform(p, lambda r: F.transform(
-            r, lambda v: move(v["x"], v["y"]))))
-        return make_geometry(g["kind"], g["srid"], parts)
-
-    flat = around(to_utm(zone, south))
-    ring = F.transform(st_buffer(flat, metres)["parts"][0][0],
-                       lambda v: from_utm(zone, south)(v["x"], v["y"]))
+    fits = (box["xmax"] - box["xmin"] <= 6) & (box["ymin"] >= -80) & (box["ymax"] <= 84)
     bad = F.raise_error(F.lit("a metre buffer needs a geometry that fits one UTM zone"))
-    return F.when(usable, ring).otherwise(bad.cast(RING))
+    return F.when(fits, map_vertices(g, to_utm(*_zone_of(g)))).otherwise(bad.cast(GEOMETRY))
+
+
+def _spare(df: DataFrame, name: str) -> str:
+    """``name``, or one made from it, that is no column of ``df``."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 def buffer(df: DataFrame, geom: str = "geometry", *, distance: float, unit: str = "m",
            columns=None, where=None, order_by=None, limit=None) -> DataFrame:
-    """Every row with its ``buffer`` polygon.
+    """Every row with its ``buffer``: a polygon, or a multi-polygon where the parts stay apart.
 
-    In metres, points get an exact geodesic circle; lines and polygons are widened in
-    their UTM zone.  Shapes whose buffer needs a polygon union raise.
+    In metres, points get an exact geodesic circle; all other shapes are widened in their UTM
+    zone.  Of unit ``srid``, any shape is widened in its own plane.  A null geometry has a null buffer,
+    and so have lines and several points at distance 0.
     """
     check_distance(distance, unit, "spheroid")
-    g = F.col(geom)
+    g, settled = F.col(geom), settle(df, geom)
     if unit == "srid":
-        out = df.withColumn("buffer", st_buffer(g, distance))
-    else:
-        circle = geodesic.geodesic_circle(g, F.lit(float(distance)))
-        settled = settle(df, geom).withColumn("_circle", circle)
-        ring = F.when(g["kind"] == POINT, F.col("_circle")).when(
-            g.isNotNull(), _utm_buffer(g, F.lit(float(distance))))
-        out = settled.withColumn(
-            "buffer", make_geometry(F.lit(POLYGON), g["srid"], F.array(F.array(ring)))
-        ).drop("_circle")
-        out = out.withColumn("buffer", F.when(g.isNotNull(), F.col("buffer")))
+        out = settle(settled.withColumn("buffer", shape_buffer(g, distance)), "buffer")
+        return _tail(out, ["buffer"], columns, where, order_by, limit)
+    circle, flat, wide = (_spare(df, name) for name in ("_circle", "_flat", "_wide"))
+    point = g["kind"] == POINT
+    out = settled.withColumn(circle, geodesic.geodesic_circle(g, F.lit(float(distance))))
+    out = settle(out.withColumn(flat, F.when(g.isNotNull() & ~point, _in_zone(g))), flat)
+    out = settle(out.withColumn(wide, shape_buffer(F.col(flat), distance)), wide)
+    around = make_geometry(F.lit(POLYGON), g["srid"], F.array(F.array(F.col(circle))))
+    out = out.withColumn("buffer", F.when(point, around).when(
+        F.col(wide).isNotNull(), map_vertices(F.col(wide), from_utm(*_zone_of(g))))).drop(circle, flat, wide)
     return _tail(out, ["buffer"], columns, where, order_by, limit)
 
 
