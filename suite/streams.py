@@ -57,6 +57,29 @@ def stream_cagg(spark, sf_dir):
     return table.read().withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
+@query(f"""
+SELECT time_bucket(INTERVAL '3 hours', ts) AS bucket, event_type, count(*) AS n, {VALUE} AS total
+FROM events GROUP BY 1, 2""")
+def stream_late(spark, sf_dir):
+    """Three-hour buckets from a stream whose files come newest first, so most rows are weeks late."""
+    tables = workspace(spark, "late")
+    measures = {"n": F.count(F.lit(1)), "total": exact_sum("value")}
+    events = jobs.as_event_time(read(spark, sf_dir, "events"), "ts").select("event_id", "ts", "event_type", "value")
+    path = f"{tables.root}/events"
+    for third in (2, 1, 0):
+        events.filter(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) == third).coalesce(1).write.mode(
+            "append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    kept = ChunkedTable(spark, fresh_name("arrived"), "ts", "1 day")
+    kept.create(rows.truncate(events), f"{tables.root}/arrived")
+    table = ChunkedTable(spark, fresh_name("buckets"), "bucket", "7 days")
+    table.create(rows.truncate(time_bucket_agg(events, "ts", "3 hours", measures, "event_type")),
+                 f"{tables.root}/buckets")
+    jobs.maintain_recomputed(stream, kept, "event_id", table, "3 hours", measures,
+                             f"{tables.root}/checkpoint", "event_type").awaitTermination()
+    return table.read().withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+
+
 @query("""
 SELECT user_id, ts, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from conftest import rows_of
@@ -11,6 +12,7 @@ from tidemark.plans import etl as E
 from tidemark.plans.cagg import ContinuousAggregate, Materialization, policy_window
 from tidemark.plans.etl import Etl, Pipeline
 from tidemark.plans.runlog import EtlError, mark_column
+from tidemark.sources.chunks import ChunkedTable
 from tidemark.streaming import feeds, jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -275,6 +277,28 @@ def test_stream_buckets_equal_batch_buckets(spark, tmp_path):
     assert found[-1] == rows_of(ts.time_bucket_agg(df, "ts", "5 days", measures, "k"))
 
 
+def test_late_rows_reach_their_buckets(spark, tmp_path):
+    """Newest batch first, an event sent twice, null groups and times, and a second run over nothing new."""
+    day = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+    given = [(i, day + dt.timedelta(minutes=97 * i), (None, "a", "b")[i % 3], float(i)) for i in range(60)]
+    given.append((99, None, "a", 1.0))
+    schema = "id int, ts timestamp, k string, v double"
+    for part in (given[40:], given[20:45], given[:20]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    whole = spark.createDataFrame([g for g in given if g[1]], schema)
+    measures = {"n": F.count(F.lit(1)), "top": F.max("v")}
+    want = ts.time_bucket_agg(whole, "ts", "5 hours", measures, "k")
+    kept, table = (ChunkedTable(spark, f"{stem}_{uuid.uuid4().hex[:8]}", time, "1 day")
+                   for stem, time in (("arrived", "ts"), ("late", "bucket")))
+    kept.create(whole.limit(0), str(tmp_path / "kept"))
+    table.create(want.limit(0), str(tmp_path / "buckets"))
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        jobs.maintain_recomputed(stream, kept, "id", table, "5 hours", measures, str(tmp_path / "cp"), "k").awaitTermination()
+        assert kept.read().count() == 60
+        assert sorted(map(repr, table.read().select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
 def test_rerun_of_a_stream_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "feed")
     for part in range(3):

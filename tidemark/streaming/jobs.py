@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.intervals import interval
-from tidemark.functions.timebucket import FIXED_ORIGIN, epoch_micros
+from tidemark.functions.timebucket import FIXED_ORIGIN, epoch_micros, index_of, start_of, time_bucket
 from tidemark.operators._columns import named, names
+from tidemark.operators.timeseries import time_bucket_agg
 from tidemark.sources.chunks import ChunkedTable
 from tidemark.sources.tables import Tables
 
@@ -57,6 +58,40 @@ def maintain_aggregate(stream: DataFrame, table: ChunkedTable, time: str, width:
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def maintain_recomputed(stream: DataFrame, rows: ChunkedTable, keys: str | Iterable[str], buckets: ChunkedTable,
+                        width: str, aggregates: Mapping[str, Column | str], checkpoint: str,
+                        by: str | Iterable[str] = ()) -> StreamingQuery:
+    """Keep a bucket table up to date however late its rows come.
+
+    No state is held, so none expires: a batch is merged into the chunked table ``rows`` by time and ``keys``, and
+    the buckets it touches are computed anew from there, reading the chunks between the first and the last of
+    them.  A batch that runs twice, or an event that comes twice, changes nothing.  Rows without a
+    time belong to no bucket and are left out; the rows of a key stay in their group.  Buckets may be months.
+    """
+    by, keys = names(by), names(keys)
+    time, w = rows.time, interval(width)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.filter(F.col(time).isNotNull()).dropDuplicates([time, *keys]).persist()
+        try:
+            rows.upsert(timed, [time, *keys], match_nulls=True)
+            touched = timed.select(time_bucket(F.col(time), w).alias("_bucket"),
+                                   *[F.col(c).alias(f"_by_{c}") for c in by]).distinct()
+            low, high = touched.agg(*[f("_bucket").cast("timestamp_ntz") for f in (F.min, F.max)]).first()
+            if low is None:
+                return
+            near = rows.read(low, start_of(index_of(high, w) + 1, w))
+            same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"_by_{c}")), by,
+                          time_bucket(F.col(time), w) == F.col("_bucket"))
+            fresh = time_bucket_agg(near.join(touched, same, "left_semi"), time, width, aggregates, by)
+            buckets.upsert(fresh, ["bucket", *by], match_nulls=True)
+        finally:
+            timed.unpersist()
+
+    return stream.writeStream.foreachBatch(each).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def maintain_rows(stream: DataFrame, tables: Tables, target: str, keys: str | Iterable[str],
                   order_by: str | Iterable[str], checkpoint: str) -> StreamingQuery:
     """Keep the newest row of each key, by ``order_by``, in a table.
