@@ -214,6 +214,30 @@ def delete_where(spark, sf_dir):
     return tables.read(name)
 
 
+@query("""
+WITH top AS (SELECT max(o_totalprice) AS price FROM orders),
+merged AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 0.98 * price THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+         o_totalprice, o_orderdate, o_orderpriority FROM orders, top
+  UNION ALL SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority
+  FROM orders, top WHERE o_totalprice > 0.98 * price)
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'N' THEN 0 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+FROM merged WHERE o_orderkey <> 1""")
+def upsert_touched_files(spark, sf_dir):
+    """A keyed table of all orders: the dearest are corrected and added once more, one is deleted, some updated."""
+    tables, name = workspace(spark, "segments"), fresh_name("orders")
+    orders = read(spark, sf_dir, "orders")
+    tables.create_keyed(orders, name, "o_orderkey", 64)
+    top = orders.agg(F.max("o_totalprice").alias("_price"))
+    dearest = orders.join(F.broadcast(top), F.col("o_totalprice") > 0.98 * F.col("_price")).drop("_price")
+    again = dearest.withColumn("o_orderkey", -F.col("o_orderkey")).withColumn("o_orderstatus", F.lit("N"))
+    tables.upsert(dearest.withColumn("o_orderstatus", F.lit("X")).unionByName(again), name, "o_orderkey")
+    tables.delete(name, {"o_orderkey": 1})
+    tables.update(name, {"o_totalprice": 0.0}, {"o_orderstatus": "N"})
+    return tables.read(name)
+
+
 @query("""
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'X' ELSE o_orderstatus END
          AS o_orderstatus,

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timebucket import naive_utc
 from tidemark.operators._columns import as_column, names, require_columns
@@ -18,13 +19,17 @@ def equals_all(df: DataFrame, where: Mapping[str, Any]) -> Column:
     require_columns(df, where)
     condition = F.lit(True)
     for name, value in where.items():
-        dtype = df.schema[name].dataType
-        if isinstance(value, (dt.datetime, dt.date)):
-            value = naive_utc(value).isoformat(sep=" ")
-        condition = condition & (F.col(name) == F.lit(value).cast(dtype))
+        condition = condition & (F.col(name) == literal(value, df.schema[name].dataType))
     return condition
 
 
+def literal(value: Any, dtype: T.DataType) -> Column:
+    """A value in a column's type; times are taken in UTC."""
+    if isinstance(value, (dt.datetime, dt.date)):
+        value = naive_utc(value).isoformat(sep=" ")
+    return F.lit(value).cast(dtype)
+
+
 def where_dict(df: DataFrame, where: Mapping[str, Any] | None) -> DataFrame:
     return df.filter(equals_all(df, where)) if where else df
 

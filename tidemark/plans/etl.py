@@ -229,15 +229,18 @@ class Etl:
     def _write(self, pipeline: Pipeline, ready: DataFrame, column: str | None) -> dict:
         target, mode = pipeline.target, pipeline.load_mode
         if mode == "append":
-            watch = Watch(rows.align(ready, self.tables.read(target).schema))
-            watch.df.write.insertInto(quoted(target))
-            return watch.get()
+            return self.tables.append_watched(ready, target).get()
         if mode == "replace":
             result = ready
             if self.tables.exists(target):
                 result = rows.align(ready, self.tables.read(target).schema)
             watch = Watch(result)
         else:
+            keyed = self.tables.keyed(target)
+            if keyed:
+                measured = column if column in keyed.read().columns else None
+                return keyed.upsert(ready, list(pipeline.conflict_columns),
+                                    measured=self._measures(keyed.read(), measured, F.col("_changed")))
             if ready.isEmpty():
                 return {"n": 0}
             merged = rows.upsert(self.tables.read(target), ready, list(pipeline.conflict_columns), mark="_changed")

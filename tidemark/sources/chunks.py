@@ -8,7 +8,6 @@ other chunks.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -25,14 +24,11 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names, spread
-from tidemark.sources.tables import Watch, files_at, location_of, quoted
+from tidemark.sources.partitions import SPECS_PER_STATEMENT, PartitionedTable
+from tidemark.sources.tables import Watch, files_at, quoted
 
 CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
-# Partitions named in one statement.
-SPECS_PER_STATEMENT = 500
-# Folder of rewritten partitions, below the table's own.
-VERSIONS = "_versions"
 # Empty file in the folder of a compacted partition; its name ends with the number of files.
 COMPACTED = "_compacted-"
 # What Spark writes for a NULL partition value.
@@ -99,7 +95,7 @@ def _bounds(width: Interval, older: dt.datetime | None, newer: dt.datetime | Non
     return keep
 
 
-class ChunkedTable:
+class ChunkedTable(PartitionedTable):
     """A catalog table partitioned by ``chunk_start`` (and optionally ``dim_bucket``)."""
 
     def __init__(self, spark: SparkSession, name: str, time: str,
@@ -168,10 +164,6 @@ class ChunkedTable:
 
     # --- looking after chunks -----------------------------------------------------
 
-    def _partitions(self) -> DataFrame:
-        """The catalog's partition list, one row per partition, without opening data."""
-        return self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)}")
-
     def chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None) -> list:
         """``(chunk start, partition path)`` of the chunks within the bounds, oldest first.
 
@@ -202,11 +194,6 @@ class ChunkedTable:
                 out.append(f"{column} = {int(value)}")
         return f"PARTITION ({', '.join(out)})"
 
-    def _folder(self, path: str) -> str:
-        """Where the catalog has a partition's files."""
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(self.name)} {self._spec(path)}")
-        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
-
     def drop_chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None,
                     dry_run: bool = False) -> list[dt.datetime]:
         """Drop whole chunks, irreversibly; returns their starts, oldest first."""
@@ -228,56 +215,15 @@ class ChunkedTable:
         self._forget([path for _, path in chunks])
         self.spark.catalog.refreshTable(self.name)
 
-    def _forget(self, paths: list[str]) -> None:
-        location = location_of(self.spark, self.name)
-        folders = [self._folder(path) for path in paths]
-        for at in range(0, len(paths), SPECS_PER_STATEMENT):
-            specs = ", ".join(self._spec(p) for p in paths[at:at + SPECS_PER_STATEMENT])
-            self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
-        # the default folder too: an insert would find what an interrupted rewrite left there
-        for folder in {*folders, *(f"{location}/{path}" for path in paths)}:
-            files, at = files_at(self.spark, folder)
-            files.delete(at, True)
-
     def replace(self, df: DataFrame, paths: Iterable[str], mark_compacted: bool = False) -> None:
-        """Put the rows of ``df`` in the place of the listed partitions.
-
-        ``df`` has all columns, the partition columns last, and may read those partitions.  The rows
-        go to a fresh folder first.  Then the catalog is pointed at the new partitions, one
-        statement each, and listed partitions without rows are dropped; the old files go last.
-        A job that is lost while writing changes nothing, one lost later leaves every partition
-        either old or new, and can be repeated.
-        """
-        parts = self._partition_columns(df)
-        location = location_of(self.spark, self.name)
-        fresh = f"{location}/{VERSIONS}/{uuid.uuid4().hex}"
-        files, root = files_at(self.spark, fresh)
-        try:
-            df.write.partitionBy(*parts).option("compression", "zstd").parquet(fresh)
-        except Exception:
-            files.delete(root, True)
-            raise
-        written, level = {}, [(root, "")]
-        for _ in parts:
-            level = [(s.getPath(), f"{prefix}{s.getPath().getName()}/") for at, prefix in level
-                     for s in files.listStatus(at) if s.isDirectory()]
-        written = {prefix.rstrip("/"): at for at, prefix in level} if files.exists(root) else {}
+        """As for all tables of partitions; ``mark_compacted`` notes what compaction wrote."""
+        fresh, written = self.stage(df)
         if mark_compacted:
+            files, _ = files_at(self.spark, fresh)
             for at in written.values():
                 count = sum(_is_data(s) for s in files.listStatus(at))
                 files.create(_child(self.spark, at, f"{COMPACTED}{count}"), True).close()
-        known = set(paths)
-        old = [self._folder(path) for path in known]
-        for path in written:
-            statement = "SET LOCATION" if path in known else "LOCATION"
-            verb = "" if path in known else "ADD IF NOT EXISTS "
-            self.spark.sql(f"ALTER TABLE {quoted(self.name)} {verb}{self._spec(path)} "
-                           f"{statement} '{fresh}/{path.replace(chr(39), '')}'")
-        self._forget([path for path in known if path not in written])
-        for folder in old:
-            where, at = files_at(self.spark, folder)
-            where.delete(at, True)
-        self.spark.catalog.refreshTable(self.name)
+        self.swap(fresh, written, paths)
 
     def is_compacted(self, path: str) -> bool:
         """Whether a partition is as the last compaction left it."""

@@ -48,7 +48,19 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         if not self.exists(name):
             raise ValueError(f"table does not exist: {name}")
-        return self.spark.table(quoted(name))
+        keyed = self.keyed(name)
+        return keyed.read() if keyed else self.spark.table(quoted(name))
+
+    def keyed(self, name: str):
+        """The table, if it is dealt to segments by key (see :mod:`tidemark.sources.segments`)."""
+        from tidemark.sources.segments import KeyedTable
+
+        return KeyedTable.of(self.spark, name)
+
+    def near(self, batch: DataFrame, name: str, keys: str | Iterable[str]) -> DataFrame:
+        """The rows that may share a key with the batch: of its segments if the table has some, else all."""
+        keyed = self.keyed(name)
+        return keyed.near(batch, keys) if keyed else self.read(name)
 
     # --- writing ------------------------------------------------------------------
 
@@ -77,7 +89,13 @@ class Tables:
         the location moves.
         """
         exists = self.exists(name)
-        if exists and _shape(self.read(name)) != _shape(like):
+        keyed = self.keyed(name) if exists else None
+        if keyed and _shape(keyed.read()) == _shape(like):
+            # the staged rows are dealt to segments, so they are written twice
+            keyed.overwrite(self.spark.read.schema(like.schema).parquet(path))
+            self.discard(path)
+            return
+        if exists and (keyed or _shape(self.read(name)) != _shape(like)):
             # the new table exists before the old one goes, and a failure leaves one of them
             beside = f"{name}_{uuid.uuid4().hex}"
             self._create(beside, path, like)
@@ -116,12 +134,28 @@ class Tables:
         self.point_at(name, self.stage(watch.df, name, layout), df)
         return watch.n
 
+    def create_keyed(self, df: DataFrame, name: str, keys: str | Iterable[str], segments: int) -> int:
+        """Write a frame to a new table dealt to segments by key; returns the row count.
+
+        Upserts by that key, inserts, deletes, updates and streams then rewrite or look into the segments
+        they touch; other tables are rewritten as a whole.
+        """
+        from tidemark.sources.segments import KeyedTable
+
+        return KeyedTable.create(self.spark, name, df, keys, segments, f"{self.root}/{name}/{uuid.uuid4().hex}").append(df)
+
     def append(self, df: DataFrame, name: str) -> int:
         """Add rows, aligned to the table's columns; returns the row count."""
+        return self.append_watched(df, name).n
+
+    def append_watched(self, df: DataFrame, name: str) -> "Watch":
         aligned = rows.align(df, self.read(name).schema)
+        keyed = self.keyed(name)
+        if keyed:
+            return keyed.append_watched(aligned)
         watch = Watch(aligned)
         watch.df.write.insertInto(quoted(name))
-        return watch.n
+        return watch
 
     def write(
         self,
@@ -164,14 +198,18 @@ class Tables:
 
     def insert_ignore(self, batch: DataFrame, name: str, keys: str | Iterable[str]) -> int:
         """Append the batch rows whose key is new; returns how many."""
-        return self.append(rows.insert_ignore(self.read(name), batch, keys), name)
+        return self.append(rows.insert_ignore(self.near(batch, name, keys), batch, keys), name)
 
     def upsert(self, batch: DataFrame, name: str, keys: str | Iterable[str],
                update: Iterable[str] | None = None, **options) -> int:
         """Merge the batch into the table; returns the inserted and updated rows.
 
-        An empty batch writes nothing.
+        An empty batch writes nothing.  A keyed table rewrites the segments that the batch touches, any other
+        table all of its rows.
         """
+        keyed = self.keyed(name)
+        if keyed:
+            return keyed.upsert(batch, keys, update, **options)["n"] or 0
         if batch.isEmpty():
             return 0
         merged = rows.upsert(self.read(name), batch, keys, update, mark="_changed", **options)
@@ -182,11 +220,17 @@ class Tables:
 
     def delete(self, name: str, where: Mapping[str, Any] | Column | str) -> int:
         """Delete matching rows; returns how many."""
+        keyed = self.keyed(name)
+        if keyed:
+            return keyed.delete(where)
         return self._rewrite(name, where, lambda df, hit: df.filter(~hit))
 
     def update(self, name: str, values: Mapping[str, Any],
                where: Mapping[str, Any] | Column | str) -> int:
         """Update matching rows; returns how many."""
+        keyed = self.keyed(name)
+        if keyed:
+            return keyed.update(values, where)
         return self._rewrite(
             name, where, lambda df, hit: rows.update_where(df, values, hit).drop("_hit"))
 

@@ -98,14 +98,15 @@ def maintain_rows(stream: DataFrame, tables: Tables, target: str, keys: str | It
 
     A stored row only gives way to a newer one, so neither the order of arrival nor a
     batch that runs twice changes the result.  NULL is a key like any other.  The checkpoint
-    takes the place of a high-water mark.
+    takes the place of a high-water mark.  Of a keyed table only the segments of the batch are
+    read and rewritten.
     """
     keys, order_by = names(keys), names(order_by)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            known = tables.read(target)
+            known = tables.near(batch, target, keys)
             mine = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
             same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
             rivals = known.join(mine, same, "left_semi")
