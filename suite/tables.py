@@ -111,6 +111,16 @@ def paginate(spark, sf_dir):
                             40, 10, {"c_mktsegment": "MACHINERY"}, descending=True)
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_returnflag, l_shipdate FROM lineitem
+ORDER BY l_returnflag, l_shipdate, l_orderkey, l_linenumber DESC NULLS FIRST LIMIT 100 OFFSET 5000""")
+def paginate_deep(spark, sf_dir):
+    """A page far down the order is found by counts; its keys have few values, then many."""
+    return filters.paginate(
+        read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber"], 100, 5000,
+        columns=["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"], descending=True, seek_from=500)
+
+
 @query("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_mktsegment IS NOT NULL")
 def distinct_values(spark, sf_dir):
     return rows.distinct_values(read(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"])

@@ -13,6 +13,13 @@ from pyspark.sql import types as T
 from tidemark.functions.timebucket import naive_utc
 from tidemark.operators._columns import as_column, names, require_columns
 
+# Offsets up to here are left to Spark's own top-n.
+SEEK_FROM = 100_000
+# Rows sampled for cuts, and values taken as cuts of one aggregate.
+_SAMPLED, _VALUES = 500, 32
+# Types whose values survive the way to text and back.
+_CUT_TYPES = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def equals_all(df: DataFrame, where: Mapping[str, Any]) -> Column:
     """``col = value AND …``.  A ``None`` value matches nothing, as ``=`` does in SQL."""
@@ -71,6 +78,57 @@ def _order(columns: list[str], descending: bool) -> list[Column]:
     return keys
 
 
+def _cuts(name: str, value: str | None, dtype: T.DataType, down: bool) -> tuple[Column, Column]:
+    """Whether a row comes before a value of a column, and whether it comes before it or with it."""
+    column = F.col(f"`{name}`")
+    if value is None:
+        return (F.lit(False), column.isNull()) if down else (column.isNotNull(), F.lit(True))
+    bound = F.lit(value).cast(dtype)
+    if down:
+        return F.coalesce(column > bound, F.lit(True)), F.coalesce(column >= bound, F.lit(True))
+    return F.coalesce(column < bound, F.lit(False)), F.coalesce(column <= bound, F.lit(False))
+
+
+def _sought(df: DataFrame, keys: list[str], descending: bool, offset: int, seek_from: int) -> tuple[DataFrame, int]:
+    """The rows from some place before the page on, and the page's offset among them.
+
+    Values of a key column cut the rows into intervals; the rows before each cut are counted exactly in one
+    aggregate, and the interval that holds the page's start is cut again.  Where the start lies among equal values,
+    the next key column cuts those.  The sampled values decide how even the cuts are, never the result.
+    It ends at ``seek_from`` rows, when the columns are used up, or at one whose type has no text form.
+    """
+    here, later, skip = F.lit(True), F.lit(False), offset
+    size = df.count()
+    for number, name in enumerate(keys):
+        dtype = df.schema[name].dataType
+        down = descending and number == len(keys) - 1
+        if not isinstance(dtype, _CUT_TYPES):
+            break
+        tied = False
+        while skip > seek_from and size and not tied:
+            inside = df.filter(here).select(F.col(f"`{name}`").alias(name))
+            some = inside.sample(min(1.0, _SAMPLED / size), seed=17).distinct()
+            values = [r[0] for r in some.orderBy(*_order([name], down)).select(
+                F.col(f"`{name}`").cast("string")).collect()]
+            values = values[::max(1, len(values) // _VALUES)]
+            cuts = [cut for value in values for cut in _cuts(name, value, dtype, down)]
+            if not cuts:
+                break
+            counts = list(inside.agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(cuts)]).first())
+            last = max((i for i, n in enumerate(counts) if n <= skip), default=-1)
+            upper = cuts[last + 1] if last + 1 < len(cuts) else F.lit(True)
+            later = later | (here & ~upper)
+            size = (counts[last + 1] if last + 1 < len(cuts) else size) - (counts[last] if last >= 0 else 0)
+            if last >= 0:
+                here, skip = here & ~cuts[last], skip - counts[last]
+            here = here & upper
+            # cuts come in pairs: between the two of a pair lie the rows of one value
+            tied = last >= 0 and last % 2 == 0
+        if not tied:
+            break
+    return df.filter(here | later), skip
+
+
 def paginate(
     df: DataFrame,
     order_by: str | Iterable[str],
@@ -79,11 +137,18 @@ def paginate(
     where: Mapping[str, Any] | None = None,
     columns: Iterable[str] | None = None,
     descending: bool = False,
+    seek_from: int = SEEK_FROM,
 ) -> DataFrame:
-    """One page of the ordered rows."""
+    """One page of the ordered rows.
+
+    An offset above ``seek_from`` is first brought below it by counting (see :func:`_sought`), so that
+    ``seek_from + limit`` rows at most go through one task, however deep the page lies.
+    """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
     page = where_dict(df, where)
+    if offset > seek_from:
+        page, offset = _sought(page, names(order_by), descending, offset, seek_from)
     ordered = page.orderBy(*_order(names(order_by), descending))
     ordered = ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
     return ordered.select(*columns) if columns else ordered
