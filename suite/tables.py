@@ -238,7 +238,7 @@ def upsert_touched_files(spark, sf_dir):
     """A keyed table of all orders: the dearest are corrected and added once more, one is deleted, some updated."""
     tables, name = workspace(spark, "segments"), fresh_name("orders")
     orders = read(spark, sf_dir, "orders")
-    tables.create_keyed(orders, name, "o_orderkey", 64)
+    tables.create_keyed(orders, name, "o_orderkey", 16)
     top = orders.agg(F.max("o_totalprice").alias("_price"))
     dearest = orders.join(F.broadcast(top), F.col("o_totalprice") > 0.98 * F.col("_price")).drop("_price")
     again = dearest.withColumn("o_orderkey", -F.col("o_orderkey")).withColumn("o_orderstatus", F.lit("N"))

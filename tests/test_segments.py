@@ -185,3 +185,10 @@ def test_upsert_equals_the_frame_operator(spark, tables, name):
     tables.create_keyed(old, name, "id", 32)
     tables.upsert(batch, name, "id", ["v"])
     assert rows_of(tables.read(name)) == rows_of(rows.upsert(old, batch, "id", ["v"]))
+
+
+def test_a_column_named_location(spark, tables, name):
+    schema = "Location string, k int"
+    tables.create_keyed(_frame(spark, [("x", 1), ("y", 2)], schema), name, "k", 2)
+    assert tables.upsert(_frame(spark, [("z", 1)], schema), name, "k") == 1
+    assert rows_of(tables.read(name)) == [("y", 2), ("z", 1)]

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.tables import files_at, location_of, quoted
+from tidemark.sources.tables import described_location, files_at, location_of, quoted
 
 # Partitions named in one statement.
 SPECS_PER_STATEMENT = 500
@@ -34,8 +34,7 @@ class PartitionedTable:
 
     def _folder(self, path: str) -> str:
         """Where the catalog has a partition's files."""
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(self.name)} {self._spec(path)}")
-        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+        return described_location(self.spark, f"{quoted(self.name)} {self._spec(path)}")
 
     def _forget(self, paths: list[str]) -> None:
         location = location_of(self.spark, self.name)

@@ -251,8 +251,18 @@ class Tables:
 
 
 def location_of(spark: SparkSession, name: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}")
-    return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+    return described_location(spark, quoted(name))
+
+
+def described_location(spark: SparkSession, what: str) -> str:
+    """Location of a table or, with a partition spec behind its name, of a partition.
+
+    The few lines of the description are read as they are, as a filter on them would start a job.
+    Columns come first, so one of that name is passed over.
+    """
+    lines = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect()]
+    start = next(i for i, (title, _) in enumerate(lines) if title.startswith("# Detailed"))
+    return next(value for title, value in lines[start:] if title == "Location").rstrip("/")
 
 
 def files_at(spark: SparkSession, folder: str):
