@@ -166,6 +166,26 @@ def first_vertex(g: Column) -> Column:
     return g["parts"][0][0][0]
 
 
+def is_box(g: Column) -> Column:
+    """Whether the geometry is a rectangle along the axes, that is its own bounding box."""
+    part = F.get(g["parts"], F.lit(0))
+    ring = F.get(part, F.lit(0))
+    v = [F.get(ring, F.lit(i)) for i in range(5)]
+    out = (g["kind"] == POLYGON) & (F.size(g["parts"]) == 1) & (F.size(part) == 1) & (F.size(ring) == 5)
+    for p, q in zip(v, v[1:]):
+        out = out & ((p["x"] == q["x"]) | (p["y"] == q["y"]))
+    for p, q in ((v[0], v[2]), (v[1], v[3])):
+        out = out & (p["x"] != q["x"]) & (p["y"] != q["y"])
+    return F.coalesce(out & (v[0]["x"] == v[4]["x"]) & (v[0]["y"] == v[4]["y"]), F.lit(False))
+
+
+def box_gap(a: Column, b: Column) -> Column:
+    """Planar distance of two bounding boxes; 0 when they meet."""
+    dx = F.greatest(a["xmin"] - b["xmax"], b["xmin"] - a["xmax"], F.lit(0.0))
+    dy = F.greatest(a["ymin"] - b["ymax"], b["ymin"] - a["ymax"], F.lit(0.0))
+    return F.sqrt(dx * dx + dy * dy)
+
+
 def dimension(g: Column) -> Column:
     return F.when(is_puntal(g), 0).when(is_lineal(g), 1).when(is_areal(g), 2)
 
@@ -575,7 +595,8 @@ def st_intersection_area(a: Column, b: Column) -> Column:
     """Area shared by two polygons, for any valid polygons.
 
     A polygon is the signed sum of the strips below its edges, so the shared area is the
-    sum over edge pairs of the integral of the lower of the two edges.
+    sum over edge pairs of the integral of the lower of the two edges.  Two rectangles along the
+    axes share a rectangle.
     """
     def strips(g):
         def of_ring(ring, place):
@@ -615,8 +636,11 @@ def st_intersection_area(a: Column, b: Column) -> Column:
 
     total = let(strips(b), lambda others: _sum(F.transform(strips(a), lambda s: _sum(F.transform(
         others, lambda t: shared(s, t))))))
-    return F.when(is_areal(a) & is_areal(b) & bbox_meets(a, b),
-                  F.greatest(total, F.lit(0.0))).otherwise(F.lit(0.0))
+    box_a, box_b = a["bbox"], b["bbox"]
+    common = ((F.least(box_a["xmax"], box_b["xmax"]) - F.greatest(box_a["xmin"], box_b["xmin"]))
+              * (F.least(box_a["ymax"], box_b["ymax"]) - F.greatest(box_a["ymin"], box_b["ymin"])))
+    return F.when(is_areal(a) & is_areal(b) & bbox_meets(a, b), F.when(is_box(a) & is_box(b), common).otherwise(
+        F.greatest(total, F.lit(0.0)))).otherwise(F.lit(0.0))
 
 
 def st_envelope(g: Column) -> Column:

@@ -20,11 +20,16 @@ MIN_LEVEL = -20
 
 CELL = ["_level", "_cx", "_cy"]
 
+# Levels by which boxes are cut finer for what is looked up by one cell: at most 25 cells to a box.
+FINER = 2
+# Pieces that the pairs of all cells are cut into, per task of a shuffle.
+PIECES_PER_TASK = 4
 
-def level_of(box: Column) -> Column:
+
+def level_of(box: Column, finer: int = 0) -> Column:
     extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
     level = F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(MIN_LEVEL))
-    return F.greatest(level, F.lit(MIN_LEVEL)).cast("int")
+    return F.greatest(level - finer, F.lit(MIN_LEVEL)).cast("int")
 
 
 def cell_at(value: Column, level: Column) -> Column:
@@ -48,12 +53,13 @@ def box_of(prefix: str = "_") -> Column:
     return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in SIDES])
 
 
-def cover(df: DataFrame, box: Column, band: int = 1) -> DataFrame:
+def cover(df: DataFrame, box: Column, band: int = 1, finer: int = 0) -> DataFrame:
     """One row per cell that a geometry's box covers on its own level.
 
-    With ``band``, levels are rounded up to a multiple of it: fewer levels, larger cells.
+    With ``band``, levels are rounded up to a multiple of it: fewer levels, larger cells.  With ``finer``,
+    they are so many lower: more and smaller cells, in which fewer of what is looked up misses the box.
     """
-    level = level_of(box_of())
+    level = level_of(box_of(), finer)
     if band > 1:
         level = (F.ceil(level / band) * band).cast("int")
     return _cells_of_box(placed(df, box).withColumn("_level", level))
@@ -66,9 +72,9 @@ def _cells_of_box(df: DataFrame) -> DataFrame:
     return df.withColumn("_cx", F.explode(across)).withColumn("_cy", F.explode(up))
 
 
-def levels_in_use(df: DataFrame, box: Column) -> list[int]:
+def levels_in_use(df: DataFrame, box: Column, finer: int = 0) -> list[int]:
     """The levels that occur: a few numbers, one per power of two, found by one pass over the boxes."""
-    found = df.select(level_of(box).alias("level")).where("level is not null").distinct()
+    found = df.select(level_of(box, finer).alias("level")).where("level is not null").distinct()
     return sorted(row["level"] for row in found.collect())
 
 
@@ -104,27 +110,49 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df)
 
 
-def salt_hot_cells(left: DataFrame, right: DataFrame, hot_rows: int | None = None):
-    """Split cells that are crowded on either side.
+def cells_fit_broadcast(df: DataFrame, geom: Column) -> bool:
+    """Whether the cells of a side that looks small are so: its rows are counted, eight cells to each."""
+    if not fits_broadcast(df):
+        return False
+    vertices = F.aggregate(F.flatten(geom["parts"]), F.lit(0), lambda n, ring: n + F.size(ring))
+    held = df.agg(F.sum(8 * (F.lit(200) + 16 * vertices))).first()[0]
+    return (held or 0) <= broadcast_limit(df)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly to the tasks of a shuffle, for a step that works long on few bytes.
+
+    A file of a few MB is read by one or two tasks.  Input that is cut into more tasks than a shuffle
+    has anyway is left as it is.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return df.repartition(width) if estimated_bytes(df) <= width * int(str(conf.filesMaxPartitionBytes())) else df
+
 
-    A crowded side's rows get a salt, the other side's rows one copy per salt; a cell crowded on both
-    sides becomes a grid of salts.  Both frames come back with ``_salt_l`` and ``_salt_r``, 0 nearly
-    everywhere.  The crowded cells are joined, not collected, so there may be any number of them.
-    Without ``hot_rows`` a cell is crowded if it has more rows than a shuffle partition has on average.
+def salt_hot_cells(left: DataFrame, right: DataFrame, hot_rows: int | None = None):
+    """Split cells whose pairs are too many for one task.
+
+    A cell's work is the product of its rows on both sides.  It is cut into a grid of salts, about as many
+    as it has shares of a task's work and each side by its size: a row gets a salt of its own side and
+    one copy per salt of the other.  All cells together get a few pieces per task, so the copies grow
+    with the rows, not with their product.  Both frames come back with ``_salt_l`` and ``_salt_r``, 0 nearly
+    everywhere.  The cells that are split are a few per task at most, whatever the number of cells.
+    With ``hot_rows``, cells of no more pairs than that many rows on both sides make are left whole.
     """
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def counted(df, name):
-        counts = df.groupBy(*CELL).agg(F.count(F.lit(1)).alias(name))
-        if hot_rows is not None:
-            return counts.withColumn("_limit", F.lit(hot_rows))
-        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        total = counts.agg(F.ceil(F.sum(name) / width).alias("_limit"))  # one row
-        return counts.join(F.broadcast(total))
-
-    def salts(df, name, alias):
-        crowded = F.col(name) > F.col("_limit")
-        return counted(df, name).filter(crowded).select(*CELL, F.ceil(F.col(name) / F.col("_limit")).cast("int").alias(alias))
-
-    listed = salts(left, "_n", "_sl").join(salts(right, "_n", "_sr"), CELL, "full")
+        return df.groupBy(*CELL).agg(F.count(F.lit(1)).cast("double").alias(name))
+
+    work = counted(left, "_n_l").join(counted(right, "_n_r"), CELL).withColumn("_work", F.col("_n_l") * F.col("_n_r"))
+    share = work.agg(F.greatest(F.sum("_work") / (PIECES_PER_TASK * width), F.lit(float(hot_rows or 1) ** 2)).alias("_share"))
+    pieces = F.ceil(F.col("_work") / F.col("_share"))
+    listed = work.join(F.broadcast(share)).withColumn("_pieces", pieces).filter("_pieces > 1")  # one share
+    listed = listed.withColumn("_sl", F.ceil(F.least("_n_l", F.greatest(
+        F.lit(1.0), F.sqrt(F.col("_pieces") * F.col("_n_l") / F.col("_n_r"))))).cast("int"))
+    listed = listed.withColumn("_sr", F.ceil(F.least("_n_r", F.col("_pieces") / F.col("_sl"))).cast("int"))
+    listed = F.broadcast(listed.select(*CELL, "_sl", "_sr"))
 
     def salted(df, own, own_salt, other, other_salt):
         plain = [c for c in df.columns if not c.startswith("_")]

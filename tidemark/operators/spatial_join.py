@@ -1,8 +1,10 @@
 """Joins on spatial predicates, as equality joins on grid cells plus an exact test.
 
-When the covering side is small (its size is estimated, never assumed) its cells are
-broadcast and the other side is not shuffled.  Otherwise both sides are shuffled on the
-cell; crowded cells are salted, and AQE splits what is still skewed.
+When the covering side is small (its size is estimated and counted, never assumed) its cells are
+broadcast, and the other side is at most dealt evenly to the tasks.  Otherwise both sides are shuffled
+on the cell; crowded cells are salted, and AQE splits what is still skewed.
+
+Points and rectangles along the axes are decided by their boxes; the exact test is for all others.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from tidemark.functions.geodesic import (
 )
 from tidemark.functions.geometry import (
     POINT,
+    box_gap,
+    is_box,
+    same_srid,
     st_contains,
     st_distance,
     st_intersects,
@@ -46,69 +51,101 @@ def _box_meets(a: Column, b: Column) -> Column:
     )
 
 
+# How a geometry is to be compared: only by the exact test, as a point, or as a rectangle.
+_OTHER, _SPOT, _BOX = 0, 1, 2
+
+
+def _formed(df: DataFrame, g: Column) -> DataFrame:
+    return df.withColumn("_form", F.when(g["kind"] == POINT, _SPOT).when(is_box(g), _BOX).otherwise(_OTHER))
+
+
+def _by_boxes(decided: Column, test: Test, ga: Column, gb: Column) -> Column:
+    """``decided`` for pairs of points and rectangles, ``test`` for all others."""
+    simple = (F.col("_form") != _OTHER) & (F.col("_b_form") != _OTHER)
+    return F.when(simple, same_srid(ga, gb) & decided).otherwise(test(ga, gb))
+
+
+def _holds(test: Test, ga: Column, gb: Column) -> Column:
+    """``gb`` contains ``ga``, of pairs whose boxes do."""
+    a, b, spot = grid.box_of(), grid.box_of("_b_"), F.col("_form") == _SPOT
+    inside = ((a["xmin"] > b["xmin"]) & (a["xmin"] < b["xmax"]) & (a["ymin"] > b["ymin"]) & (a["ymin"] < b["ymax"]))
+    return F.when((F.col("_b_form") == _BOX) & (F.col("_form") != _OTHER), same_srid(ga, gb) & (~spot | inside)) \
+        .otherwise(test(ga, gb))
+
+
 def _cell_join(looked_up: DataFrame, covered: DataFrame, extra: Column, small: bool,
-               hot_rows: int | None = None) -> DataFrame:
-    # an equality join: with a small side Spark broadcasts by its run-time size
+               hot_rows: int | None = None, how: str = "inner") -> DataFrame:
     left, right, keys = looked_up, covered, list(grid.CELL)
-    if not small:
+    if small:
+        left, right = grid.dealt(left), F.broadcast(right)
+    else:
         left, right = grid.salt_hot_cells(left, right, hot_rows)
         keys += ["_salt_l", "_salt_r"]
-    right = right.withColumnsRenamed({f"_{c}": f"_b_{c}" for c in grid.SIDES})
+    right = right.withColumnsRenamed({f"_{c}": f"_b_{c}" for c in (*grid.SIDES, "form")})
     on = extra
     for k in keys:
         right = right.withColumnRenamed(k, f"{k}_b")
         on = (F.col(k) == F.col(f"{k}_b")) & on
-    return left.join(right, on, "inner")
+    return left.join(right, on, how)
+
+
+def _covered(left: DataFrame, right: DataFrame, ga: Column, gb: Column, decision: Column, allow_broadcast: bool = True,
+             hot_rows: int | None = None, how: str = "inner") -> DataFrame:
+    """Left and right rows whose right box covers the left one and for which ``decision`` holds.
+
+    The left side is looked up by one corner, so every pair is met exactly once.  A semi-join stops at a
+    row's first match.
+    """
+    looked_up = grid.look_up(_formed(left, ga), ga["bbox"], grid.levels_in_use(right, gb["bbox"], grid.FINER))
+    covered = grid.cover(_formed(right, gb), gb["bbox"], finer=grid.FINER)
+    boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
+    small = allow_broadcast and grid.cells_fit_broadcast(right, gb)
+    return _cell_join(looked_up, covered, boxes & decision, small, hot_rows, how)
 
 
 def covered_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str,
                   test: Test, allow_broadcast: bool = True, hot_rows: int | None = None,
                   sides: tuple[str, str] = ("a", "b")) -> DataFrame:
-    """Pairs where the right box covers the left box and ``test(left, right)`` holds.
+    """Pairs where the right geometry contains the left one, by ``test(left, right)``.
 
-    The columns are addressed by the names in ``sides``, e.g. ``"a.id"``.  The left side
-    is looked up by one corner, so every pair is met exactly once.
+    The columns are addressed by the names in ``sides``, e.g. ``"a.id"``.
     """
     a, b = sides
     ga, gb = F.col(f"{a}.{left_geom}"), F.col(f"{b}.{right_geom}")
-    left, right = left.alias(a), right.alias(b)
-    looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(right, gb["bbox"]))
-    covered = grid.cover(right, gb["bbox"])
-    boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
-    small = allow_broadcast and grid.fits_broadcast(right)
-    joined = _cell_join(looked_up, covered, boxes, small, hot_rows)
-    return joined.filter(test(ga, gb)).select(f"{a}.*", f"{b}.*")
+    joined = _covered(left.alias(a), right.alias(b), ga, gb, _holds(test, ga, gb), allow_broadcast, hot_rows)
+    return joined.select(f"{a}.*", f"{b}.*")
 
 
 def meeting_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str,
                   test: Test, extra: Column | None = None) -> DataFrame:
-    """Pairs (a, b) whose boxes meet and for which ``test(a, b)`` holds.
+    """Pairs (a, b) that intersect, by ``test(a, b)``.
 
     Two boxes can share several cells; the pair is kept only in the cell that holds the
     lower left corner of their overlap, which needs no duplicate removal.
     """
     ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
-    joined = _boxes_meet(left.alias("a"), right.alias("b"), ga["bbox"], gb["bbox"],
-                         grid.fits_broadcast(right), extra)
-    return joined.filter(test(ga, gb)).select("a.*", "b.*")
+    left, right = _formed(left.alias("a"), ga), _formed(right.alias("b"), gb)
+    decision = _by_boxes(F.lit(True), test, ga, gb)
+    joined = _boxes_meet(left, right, ga["bbox"], gb["bbox"], grid.cells_fit_broadcast(right, gb),
+                         decision if extra is None else extra & decision)
+    return joined.select("a.*", "b.*")
 
 
 def _boxes_meet(left: DataFrame, right: DataFrame, box_left: Column, box_right: Column, small: bool,
-                extra: Column | None = None) -> DataFrame:
-    """Rows of ``left`` and ``right`` whose boxes meet, each pair once."""
+                extra: Column | None = None, how: str = "inner") -> DataFrame:
+    """Rows of ``left`` and ``right`` whose boxes meet, each pair once; a semi-join takes any cell they share."""
     cells_a = grid.cover_levels(left, box_left, grid.levels_in_use(right, box_right))
     cells_b = grid.cover_levels(right, box_right, grid.levels_in_use(left, box_left))
     cells_b = cells_b.withColumnRenamed("_own", "_own_b")
     box_a, box_b, level = grid.box_of(), grid.box_of("_b_"), F.col("_level")
-    once = (
-        (level == F.greatest("_own", "_own_b"))
-        & (grid.cell_at(F.greatest(box_a["xmin"], box_b["xmin"]), level) == F.col("_cx"))
-        & (grid.cell_at(F.greatest(box_a["ymin"], box_b["ymin"]), level) == F.col("_cy"))
-    )
-    condition = once & _box_meets(box_a, box_b)
+    condition = _box_meets(box_a, box_b)
+    if how == "inner":
+        condition = condition & (level == F.greatest("_own", "_own_b")) & (
+            grid.cell_at(F.greatest(box_a["xmin"], box_b["xmin"]), level) == F.col("_cx")) & (
+            grid.cell_at(F.greatest(box_a["ymin"], box_b["ymin"]), level) == F.col("_cy"))
     if extra is not None:
         condition = condition & extra
-    return _cell_join(cells_a, cells_b, condition, small)
+    return _cell_join(cells_a, cells_b, condition, small, how=how)
 
 
 def _select(pairs: DataFrame, columns: Iterable[str | Column] | None) -> DataFrame:
@@ -208,7 +245,7 @@ def _keep_where_exists(df: DataFrame, geom: str, probe: tuple[DataFrame, list[in
 
 
 def _keep_geometries(df: DataFrame, geom: str, matched: DataFrame) -> DataFrame:
-    """Rows whose geometry is among the matched ones (each of which occurs once)."""
+    """Rows whose geometry is among the matched ones, ``a.g``."""
     found = matched.select(F.col("a.g").alias("_g")).distinct()
     return df.join(found, F.col(geom) == F.col("_g"), "left_semi")
 
@@ -230,9 +267,14 @@ def contains_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
     probe = _probe_cells(small, F.col("_ref")["bbox"]) if grid.fits_broadcast(small) else None
     if probe:
         return _keep_where_exists(df, geom, probe, test)
-    pairs = covered_pairs(
-        _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
-    return _keep_geometries(df, geom, pairs)
+    a, b, ga, gb = _two_sides(df, geom, ref, ref_geom)
+    return _keep_geometries(df, geom, _covered(a, b, ga, gb, _holds(test, ga, gb), how="left_semi"))
+
+
+def _two_sides(df: DataFrame, geom: str, ref: DataFrame, ref_geom: str):
+    """Both sides' distinct geometries as ``a.g`` and ``b.g``, and these columns."""
+    return (_geometries(df, geom, "g").alias("a"), _geometries(ref, ref_geom, "g").alias("b"),
+            F.col("a.g"), F.col("b.g"))
 
 
 def intersects_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
@@ -251,9 +293,13 @@ def intersects_ref(df: DataFrame, ref: DataFrame, geom: str = "geometry",
     probe = _probe_cells(small, F.col("_ref")["bbox"]) if points and grid.fits_broadcast(small) else None
     if probe:
         return _keep_where_exists(df, geom, probe, test)
-    pairs = meeting_pairs(
-        _geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"), "g", "g", test)
-    return _keep_geometries(df, geom, pairs)
+    a, b, ga, gb = _two_sides(df, geom, ref, ref_geom)
+    decision = _by_boxes(F.lit(True), test, ga, gb)
+    if points:
+        return _keep_geometries(df, geom, _covered(a, b, ga, gb, decision, how="left_semi"))
+    met = _boxes_meet(_formed(a, ga), _formed(b, gb), ga["bbox"], gb["bbox"], grid.cells_fit_broadcast(b, gb),
+                      decision, "left_semi")
+    return _keep_geometries(df, geom, met)
 
 
 def _points_or_any(df: DataFrame, geom: str, points: bool) -> tuple[DataFrame, str | None]:
@@ -295,28 +341,41 @@ def dwithin_pairs(left: DataFrame, right: DataFrame, distance: float,
     check_distance(distance, unit, model)
     ga, gb = F.col(f"a.{left_geom}"), F.col(f"b.{right_geom}")
     left, kind = _points_or_any(left, left_geom, points)
-    left, right = left.alias("a"), right.alias("b")
-    small = grid.fits_broadcast(right)
+    test = within_distance_test(unit, distance, model, kind)
+    joined = _within_reach(left.alias("a"), right.alias("b"), ga, gb, distance, unit, points,
+                           _planar(distance, test, ga, gb) if unit == "srid" else None)
+    if unit == "m":
+        if model == "spheroid":
+            # the cheap sphere distance decides most pairs before the numpy kernel runs
+            joined = joined.filter(sphere_distance(ga, gb, kind) <= distance * (1 + SPHERE_SLACK))
+        joined = joined.filter(test(ga, gb))
+    return joined.select("a.*", "b.*").drop("_boxes", "_nth", "_reach")
+
+
+def _planar(distance: float, test: Test, ga: Column, gb: Column) -> Column:
+    """Whether a pair is within a distance in SRID units; boxes decide for points and rectangles."""
+    return _by_boxes(box_gap(ga["bbox"], gb["bbox"]) <= distance, test, ga, gb)
+
+
+def _within_reach(left: DataFrame, right: DataFrame, ga: Column, gb: Column, distance: float, unit: str,
+                  points: bool, decision: Column | None = None, how: str = "inner") -> DataFrame:
+    """Rows ``a`` and ``b`` whose boxes are within a distance and for which ``decision`` holds, each pair once."""
+    small = grid.cells_fit_broadcast(right, gb)
+    left, right = _formed(left, ga), _formed(right, gb)
     if points:
         near = right.select("*", F.explode(reach(gb, distance, unit)).alias("_reach"))
-        looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(near, F.col("_reach")))
-        covered = grid.cover(near, F.col("_reach")).drop("_reach")
+        looked_up = grid.look_up(left, ga["bbox"], grid.levels_in_use(near, F.col("_reach"), grid.FINER))
+        covered = grid.cover(near, F.col("_reach"), finer=grid.FINER).drop("_reach")
         boxes = _box_covers(grid.box_of("_b_"), grid.box_of())
-        joined = _cell_join(looked_up, covered, boxes, small)
-    else:
-        own = geodesic_box(ga) if unit == "m" else ga["bbox"]
-        near = right.withColumn("_boxes", reach(gb, distance, unit)).select(
-            "*", F.posexplode("_boxes").alias("_nth", "_reach"))
-        joined = _boxes_meet(left, near, own, F.col("_reach"), small)
+        return _cell_join(looked_up, covered, boxes if decision is None else boxes & decision, small, how=how)
+    own = geodesic_box(ga) if unit == "m" else ga["bbox"]
+    near = right.withColumn("_boxes", reach(gb, distance, unit)).select(
+        "*", F.posexplode("_boxes").alias("_nth", "_reach"))
+    if how == "inner":
         # of two boxes (across the antimeridian) the first that is met counts
-        joined = joined.filter((F.col("_nth") == 0) | ~_box_meets(own, F.col("_boxes")[0]))
-    if unit == "m" and model == "spheroid":
-        # the cheap sphere distance decides most pairs before the numpy kernel runs
-        joined = joined.filter(
-            sphere_distance(ga, gb, kind) <= distance * (1 + SPHERE_SLACK))
-    test = within_distance_test(unit, distance, model, kind)
-    out = joined.filter(test(ga, gb)).select("a.*", "b.*")
-    return out.drop("_boxes", "_nth", "_reach")
+        first = (F.col("_nth") == 0) | ~_box_meets(own, F.col("_boxes")[0])
+        decision = first if decision is None else first & decision
+    return _boxes_meet(left, near, own, F.col("_reach"), small, decision, how)
 
 
 def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geometry",
@@ -331,9 +390,18 @@ def dwithin_ref(df: DataFrame, ref: DataFrame, distance: float, geom: str = "geo
     if probe:
         test = within_distance_test(unit, distance, model, POINT)
         return _keep_where_exists(_checked_points(df, geom), geom, probe, test)
-    pairs = dwithin_pairs(_geometries(df, geom, "g"), _geometries(ref, ref_geom, "g"),
-                          distance, "g", "g", unit, model, points)
-    return _keep_geometries(df, geom, pairs)
+    df, kind = _points_or_any(df, geom, points)
+    a, b, ga, gb = _two_sides(df, geom, ref, ref_geom)
+    if unit == "m" and model == "spheroid":
+        # a semi-join takes no Python function: the sphere decides what is near enough on any model
+        sure = sphere_distance(ga, gb, kind) * (1 + SPHERE_SLACK) <= distance
+        met = _within_reach(a, b, ga, gb, distance, unit, points, sure, "left_semi").select("a.g").distinct()
+        rest = _geometries(df, geom, "g").join(met.withColumnRenamed("g", "_met"), F.col("g") == F.col("_met"), "left_anti")
+        pairs = dwithin_pairs(rest, _geometries(ref, ref_geom, "g"), distance, "g", "g", unit, model, points)
+        return _keep_geometries(df, geom, met.union(pairs.select("a.g")).alias("a"))
+    test = within_distance_test(unit, distance, model, kind)
+    decision = _planar(distance, test, ga, gb) if unit == "srid" else test(ga, gb)
+    return _keep_geometries(df, geom, _within_reach(a, b, ga, gb, distance, unit, points, decision, "left_semi"))
 
 
 def check_distance(distance: float, unit: str, model: str) -> None:
