@@ -45,7 +45,7 @@ from tidemark.functions.geotext import (
     st_from_geojson,
     st_from_wkt,
 )
-from tidemark.operators import filters, spatial, spatial_join
+from tidemark.operators import filters, grid, spatial, spatial_join
 from tidemark.operators.spatial import settle
 from tidemark.sources import geotables
 
@@ -411,7 +411,7 @@ SELECT c_custkey, round(thick * (2 * arm + thick) + 4 * (arm + thick) * d
 def geo_buffer_concave(spark, sf_dir):
     """Area of a planar buffer around L-shapes, with a radius per row."""
     radius = (F.col("c_custkey") % 4 + 1).cast("double") * 0.5
-    placed = settle(corners(spark, sf_dir).select("c_custkey", "geometry"), "geometry")
+    placed = settle(grid.dealt(corners(spark, sf_dir).select("c_custkey", "geometry")), "geometry")
     wide = settle(placed.select("c_custkey", shape_buffer(F.col("geometry"), radius).alias("wide")), "wide")
     return wide.select("c_custkey", F.round(st_area(F.col("wide")), 6).alias("area"))
 

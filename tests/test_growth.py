@@ -47,6 +47,18 @@ def test_boxes_share_a_box(spark):
     assert tuple(row) == (True, False, False, 2.0)
 
 
+def test_equal_shapes_are_united_once(monkeypatch):
+    made, around = [], buffers._around
+    monkeypatch.setattr(buffers, "_around", lambda *key: made.append(1) or around(*key))
+    seen = {}
+    for k in range(30):
+        x, y = k * 0.1 - 180, k * 0.3 - 85
+        ring = [(x, y), (x + 3, y), (x + 3, y + 1), (x + 1, y + 1), (x + 1, y + 3), (x, y + 3), (x, y)]
+        parts = buffers.buffer_parts("POLYGON", [[ring]], 0.5, seen)
+        assert min(v[0] for v in parts[0][0]) == pytest.approx(x - 0.5, abs=1e-9)
+    assert len(made) == 1
+
+
 def test_small_files_are_dealt_to_all_tasks(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert grid.dealt(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == width
