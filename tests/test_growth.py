@@ -59,6 +59,13 @@ def test_equal_shapes_are_united_once(monkeypatch):
     assert len(made) == 1
 
 
+def test_points_need_no_edge_pairs(spark):
+    a, b = st_point(F.lit(10.0), F.lit(12.0)), st_point(F.lit(11.0), F.lit(13.0))
+    near = spark.range(1).select(geodesic.distance_m(a, b, "spheroid", "POINT", "POINT").alias("d"))
+    assert "_edge_distance_udf" not in plan_of(near)
+    assert near.first()["d"] == pytest.approx(float(geodesic.inverse([10.0], [12.0], [11.0], [13.0])[0][0]))
+
+
 def test_small_files_are_dealt_to_all_tasks(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert grid.dealt(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == width

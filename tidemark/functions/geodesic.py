@@ -509,6 +509,15 @@ def _edge_distance_udf(edges_a: pa.Array, edges_b: pa.Array) -> pa.Array:
     return pa.array(out, mask=np.isnan(out))
 
 
+@F.arrow_udf(T.DoubleType())
+def _point_distance_udf(lon1: pa.Array, lat1: pa.Array, lon2: pa.Array, lat2: pa.Array) -> pa.Array:
+    ends = [np.asarray(c.fill_null(float("nan")), float) for c in (lon1, lat1, lon2, lat2)]
+    out = np.full(len(ends[0]), np.nan)
+    for at in range(0, len(out), _PAIRS_AT_ONCE):
+        out[at:at + _PAIRS_AT_ONCE], _ = inverse(*(e[at:at + _PAIRS_AT_ONCE] for e in ends))
+    return pa.array(out, mask=np.isnan(out))
+
+
 def _runs(group: np.ndarray):
     """Start and stop of each run of equal values."""
     if not len(group):
@@ -560,9 +569,10 @@ def _flat_edges(segs: Column) -> Column:
 def spheroid_distance(a: Column, b: Column, ka: str | None = None,
                       kb: str | None = None) -> Column:
     """Metres on the spheroid between the points that are closest on the sphere."""
-    apart = _edge_distance_udf(_flat_edges(segments(a)), _flat_edges(segments(b)))
     if both(of_kind(a, ka, POINT), of_kind(b, kb, POINT)) is True:
-        return _metres(apart, a, b)
+        va, vb = first_vertex(a), first_vertex(b)
+        return _metres(_point_distance_udf(va["x"], va["y"], vb["x"], vb["y"]), a, b)
+    apart = _edge_distance_udf(_flat_edges(segments(a)), _flat_edges(segments(b)))
     return _metres(F.when(_touching(a, b, ka, kb), F.lit(0.0)).otherwise(apart), a, b)
 
 

@@ -32,6 +32,7 @@ from tidemark.functions.geometry import (
 )
 from tidemark.functions.geotext import Shape, shape
 from tidemark.functions.projections import from_utm, st_transform, to_utm, utm_zone
+from tidemark.operators import grid
 from tidemark.operators.filters import structured_select
 from tidemark.operators.spatial_join import (
     reach,
@@ -231,7 +232,8 @@ def buffer(df: DataFrame, geom: str = "geometry", *, distance: float, unit: str
     and so have lines and several points at distance 0.
     """
     check_distance(distance, unit, "spheroid")
-    g, settled = F.col(geom), settle(df, geom)
+    # the kernels work long on few bytes
+    g, settled = F.col(geom), settle(grid.dealt(df), geom)
     if unit == "srid":
         out = settle(settled.withColumn("buffer", shape_buffer(g, distance)), "buffer")
         return _tail(out, ["buffer"], columns, where, order_by, limit)
