@@ -69,3 +69,15 @@ def test_points_need_no_edge_pairs(spark):
 def test_small_files_are_dealt_to_all_tasks(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert grid.dealt(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == width
+
+
+def test_a_stream_has_as_many_batches_whatever_its_files(spark, tmp_path):
+    from suite import streams
+
+    events = spark.range(40, numPartitions=4).select(F.col("id").alias("event_id"), F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    _, stream = streams._as_files(spark, str(tmp_path), str(tmp_path / "out"))
+    seen = []
+    stream.writeStream.foreachBatch(lambda batch, k: seen.append(batch.count())).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) <= 3 and sum(seen) == 40
