@@ -81,3 +81,15 @@ def test_a_stream_has_as_many_batches_whatever_its_files(spark, tmp_path):
     stream.writeStream.foreachBatch(lambda batch, k: seen.append(batch.count())).option(
         "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     assert len(seen) <= 3 and sum(seen) == 40
+
+
+def test_new_partitions_are_added_by_the_hundred(spark, tmp_path, monkeypatch):
+    table = ChunkedTable(spark, f"growth_{uuid.uuid4().hex[:8]}", "ts", "1 day", ("user", {"chunk_interval": 1}))
+    rows = spark.range(20).select("id", F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.col("id").alias("user"))
+    table.create(rows, str(tmp_path / "t"), migrate_data=True)
+    said, run = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or run(text, *a, **k))
+    table.upsert(rows.withColumn("user", F.col("user") + 100), ["id", "ts"])
+    assert sum("ADD IF NOT EXISTS" in s for s in said) == 1
+    monkeypatch.undo()
+    assert sorted(r["user"] for r in table.read().collect()) == list(range(100, 120))

@@ -105,6 +105,7 @@ class ChunkedTable(PartitionedTable):
         self.width = interval(chunk_interval)
         # (column, arguments of :func:`dimension`) of a second partition column
         self.dimension_of = dimension_of
+        self._kind = None
 
     # --- creating and filling -----------------------------------------------------
 
@@ -115,6 +116,7 @@ class ChunkedTable(PartitionedTable):
             if if_not_exists:
                 return self
             raise ValueError(f"table already exists: {self.name}")
+        self._kind = None
         placed = self._place(like)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
         self.spark.sql(
@@ -178,7 +180,9 @@ class ChunkedTable(PartitionedTable):
         return [(r[CHUNK], r["partition"]) for r in found]
 
     def _chunk_type(self) -> T.DataType:
-        return self.spark.table(quoted(self.name)).schema[CHUNK].dataType
+        if self._kind is None:  # asked for every partition
+            self._kind = self.spark.table(quoted(self.name)).schema[CHUNK].dataType
+        return self._kind
 
     def _spec(self, path: str) -> str:
         """Full partition spec of a catalog entry such as ``chunk_start=…/dim_bucket=3``."""

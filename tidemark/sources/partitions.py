@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,16 @@ SPECS_PER_STATEMENT = 500
 VERSIONS = "_versions"
 
 
+# Statements and file operations under way at once; each concerns one partition and is mostly waiting.
+AT_ONCE = 16
+
+
+def _each(do: Callable, items: Iterable) -> list:
+    """``do`` of every item, several at once; the first failure is raised."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(do, items))
+
+
 class PartitionedTable:
     """A catalog table with partitions of its own folders; ``name`` is the table's."""
 
@@ -38,14 +49,16 @@ class PartitionedTable:
 
     def _forget(self, paths: list[str]) -> None:
         location = location_of(self.spark, self.name)
-        folders = [self._folder(path) for path in paths]
+        folders = _each(self._folder, paths)
         for at in range(0, len(paths), SPECS_PER_STATEMENT):
             specs = ", ".join(self._spec(p) for p in paths[at:at + SPECS_PER_STATEMENT])
             self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP IF EXISTS {specs}")
         # the default folder too: an insert would find what an interrupted rewrite left there
-        for folder in {*folders, *(f"{location}/{path}" for path in paths)}:
-            files, at = files_at(self.spark, folder)
-            files.delete(at, True)
+        _each(self._delete, {*folders, *(f"{location}/{path}" for path in paths)})
+
+    def _delete(self, folder: str) -> None:
+        files, at = files_at(self.spark, folder)
+        files.delete(at, True)
 
     def replace(self, df: DataFrame, paths: Iterable[str]) -> None:
         """Put the rows of ``df`` in the place of the listed partitions.
@@ -78,14 +91,16 @@ class PartitionedTable:
     def swap(self, fresh: str, written: Iterable[str], paths: Iterable[str]) -> None:
         """Point the catalog at staged partitions and drop the listed ones that have none."""
         known = set(paths)
-        old = [self._folder(path) for path in known]
-        for path in written:
-            statement = "SET LOCATION" if path in known else "LOCATION"
-            verb = "" if path in known else "ADD IF NOT EXISTS "
-            self.spark.sql(f"ALTER TABLE {quoted(self.name)} {verb}{self._spec(path)} "
-                           f"{statement} '{fresh}/{path.replace(chr(39), '')}'")
+        old = _each(self._folder, known)
+
+        def at(path):
+            return f"'{fresh}/{path.replace(chr(39), '')}'"
+
+        moved, added = [p for p in written if p in known], [p for p in written if p not in known]
+        _each(lambda p: self.spark.sql(f"ALTER TABLE {quoted(self.name)} {self._spec(p)} SET LOCATION {at(p)}"), moved)
+        for start in range(0, len(added), SPECS_PER_STATEMENT):
+            specs = " ".join(f"{self._spec(p)} LOCATION {at(p)}" for p in added[start:start + SPECS_PER_STATEMENT])
+            self.spark.sql(f"ALTER TABLE {quoted(self.name)} ADD IF NOT EXISTS {specs}")
         self._forget([path for path in known if path not in written])
-        for folder in old:
-            where, at = files_at(self.spark, folder)
-            where.delete(at, True)
+        _each(self._delete, old)
         self.spark.catalog.refreshTable(self.name)
