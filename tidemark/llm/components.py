@@ -2,12 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch
 
 
+DRAWN = 3  # rows of a key that the others of it meet once more
+
+
+def labelled(marks: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
+    """``marks`` with the label of each id's component, its own id if it is in none."""
+    return marks.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", *columns, F.coalesce("label", "id").alias("label"))
+
+
+def still_apart(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows ``key, id`` of the keys whose ids are not in one component."""
+    labels = shared.select("key", "id").join(known.select("id", "label"), "id")
+    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
+    return shared.select("key", "id").join(split.select("key"), "key", "left_semi")
+
+
+def drawn_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of every row ``key, id, label`` and a few of its key, drawn by hash, of other components."""
+    drawn = rows.groupBy("key").agg(F.array(*[F.min_by(
+        F.struct("id", "label"), F.xxhash64(F.lit(i), "key", "id")) for i in range(DRAWN)]).alias("drawn"))
+    met = rows.join(drawn, "key").select("id", "label", F.explode("drawn").alias("p")).filter("label <> p.label")
+    return met.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+
+
+def pairs_across(rows: DataFrame, near: Column) -> DataFrame:
+    """All pairs ``a, b`` of rows of one key and two components that pass ``near`` (of ``x`` and ``y``).
+
+    Only the rows outside a key's largest component are paired with the others, so a large group in which
+    few rows stand apart takes a few times its size, not its square.
+    """
+    counts = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    major = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("major"))
+    marked = rows.join(major, "key").withColumn("minor", F.col("label") != F.col("major")).drop("major")
+    x, y = marked.filter("minor").alias("x"), marked.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (
+        ~F.col("y.minor") | (F.col("x.id") < F.col("y.id"))) & near
+    return x.join(y, on).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def _least_neighbour(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 

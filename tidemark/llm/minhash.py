@@ -15,9 +15,11 @@ and the number of its pattern.
 Equal sets are one class first, so copies are never compared.  A third of all documents may be near
 copies of each other and share keys, so not all pairs of a key are made: first every class of a key
 is compared with the key's smallest and largest class; pairs within D are confirmed on the whole sets
-and linked to components.  Then classes of a key that are still in different components meet, in a
-join that emits only pairs within D whose sets' parity bitmaps differ in no more places than linked
-sets can (an exact filter: hundreds of variants just below the threshold may share their keys).
+and linked to components.  Where a key's classes are still apart, they meet a few more that are drawn by
+hash.  Then classes of a key in different components meet, those outside its largest one with all others, in a
+join that emits only pairs whose sets' folded parity bitmaps differ in no more places than linked
+sets can (an exact filter: hundreds of variants just below the threshold may share their keys); of those
+the whole bitmaps and the distance are compared.
 A link inside a component could not change it.
 """
 
@@ -32,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
-from tidemark.llm.components import connected
+from tidemark.llm.components import connected, drawn_pairs, labelled, pairs_across, still_apart
 from tidemark.llm.scratch import Scratch, small_batches
-from tidemark.llm.shingles import alike, bitmap, slice_sets, verified
+from tidemark.llm.shingles import FOLDS, alike, bitmap, folds, folds_alike, slice_sets, verified
 
 CHUNK = 4         # values of a chunk
 MISS = 1e-9       # of pairs right at the threshold
@@ -150,6 +152,12 @@ def _near(values: int, distance: int, percent: int):
     return alike(percent) & (differ <= distance)
 
 
+def _near_pairs(pairs: DataFrame, marks: DataFrame, values: int, distance: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` within the distance."""
+    return pairs.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(
+        marks.alias("y"), F.col("b") == F.col("y.id")).filter(_near(values, distance, percent)).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per document row: the id, ``n_shingles`` and ``component_id``.
@@ -178,29 +186,28 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
         shared.select(F.col("id").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct()
     marks = open_.join(shared.select("id").distinct(), "id", "left_semi")
-    marks = held.written(marks.select("id", "size", "signature", "bitmap"), "marks")
-    near = pivots.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(
-        marks.alias("y"), F.col("b") == F.col("y.id")).filter(_near(values, distance, percent)).select("a", "b")
+    marks = held.written(marks.select("id", "size", "signature", "bitmap", *folds()), "marks")
+    near = _near_pairs(pivots, marks, values, distance, percent)
     links = verified(near, given, n, percent, "links", held)
-    parts = connected(links)
-    # what shares a key and is not in one component yet
-    known = marks.join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", "size", "signature", "bitmap", F.coalesce("label", "id").alias("label"))
-    labels = shared.select("key", "id").join(known.select("id", "label"), "id")
-    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    rest = held.written(shared.select("key", "id").join(split.select("key"), "key", "left_semi"), "open")
+    # what shares a key and is not in one component yet: to a few drawn classes of each key, then all others
+    columns = ("size", *FOLDS)
+    known = labelled(marks, connected(links), *columns)
+    open_ = held.written(still_apart(shared, known), "open")
     held.drop("shared")
-    rest = held.written(rest.join(known, "id"), "rest")
+    drawn = drawn_pairs(open_.join(known.select("id", "label"), "id"))
+    near = _near_pairs(drawn, marks, values, distance, percent)
+    links = links.union(verified(near, given, n, percent, "again", held))
+    known = labelled(marks, connected(links), *columns)
+    rest = held.written(still_apart(open_, known).join(known, "id"), "rest")
     held.drop("open")
-    more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
-                                & (F.col("x.label") != F.col("y.label")) & _near(values, distance, percent)) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    more = held.written(pairs_across(rest, folds_alike(percent)), "across")
+    more = _near_pairs(more, marks, values, distance, percent)
     more = verified(more, given, n, percent, "more", held)
-    held.drop("rest", "marks")
+    held.drop("rest", "across", "marks")
     found = connected(links.union(more)).select(F.col("node").alias("id"), "label")
     ids = held.written(classes.select("digest", "id").join(found, "id", "left").select(
         "digest", F.coalesce("label", "id").alias("component_id")), "components")
-    held.drop("classes", "links", "more")
+    held.drop("classes", "links", "again", "more")
     return rows.join(ids, "digest", "left").select(
         F.col("id").alias(doc_id), F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -17,8 +17,9 @@ of the set, so copies are never compared.  For the classes:
 Classes that share a key are candidates.  A third of all documents may be near copies of each other
 and share keys, so not all pairs of a key are made.  First every class of a key is compared with
 the key's smallest and largest class; links are verified on the whole sets and merged to components.
-Then only classes of a key that are not yet in one component are compared, after filters that no
-linked pair fails: sizes, and the bits of each set's parity bitmap, whose difference is at most the
+Where a key's classes are not yet in one component, they meet a few more that are drawn by hash.  Then only
+classes of a key in different components are compared, those outside its largest one with all others, after
+filters that no linked pair fails: sizes, and the bits of each set's parity bitmap, whose difference is at most the
 difference of the sets.  A link inside a component could not change it.
 """
 
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tidemark.llm import textkit
-from tidemark.llm.components import connected
+from tidemark.llm.components import connected, drawn_pairs, labelled, pairs_across, still_apart
 from tidemark.llm.scratch import Scratch, free, small_batches
-from tidemark.llm.shingles import COARSE, alike, bitmap, folded, slice_sets, verified
+from tidemark.llm.shingles import COARSE, FOLDS, alike, bitmap, folded, folds, folds_alike, slice_sets, verified
 
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
@@ -167,33 +168,31 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     shared = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
     shared = held.written(entries.join(shared, "key"), "shared")
     marks = held.written(reps.join(shared.select("id").distinct(), "id", "left_semi").select(
-        "id", "size", "bitmap", folded().alias("coarse")), "marks")
+        "id", "size", "bitmap", folded().alias("coarse"), *folds()), "marks")
     held.drop("reps")
     # to the smallest and the largest class of each key
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
         shared.select(F.col("id").alias("a"), F.col("high").alias("b"))).filter("a <> b").distinct()
     links = verified(_filtered(held.written(pivots, "pivots"), marks, percent, held), given, n, percent, "links", held)
     held.drop("pivots", "near")
-    parts = connected(links)
-    # what shares a key and is not in one component yet
-    known = marks.join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", "size", F.coalesce("label", "id").alias("label"), "coarse")
-    labels = shared.select("key", "id").join(known.select("id", "label"), "id")
-    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    open_ = held.written(shared.select("key", "id").join(split.select("key"), "key", "left_semi"), "open")
+    # what shares a key and is not in one component yet: to a few drawn classes of each key, then all others
+    known = labelled(marks, connected(links), "size", *FOLDS)
+    open_ = held.written(still_apart(shared, known), "open")
     held.drop("shared")
-    open_ = held.written(open_.join(known, "id"), "rest")
-    rest = open_.alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (
-        F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & alike(percent, "coarse", COARSE)) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    rest = held.written(rest, "pivots")
-    held.drop("open", "rest")
+    drawn = held.written(drawn_pairs(open_.join(known.select("id", "label"), "id")), "pivots")
+    links = links.union(verified(_filtered(drawn, marks, percent, held), given, n, percent, "again", held))
+    held.drop("pivots", "near")
+    known = labelled(marks, connected(links), "size", *FOLDS)
+    rest = held.written(still_apart(open_, known).join(known, "id"), "rest")
+    held.drop("open")
+    rest = held.written(pairs_across(rest, folds_alike(percent)), "pivots")
+    held.drop("rest")
     more = verified(_filtered(rest, marks, percent, held), given, n, percent, "more", held)
     held.drop("pivots", "near", "marks")
     found = connected(links.union(more)).select(F.col("node").alias("rep"), "label")
     ids = held.written(classes.join(found, "rep", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id")), "components")
-    held.drop("classes", "links", "more")
+    held.drop("classes", "links", "again", "more")
     return rows.join(ids, "digest", "left").select(
         F.col("id").alias(doc_id), F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -53,6 +53,22 @@ def folded():
     return F.array(*[word(i) for i in range(COARSE)])
 
 
+FOLDS = tuple(f"fold{i}" for i in range(COARSE))
+
+
+def folds() -> list:
+    """The folded bitmap as plain columns, for joins that compare very many pairs."""
+    return [folded()[i].alias(c) for i, c in enumerate(FOLDS)]
+
+
+def folds_alike(percent: int):
+    """As :func:`alike` of the plain columns: an expression short enough to be compiled to machine code."""
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in FOLDS), F.lit(0))
+    return (100 * small >= percent * large) & (
+        differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
+
+
 def alike(percent: int, column: str = "bitmap", words: int | None = None):
     """Filters on ``x`` and ``y`` (size and that bitmap) that no linked pair fails."""
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
