@@ -18,18 +18,32 @@ def labelled(marks: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
 
 
 def still_apart(shared: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows ``key, id`` of the keys whose ids are not in one component."""
+    """The rows ``key, id`` of the keys whose ids are not in one component, of keys with the same ids one.
+
+    Near copies share very many keys, and those of the same ids would all give the same pairs.
+    """
     labels = shared.select("key", "id").join(known.select("id", "label"), "id")
-    split = labels.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    return shared.select("key", "id").join(split.select("key"), "key", "left_semi")
+    # the ids as four sums of 32 bits of two hashes, which repeated ids and their order leave sound
+    sums = [F.sum(part).alias(f"_{i}{j}") for i in range(2) for h in [F.xxhash64(F.lit(i), "id")]
+            for j, part in enumerate((h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)))]
+    split = labels.groupBy("key").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("n"), *sums).filter("l <> h")
+    one = split.groupBy("n", "_00", "_01", "_10", "_11").agg(F.min("key").alias("key"))
+    return shared.select("key", "id").join(one.select("key"), "key", "left_semi")
 
 
-def drawn_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of every row ``key, id, label`` and a few of its key, drawn by hash, of other components."""
+def drawn_pairs(rows: DataFrame, near: Column | None = None) -> DataFrame:
+    """Pairs ``a, b`` of every row ``key, id, label`` and a few of its key, drawn by hash, of other components.
+
+    They pass ``near`` (of ``x`` and ``y``, with all columns of the rows).
+    """
+    whole = F.struct(*[c for c in rows.columns if c != "key"])
     drawn = rows.groupBy("key").agg(F.array(*[F.min_by(
-        F.struct("id", "label"), F.xxhash64(F.lit(i), "key", "id")) for i in range(DRAWN)]).alias("drawn"))
-    met = rows.join(drawn, "key").select("id", "label", F.explode("drawn").alias("p")).filter("label <> p.label")
-    return met.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+        whole, F.xxhash64(F.lit(i), "key", "id")) for i in range(DRAWN)]).alias("drawn"))
+    met = rows.join(drawn, "key").select(whole.alias("x"), F.explode("drawn").alias("y")).filter("x.label <> y.label")
+    if near is not None:
+        met = met.filter(near)
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def pairs_across(rows: DataFrame, near: Column) -> DataFrame:

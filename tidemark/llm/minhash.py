@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import textkit
 from tidemark.llm.components import connected, drawn_pairs, labelled, pairs_across, still_apart
 from tidemark.llm.scratch import Scratch, small_batches
-from tidemark.llm.shingles import FOLDS, alike, bitmap, folds, folds_alike, slice_sets, verified
+from tidemark.llm.shingles import FOLDS, bitmap, folds, folds_alike, maps_alike, slice_sets, verified
 
 CHUNK = 4         # values of a chunk
 MISS = 1e-9       # of pairs right at the threshold
@@ -149,7 +149,7 @@ def _near(values: int, distance: int, percent: int):
     differ = F.lit(0)
     for i in range(values):
         differ = differ + (F.substring("x.signature", 2 * i + 1, 2) != F.substring("y.signature", 2 * i + 1, 2)).cast("int")
-    return alike(percent) & (differ <= distance)
+    return folds_alike(percent) & (differ <= distance) & maps_alike(percent)
 
 
 def _near_pairs(pairs: DataFrame, marks: DataFrame, values: int, distance: int, percent: int) -> DataFrame:
@@ -194,13 +194,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     known = labelled(marks, connected(links), *columns)
     open_ = held.written(still_apart(shared, known), "open")
     held.drop("shared")
-    drawn = drawn_pairs(open_.join(known.select("id", "label"), "id"))
+    drawn = drawn_pairs(open_.join(known, "id"), folds_alike(percent))
     near = _near_pairs(drawn, marks, values, distance, percent)
     links = links.union(verified(near, given, n, percent, "again", held))
-    known = labelled(marks, connected(links), *columns)
+    known = labelled(marks, connected(links), *columns, "bitmap")
     rest = held.written(still_apart(open_, known).join(known, "id"), "rest")
     held.drop("open")
-    more = held.written(pairs_across(rest, folds_alike(percent)), "across")
+    more = held.written(pairs_across(rest, folds_alike(percent) & maps_alike(percent)), "across")
     more = _near_pairs(more, marks, values, distance, percent)
     more = verified(more, given, n, percent, "more", held)
     held.drop("rest", "across", "marks")

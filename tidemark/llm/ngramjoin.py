@@ -34,7 +34,7 @@ from pyspark.sql.types import IntegralType
 from tidemark.llm import textkit
 from tidemark.llm.components import connected, drawn_pairs, labelled, pairs_across, still_apart
 from tidemark.llm.scratch import Scratch, free, small_batches
-from tidemark.llm.shingles import COARSE, FOLDS, alike, bitmap, folded, folds, folds_alike, slice_sets, verified
+from tidemark.llm.shingles import FOLDS, bitmap, folds, folds_alike, maps_alike, slice_sets, verified
 
 SKETCH_BITS = 21
 SKETCH_PARTS = 64
@@ -168,7 +168,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     shared = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
     shared = held.written(entries.join(shared, "key"), "shared")
     marks = held.written(reps.join(shared.select("id").distinct(), "id", "left_semi").select(
-        "id", "size", "bitmap", folded().alias("coarse"), *folds()), "marks")
+        "id", "size", "bitmap", *folds()), "marks")
     held.drop("reps")
     # to the smallest and the largest class of each key
     pivots = shared.select(F.col("low").alias("a"), F.col("id").alias("b")).union(
@@ -179,16 +179,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     known = labelled(marks, connected(links), "size", *FOLDS)
     open_ = held.written(still_apart(shared, known), "open")
     held.drop("shared")
-    drawn = held.written(drawn_pairs(open_.join(known.select("id", "label"), "id")), "pivots")
+    drawn = held.written(drawn_pairs(open_.join(known, "id"), folds_alike(percent)), "pivots")
     links = links.union(verified(_filtered(drawn, marks, percent, held), given, n, percent, "again", held))
     held.drop("pivots", "near")
-    known = labelled(marks, connected(links), "size", *FOLDS)
+    known = labelled(marks, connected(links), "size", *FOLDS, "bitmap")
     rest = held.written(still_apart(open_, known).join(known, "id"), "rest")
-    held.drop("open")
-    rest = held.written(pairs_across(rest, folds_alike(percent)), "pivots")
+    held.drop("open", "marks")
+    more = verified(pairs_across(rest, folds_alike(percent) & maps_alike(percent)), given, n, percent, "more", held)
     held.drop("rest")
-    more = verified(_filtered(rest, marks, percent, held), given, n, percent, "more", held)
-    held.drop("pivots", "near", "marks")
     found = connected(links.union(more)).select(F.col("node").alias("rep"), "label")
     ids = held.written(classes.join(found, "rep", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id")), "components")
@@ -200,11 +198,11 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
 
 def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, held: Scratch) -> DataFrame:
     """Pairs that sizes and bitmaps do not rule out: the folded bitmaps first, whole ones of what they leave."""
-    for name, words in (("coarse", COARSE), ("bitmap", None)):
-        of = marks.select("id", "size", name)
+    for columns, near in ((FOLDS, folds_alike(percent)), (("bitmap",), maps_alike(percent))):
+        of = marks.select("id", "size", *columns)
         pairs = pairs.join(of.alias("x"), F.col("a") == F.col("x.id")).join(
-            of.alias("y"), F.col("b") == F.col("y.id")).filter(alike(percent, name, words)).select("a", "b")
-        if name == "coarse":
+            of.alias("y"), F.col("b") == F.col("y.id")).filter(near).select("a", "b")
+        if columns is FOLDS:
             pairs = held.written(pairs, "near")
     return pairs
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit
 from tidemark.llm.scratch import Scratch
 
-MAP_WORDS = 32   # 64 bit words of a set's bitmap
+MAP_WORDS = 16   # 64 bit words of a small set's bitmap; a larger set has twice as many, and so on
 COARSE = 8       # and of the folded one
 
 
@@ -36,46 +36,57 @@ def slice_sets(buf: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def bitmap(value: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles at each place."""
-    place = (textkit.mix(value ^ textkit.ODD) % np.uint64(64 * MAP_WORDS)).astype(np.int64)
-    odd = np.bincount(place, minlength=64 * MAP_WORDS) & 1
+    """Parity of the number of shingles at each place; a place for each shingle at least, else all would be even odds."""
+    bits = 64 * MAP_WORDS
+    while bits < len(value):
+        bits *= 2
+    place = (textkit.mix(value ^ textkit.ODD) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def folded():
-    """The parity bitmap of fewer places: words that fall together are added modulo 2."""
-    def word(i):
-        out = F.col("bitmap")[i]
-        for j in range(i + COARSE, MAP_WORDS, COARSE):
-            out = out.bitwiseXOR(F.col("bitmap")[j])
-        return out
-
-    return F.array(*[word(i) for i in range(COARSE)])
+def _added(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0).cast("long"), lambda total, w: total.bitwiseXOR(w))
 
 
 FOLDS = tuple(f"fold{i}" for i in range(COARSE))
 
 
-def folds() -> list:
-    """The folded bitmap as plain columns, for joins that compare very many pairs."""
-    return [folded()[i].alias(c) for i, c in enumerate(FOLDS)]
+def folds() -> list[Column]:
+    """The bitmap folded to few words, as plain columns for joins that compare very many pairs.
+
+    Words that fall together are added modulo 2.
+    """
+    def every(i: int) -> Column:
+        return F.filter(F.col("bitmap"), lambda _, at: at % COARSE == i)
+
+    return [_added(every(i)).alias(c) for i, c in enumerate(FOLDS)]
 
 
-def folds_alike(percent: int):
-    """As :func:`alike` of the plain columns: an expression short enough to be compiled to machine code."""
+def folds_alike(percent: int) -> Column:
+    """Filters on sizes and the plain columns of ``x`` and ``y`` that no linked pair fails, compiled to machine code."""
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
     differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in FOLDS), F.lit(0))
     return (100 * small >= percent * large) & (
         differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
 
 
-def alike(percent: int, column: str = "bitmap", words: int | None = None):
-    """Filters on ``x`` and ``y`` (size and that bitmap) that no linked pair fails."""
-    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    differ = sum((F.bit_count(F.col(f"x.{column}")[i].bitwiseXOR(F.col(f"y.{column}")[i])) for i in range(words or MAP_WORDS)),
-                 F.lit(0))
-    return (100 * small >= percent * large) & (
-        differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size")))
+def _differing(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
+
+
+def _halved(words: Column) -> Column:
+    half = (F.size(words) / 2).cast("int")
+    return F.transform(F.slice(words, F.lit(1), half), lambda w, at: w.bitwiseXOR(words[at + half]))
+
+
+def maps_alike(percent: int) -> Column:
+    """A filter on the whole bitmaps of ``x`` and ``y`` that no linked pair fails; the longer one is folded."""
+    x, y = F.col("x.bitmap"), F.col("y.bitmap")
+    differ = F.when(F.size(x) == F.size(y), _differing(x, y)).when(
+        F.size(x) == 2 * F.size(y), _differing(_halved(x), y)).when(
+        2 * F.size(x) == F.size(y), _differing(x, _halved(y))).otherwise(F.lit(0))
+    return differ * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size"))
 
 
 def whole_sets(given: DataFrame, n: int) -> DataFrame:
