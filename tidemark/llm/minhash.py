@@ -15,11 +15,11 @@ and the number of its pattern.
 Equal sets are one class first, so copies are never compared.  A third of all documents may be near
 copies of each other and share keys, so not all pairs of a key are made: first every class of a key
 is compared with the key's smallest and largest class; pairs within D are confirmed on the whole sets
-and linked to components.  Where a key's classes are still apart, they meet a few more that are drawn by
-hash.  Then classes of a key in different components meet, those outside its largest one with all others, in a
-join that emits only pairs whose sets' folded parity bitmaps differ in no more places than linked
-sets can (an exact filter: hundreds of variants just below the threshold may share their keys); of those
-the whole bitmaps and the distance are compared.
+and linked to components.  Of the keys whose classes are still apart, those with the same classes are one.  Their
+classes meet a few more that are drawn by hash.  Then classes of a key in different components meet, those
+outside its largest one with all others, in a join that emits only pairs whose sets' parity bitmaps, folded and
+whole, differ in no more places than linked sets can (an exact filter: hundreds of variants just below the
+threshold may share their keys); of those the distance is compared.
 A link inside a component could not change it.
 """
 

@@ -17,10 +17,12 @@ of the set, so copies are never compared.  For the classes:
 Classes that share a key are candidates.  A third of all documents may be near copies of each other
 and share keys, so not all pairs of a key are made.  First every class of a key is compared with
 the key's smallest and largest class; links are verified on the whole sets and merged to components.
-Where a key's classes are not yet in one component, they meet a few more that are drawn by hash.  Then only
-classes of a key in different components are compared, those outside its largest one with all others, after
-filters that no linked pair fails: sizes, and the bits of each set's parity bitmap, whose difference is at most the
-difference of the sets.  A link inside a component could not change it.
+Of the keys whose classes are not yet in one component, those with the same classes are one from there on.
+Their classes meet a few more that are drawn by hash.  Then only classes of a key in different components are
+compared, those outside its largest one with all others.  A pair leaves its key only if it passes filters that no
+linked pair fails: sizes, and the bits of each set's parity bitmap, whose difference is at most the difference of the
+sets.  The bitmap has a place for each shingle at least, so it tells large sets apart as well as small ones.  A link
+inside a component could not change it.
 """
 
 from __future__ import annotations
