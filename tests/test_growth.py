@@ -93,3 +93,37 @@ def test_new_partitions_are_added_by_the_hundred(spark, tmp_path, monkeypatch):
     assert sum("ADD IF NOT EXISTS" in s for s in said) == 1
     monkeypatch.undo()
     assert sorted(r["user"] for r in table.read().collect()) == list(range(100, 120))
+
+
+def test_moving_partitions_takes_as_many_statements_whatever_their_number(spark, tmp_path, monkeypatch):
+    def said(users):
+        at = tmp_path / str(users)
+        table = ChunkedTable(spark, f"growth_{uuid.uuid4().hex[:8]}", "ts", "1 day", ("user", {"chunk_interval": 1}))
+        rows = spark.range(users).select("id", F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
+                                         F.when(F.col("id") != 1, F.col("id")).alias("user"))
+        table.create(rows, str(at), migrate_data=True)
+        out, run = [], spark.sql
+        with monkeypatch.context() as held:
+            held.setattr(type(spark), "sql", lambda self, text, *a, **k: out.append(text) or run(text, *a, **k))
+            # the row without a user moves to the last one's partition, all others are rewritten in place
+            table.upsert(rows.withColumn("user", F.coalesce("user", F.lit(users - 1))), ["id", "ts"])
+        assert sorted(tuple(r) for r in table.read().select("id", "user").collect()) == [
+            (k, users - 1 if k == 1 else k) for k in range(users)]
+        assert len(table.chunks()) == users - 1
+        # the files that were replaced are gone, and so is the table beside
+        assert len([p for p in at.rglob("*.parquet")]) == users - 1
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{table.name}_")]
+        return len(out)
+
+    assert said(4) == said(40)
+
+
+def test_an_upsert_reads_many_small_files_in_a_task(spark, tmp_path):
+    table = ChunkedTable(spark, f"growth_{uuid.uuid4().hex[:8]}", "ts", "1 day", ("user", {"chunk_interval": 1}))
+    rows = spark.range(2000).select("id", F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.col("id").alias("user"))
+    table.create(rows, str(tmp_path / "t"), migrate_data=True)
+    found = table._table().filter("chunk_start > timestamp_ntz '2023-01-01'")
+    assert found.rdd.getNumPartitions() > 50
+    assert table._gathered(found).rdd.getNumPartitions() <= 4 * table._cores()
+    listed = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert int(listed) <= 8 * table._cores()

@@ -24,6 +24,7 @@ from tidemark.functions.timebucket import (
 )
 from tidemark.operators import rows, timeseries
 from tidemark.operators._columns import names, spread
+from tidemark.session import estimated_bytes
 from tidemark.sources.partitions import SPECS_PER_STATEMENT, PartitionedTable
 from tidemark.sources.tables import Watch, files_at, quoted
 
@@ -31,6 +32,8 @@ CHUNK = "chunk_start"
 DIMENSION = "dim_bucket"
 # Empty file in the folder of a compacted partition; its name ends with the number of files.
 COMPACTED = "_compacted-"
+# Bytes that a task of an upsert reads: Spark counts 4 MB for every file, and a chunk's files are small.
+READ_BYTES = 32 << 20
 # What Spark writes for a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -155,10 +158,24 @@ class ChunkedTable(PartitionedTable):
 
     def read(self, start: dt.datetime | None = None, finish: dt.datetime | None = None) -> DataFrame:
         """Rows of the half-open range; only the chunks it touches are opened."""
-        table = self.spark.table(quoted(self.name))
+        table = self._table()
         ranged = timeseries.time_range(table, self.time, start, finish, (CHUNK, self.width))
         return ranged.drop(CHUNK, DIMENSION)
 
+    def _table(self) -> DataFrame:
+        """All columns.  Folders are listed by some tasks a core, where Spark starts one for every two of 20 000 folders."""
+        conf, key = self.spark.conf, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        if conf.get(key) == "10000":
+            conf.set(key, str(8 * self._cores()))
+        return self.spark.table(quoted(self.name))
+
+    def _cores(self) -> int:
+        return max(2, self.spark.sparkContext.defaultParallelism)
+
+    def _gathered(self, df: DataFrame) -> DataFrame:
+        """A scan in tasks of many small files: each task of a shuffle opens a file per partition it deals to."""
+        return df.coalesce(min(max(4 * self._cores(), estimated_bytes(df) // READ_BYTES), 2 ** 31 - 1))
+
     def show_chunks(self, older_than=None, newer_than=None, now: dt.datetime | None = None) -> DataFrame:
         """Chunks with their range, oldest first."""
         return show_chunks(self.spark.table(quoted(self.name)), self.time, self.width,
@@ -216,18 +233,18 @@ class ChunkedTable(PartitionedTable):
         """
         if not chunks:
             return
-        self._forget([path for _, path in chunks])
+        self._forget([path for _, path in chunks], self._folders())
         self.spark.catalog.refreshTable(self.name)
 
     def replace(self, df: DataFrame, paths: Iterable[str], mark_compacted: bool = False) -> None:
         """As for all tables of partitions; ``mark_compacted`` notes what compaction wrote."""
-        fresh, written = self.stage(df)
+        staged = self.stage(df)
         if mark_compacted:
-            files, _ = files_at(self.spark, fresh)
-            for at in written.values():
+            for path in staged.written:
+                files, at = files_at(self.spark, staged.at(path))
                 count = sum(_is_data(s) for s in files.listStatus(at))
                 files.create(_child(self.spark, at, f"{COMPACTED}{count}"), True).close()
-        self.swap(fresh, written, paths)
+        self.swap(staged, paths)
 
     def is_compacted(self, path: str) -> bool:
         """Whether a partition is as the last compaction left it."""
@@ -277,10 +294,10 @@ class ChunkedTable(PartitionedTable):
         starts = {r[0] for r in placed.select(F.col(CHUNK).cast(kind)).distinct().collect()}
         if not starts:
             return 0
-        table = self.spark.table(quoted(self.name))
+        table = self._table()
         # literal bounds prune the scan, whatever the size of the batch
         ranged = table.filter(F.col(CHUNK).between(time_literal(min(starts), kind), time_literal(max(starts), kind)))
-        touched = ranged.filter(F.col(CHUNK).isin([time_literal(s, kind) for s in starts])) \
+        touched = self._gathered(ranged.filter(F.col(CHUNK).isin([time_literal(s, kind) for s in starts]))) \
             if len(starts) <= SPECS_PER_STATEMENT else ranged.join(placed.select(CHUNK).distinct(), CHUNK, "left_semi")
         paths = [path for start, path in self.chunks(None, min(starts)) if start in starts]
         merged = rows.upsert(touched.select(*table.columns), placed, keys, mark="_changed", **options)

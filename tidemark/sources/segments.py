@@ -18,7 +18,7 @@ from tidemark.operators import rows
 from tidemark.operators._columns import names, require_columns
 from tidemark.operators.filters import literal
 from tidemark.sources.partitions import PartitionedTable
-from tidemark.sources.tables import Watch, files_at, quoted
+from tidemark.sources.tables import Watch, quoted
 
 SEGMENT = "key_segment"
 # Segments are catalog partitions, and lists of them reach the driver.
@@ -183,13 +183,12 @@ class KeyedTable(PartitionedTable):
         """Stage the watched rows and swap them in; returns the measures."""
         listed = {r["partition"] for r in self._partitions().collect()}
         wanted = None if touched is None else {f"{SEGMENT}={n}" for n in touched}
-        fresh, written = self.stage(watch.df.select(*self._table.columns))
-        if wanted is not None and not set(written) <= wanted:
-            files, at = files_at(self.spark, fresh)
-            files.delete(at, True)
+        staged = self.stage(watch.df.select(*self._table.columns))
+        if wanted is not None and not set(staged.written) <= wanted:
+            self.discard(staged)
             raise RuntimeError("the batch gave other keys when it was read again; nothing was changed")
         measures = watch.get()
-        self.swap(fresh, written, listed if wanted is None else listed & wanted)
+        self.swap(staged, listed if wanted is None else listed & wanted)
         return measures
 
     def _partition_columns(self, df: DataFrame) -> list[str]:
