@@ -144,3 +144,48 @@ def test_given_documents(sf_docs):
     assert got == {i: brute(t) for i, t in table_of(sf_docs.select("doc_id", "text"))}
     again = secretscan.scan(sf_docs).collect()
     assert sorted(map(repr, again)) == sorted(map(repr, secretscan.scan(sf_docs.repartition(3)).collect()))
+
+
+def test_findings_beyond_the_first_thousands_count(spark, monkeypatch):
+    """Findings that look like ordinary numbers, all of them behind 3 000 others in the order of the hash."""
+    rng = random.Random(31)
+    digits = lambda k: "".join(rng.choice(string.digits) for _ in range(k))
+
+    def table(rows):
+        return secretscan.findings(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+
+    draw = F.xxhash64(F.lit(5), F.col("c.window"))
+    usual = [f"password={digits(18)}" for _ in range(3400)]
+    mark = table(usual).selectExpr("explode(candidates) AS c").select(draw.alias("d")).orderBy("d").collect()[3050]["d"]
+    odd = [f"number {digits(30)}" for _ in range(2500)]
+    late = {r["id"] for r in table(odd).selectExpr("id", "explode(candidates) AS c").filter(draw > mark).collect()}
+    rows = usual + [t for i, t in enumerate(odd) if i in late] + [f"number {digits(18)}" for _ in range(400)]
+    assert len(late) > 100
+    found = table(rows).cache()
+    known = found.selectExpr("explode(candidates) AS c").select("c.window", "c.known").distinct().filter("known")
+    windows = [bytes(r["window"]) for r in known.orderBy(F.xxhash64(F.lit(5), "window"), "window").collect()]
+    apart = np.random.default_rng(5).random(len(windows)) < 0.25
+
+    def unseen():
+        net = secretscan.fit(found, epochs=3)
+        p = net.probability([w for w, h in zip(windows, apart) if h])
+        return (p >= net.threshold - 1e-12).mean()
+
+    assert unseen() >= 0.995
+    # and in classes that learn apart
+    monkeypatch.setattr(secretscan, "CLASS_ROWS", 1500)
+    assert unseen() >= 0.995
+
+
+def test_classes_learn_from_every_candidate_once(spark, monkeypatch):
+    rng = random.Random(32)
+    found = secretscan.findings(spark.createDataFrame(sample(rng, 900), "doc_id long, text string")).cache()
+    total = found.selectExpr("explode(candidates) AS c").select("c.window", "c.known").distinct().count()
+    ranked, n, size = secretscan._ranked(found.repartition(7), 5, secretscan.Scratch(spark))
+    ranks = sorted((r["rank"], not r["known"]) for r in ranked.collect())
+    assert [r for r, _ in ranks] == list(range(total)) and n == total and size > 0
+    assert [k for _, k in ranks] == sorted(k for _, k in ranks)
+    assert list(secretscan._held(5, range(2, 100, 3))) == list(np.random.default_rng(5).random(100)[2::3] < 0.25)
+    monkeypatch.setattr(secretscan, "CLASS_ROWS", 200)
+    a, b = (secretscan.fit(f, epochs=2) for f in (found, found.repartition(3)))
+    assert a.threshold == b.threshold and all((a.weights[k] == b.weights[k]).all() for k in a.weights)
