@@ -96,6 +96,13 @@ def test_areas_by_formula():
     assert area(back) == pytest.approx(area(buffer_parts("POLYGON", corner, 1.0)), rel=1e-8)
 
 
+def test_a_bend_of_two_vertices_a_step_apart_stays():
+    """The two arms' buffers end on one place of the notch, where the grid of the cuts leaves two vertices."""
+    x, y, o, d = -99.7, 35.7, 5.0, 2.0
+    ring = [(x, y), (x + o, y), (x + o, y + 3), (x + 3, y + 3), (x + 3, y + o), (x, y + o), (x, y)]
+    assert math.isclose(area(buffer_parts("POLYGON", [[ring]], d)), 21 + 20 * d + (5 / 4 * ARC - 1) * d ** 2, abs_tol=1e-6)
+
+
 def test_a_long_path():
     """Two thousand edges, neighbours overlapping over and over."""
     rng = random.Random(5)
